@@ -16,7 +16,7 @@ BIRTH_DATE_FORMAT = "yyyy-MM-dd"
 def parse_date_lenient(col: Column | str, fmt: str = BIRTH_DATE_FORMAT) -> Column:
     """``yyyy-MM-dd`` text to a date; unparseable text gives null (no error)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def season_reference_date(season: Column | str) -> Column:

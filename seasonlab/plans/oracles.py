@@ -297,7 +297,7 @@ def build() -> dict[str, str]:
     o["score_weekly"] = with_base(f"SELECT *, {weekly_points_sql(PPR)} AS fantasy_points_calc FROM weekly",
                                   wd + ["fantasy_points_calc"])
     o["score_all_modes"] = with_base(
-        f"SELECT w.* EXCLUDE (_b, _r, _rec_w), _b + _r * _rec_w AS fantasy_points_calc FROM "
+        f"SELECT * EXCLUDE (_b, _r, _rec_w), _b + _r * _rec_w AS fantasy_points_calc FROM "
         f"(SELECT *, {weekly_points_sql(PPR_NO_REC)} AS _b, {num('receptions')} AS _r FROM weekly_rank) w "
         f"CROSS JOIN ({modes_sql()}) m", wd + ["fantasy_points_calc"])
     o["score_by_mode_column"] = with_base(
