@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import require_columns, tie_key
 from seasonlab.operators.metrics import metric_columns, pearson_column
-from seasonlab.operators.ranking import average_rank, first_n_per_group
+from seasonlab.operators.ranking import first_n_per_group, rank_table
 
 DEFAULT_TIEBREAK = ("player_id", "season")
 
@@ -63,8 +63,13 @@ def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "po
     _validate(predictions, [position_col, actual_col, pred_col])
     base = _defined(predictions, actual_col, pred_col).select(
         F.col(position_col).alias("position"), F.col(actual_col).alias("_a"), F.col(pred_col).alias("_p"))
-    ranked = average_rank(base, value_col="_a", group_cols=["position"], out_col="_ra", buckets=buckets)
-    ranked = average_rank(ranked, value_col="_p", group_cols=["position"], out_col="_rp", buckets=buckets)
+    # One rank pass for both columns: stack them under a ``which`` key.
+    stacked = base.select("position", F.expr("stack(2, 'a', _a, 'p', _p) AS (which, value)"))
+    ranks = rank_table(stacked, value_col="value", group_cols=["position", "which"], out_col="_r", buckets=buckets)
+    ra = ranks.where(F.col("which") == "a").select("position", F.col("_v").alias("_ka"), F.col("_r").alias("_ra"))
+    rp = ranks.where(F.col("which") == "p").select("position", F.col("_v").alias("_kp"), F.col("_r").alias("_rp"))
+    ranked = (base.withColumns({"_ka": tie_key("_a"), "_kp": tie_key("_p")})
+              .join(ra, ["position", "_ka"], "inner").join(rp, ["position", "_kp"], "inner"))
     return (ranked.groupBy("position")
             .agg(F.count(F.lit(1)).alias("n"), pearson_column("_ra", "_rp").alias("spearman"))
             .orderBy("position"))

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import require_columns
 
-NAN = F.lit(float("nan"))
+
+def _nan() -> Column:
+    return F.lit(float("nan"))
 
 
 def metric_columns(actual_col: str, pred_col: str, *, n_alias: str | None = "n") -> list[Column]:
@@ -29,7 +31,7 @@ def metric_columns(actual_col: str, pred_col: str, *, n_alias: str | None = "n")
     n = F.count(F.lit(1))
     ss_res = F.sum(err * err)
     ss_tot = F.var_pop(y) * n
-    r2 = (F.when(n < 2, NAN)
+    r2 = (F.when(n < 2, _nan())
           .when(ss_tot == 0, F.when(ss_res == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - ss_res / ss_tot))
     cols = [F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"), r2.alias("r2")]
@@ -59,7 +61,7 @@ def pearson_column(a: str, b: str) -> Column:
     """Pearson correlation; NaN for n < 2 or zero variance (never raises)."""
     n = F.count(F.lit(1))
     denom = F.sqrt(F.var_pop(a) * F.var_pop(b))
-    return F.when((n < 2) | (denom == 0) | denom.isNull(), NAN).otherwise(F.covar_pop(a, b) / denom)
+    return F.when((n < 2) | (denom == 0) | denom.isNull(), _nan()).otherwise(F.covar_pop(a, b) / denom)
 
 
 def pearson_by_group(df: DataFrame, a: str, b: str, *, group_cols: Sequence[str] = (), out_col: str = "pearson") -> DataFrame:

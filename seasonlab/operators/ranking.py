@@ -63,9 +63,9 @@ def first_n_per_group(df: DataFrame, *, group_col: str, order_col: str, n: int,
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
-                 out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """Exact mid-rank of ``value_col`` within each group (ties share the average).
+def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
+               out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """Distinct (group, tie key of value) -> exact mid-rank within the group.
 
     A plain rank window would sort every group inside one task. Instead:
 
@@ -73,34 +73,45 @@ def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple
     2. cut each group's values into ``buckets`` ranges   -- percentile_approx
     3. running count inside (group, bucket)              -- window, many tasks
     4. rows before each bucket (prefix over bucket totals, groups x buckets rows)
-    5. rank = rows before value + (ties + 1) / 2, joined back on (group, value)
+    5. rank = rows before the value + (ties + 1) / 2
 
     Approximate cut points only change how work is split; ranks stay exact.
-    A hot value is one row after step 1; the join back of step 5 streams the
-    hot side and AQE splits a skewed partition. Small sides (cut points,
-    bucket offsets) become broadcasts only through AQE's runtime size check.
-    Null values get a null rank and do not count.
+    A hot value is a single row after step 1. Small sides (cut points, bucket
+    offsets) become broadcasts only through AQE's runtime size check.
+    Output columns: group columns, ``_v`` (the tie key), ``out_col``.
     """
-    g = list(group_cols) or ["_all"]
-    keyed = df.withColumn("_v", tie_key(value_col))
-    if not group_cols:
-        keyed = keyed.withColumn("_all", F.lit(0))
-    counts = keyed.where(F.col("_v").isNotNull()).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    g = list(group_cols)
+    counts = (df.select(*g, tie_key(value_col).alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
     fractions = [i / buckets for i in range(1, max(buckets, 1))]
-    cuts = counts.groupBy(*g).agg(
-        (F.percentile_approx("_v", fractions, accuracy) if fractions else F.array().cast("array<double>")).alias("_cuts"))
-    bucketed = (counts.join(cuts, g, "inner")
-                .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-                .drop("_cuts"))
+    cut_expr = (F.percentile_approx("_v", fractions, accuracy) if fractions
+                else F.array().cast("array<double>")).alias("_cuts")
+    if g:
+        bucketed = counts.join(counts.groupBy(*g).agg(cut_expr), g, "inner")
+    else:
+        bucketed = counts.join(counts.agg(cut_expr))  # one-row side
+    bucketed = bucketed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bucketed = bucketed.withColumn("_cum", F.sum("_c").over(within))
     totals = bucketed.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"))
     before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_bt").over(before), F.lit(0))).drop("_bt")
-    ranks = (bucketed.join(offsets, g + ["_b"], "inner")
-             .select(*g, "_v", (F.col("_off") + F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out_col)))
-    out = keyed.join(ranks, g + ["_v"], "left").drop("_v")
-    return out if group_cols else out.drop("_all")
+    return (bucketed.join(offsets, g + ["_b"], "inner")
+            .select(*g, "_v", (F.col("_off") + F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out_col)))
+
+
+def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
+                 out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """``df`` plus the exact mid-rank of ``value_col`` within each group.
+
+    Ties share the average of their positions; null values get a null rank
+    and do not count. Ranks come from ``rank_table`` and are joined back on
+    (group, value): the join streams the row side, and AQE splits a skewed
+    partition when one value holds many rows.
+    """
+    g = list(group_cols)
+    ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, buckets=buckets, accuracy=accuracy)
+    return df.withColumn("_v", tie_key(value_col)).join(ranks, g + ["_v"], "left").drop("_v")
 
 
 def average_rank_window(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from seasonlab.operators.ridge import (
     train_ridge_by_position,
 )
 from seasonlab.operators.scoring import Scoring, add_weekly_points, scoring_from_mode
+from seasonlab.session import materialize
 
 # The model inputs of the forecast.
 FEATURES_6 = ("feat_ppg", "feat_carries_pg", "feat_targets_pg", "feat_pass_att_pg", "feat_age", "feat_age_sq")
@@ -95,16 +95,16 @@ def forecast_output(model: RidgeModel, features_clean: DataFrame, season: int, *
 
 def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season: int, alpha: float = 1.0,
                  feature_cols: Sequence[str] = FEATURES_6, top_n_position: int = 24, top_n_overall: int = 100,
-                 persist: bool = True) -> ForecastResult:
+                 materialization: str = "checkpoint") -> ForecastResult:
     """L3: supervised set -> overall ridge vs naive -> per-position ridge ->
     slices and Spearman -> next-season forecast with the overall model.
 
-    The clean supervised set feeds every fit and metric, so it is persisted
-    once (memory and disk; a lost block is recomputed from lineage).
+    The feature table (one row per player and season) feeds every fit, metric
+    and the forecast, so it is materialized once (default: a reliable
+    checkpoint in the shared checkpoint folder, see ``session.materialize``).
     """
+    features = materialize(features, materialization)
     _, clean = supervised_sets(features, feature_cols)
-    if persist:
-        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
     model, preds, vs = compare_ridge_to_naive(clean, feature_cols=list(feature_cols), target_col=TARGET,
                                               train_end_season=train_end_season, alpha=alpha)
     pos_model, pos_preds = train_ridge_by_position(clean, feature_cols=list(feature_cols), target_col=TARGET,

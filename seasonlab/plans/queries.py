@@ -27,6 +27,7 @@ from seasonlab.operators import ridge as rg
 from seasonlab.operators import scoring as sc
 from seasonlab.operators.dataset import build_next_season_dataset, split_seasons, time_split
 from seasonlab.plans import pipelines as pl
+from seasonlab.session import materialize
 from seasonlab.sources.readers import csv_round_trip, union_by_name
 from seasonlab.sources.testbed import roster_from_tables, weekly_from_tables
 
@@ -67,16 +68,18 @@ def totals(spark, sf, seasons=SEASONS):
     return pl.scored_season_totals(weekly(spark, sf, seasons))
 
 
-def features(spark, sf):
-    return pl.feature_table(weekly(spark, sf), roster(spark, sf))
+def features(spark, sf, materialized=False):
+    """Feature table; ``materialized`` checkpoints it for queries that read it in several passes."""
+    f = pl.feature_table(weekly(spark, sf), roster(spark, sf))
+    return materialize(f) if materialized else f
 
 
-def supervised(spark, sf):
-    return pl.supervised_sets(features(spark, sf), FEATURES_6)
+def supervised(spark, sf, materialized=False):
+    return pl.supervised_sets(features(spark, sf, materialized), FEATURES_6)
 
 
-def clean(spark, sf):
-    return supervised(spark, sf)[1]
+def clean(spark, sf, materialized=False):
+    return supervised(spark, sf, materialized)[1]
 
 
 def naive_holdout(spark, sf):
@@ -91,13 +94,13 @@ def naive_all_pairs(spark, sf):
 
 
 def position_predictions(spark, sf, feature_cols=FEATURES_6):
-    _, preds = rg.train_ridge_by_position(clean(spark, sf), feature_cols=list(feature_cols), target_col=TARGET,
+    _, preds = rg.train_ridge_by_position(clean(spark, sf, True), feature_cols=list(feature_cols), target_col=TARGET,
                                           train_end_season=TRAIN_END, alpha=ALPHA)
     return preds
 
 
 def overall_model(spark, sf, feature_cols=FEATURES_6):
-    return rg.train_ridge(clean(spark, sf), feature_cols=list(feature_cols), target_col=TARGET,
+    return rg.train_ridge(clean(spark, sf, True), feature_cols=list(feature_cols), target_col=TARGET,
                           train_end_season=TRAIN_END, alpha=ALPHA)
 
 
@@ -346,14 +349,16 @@ def q_ridge_fit_6feat(spark, sf):
 
 
 def q_ridge_holdout_metrics(spark, sf):
-    _, m = rg.holdout_metrics(clean(spark, sf), feature_cols=list(FEATURES_6), target_col=TARGET,
+    _, m = rg.holdout_metrics(clean(spark, sf, True), feature_cols=list(FEATURES_6), target_col=TARGET,
                               train_end_season=TRAIN_END, alpha=ALPHA)
     return m
 
 
 def q_predict_season(spark, sf):
-    model = overall_model(spark, sf)
-    f = drop_nulls(features(spark, sf), FEATURES_6)
+    f = features(spark, sf, True)
+    model = rg.train_ridge(pl.supervised_sets(f, FEATURES_6)[1], feature_cols=list(FEATURES_6), target_col=TARGET,
+                           train_end_season=TRAIN_END, alpha=ALPHA)
+    f = drop_nulls(f, FEATURES_6)
     return rg.predict_for_season(model, f, season=FORECAST_SEASON)
 
 
@@ -362,7 +367,7 @@ def q_naive_metrics(spark, sf):
 
 
 def _vs_naive(spark, sf):
-    return rg.compare_ridge_to_naive(clean(spark, sf), feature_cols=list(FEATURES_6), target_col=TARGET,
+    return rg.compare_ridge_to_naive(clean(spark, sf, True), feature_cols=list(FEATURES_6), target_col=TARGET,
                                      train_end_season=TRAIN_END, alpha=ALPHA)
 
 
@@ -379,7 +384,7 @@ def q_model_winner(spark, sf):
 
 
 def q_ridge_by_position_coefs_2feat(spark, sf):
-    model, _ = rg.train_ridge_by_position(clean(spark, sf), feature_cols=list(FEATURES_2), target_col=TARGET,
+    model, _ = rg.train_ridge_by_position(clean(spark, sf, True), feature_cols=list(FEATURES_2), target_col=TARGET,
                                           train_end_season=TRAIN_END, alpha=ALPHA)
     return coefficient_rows(model, spark, "position")
 
@@ -405,8 +410,10 @@ def q_baseline_top_n(spark, sf):
 
 
 def q_forecast_next_season(spark, sf):
-    model = overall_model(spark, sf)
-    return pl.forecast_output(model, drop_nulls(features(spark, sf), FEATURES_6), FORECAST_SEASON)
+    f = features(spark, sf, True)
+    model = rg.train_ridge(pl.supervised_sets(f, FEATURES_6)[1], feature_cols=list(FEATURES_6), target_col=TARGET,
+                           train_end_season=TRAIN_END, alpha=ALPHA)
+    return pl.forecast_output(model, drop_nulls(f, FEATURES_6), FORECAST_SEASON)
 
 
 def q_forecast_top10(spark, sf):

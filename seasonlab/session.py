@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the library should carry. AQE re-plans joins
 # from runtime sizes (broadcast only when the measured side is small),
@@ -18,6 +19,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of tables no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,3 +60,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="seasonlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Materialize a table that several later passes read.
+
+    ``checkpoint`` (default) writes it to the shared checkpoint folder and cuts
+    the lineage: later jobs, and retries after a lost executor, read the
+    written files instead of recomputing the upstream scans and shuffles.
+    ``persist`` keeps it in executor memory/disk (lost blocks are recomputed
+    from lineage). ``none`` returns ``df`` unchanged.
+    """
+    if how == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "none":
+        return df
+    raise ValueError(f"unknown materialization {how!r}")
