@@ -21,12 +21,15 @@ from seasonlab.session import ensure_checkpoint_dir
 
 
 def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", *, schema: StructType | str | None = None,
-                 options: dict | None = None) -> DataFrame:
+                 options: dict | None = None, merge_schema: bool = False) -> DataFrame:
+    """Scan a dataset. ``merge_schema`` reconciles parquet files written with
+    different column sets (it reads every footer, so it is opt-in); an explicit
+    ``schema`` is cheaper and also tolerates missing columns (read as null)."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
-    if fmt == "parquet":
-        reader = reader.option("mergeSchema", "true")  # seasons written by different releases
+    if fmt == "parquet" and merge_schema:
+        reader = reader.option("mergeSchema", "true")
     if schema is not None:
         reader = reader.schema(schema)
     for k, v in (options or {}).items():

@@ -38,8 +38,23 @@ FILTERED_NATION, FILTERED_POSITION = 24, "LS"
 TD_DISCOUNT, INT_TAX, FUMBLE_LINE, FG_LINE, PAT_LINE = 0.05, 0.07, 7, 1, 2
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Physical layout of the tables the testbed reads. Passing it to the reader
+# skips schema inference (a footer-reading job per table and query).
+TABLE_SCHEMAS = {
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *, infer_schema: bool = False) -> DataFrame:
+    reader = spark.read
+    if not infer_schema and name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _season_ranges(seasons: Iterable[int]) -> list[tuple[int, int]]:
