@@ -15,6 +15,7 @@ from seasonlab.operators.ranking import (
     RANKING_POSITIONS,
     average_rank,
     average_rank_window,
+    ranked,
     rank_table,
     filter_positions,
     first_n_per_group,

@@ -27,11 +27,16 @@ def dense_rank_desc(points_col: str, partition_cols: list[str] | tuple[str, ...]
 
 
 def with_dense_rank(df: DataFrame, *, position_col: str = "position", points_col: str = "fantasy_points",
-                    out_col: str = "rank") -> DataFrame:
-    """Dense rank of points, highest first, within each position (nulls unranked)."""
+                    out_col: str = "rank", buckets: int = 64) -> DataFrame:
+    """Dense rank of points, highest first, within each position; rows with null points are dropped.
+
+    Every row is ranked (no top-N limit), so the bucketed ``rank_table`` is
+    used instead of one window sort per position.
+    """
     require_columns(df, [position_col, points_col])
-    return df.where(F.col(points_col).isNotNull()).withColumn(
-        out_col, dense_rank_desc(points_col, [position_col]).cast("long"))
+    out = ranked(df.where(F.col(points_col).isNotNull()), value_col=points_col, group_cols=[position_col],
+                 out_col=out_col, method="dense", descending=True, buckets=buckets)
+    return out.withColumn(out_col, F.col(out_col).cast("long"))
 
 
 def top_n_by_position(df: DataFrame, *, position_col: str = "position", points_col: str = "fantasy_points",
@@ -63,25 +68,40 @@ def first_n_per_group(df: DataFrame, *, group_col: str, order_col: str, n: int,
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def _rank_key(value_col: str, descending: bool) -> Column:
+    key = tie_key(value_col)
+    return -key if descending else key
+
+
+RANK_METHODS = ("average", "min", "dense")
+
+
 def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
-               out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """Distinct (group, tie key of value) -> exact mid-rank within the group.
+               out_col: str = "avg_rank", method: str = "average", descending: bool = False,
+               buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """Distinct (group, value key) -> exact rank of that value within the group.
+
+    ``method``: ``average`` (mid-rank of ties), ``min`` (SQL ``rank``) or
+    ``dense`` (SQL ``dense_rank``); ``descending`` ranks the highest first.
 
     A plain rank window would sort every group inside one task. Instead:
 
     1. count rows per distinct (group, value)            -- partial aggregate
     2. cut each group's values into ``buckets`` ranges   -- percentile_approx
-    3. running count inside (group, bucket)              -- window, many tasks
-    4. rows before each bucket (prefix over bucket totals, groups x buckets rows)
-    5. rank = rows before the value + (ties + 1) / 2
+    3. running counts inside (group, bucket)             -- window, many tasks
+    4. rows / values before each bucket (prefix over bucket totals,
+       groups x buckets rows)
+    5. rank from the counts before the value and its tie count
 
     Approximate cut points only change how work is split; ranks stay exact.
-    A hot value is a single row after step 1. Small sides (cut points, bucket
-    offsets) become broadcasts only through AQE's runtime size check.
-    Output columns: group columns, ``_v`` (the tie key), ``out_col``.
+    A hot value is a single row after step 1. Small sides (cut points,
+    bucket offsets) become broadcasts only through AQE's runtime size check.
+    Output columns: group columns, ``_v`` (the value key), ``out_col``.
     """
+    if method not in RANK_METHODS:
+        raise ValueError(f"method must be one of {RANK_METHODS}")
     g = list(group_cols)
-    counts = (df.select(*g, tie_key(value_col).alias("_v")).where(F.col("_v").isNotNull())
+    counts = (df.select(*g, _rank_key(value_col, descending).alias("_v")).where(F.col("_v").isNotNull())
               .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
     fractions = [i / buckets for i in range(1, max(buckets, 1))]
     cut_expr = (F.percentile_approx("_v", fractions, accuracy) if fractions
@@ -92,26 +112,39 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
         bucketed = counts.join(counts.agg(cut_expr))  # one-row side
     bucketed = bucketed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bucketed = bucketed.withColumn("_cum", F.sum("_c").over(within))
-    totals = bucketed.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"))
+    bucketed = bucketed.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})
+    totals = bucketed.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
     before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_bt").over(before), F.lit(0))).drop("_bt")
-    return (bucketed.join(offsets, g + ["_b"], "inner")
-            .select(*g, "_v", (F.col("_off") + F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out_col)))
+    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"),
+                            F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_off_d"))
+    rows_before = F.col("_off") + F.col("_cum") - F.col("_c")
+    rank = {
+        "average": rows_before + (F.col("_c") + 1) / 2.0,
+        "min": rows_before + 1,
+        "dense": F.col("_off_d") + F.col("_cum_d"),
+    }[method]
+    return bucketed.join(offsets, g + ["_b"], "inner").select(*g, "_v", rank.alias(out_col))
+
+
+def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (), out_col: str = "rank",
+           method: str = "average", descending: bool = False, buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """``df`` plus the exact rank of ``value_col`` within each group (null value -> null rank).
+
+    Ranks come from ``rank_table`` and are joined back on (group, value): the
+    join streams the row side, and AQE splits a skewed partition when one
+    value holds many rows.
+    """
+    g = list(group_cols)
+    ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, method=method, descending=descending,
+                       buckets=buckets, accuracy=accuracy)
+    return df.withColumn("_v", _rank_key(value_col, descending)).join(ranks, g + ["_v"], "left").drop("_v")
 
 
 def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
                  out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """``df`` plus the exact mid-rank of ``value_col`` within each group.
-
-    Ties share the average of their positions; null values get a null rank
-    and do not count. Ranks come from ``rank_table`` and are joined back on
-    (group, value): the join streams the row side, and AQE splits a skewed
-    partition when one value holds many rows.
-    """
-    g = list(group_cols)
-    ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, buckets=buckets, accuracy=accuracy)
-    return df.withColumn("_v", tie_key(value_col)).join(ranks, g + ["_v"], "left").drop("_v")
+    """``df`` plus the mid-rank of ``value_col`` within each group (ties share the average)."""
+    return ranked(df, value_col=value_col, group_cols=group_cols, out_col=out_col, method="average",
+                  buckets=buckets, accuracy=accuracy)
 
 
 def average_rank_window(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),

@@ -82,8 +82,8 @@ def clean(spark, sf, materialized=False):
     return supervised(spark, sf, materialized)[1]
 
 
-def naive_holdout(spark, sf):
-    test = clean(spark, sf).where(F.col("season") > TRAIN_END)
+def naive_holdout(spark, sf, materialized=False):
+    test = clean(spark, sf, materialized).where(F.col("season") > TRAIN_END)
     return test.select("season", "position", "player_id", F.col(TARGET).cast("double").alias("y_true"),
                        F.coalesce(F.col("feat_points").cast("double"), F.lit(0.0)).alias("y_pred"))
 
@@ -304,7 +304,9 @@ def q_union_seasons_diagonal(spark, sf):
 
 
 def q_union_predictions(spark, sf):
-    preds = naive_holdout(spark, sf)
+    # one frame per position, as when each comes from its own source; they all
+    # read one checkpointed feature table instead of re-deriving it per frame
+    preds = naive_holdout(spark, sf, materialized=True)
     frames = []
     for pos in rk.PLAYER_POSITIONS:
         frame = preds.where(F.col("position") == pos)

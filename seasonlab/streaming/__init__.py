@@ -1,0 +1,8 @@
+"""Streaming surface: intentionally empty.
+
+The analyses this library reproduces are batch jobs over whole seasons: no
+stream sources, watermarks, windows over time, or per-key state exist in
+them, so there is nothing to express with Structured Streaming here. The
+batch operators take any DataFrame, so they run unchanged on a static
+snapshot of a continuously written table.
+"""

@@ -93,3 +93,17 @@ def test_spearman_matches_brute_force(spark):
     pdf = pd.DataFrame(data, columns=["position", "a", "b"])
     for pos, grp in pdf.groupby("position"):
         assert got[pos] == pytest.approx(grp["a"].rank().corr(grp["b"].rank()), abs=1e-12)
+
+
+@pytest.mark.parametrize("method,pandas_method", [("average", "average"), ("min", "min"), ("dense", "dense")])
+@pytest.mark.parametrize("descending", [False, True])
+def test_rank_methods_match_brute_force(spark, method, pandas_method, descending):
+    from seasonlab.operators.ranking import ranked
+    rnd = random.Random(11)
+    data = [(rnd.choice("AB"), float(rnd.randint(-5, 8)), i) for i in range(150)]
+    df = spark.createDataFrame(data, "g string, v double, id long")
+    got = {r["id"]: r["r"] for r in ranked(df, value_col="v", group_cols=["g"], out_col="r", method=method,
+                                            descending=descending, buckets=4).collect()}
+    pdf = pd.DataFrame(data, columns=["g", "v", "id"])
+    pdf["r"] = pdf.groupby("g")["v"].rank(method=pandas_method, ascending=not descending)
+    assert all(got[i] == pytest.approx(r) for i, r in zip(pdf["id"], pdf["r"]))
