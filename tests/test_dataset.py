@@ -33,3 +33,15 @@ def test_time_split(spark):
     assert rows(split_seasons(df, train_end_season=2025), "split", "season") == [("test", 2026), ("train", 2024), ("train", 2025)]
     with pytest.raises(ValueError):
         time_split(df, season_col="year", train_end_season=2025)
+
+
+def test_next_season_window_equals_join(spark):
+    import random
+
+    from seasonlab.operators.dataset import build_next_season_dataset_join
+    rnd = random.Random(5)
+    data = [(rnd.choice([2020, 2021, 2022, 2023, None]), rnd.choice(["p1", "p2", "p3", None]), rnd.choice(["RB", "WR"]),
+             float(rnd.randint(0, 9)), float(i)) for i in range(120)]
+    df = spark.createDataFrame(data, SCHEMA)
+    cols = df.columns + ["target_next_season_points"]
+    assert rows(build_next_season_dataset(df), *cols) == rows(build_next_season_dataset_join(df), *cols)
