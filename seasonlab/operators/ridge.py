@@ -36,13 +36,14 @@ def _moment_name(i: int, j: int | str) -> str:
 
 
 def gram_statistics(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str,
-                    train_end_season: int, group_cols: Sequence[str] = ()) -> DataFrame:
+                    train_end_season: int, group_cols: Sequence[str] = (), with_seasons: bool = True) -> DataFrame:
     """One row per model group with everything the fit needs (one pass).
 
     Columns: group keys, n_train, n_test, n_null_train (train rows with a null
     feature or target), _m_i (feature means), _m_y, _s_i_j (i <= j) and _s_i_y
-    (centred co-moments), train_seasons / test_seasons (sorted arrays; their
-    size is the number of distinct seasons).
+    (centred co-moments), and with ``with_seasons`` train_seasons /
+    test_seasons (sorted arrays, as long as the number of distinct seasons;
+    they make the aggregate an object aggregate, so grouped fits skip them).
     """
     tr = is_train(season_col, train_end_season)
     te = F.col(season_col) > F.lit(train_end_season)
@@ -64,8 +65,9 @@ def gram_statistics(df: DataFrame, *, feature_cols: Sequence[str], target_col: s
         for j in range(i, len(feats)):
             aggs.append((F.covar_pop(on_train(ci), on_train(feats[j])) * n_train).alias(_moment_name(i, j)))
         aggs.append((F.covar_pop(on_train(ci), on_train(target_col)) * n_train).alias(_moment_name(i, "y")))
-    aggs.append(F.sort_array(F.collect_set(F.when(tr, F.col(season_col)))).alias("train_seasons"))
-    aggs.append(F.sort_array(F.collect_set(F.when(te, F.col(season_col)))).alias("test_seasons"))
+    if with_seasons:
+        aggs.append(F.sort_array(F.collect_set(F.when(tr, F.col(season_col)))).alias("train_seasons"))
+        aggs.append(F.sort_array(F.collect_set(F.when(te, F.col(season_col)))).alias("test_seasons"))
     return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
 
 
@@ -155,7 +157,8 @@ def _check_columns(df: DataFrame, cols: Sequence[str]) -> None:
 def _fit(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str, train_end_season: int,
          alpha: float, group_col: str | None) -> tuple[RidgeModel, list[dict]]:
     stats = gram_statistics(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
-                            train_end_season=train_end_season, group_cols=[group_col] if group_col else [])
+                            train_end_season=train_end_season, group_cols=[group_col] if group_col else [],
+                            with_seasons=group_col is None)
     rows = [r.asDict() for r in stats.collect()]  # one row per model group: groups x (p^2 + p) numbers
     p = len(feature_cols)
     coefs, train_s, test_s = {}, set(), set()
@@ -166,8 +169,8 @@ def _fit(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_
             continue
         key = r[group_col] if group_col else None
         coefs[key] = solve_ridge(r, p, alpha)
-        train_s.update(r["train_seasons"] or [])
-        test_s.update(r["test_seasons"] or [])
+        train_s.update(r.get("train_seasons") or [])
+        test_s.update(r.get("test_seasons") or [])
     model = RidgeModel(tuple(feature_cols), coefs, group_col, tuple(sorted(train_s)), tuple(sorted(test_s)), alpha)
     return model, rows
 

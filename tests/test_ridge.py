@@ -117,3 +117,30 @@ def test_metrics_edge_cases(spark):
     assert metrics_row(flat)[3] == 1.0
     flat_off = spark.createDataFrame([(5.0, 4.0), (5.0, 5.0)], "y_true double, y_pred double")
     assert metrics_row(flat_off)[3] == 0.0
+
+
+def test_many_groups_use_coefficient_join(spark):
+    import random
+
+    from seasonlab.operators import ridge as rg
+    rnd = random.Random(1)
+    groups = [f"g{i:02d}" for i in range(rg.CASE_MAX_GROUPS + 6)]
+    data = []
+    for g in groups:
+        for s in (2020, 2021, 2022):
+            for k in range(4):
+                x1, x2 = rnd.uniform(0, 10), rnd.uniform(0, 5)
+                data.append((s, f"{g}-{k}", g, x1, x2, 3 * x1 - x2 + rnd.gauss(0, 1)))
+    df = spark.createDataFrame(data, f"season long, player_id string, position string, feat_ppg double, feat_carries_pg double, {T} double")
+    model, preds = train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=2021, positions=groups)
+    assert len(model.coefficients) == len(groups)
+    pdf = df.toPandas()
+    got = {(r["position"], r["player_id"]): r["y_pred"] for r in preds.collect()}
+    assert len(got) == 4 * len(groups)
+    for g in groups[:5] + groups[-3:]:
+        tr = pdf[(pdf.position == g) & (pdf.season <= 2021)]
+        x, y = tr[FEATS].to_numpy(), tr[T].to_numpy()
+        w = np.linalg.solve((x - x.mean(0)).T @ (x - x.mean(0)) + np.eye(2), (x - x.mean(0)).T @ (y - y.mean()))
+        b = y.mean() - x.mean(0) @ w
+        for _, row in pdf[(pdf.position == g) & (pdf.season == 2022)].iterrows():
+            assert got[(g, row["player_id"])] == pytest.approx(b + w @ row[FEATS].to_numpy(dtype=float), rel=1e-9)
