@@ -113,7 +113,9 @@ def rounded(sql: str, doubles: list[str]) -> str:
     if not doubles:
         return sql
     ex = ", ".join(doubles)
-    rs = ", ".join(f"round({c}, {D}) AS {c}" for c in doubles)
+    # a rounded zero is written as 0.0 (DuckDB can return -0.0, Spark's round cannot)
+    rs = ", ".join(f"CASE WHEN round({c}, {D}) = 0 THEN CAST(0.0 AS DOUBLE) ELSE round({c}, {D}) END AS {c}"
+                   for c in doubles)
     return f"SELECT * EXCLUDE ({ex}), {rs} FROM ({sql}) _r"
 
 
