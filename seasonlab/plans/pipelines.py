@@ -24,6 +24,7 @@ from seasonlab.operators.ridge import (
 )
 from seasonlab.operators.scoring import Scoring, add_weekly_points, scoring_from_mode
 from seasonlab.session import materialize
+from seasonlab.sources.readers import write_csv
 
 # The model inputs of the forecast.
 FEATURES_6 = ("feat_ppg", "feat_carries_pg", "feat_targets_pg", "feat_pass_att_pg", "feat_age", "feat_age_sq")
@@ -44,6 +45,18 @@ def baseline_top_n(weekly: DataFrame, *, top_n: int = 24, scoring: Scoring | Non
     return top_n_by_position(totals, n=top_n, points_col="fantasy_points", position_col="position")
 
 
+def build_baseline_top_n(source, *, season: int, top_n: int = 24, scoring: Scoring | None = None) -> DataFrame:
+    """L1 from a source object: one season of weekly rows -> top-N per position."""
+    return baseline_top_n(source.load_weekly_player_stats(season), top_n=top_n, scoring=scoring)
+
+
+def load_and_build_features(source, *, seasons, scoring: Scoring | None = None) -> DataFrame:
+    """L2 from a source object: all seasons in one scan, roster age, features."""
+    from seasonlab.sources.base import load_seasons
+
+    return feature_table(load_seasons(source, seasons), source.load_players(), scoring=scoring)
+
+
 def feature_table(weekly: DataFrame, players: DataFrame, *, scoring: Scoring | None = None) -> DataFrame:
     """L2: season totals of all seasons, age from the roster, eleven features."""
     totals = scored_season_totals(weekly, scoring)
@@ -95,13 +108,15 @@ def forecast_output(model: RidgeModel, features_clean: DataFrame, season: int, *
 
 def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season: int, alpha: float = 1.0,
                  feature_cols: Sequence[str] = FEATURES_6, top_n_position: int = 24, top_n_overall: int = 100,
-                 materialization: str = "checkpoint") -> ForecastResult:
+                 materialization: str = "checkpoint", out_path: str | None = None) -> ForecastResult:
     """L3: supervised set -> overall ridge vs naive -> per-position ridge ->
     slices and Spearman -> next-season forecast with the overall model.
 
     The feature table (one row per player and season) feeds every fit, metric
     and the forecast, so it is materialized once (default: a reliable
     checkpoint in the shared checkpoint folder, see ``session.materialize``).
+    ``out_path`` writes the forecast as CSV with a header (parallel part files
+    in prediction order).
     """
     features = materialize(features, materialization)
     _, clean = supervised_sets(features, feature_cols)
@@ -110,6 +125,9 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
     pos_model, pos_preds = train_ridge_by_position(clean, feature_cols=list(feature_cols), target_col=TARGET,
                                                    train_end_season=train_end_season, alpha=alpha)
     features_clean = drop_nulls(features, feature_cols)
+    forecast = forecast_output(model, features_clean, forecast_season)
+    if out_path:
+        write_csv(forecast, out_path)
     return ForecastResult(
         overall_model=model,
         ridge_vs_naive_predictions=preds,
@@ -121,5 +139,5 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
         slice_top_per_position=top_n_per_position_metrics(pos_preds, n=top_n_position),
         slice_top_overall=top_n_overall_metrics(pos_preds, n=top_n_overall),
         spearman=spearman_rank_by_position(pos_preds),
-        forecast=forecast_output(model, features_clean, forecast_season),
+        forecast=forecast,
     )

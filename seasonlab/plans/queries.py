@@ -28,6 +28,7 @@ from seasonlab.operators import scoring as sc
 from seasonlab.operators.dataset import build_next_season_dataset, split_seasons, time_split
 from seasonlab.plans import pipelines as pl
 from seasonlab.session import materialize
+from seasonlab.sources.base import TestbedSource
 from seasonlab.sources.readers import csv_round_trip, union_by_name
 from seasonlab.sources.testbed import roster_from_tables, weekly_from_tables
 
@@ -339,7 +340,7 @@ def q_season_features(spark, sf):
 
 
 def q_feature_table(spark, sf):
-    return features(spark, sf)
+    return pl.load_and_build_features(TestbedSource(spark, sf), seasons=SEASONS)
 
 
 def q_ridge_fit_2feat(spark, sf):
@@ -408,7 +409,7 @@ def q_spearman_by_position(spark, sf):
 
 
 def q_baseline_top_n(spark, sf):
-    return pl.baseline_top_n(weekly(spark, sf, [RANK_SEASON]), top_n=TOP_N)
+    return pl.build_baseline_top_n(TestbedSource(spark, sf), season=RANK_SEASON, top_n=TOP_N)
 
 
 def q_forecast_next_season(spark, sf):

@@ -1,5 +1,7 @@
 """Sources and sinks (file/table scans, CSV) and the testbed derivation."""
 
+from seasonlab.sources.base import DatasetSource, TestbedSource, WeeklySource, load_seasons
+
 from seasonlab.sources.readers import (
     csv_round_trip,
     load_players,
@@ -13,6 +15,10 @@ from seasonlab.sources.readers import (
 from seasonlab.sources.testbed import ROSTER_SQL, roster_from_tables, table, weekly_from_tables, weekly_sql
 
 __all__ = [
+    "DatasetSource",
+    "TestbedSource",
+    "WeeklySource",
+    "load_seasons",
     "ROSTER_SQL",
     "csv_round_trip",
     "load_players",
