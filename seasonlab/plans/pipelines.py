@@ -102,8 +102,10 @@ class ForecastResult:
 def forecast_output(model: RidgeModel, features_clean: DataFrame, season: int, *, check_empty: bool = True) -> DataFrame:
     out_col = f"predicted_{season + 1}_points"
     preds = predict_for_season(model, features_clean, season=season, out_col=out_col, check_empty=check_empty)
+    # player_id / season break ties: equal predictions spread over range
+    # partitions instead of landing in one, and the order is deterministic
     return (preds.select("season", "player_id", "player_display_name", "position", "feat_age", "feat_points", out_col)
-            .orderBy(F.col(out_col).desc()))
+            .orderBy(F.col(out_col).desc(), F.col("player_id").asc(), F.col("season").asc()))
 
 
 def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season: int, alpha: float = 1.0,
