@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonlab.functions.columns import require_columns
 from seasonlab.operators.dataset import is_train
 from seasonlab.operators.metrics import metric_columns
 from seasonlab.operators.ranking import PLAYER_POSITIONS

@@ -10,7 +10,6 @@ functions themselves never round.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ from seasonlab.operators import metrics as met
 from seasonlab.operators import ranking as rk
 from seasonlab.operators import ridge as rg
 from seasonlab.operators import scoring as sc
-from seasonlab.operators.dataset import build_next_season_dataset, split_seasons, time_split
+from seasonlab.operators.dataset import split_seasons, time_split
 from seasonlab.plans import pipelines as pl
 from seasonlab.session import materialize
 from seasonlab.sources.base import TestbedSource

@@ -1,5 +1,3 @@
-import pytest
-
 from seasonlab.plans import pipelines as pl
 from seasonlab.sources.testbed import roster_from_tables, weekly_from_tables
 

@@ -2,7 +2,6 @@
 
 import contextlib
 
-import pytest
 from pyspark.sql import functions as F
 
 from seasonlab.operators.aggregate import season_totals
