@@ -14,7 +14,6 @@ from seasonlab.operators.ranking import (
     PLAYER_POSITIONS,
     RANKING_POSITIONS,
     average_rank,
-    average_rank_window,
     ranked,
     rank_table,
     filter_positions,

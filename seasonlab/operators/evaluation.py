@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import require_columns, tie_key
 from seasonlab.operators.metrics import metric_columns, pearson_column
-from seasonlab.operators.ranking import first_n_per_group, rank_table
+from seasonlab.operators.ranking import choose_rank_strategy, first_n_per_group, rank_table, window_rank
 
 DEFAULT_TIEBREAK = ("player_id", "season")
 
@@ -54,15 +54,22 @@ def top_n_overall_metrics(predictions: DataFrame, *, n: int = 100, actual_col: s
 
 
 def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "position", actual_col: str = "y_true",
-                              pred_col: str = "y_pred", buckets: int = 64) -> DataFrame:
+                              pred_col: str = "y_pred", buckets: int = 64, strategy: str = "auto") -> DataFrame:
     """Spearman correlation per position: position, n, spearman.
 
     Average (mid) ranks of both columns within the position, then Pearson on
-    the ranks. NaN when n < 2 or either side has zero variance.
+    the ranks. NaN when n < 2 or either side has zero variance. Ranks come
+    from windows when every position fits one task, else from the bucketed
+    rank table (``strategy``, see ``ranking.choose_rank_strategy``).
     """
     _validate(predictions, [position_col, actual_col, pred_col])
     base = _defined(predictions, actual_col, pred_col).select(
         F.col(position_col).alias("position"), F.col(actual_col).alias("_a"), F.col(pred_col).alias("_p"))
+    if choose_rank_strategy(base, ["position"], strategy) == "window":
+        ranked = base.withColumns({"_ra": window_rank("_a", ["position"]), "_rp": window_rank("_p", ["position"])})
+        return (ranked.groupBy("position")
+                .agg(F.count(F.lit(1)).alias("n"), pearson_column("_ra", "_rp").alias("spearman"))
+                .orderBy("position"))
     # One rank pass for both columns: stack them under a ``which`` key.
     stacked = base.select("position", F.expr("stack(2, 'a', _a, 'p', _p) AS (which, value)"))
     ranks = rank_table(stacked, value_col="value", group_cols=["position", "which"], out_col="_r", buckets=buckets)

@@ -27,15 +27,15 @@ def dense_rank_desc(points_col: str, partition_cols: list[str] | tuple[str, ...]
 
 
 def with_dense_rank(df: DataFrame, *, position_col: str = "position", points_col: str = "fantasy_points",
-                    out_col: str = "rank", buckets: int = 64) -> DataFrame:
+                    out_col: str = "rank", buckets: int = 64, strategy: str = "auto") -> DataFrame:
     """Dense rank of points, highest first, within each position; rows with null points are dropped.
 
-    Every row is ranked (no top-N limit), so the bucketed ``rank_table`` is
-    used instead of one window sort per position.
+    Every row is ranked (no top-N limit): positions too large for one task
+    use the bucketed ``rank_table`` instead of one window sort per position.
     """
     require_columns(df, [position_col, points_col])
     out = ranked(df.where(F.col(points_col).isNotNull()), value_col=points_col, group_cols=[position_col],
-                 out_col=out_col, method="dense", descending=True, buckets=buckets)
+                 out_col=out_col, method="dense", descending=True, buckets=buckets, strategy=strategy)
     return out.withColumn(out_col, F.col(out_col).cast("long"))
 
 
@@ -126,34 +126,73 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
     return bucketed.join(offsets, g + ["_b"], "inner").select(*g, "_v", rank.alias(out_col))
 
 
+# Groups up to this many rows are ranked with a plain window (one sort per
+# group inside one task); larger ones with the bucketed ``rank_table``.
+WINDOW_MAX_GROUP_ROWS = 1_000_000
+RANK_STRATEGIES = ("auto", "window", "buckets")
+
+
+def largest_group_rows(df: DataFrame, group_cols: list[str] | tuple[str, ...] = ()) -> int:
+    """Row count of the largest group (one aggregate job; returns one number)."""
+    g = list(group_cols)
+    counts = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")) if g else df.agg(F.count(F.lit(1)).alias("_n"))
+    return int(counts.agg(F.max("_n")).first()[0] or 0)
+
+
+def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
+                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS) -> str:
+    """``window`` when the largest group fits one task comfortably, else ``buckets``.
+
+    Like a size-checked broadcast: the measured size decides, and the
+    scalable form is the fallback beyond the threshold.
+    """
+    if strategy not in RANK_STRATEGIES:
+        raise ValueError(f"strategy must be one of {RANK_STRATEGIES}")
+    if strategy != "auto":
+        return strategy
+    return "window" if largest_group_rows(df, group_cols) <= window_max_rows else "buckets"
+
+
+def window_rank(value_col: str, group_cols: list[str] | tuple[str, ...] = (), *, method: str = "average",
+                descending: bool = False) -> Column:
+    """Rank column from one window per group (null values -> null rank)."""
+    if method not in RANK_METHODS:
+        raise ValueError(f"method must be one of {RANK_METHODS}")
+    key = _rank_key(value_col, descending)
+    w = Window.partitionBy(*group_cols).orderBy(key.asc_nulls_last())
+    if method == "dense":
+        r = F.dense_rank().over(w)
+    elif method == "min":
+        r = F.rank().over(w)
+    else:  # ties counted with a RANGE frame over the same ordering: no second exchange
+        ties = F.count(F.lit(1)).over(w.rangeBetween(0, 0))
+        r = F.rank().over(w) + (ties - 1) / 2.0
+    return F.when(key.isNotNull(), r)
+
+
 def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (), out_col: str = "rank",
-           method: str = "average", descending: bool = False, buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+           method: str = "average", descending: bool = False, buckets: int = 64, accuracy: int = 10000,
+           strategy: str = "auto", window_max_rows: int = WINDOW_MAX_GROUP_ROWS) -> DataFrame:
     """``df`` plus the exact rank of ``value_col`` within each group (null value -> null rank).
 
-    Ranks come from ``rank_table`` and are joined back on (group, value): the
-    join streams the row side, and AQE splits a skewed partition when one
-    value holds many rows.
+    ``strategy``: ``window`` (plain window per group), ``buckets`` (ranks
+    from ``rank_table`` joined back on (group, value): the join streams the
+    row side, and AQE splits a skewed partition when one value holds many
+    rows), or ``auto`` (measure the largest group first, see
+    ``choose_rank_strategy``).
     """
     g = list(group_cols)
+    if choose_rank_strategy(df, g, strategy, window_max_rows) == "window":
+        out = df.withColumn(out_col, window_rank(value_col, g, method=method, descending=descending))
+        return out.withColumn(out_col, F.col(out_col).cast("double")) if method == "average" else out
     ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, method=method, descending=descending,
                        buckets=buckets, accuracy=accuracy)
     return df.withColumn("_v", _rank_key(value_col, descending)).join(ranks, g + ["_v"], "left").drop("_v")
 
 
 def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
-                 out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                 out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000,
+                 strategy: str = "auto") -> DataFrame:
     """``df`` plus the mid-rank of ``value_col`` within each group (ties share the average)."""
     return ranked(df, value_col=value_col, group_cols=group_cols, out_col=out_col, method="average",
-                  buckets=buckets, accuracy=accuracy)
-
-
-def average_rank_window(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
-                        out_col: str = "avg_rank") -> DataFrame:
-    """Same result as ``average_rank`` with one window per group (small inputs)."""
-    g = list(group_cols)
-    v = tie_key(value_col)
-    by_value = Window.partitionBy(*g).orderBy(v)
-    ties = Window.partitionBy(*g, v)
-    ranked = df.where(F.col(value_col).isNotNull()).withColumn(
-        out_col, F.rank().over(by_value) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
-    return ranked.unionByName(df.where(F.col(value_col).isNull()).withColumn(out_col, F.lit(None).cast("double")))
+                  buckets=buckets, accuracy=accuracy, strategy=strategy)

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 
 from seasonlab.operators.evaluation import spearman_rank_by_position
-from seasonlab.operators.ranking import average_rank, average_rank_window, first_n_per_group, top_n_by_position, with_dense_rank
+from seasonlab.operators.ranking import average_rank, first_n_per_group, top_n_by_position, with_dense_rank
 
 from conftest import rows
 
@@ -64,7 +64,8 @@ def test_average_rank_matches_brute_force(spark, buckets):
     rnd = random.Random(7)
     data = [(rnd.choice("ABC"), float(rnd.randint(0, 12)) if rnd.random() > 0.1 else None, i) for i in range(300)]
     df = spark.createDataFrame(data, "g string, v double, id long")
-    got = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r", buckets=buckets).collect()}
+    got = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r", buckets=buckets,
+                                                 strategy="buckets").collect()}
     pdf = pd.DataFrame(data, columns=["g", "v", "id"])
     pdf["r"] = pdf.groupby("g")["v"].rank(method="average")
     for _, row in pdf.iterrows():
@@ -72,7 +73,7 @@ def test_average_rank_matches_brute_force(spark, buckets):
             assert got[row["id"]] is None
         else:
             assert got[row["id"]] == pytest.approx(row["r"])
-    win = {r["id"]: r["r"] for r in average_rank_window(df, value_col="v", group_cols=["g"], out_col="r").collect()}
+    win = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r", strategy="window").collect()}
     for key, value in got.items():
         if value is None:
             assert win[key] is None
@@ -82,28 +83,41 @@ def test_average_rank_matches_brute_force(spark, buckets):
 
 def test_average_rank_without_groups(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (3.0,), (2.0,)], "v double")
-    assert sorted(r["avg_rank"] for r in average_rank(df, value_col="v", buckets=2).collect()) == [1.5, 1.5, 3.0, 4.0]
+    for strategy in ("window", "buckets"):
+        got = sorted(r["avg_rank"] for r in average_rank(df, value_col="v", buckets=2, strategy=strategy).collect())
+        assert got == [1.5, 1.5, 3.0, 4.0]
 
 
 def test_spearman_matches_brute_force(spark):
     rnd = random.Random(3)
     data = [(rnd.choice(["RB", "WR"]), float(rnd.randint(0, 30)), float(rnd.randint(0, 30))) for _ in range(200)]
     df = spark.createDataFrame(data, "position string, y_true double, y_pred double")
-    got = {r["position"]: r["spearman"] for r in spearman_rank_by_position(df, buckets=4).collect()}
     pdf = pd.DataFrame(data, columns=["position", "a", "b"])
-    for pos, grp in pdf.groupby("position"):
-        assert got[pos] == pytest.approx(grp["a"].rank().corr(grp["b"].rank()), abs=1e-12)
+    for strategy in ("window", "buckets"):
+        got = {r["position"]: r["spearman"] for r in spearman_rank_by_position(df, buckets=4, strategy=strategy).collect()}
+        for pos, grp in pdf.groupby("position"):
+            assert got[pos] == pytest.approx(grp["a"].rank().corr(grp["b"].rank()), abs=1e-12)
 
 
 @pytest.mark.parametrize("method,pandas_method", [("average", "average"), ("min", "min"), ("dense", "dense")])
 @pytest.mark.parametrize("descending", [False, True])
-def test_rank_methods_match_brute_force(spark, method, pandas_method, descending):
+@pytest.mark.parametrize("strategy", ["window", "buckets"])
+def test_rank_methods_match_brute_force(spark, method, pandas_method, descending, strategy):
     from seasonlab.operators.ranking import ranked
     rnd = random.Random(11)
-    data = [(rnd.choice("AB"), float(rnd.randint(-5, 8)), i) for i in range(150)]
+    data = [(rnd.choice("AB"), float(rnd.randint(-5, 8)) if rnd.random() > 0.1 else None, i) for i in range(150)]
     df = spark.createDataFrame(data, "g string, v double, id long")
     got = {r["id"]: r["r"] for r in ranked(df, value_col="v", group_cols=["g"], out_col="r", method=method,
-                                            descending=descending, buckets=4).collect()}
+                                            descending=descending, buckets=4, strategy=strategy).collect()}
     pdf = pd.DataFrame(data, columns=["g", "v", "id"])
     pdf["r"] = pdf.groupby("g")["v"].rank(method=pandas_method, ascending=not descending)
-    assert all(got[i] == pytest.approx(r) for i, r in zip(pdf["id"], pdf["r"]))
+    for i, r in zip(pdf["id"], pdf["r"]):
+        assert got[i] is None if pd.isna(r) else got[i] == pytest.approx(r)
+
+
+def test_auto_strategy_uses_measured_group_size(spark):
+    from seasonlab.operators.ranking import choose_rank_strategy, largest_group_rows
+    df = spark.createDataFrame([("A", 1.0)] * 5 + [("B", 2.0)] * 2, "g string, v double")
+    assert largest_group_rows(df, ["g"]) == 5
+    assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=5) == "window"
+    assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=4) == "buckets"
