@@ -19,7 +19,7 @@ def test_config_accepts_normalized_values(mode, provider, rec):
     assert cfg.scoring().rec == rec and cfg.scoring_provider == "YAHOO"
 
 
-@pytest.mark.parametrize("env", [{"FANTASY_SCORING": "weird"}, {"SCORING_PROVIDER": "nfl"}])
+@pytest.mark.parametrize("env", [{"FANTASY_SCORING": "weird"}, {"SCORING_PROVIDER": "cbs"}])
 def test_config_rejects_unknown(env):
     with pytest.raises(ValueError):
         load_config(env=env)
