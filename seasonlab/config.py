@@ -53,8 +53,8 @@ def load_config(*, dotenv_path: str | None = None, env: Mapping[str, str] | None
     values.update(os.environ if env is None else env)
     mode = values.get(MODE_VAR, DEFAULT_MODE).strip().upper()
     if mode not in MODES:
-        raise ValueError(f"{MODE_VAR} must be one of: {', '.join(MODES)} (got {mode!r})")
+        raise ValueError(f"unknown {MODE_VAR} value {mode!r}; expected one of {', '.join(MODES)}")
     provider = values.get(PROVIDER_VAR, DEFAULT_PROVIDER).strip().upper()
     if provider not in PROVIDERS:
-        raise ValueError(f"{PROVIDER_VAR} must be one of: {', '.join(PROVIDERS)} (got {provider!r})")
+        raise ValueError(f"unknown {PROVIDER_VAR} value {provider!r}; expected one of {', '.join(PROVIDERS)}")
     return ScoringConfig(mode, provider)

@@ -19,7 +19,7 @@ OPTIONAL_SUMS = (("carries", "carries_sum"), ("targets", "targets_sum"), ("attem
 
 
 def validate_weekly_schema(df: DataFrame) -> None:
-    require_columns(df, WEEKLY_ID_COLUMNS, "Weekly stats missing required columns")
+    require_columns(df, WEEKLY_ID_COLUMNS, "Weekly rows lack required id columns")
 
 
 def sum_or_zero(df: DataFrame, column: str, alias: str) -> Column:
@@ -42,8 +42,7 @@ def season_totals(weekly: DataFrame, *, points_col: str = "fantasy_points_calc",
     and the max of an optional ``age`` column.
     """
     validate_weekly_schema(weekly)
-    if points_col not in weekly.columns:
-        raise ValueError(f"Points column {points_col!r} not found in weekly data. Available columns: {weekly.columns}")
+    require_columns(weekly, [points_col], f"Points column not found (columns: {weekly.columns})")
     aggs = [
         F.coalesce(F.sum(F.col(points_col)), F.lit(0.0)).alias(out_points_col),
         F.count(F.col("player_id")).alias("games_in_data"),

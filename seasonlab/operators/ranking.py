@@ -47,12 +47,9 @@ def top_n_by_position(df: DataFrame, *, position_col: str = "position", points_c
     null points are dropped; positions outside ``positions`` are dropped.
     Output keeps the input columns, sorted by position asc, points desc.
     """
-    if position_col not in df.columns:
-        raise ValueError(f"Missing required column: {position_col}")
-    if points_col not in df.columns:
-        raise ValueError(f"Missing required column: {points_col}")
+    require_columns(df, [position_col, points_col])
     if isinstance(n, bool) or not isinstance(n, int) or n <= 0:
-        raise ValueError("n must be a positive integer")
+        raise ValueError(f"n must be an integer >= 1 (got {n!r})")
     ranked = (filter_positions(df, positions, position_col=position_col)
               .where(F.col(points_col).isNotNull())
               .withColumn("_rank", dense_rank_desc(points_col, [position_col])))

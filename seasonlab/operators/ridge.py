@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seasonlab.functions.columns import require_columns
 from seasonlab.operators.dataset import is_train
 from seasonlab.operators.metrics import metric_columns
 from seasonlab.operators.ranking import PLAYER_POSITIONS
@@ -148,9 +149,7 @@ class RidgeModel:
 
 
 def _check_columns(df: DataFrame, cols: Sequence[str]) -> None:
-    for c in cols:
-        if c not in df.columns:
-            raise ValueError(f"Missing required column: {c!r}")
+    require_columns(df, cols)
 
 
 def _fit(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str, train_end_season: int,
@@ -181,7 +180,7 @@ def train_ridge(df: DataFrame, *, feature_cols: Sequence[str], target_col: str,
     model, rows = _fit(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
                        train_end_season=train_end_season, alpha=alpha, group_col=None)
     if not model.coefficients:
-        raise ValueError("Train/test split produced an empty set; adjust train_end_season.")
+        raise ValueError(f"the time split at season {train_end_season} leaves an empty train or test set")
     return model
 
 
@@ -268,7 +267,7 @@ def train_ridge_by_position(df: DataFrame, *, feature_cols: Sequence[str], targe
     model, _ = _fit(scoped, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
                     train_end_season=train_end_season, alpha=alpha, group_col=position_col)
     if not model.coefficients:
-        raise ValueError("No position produced both train and test rows on the chosen split.")
+        raise ValueError("No position has rows on both sides of the time split")
     preds = holdout_predictions(scoped, model, target_col=target_col, season_col=season_col,
                                 position_col=position_col, train_end_season=train_end_season)
     return model, preds
@@ -280,5 +279,5 @@ def predict_for_season(model: RidgeModel, df: DataFrame, *, season: int, season_
     _check_columns(df, list(model.feature_cols) + [season_col])
     subset = df.where(F.col(season_col) == F.lit(season))
     if check_empty and subset.isEmpty():
-        raise ValueError(f"No rows found for season={season}")
+        raise ValueError(f"No rows found for season {season}")
     return model.predict(subset, out_col)
