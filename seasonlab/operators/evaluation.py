@@ -65,7 +65,8 @@ def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "po
     _validate(predictions, [position_col, actual_col, pred_col])
     base = _defined(predictions, actual_col, pred_col).select(
         F.col(position_col).alias("position"), F.col(actual_col).alias("_a"), F.col(pred_col).alias("_p"))
-    if choose_rank_strategy(base, ["position"], strategy) == "window":
+    strategy, base = choose_rank_strategy(base, ["position"], strategy)
+    if strategy == "window":
         ranked = base.withColumns({"_ra": window_rank("_a", ["position"]), "_rp": window_rank("_p", ["position"])})
         return (ranked.groupBy("position")
                 .agg(F.count(F.lit(1)).alias("n"), pearson_column("_ra", "_rp").alias("spearman"))

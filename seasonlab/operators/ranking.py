@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import require_columns, tie_key
+from seasonlab.session import materialize
 
 # Positions kept by the ranking, and by the weekly pipelines.
 RANKING_POSITIONS = ("QB", "RB", "WR", "TE", "K", "DST")
@@ -137,17 +138,21 @@ def largest_group_rows(df: DataFrame, group_cols: list[str] | tuple[str, ...] =
 
 
 def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
-                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS) -> str:
-    """``window`` when the largest group fits one task comfortably, else ``buckets``.
-
-    Like a size-checked broadcast: the measured size decides, and the
-    scalable form is the fallback beyond the threshold.
+                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS) -> tuple[str, DataFrame]:
+    """(``window`` or ``buckets``, the input to rank).
+
+    ``auto`` works like adaptive execution: the input is materialized once
+    (checkpoint in the shared folder), its largest group is counted from the
+    written data, and the ranking then reads the same data, so the upstream
+    plan runs once. ``window`` when the largest group fits one task
+    comfortably, else the scalable ``buckets`` form.
     """
     if strategy not in RANK_STRATEGIES:
         raise ValueError(f"strategy must be one of {RANK_STRATEGIES}")
     if strategy != "auto":
-        return strategy
-    return "window" if largest_group_rows(df, group_cols) <= window_max_rows else "buckets"
+        return strategy, df
+    df = materialize(df)
+    return ("window" if largest_group_rows(df, group_cols) <= window_max_rows else "buckets"), df
 
 
 def window_rank(value_col: str, group_cols: list[str] | tuple[str, ...] = (), *, method: str = "average",
@@ -179,7 +184,8 @@ def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str,
     ``choose_rank_strategy``).
     """
     g = list(group_cols)
-    if choose_rank_strategy(df, g, strategy, window_max_rows) == "window":
+    strategy, df = choose_rank_strategy(df, g, strategy, window_max_rows)
+    if strategy == "window":
         out = df.withColumn(out_col, window_rank(value_col, g, method=method, descending=descending))
         return out.withColumn(out_col, F.col(out_col).cast("double")) if method == "average" else out
     ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, method=method, descending=descending,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonlab.functions.columns import drop_nulls, num_or_null, num_or_zero
+from seasonlab.functions.columns import drop_nulls, num_or_null, num_or_zero, tie_key
 from seasonlab.functions.dates import age_on_reference_date, parse_date_lenient, season_reference_date
 from seasonlab.operators import aggregate as agg
 from seasonlab.operators import evaluation as ev
@@ -293,7 +293,7 @@ def q_average_rank(spark, sf):
 
 def q_top_n_overall_rows(spark, sf):
     t = totals(spark, sf)
-    return t.orderBy(F.round("season_fantasy_points", 9).desc(), "player_id", "season").limit(100)
+    return t.orderBy(tie_key("season_fantasy_points").desc(), "player_id", "season").limit(100)
 
 
 def q_union_seasons_diagonal(spark, sf):
@@ -421,7 +421,7 @@ def q_forecast_next_season(spark, sf):
 def q_forecast_top10(spark, sf):
     out = q_forecast_next_season(spark, sf)
     col = f"predicted_{FORECAST_SEASON + 1}_points"
-    return out.orderBy(F.round(col, 9).desc(), "player_id").limit(10)
+    return out.orderBy(tie_key(col).desc(), "player_id").limit(10)
 
 
 RAW_QUERIES: dict[str, Query] = {

@@ -119,5 +119,7 @@ def test_auto_strategy_uses_measured_group_size(spark):
     from seasonlab.operators.ranking import choose_rank_strategy, largest_group_rows
     df = spark.createDataFrame([("A", 1.0)] * 5 + [("B", 2.0)] * 2, "g string, v double")
     assert largest_group_rows(df, ["g"]) == 5
-    assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=5) == "window"
-    assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=4) == "buckets"
+    assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=5)[0] == "window"
+    strategy, measured = choose_rank_strategy(df, ["g"], "auto", window_max_rows=4)
+    assert strategy == "buckets" and measured.count() == 7
+    assert choose_rank_strategy(df, ["g"], "buckets")[1] is df
