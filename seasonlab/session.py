@@ -51,8 +51,10 @@ def build_session(master: str | None = None, *, app_name: str = "seasonlab",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (tests, a bare
-    local session) a fresh scratch folder is created and registered.
+    The cluster's setting always wins. Only a local-mode session (tests, a
+    laptop) without one gets a fresh scratch folder; on a cluster a missing
+    setting is an error, because a machine-local folder would not survive
+    the loss of the executor that wrote it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...)")
         configured = tempfile.mkdtemp(prefix="seasonlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
