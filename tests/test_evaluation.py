@@ -35,3 +35,23 @@ def test_missing_columns(spark):
     for fn in (top_n_per_position_metrics, top_n_overall_metrics, spearman_rank_by_position):
         with pytest.raises(ValueError, match="Missing required columns"):
             fn(df)
+
+
+@pytest.mark.parametrize("strategy", ["window", "buckets"])
+def test_spearman_nan_for_constant_or_single(spark, strategy):
+    import math
+    df = spark.createDataFrame([("RB", 1.0, 5.0), ("RB", 2.0, 5.0), ("RB", 3.0, 5.0), ("QB", 1.0, 2.0)],
+                               "position string, y_true double, y_pred double")
+    out = {r["position"]: (r["n"], r["spearman"]) for r in spearman_rank_by_position(df, strategy=strategy).collect()}
+    assert out["RB"][0] == 3 and math.isnan(out["RB"][1])  # zero variance of the predicted ranks
+    assert out["QB"][0] == 1 and math.isnan(out["QB"][1])  # fewer than 2 rows
+
+
+def test_pearson_guards(spark):
+    import math
+
+    from seasonlab.operators.metrics import pearson_by_group
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("b", 1.0, 1.0), ("b", 1.0, 2.0), ("c", 3.0, 3.0)],
+                               "g string, x double, y double")
+    got = {r["g"]: r["pearson"] for r in pearson_by_group(df, "x", "y", group_cols=["g"]).collect()}
+    assert got["a"] == pytest.approx(1.0) and math.isnan(got["b"]) and math.isnan(got["c"])
