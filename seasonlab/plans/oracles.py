@@ -363,8 +363,8 @@ def build() -> dict[str, str]:
         "ELSE y_pred END AS y_pred FROM naive_test", ["y_true", "y_pred"])
     ref = f"make_date({q.RANK_SEASON}, 9, 1)"
     o["age_on_reference_date"] = with_base(
-        f"SELECT gsis_id, birth_date, CAST(try_strptime(birth_date, '%Y-%m-%d') AS DATE) AS birth_date_parsed, "
-        f"{ref} AS reference_date, datediff('day', CAST(try_strptime(birth_date, '%Y-%m-%d') AS DATE), {ref}) AS days, "
+        f"SELECT gsis_id, birth_date, CAST(CAST(try_strptime(birth_date, '%Y-%m-%d') AS DATE) AS VARCHAR) AS birth_date_parsed, "
+        f"CAST({ref} AS VARCHAR) AS reference_date, datediff('day', CAST(try_strptime(birth_date, '%Y-%m-%d') AS DATE), {ref}) AS days, "
         f"{age_sql(str(q.RANK_SEASON), 'birth_date')} AS age FROM roster", ["age"])
     o["per_game_rates"] = with_base(
         "SELECT season, player_id, position, feat_ppg, feat_carries_pg, feat_targets_pg, feat_pass_att_pg FROM "

@@ -319,8 +319,9 @@ def q_union_predictions(spark, sf):
 def q_age_on_reference_date(spark, sf):
     r = roster(spark, sf)
     parsed = parse_date_lenient("birth_date")
-    return r.select("gsis_id", "birth_date", parsed.alias("birth_date_parsed"),
-                    season_reference_date(F.lit(RANK_SEASON)).alias("reference_date"),
+    # dates are returned as ISO text so any result comparison sees the same value
+    return r.select("gsis_id", "birth_date", parsed.cast("string").alias("birth_date_parsed"),
+                    season_reference_date(F.lit(RANK_SEASON)).cast("string").alias("reference_date"),
                     F.datediff(season_reference_date(F.lit(RANK_SEASON)), parsed).cast("long").alias("days"),
                     age_on_reference_date(F.lit(RANK_SEASON), parsed).alias("age"))
 

@@ -92,7 +92,7 @@ def weekly_from_tables(spark: SparkSession, sf_dir: str, seasons: Iterable[int]
         F.sum(F.when(rf == "R", qty)).alias("receiving_yards"),
         F.count_if((rf == "R") & (disc >= TD_DISCOUNT)).alias("receiving_tds"),
         F.count_if(F.col("l_linestatus") == "O").alias("receptions"),
-        (F.max(F.when(ln == FUMBLE_LINE, ln)) - F.lit(FUMBLE_LINE - 1)).alias("rushing_fumbles_lost"),
+        (F.max(F.when(ln == FUMBLE_LINE, ln)) - F.lit(FUMBLE_LINE - 1)).cast("long").alias("rushing_fumbles_lost"),
         F.count_if(ln == FG_LINE).alias("fg_made"),
         F.count_if(ln == PAT_LINE).alias("pat_made"),
         F.count_if(rf == "A").alias("attempts"),
@@ -156,7 +156,7 @@ SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS BIGINT) AS season,
   sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS receiving_yards,
   count(*) FILTER (WHERE l_returnflag = 'R' AND l_discount >= 0.05) AS receiving_tds,
   count(*) FILTER (WHERE l_linestatus = 'O') AS receptions,
-  max(l_linenumber) FILTER (WHERE l_linenumber = 7) - 6 AS rushing_fumbles_lost,
+  CAST(max(l_linenumber) FILTER (WHERE l_linenumber = 7) - 6 AS BIGINT) AS rushing_fumbles_lost,
   count(*) FILTER (WHERE l_linenumber = 1) AS fg_made,
   count(*) FILTER (WHERE l_linenumber = 2) AS pat_made,
   count(*) FILTER (WHERE l_returnflag = 'A') AS attempts,
