@@ -45,3 +45,11 @@ def test_next_season_window_equals_join(spark):
     df = spark.createDataFrame(data, SCHEMA)
     cols = df.columns + ["target_next_season_points"]
     assert rows(build_next_season_dataset(df), *cols) == rows(build_next_season_dataset_join(df), *cols)
+
+
+def test_drop_nulls_keeps_nan(spark):
+    from seasonlab.functions.columns import drop_nulls
+    df = spark.createDataFrame([(1, float("nan"), 1.0), (2, None, 1.0), (3, 1.0, None), (4, 2.0, 2.0)], "id long, a double, b double")
+    assert rows(drop_nulls(df, ["a", "b"]), "id") == [(1,), (4,)]
+    assert rows(drop_nulls(df, ["a"]), "id") == [(1,), (3,), (4,)]
+    assert df.na.drop(subset=["a", "b"]).count() == 1  # Spark's own na.drop also drops NaN
