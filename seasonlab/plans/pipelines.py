@@ -45,9 +45,17 @@ def baseline_top_n(weekly: DataFrame, *, top_n: int = 24, scoring: Scoring | Non
     return top_n_by_position(totals, n=top_n, points_col="fantasy_points", position_col="position")
 
 
-def build_baseline_top_n(source, *, season: int, top_n: int = 24, scoring: Scoring | None = None) -> DataFrame:
-    """L1 from a source object: one season of weekly rows -> top-N per position."""
-    return baseline_top_n(source.load_weekly_player_stats(season), top_n=top_n, scoring=scoring)
+def build_baseline_top_n(source, *, season: int, top_n: int = 24, scoring: Scoring | None = None,
+                         out_path: str | None = None) -> DataFrame:
+    """L1 from a source object: one season of weekly rows -> top-N per position.
+
+    ``out_path`` also writes the ranking as one CSV file with a header (the
+    result is already reduced to positions x N rows).
+    """
+    ranking = baseline_top_n(source.load_weekly_player_stats(season), top_n=top_n, scoring=scoring)
+    if out_path:
+        write_csv(ranking, out_path, single_file=True)
+    return ranking
 
 
 def load_and_build_features(source, *, seasons, scoring: Scoring | None = None) -> DataFrame:

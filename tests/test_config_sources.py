@@ -65,3 +65,12 @@ def test_source_pipelines(spark, sf_small):
 def test_csv_round_trip_keeps_rows(spark):
     df = spark.createDataFrame([(1, None, "a,b"), (2, 1.5, None)], "k long, v double, s string")
     assert rows(csv_round_trip(df), "k", "v", "s") == rows(df, "k", "v", "s")
+
+
+def test_baseline_csv_output(spark, sf_small, tmp_path):
+    from seasonlab.sources import read_csv
+    out = str(tmp_path / "ranking")
+    ranking = pl.build_baseline_top_n(TestbedSource(spark, sf_small), season=2000, top_n=3, out_path=out)
+    back = read_csv(spark, out, ranking.schema)
+    assert back.rdd.getNumPartitions() == 1
+    assert rows(back, "player_id", "fantasy_points") == rows(ranking, "player_id", "fantasy_points")
