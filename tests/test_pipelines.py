@@ -44,3 +44,25 @@ def test_no_python_udfs_in_plans(spark, sf_small):
     for name in ("baseline_top_n", "feature_table", "average_rank", "score_all_modes", "season_age"):
         plan = QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_feature_pipeline_reuses_player_partitioning_without_broadcasts(spark, sf_small):
+    """At scale no side is broadcast: the season aggregate, the roster join and
+    the t -> t+1 window must reuse the customer-key shuffle (5 exchanges in all)."""
+    import re
+
+    from seasonlab.plans.queries import RAW_QUERIES
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = RAW_QUERIES["next_season_dataset"](spark, sf_small)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    exchanges = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", plan)
+    assert sorted(exchanges) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey", "player_id"]
+    assert "BroadcastHashJoin" not in plan
