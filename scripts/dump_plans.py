@@ -16,7 +16,8 @@ NOTES = {
                       "AQE-measured broadcasts of the small sides, WindowGroupLimit on both sides of the window exchange.",
     "season_totals": "season totals: partial aggregate (map-side) before the exchange on the four key columns.",
     "next_season_dataset": "t -> t+1 pairs: one exchange on (player, position) and a RANGE 1 FOLLOWING window, no self join.",
-    "ridge_fit_6feat": "ridge: a single global aggregate of means and co-moments over the checkpointed feature table.",
+    "ridge_gram_pass": "ridge (inside ridge_fit_6feat / forecast): the one aggregate of means and co-moments over the "
+                       "checkpointed feature table; its single row is all the driver receives.",
     "slice_top_n_per_position": "exact top-24 per position: WindowGroupLimit (row_number) before the shuffle.",
     "spearman_by_position": "bucketed exact ranks: partial counts, percentile cut points, windows per (group, bucket).",
     "forecast_next_season": "forecast: literal-coefficient projection over the checkpoint, range-partitioned sort.",
@@ -32,6 +33,14 @@ def clean(plan: str) -> str:
     return "\n".join(lines)
 
 
+def gram_pass(spark, sf_dir):
+    from seasonlab.operators.ridge import gram_statistics
+    from seasonlab.plans import queries as q
+
+    return gram_statistics(q.clean(spark, sf_dir, True), feature_cols=list(q.FEATURES_6), target_col=q.TARGET,
+                           season_col="season", train_end_season=q.TRAIN_END)
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from seasonlab.plans.queries import RAW_QUERIES
@@ -42,7 +51,7 @@ def main() -> None:
            f"Final adaptive plans (after execution) at `{os.path.basename(sf_dir)}`, `local[8]`, generated by "
            "`scripts/dump_plans.py`. Expression ids and file paths are stripped; long lines are cut.", ""]
     for name, note in NOTES.items():
-        df = RAW_QUERIES[name](spark, sf_dir)
+        df = gram_pass(spark, sf_dir) if name == "ridge_gram_pass" else RAW_QUERIES[name](spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         out += [f"## {name}", "", note, "", "```", clean(plan), "```", ""]
