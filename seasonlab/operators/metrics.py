@@ -54,6 +54,7 @@ def metrics_with_overall(df: DataFrame, *, group_col: str = "position", actual_c
     require_columns(df, [actual_col, pred_col, group_col])
     return (df.rollup(group_col).agg(*metric_columns(actual_col, pred_col), F.grouping(group_col).alias("_gid"))
             .withColumn(group_col, F.when(F.col("_gid") == 1, F.lit(overall_label)).otherwise(F.col(group_col)))
+            .orderBy("_gid", group_col)  # groups first, the overall row last (groups + 1 rows)
             .drop("_gid"))
 
 
