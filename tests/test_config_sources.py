@@ -74,3 +74,16 @@ def test_baseline_csv_output(spark, sf_small, tmp_path):
     back = read_csv(spark, out, ranking.schema)
     assert back.rdd.getNumPartitions() == 1
     assert rows(back, "player_id", "fantasy_points") == rows(ranking, "player_id", "fantasy_points")
+
+
+def test_cli_ranking_and_forecast(spark, sf_small, tmp_path, capsys):
+    from seasonlab.__main__ import main
+    main(["ranking", "--testbed", sf_small, "--season", "2000", "--top-n", "1", "--scoring", "standard",
+          "--env-file", str(tmp_path / "none.env")])
+    out = capsys.readouterr().out
+    assert "fantasy_points" in out and "QB" in out
+    main(["forecast", "--testbed", sf_small, "--start-season", "1995", "--end-season", "2001",
+          "--train-end-season", "1998", "--out-preds", str(tmp_path / "preds"), "--env-file", str(tmp_path / "none.env")])
+    out = capsys.readouterr().out
+    assert "train seasons [1995, 1996, 1997, 1998]" in out and "Spearman by position" in out
+    assert any(p.name.endswith(".csv") for p in (tmp_path / "preds").iterdir())
