@@ -39,15 +39,18 @@ class DatasetSource:
     """
 
     def __init__(self, spark: SparkSession, weekly_path: str, players_path: str | None = None, *,
-                 fmt: str = "parquet", players_fmt: str | None = None, **read_options):
+                 fmt: str = "parquet", players_fmt: str | None = None, season_type: str | None = None,
+                 **read_options):
         self.spark, self.weekly_path, self.players_path = spark, weekly_path, players_path
         self.fmt, self.players_fmt, self.read_options = fmt, players_fmt or fmt, read_options
+        self.season_type = season_type  # None keeps playoff games too
 
     def load_weekly_player_stats(self, season: int) -> DataFrame:
-        return load_weekly_player_stats(self.spark, self.weekly_path, season, fmt=self.fmt, **self.read_options)
+        return self.load_weekly_seasons([season])
 
     def load_weekly_seasons(self, seasons: Iterable[int]) -> DataFrame:
-        return load_weekly_player_stats(self.spark, self.weekly_path, list(seasons), fmt=self.fmt, **self.read_options)
+        return load_weekly_player_stats(self.spark, self.weekly_path, list(seasons), fmt=self.fmt,
+                                        season_type=self.season_type, **self.read_options)
 
     def load_players(self) -> DataFrame:
         if self.players_path is None:

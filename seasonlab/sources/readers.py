@@ -38,13 +38,20 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", *, schema
 
 
 def load_weekly_player_stats(spark: SparkSession, path: str, seasons: int | Iterable[int] | None = None, *,
-                             fmt: str = "parquet", season_col: str = "season", **kw) -> DataFrame:
-    """Weekly rows of one season or several (one scan, no per-season loop)."""
+                             fmt: str = "parquet", season_col: str = "season", season_type: str | None = None,
+                             season_type_col: str = "season_type", **kw) -> DataFrame:
+    """Weekly rows of one season or several (one scan, no per-season loop).
+
+    By default every game of the season is kept (regular season and
+    playoffs alike); ``season_type`` (e.g. ``"REG"``) keeps one kind only.
+    """
     df = read_dataset(spark, path, fmt, **kw)
-    if seasons is None:
-        return df
-    wanted = [int(seasons)] if isinstance(seasons, int) else [int(s) for s in seasons]
-    return df.where(F.col(season_col).isin(wanted))
+    if seasons is not None:
+        wanted = [int(seasons)] if isinstance(seasons, int) else [int(s) for s in seasons]
+        df = df.where(F.col(season_col).isin(wanted))
+    if season_type is not None:
+        df = df.where(F.col(season_type_col) == F.lit(season_type))
+    return df
 
 
 def load_players(spark: SparkSession, path: str, *, fmt: str = "parquet", **kw) -> DataFrame:

@@ -87,3 +87,11 @@ def test_cli_ranking_and_forecast(spark, sf_small, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "train seasons [1995, 1996, 1997, 1998]" in out and "Spearman by position" in out
     assert any(p.name.endswith(".csv") for p in (tmp_path / "preds").iterdir())
+
+
+def test_season_type_filter(spark, tmp_path):
+    df = spark.createDataFrame([(2025, 1, "REG"), (2025, 19, "POST"), (2024, 1, "REG")], "season long, week long, season_type string")
+    path = str(tmp_path / "w")
+    df.write.partitionBy("season").parquet(path)
+    assert DatasetSource(spark, path).load_weekly_player_stats(2025).count() == 2  # playoffs kept by default
+    assert rows(DatasetSource(spark, path, season_type="REG").load_weekly_player_stats(2025), "week") == [(1,)]
