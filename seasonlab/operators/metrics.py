@@ -42,8 +42,12 @@ def metric_columns(actual_col: str, pred_col: str, *, n_alias: str | None = "n")
 
 def regression_metrics(df: DataFrame, *, actual_col: str = "y_true", pred_col: str = "y_pred",
                        group_cols: Sequence[str] = ()) -> DataFrame:
-    """One metrics row per group (or one row overall): n, mae, rmse, r2."""
+    """One metrics row per group (or one row overall): n, mae, rmse, r2.
+
+    Rows with a null actual or prediction have no error and are left out.
+    """
     require_columns(df, [actual_col, pred_col, *group_cols])
+    df = df.where(F.col(actual_col).isNotNull() & F.col(pred_col).isNotNull())
     cols = metric_columns(actual_col, pred_col)
     return df.groupBy(*group_cols).agg(*cols) if group_cols else df.agg(*cols)
 

@@ -144,3 +144,9 @@ def test_many_groups_use_coefficient_join(spark):
         b = y.mean() - x.mean(0) @ w
         for _, row in pdf[(pdf.position == g) & (pdf.season == 2022)].iterrows():
             assert got[(g, row["player_id"])] == pytest.approx(b + w @ row[FEATS].to_numpy(dtype=float), rel=1e-9)
+
+
+def test_metrics_skip_undefined_pairs(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 5.0), (3.0, None), (3.0, 3.0)], "y_true double, y_pred double")
+    n, mae, rmse, r2 = metrics_row(df)
+    assert (n, mae) == (2, 0.5)
