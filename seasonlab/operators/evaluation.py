@@ -71,7 +71,9 @@ def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "po
         return (ranked.groupBy("position")
                 .agg(F.count(F.lit(1)).alias("n"), pearson_column("_ra", "_rp").alias("spearman"))
                 .orderBy("position"))
-    # One rank pass for both columns: stack them under a ``which`` key.
+    # Both columns share one rank-table definition, stacked under a ``which``
+    # key; each join branch's ``which`` filter is pushed into it, so each
+    # branch ranks only its own half of the stacked rows.
     stacked = base.select("position", F.expr("stack(2, 'a', _a, 'p', _p) AS (which, value)"))
     ranks = rank_table(stacked, value_col="value", group_cols=["position", "which"], out_col="_r", buckets=buckets)
     ra = ranks.where(F.col("which") == "a").select("position", F.col("_v").alias("_ka"), F.col("_r").alias("_ra"))
