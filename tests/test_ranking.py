@@ -123,3 +123,15 @@ def test_auto_strategy_uses_measured_group_size(spark):
     strategy, measured = choose_rank_strategy(df, ["g"], "auto", window_max_rows=4)
     assert strategy == "buckets" and measured.count() == 7
     assert choose_rank_strategy(df, ["g"], "buckets")[1] is df
+
+
+def test_bucketed_and_window_ranks_agree_on_testbed(spark, sf_small):
+    from seasonlab.operators.ranking import ranked
+    from seasonlab.plans import queries as q
+    t = q.totals(spark, sf_small).select("season", "player_id", "position", "season_fantasy_points")
+    for method in ("average", "dense"):
+        got = [{(r["season"], r["player_id"]): r["r"] for r in
+                ranked(t, value_col="season_fantasy_points", group_cols=["position"], out_col="r", method=method,
+                       descending=method == "dense", strategy=strategy, buckets=8).collect()}
+               for strategy in ("buckets", "window")]
+        assert got[0] == got[1] and len(got[0]) > 100
