@@ -68,3 +68,56 @@ def test_top_n_matches_pandas(spark, rows, n):
     pdf = pdf[pdf.position.isin(["QB", "RB", "WR", "TE", "K", "DST"])]
     pdf["r"] = pdf.groupby("position")["fantasy_points"].rank(method="dense", ascending=False)
     assert got == sorted(pdf[pdf.r <= n]["player"])
+
+
+WEEKLY_STATS = ["passing_yards", "passing_tds", "passing_interceptions", "rushing_yards", "rushing_tds", "receptions",
+                "receiving_yards", "receiving_tds", "sack_fumbles_lost", "rushing_fumbles_lost", "receiving_fumbles_lost",
+                "fg_made", "pat_made"]
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), present=st.sets(st.sampled_from(WEEKLY_STATS), min_size=1),
+       mode=st.sampled_from(["PPR", "HALF_PPR", "STANDARD"]))
+def test_weekly_points_match_pandas(spark, seed, present, mode):
+    from seasonlab.operators.scoring import add_weekly_points, scoring_from_mode
+    rnd = np.random.default_rng(seed)
+    cols = sorted(present)
+    data = rnd.integers(0, 120, (20, len(cols))).astype(float)
+    data[rnd.random(data.shape) < 0.2] = np.nan  # nulls
+    pdf = pd.DataFrame(data, columns=cols)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in cols))
+    w = scoring_from_mode(mode)
+    got = sorted(r["fantasy_points_calc"] for r in add_weekly_points(df, w).collect())
+    v = lambda c: pdf[c].fillna(0.0) if c in pdf else 0.0
+    expect = (v("passing_yards") * w.pass_yd + v("passing_tds") * w.pass_td + v("passing_interceptions") * w.pass_int
+              + v("rushing_yards") * w.rush_yd + v("rushing_tds") * w.rush_td + v("receptions") * w.rec
+              + v("receiving_yards") * w.rec_yd + v("receiving_tds") * w.rec_td
+              + (v("sack_fumbles_lost") + v("rushing_fumbles_lost") + v("receiving_fumbles_lost")) * w.fumble_lost
+              + v("pat_made") * w.xpm + v("fg_made") * w.fgm)
+    expect = pd.Series(expect, index=pdf.index) if np.isscalar(expect) else expect
+    assert got == pytest.approx(sorted(expect), abs=1e-9)
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), with_age=st.booleans())
+def test_season_features_match_pandas(spark, seed, with_age):
+    from seasonlab.operators.features import build_season_features
+    rnd = np.random.default_rng(seed)
+    n = 15
+    pdf = pd.DataFrame({"season": 2020, "player_id": [f"p{i}" for i in range(n)], "player_display_name": "x",
+                        "position": "RB", "season_fantasy_points": rnd.uniform(0, 300, n),
+                        "games_in_data": rnd.integers(0, 4, n), "carries_sum": rnd.integers(0, 300, n),
+                        "age": rnd.integers(20, 36, n).astype(float)})
+    if not with_age:
+        pdf = pdf.drop(columns="age")
+    out = {r["player_id"]: r for r in build_season_features(spark.createDataFrame(pdf)).collect()}
+    for _, row in pdf.iterrows():
+        r, g = out[row["player_id"]], row["games_in_data"]
+        div = g if g > 0 else 1.0
+        assert r["feat_ppg"] == pytest.approx(row["season_fantasy_points"] / div)
+        assert r["feat_carries_pg"] == pytest.approx(row["carries_sum"] / div)
+        assert r["feat_targets_pg"] == 0.0 and r["feat_pass_att"] == 0.0
+        if with_age:
+            assert r["feat_age_sq"] == row["age"] ** 2
+        else:
+            assert r["feat_age"] is None and r["feat_age_sq"] is None
