@@ -106,8 +106,9 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
                 else F.array().cast("array<double>")).alias("_cuts")
     if g:
         bucketed = counts.join(counts.groupBy(*g).agg(cut_expr), g, "inner")
-    else:
-        bucketed = counts.join(counts.agg(cut_expr))  # one-row side
+    else:  # one group: its buckets - 1 cut points become a literal array (no join)
+        cuts = counts.agg(cut_expr).first()["_cuts"] or []
+        bucketed = counts.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"))
     bucketed = bucketed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bucketed = bucketed.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})

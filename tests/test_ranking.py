@@ -135,3 +135,12 @@ def test_bucketed_and_window_ranks_agree_on_testbed(spark, sf_small):
                        descending=method == "dense", strategy=strategy, buckets=8).collect()}
                for strategy in ("buckets", "window")]
         assert got[0] == got[1] and len(got[0]) > 100
+
+
+def test_ungrouped_bucketed_rank_has_no_join_for_cuts(spark):
+    from seasonlab.operators.ranking import rank_table
+    df = spark.createDataFrame([(float(v),) for v in (3, 1, 2, 2, 5, 8, 8, 8)], "v double")
+    t = rank_table(df, value_col="v", buckets=3)
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert {r["_v"]: r["avg_rank"] for r in t.collect()} == {1.0: 1.0, 2.0: 2.5, 3.0: 4.0, 5.0: 5.0, 8.0: 7.0}
