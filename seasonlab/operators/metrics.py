@@ -69,7 +69,8 @@ def pearson_column(a: str, b: str) -> Column:
     return F.when((n < 2) | (denom == 0) | denom.isNull(), _nan()).otherwise(F.covar_pop(a, b) / denom)
 
 
-def pearson_by_group(df: DataFrame, a: str, b: str, *, group_cols: Sequence[str] = (), out_col: str = "pearson") -> DataFrame:
+def pearson_by_group(df: DataFrame, a: str, b: str, *, group_cols: Sequence[str] = (),
+                     out_col: str = "pearson") -> DataFrame:
     require_columns(df, [a, b, *group_cols])
     cols = [F.count(F.lit(1)).alias("n"), pearson_column(a, b).alias(out_col)]
     return df.groupBy(*group_cols).agg(*cols) if group_cols else df.agg(*cols)

@@ -249,7 +249,8 @@ def model_winner(metrics: DataFrame, *, challenger: str = "ridge", baseline: str
     for metric in ("mae", "rmse", "r2"):
         rows.append(f"'{metric}', `{challenger}_{metric}`, `{baseline}_{metric}`")
     long = w.selectExpr(f"stack(3, {', '.join(rows)}) as (metric, {challenger}, {baseline})")
-    better = F.when(F.col("metric") == "r2", F.col(challenger) > F.col(baseline)).otherwise(F.col(challenger) < F.col(baseline))
+    higher, lower = F.col(challenger) > F.col(baseline), F.col(challenger) < F.col(baseline)
+    better = F.when(F.col("metric") == "r2", higher).otherwise(lower)
     return long.withColumn("winner", F.when(better, F.lit(challenger)).otherwise(F.lit(baseline)))
 
 
