@@ -105,7 +105,10 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
     cut_expr = (F.percentile_approx("_v", fractions, accuracy) if fractions
                 else F.array().cast("array<double>")).alias("_cuts")
     if g:
-        bucketed = counts.join(counts.groupBy(*g).agg(cut_expr), g, "inner")
+        # percentile_approx depends on merge order, so cut points recomputed after
+        # a lost executor could differ from the first ones. They are written once
+        # (groups x buckets numbers) and every consumer reads the same values.
+        bucketed = counts.join(materialize(counts.groupBy(*g).agg(cut_expr)), g, "inner")
     else:  # one group: its buckets - 1 cut points become a literal array (no join)
         cuts = counts.agg(cut_expr).first()["_cuts"] or []
         bucketed = counts.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"))
@@ -146,13 +149,16 @@ def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
     (checkpoint in the shared folder), its largest group is counted from the
     written data, and the ranking then reads the same data, so the upstream
     plan runs once. ``window`` when the largest group fits one task
-    comfortably, else the scalable ``buckets`` form.
+    comfortably, else the scalable ``buckets`` form, which reads its input
+    twice (counts, then the join back) and so also gets a materialized input.
     """
     if strategy not in RANK_STRATEGIES:
         raise ValueError(f"strategy must be one of {RANK_STRATEGIES}")
-    if strategy != "auto":
+    if strategy == "window":
         return strategy, df
     df = materialize(df)
+    if strategy == "buckets":
+        return strategy, df
     return ("window" if largest_group_rows(df, group_cols) <= window_max_rows else "buckets"), df
 
 
