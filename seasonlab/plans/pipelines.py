@@ -20,6 +20,7 @@ from seasonlab.operators.ridge import (
     compare_ridge_to_naive,
     model_winner,
     predict_for_season,
+    side_by_side_metrics,
     train_ridge_by_position,
 )
 from seasonlab.operators.scoring import Scoring, add_weekly_points, scoring_from_mode
@@ -124,16 +125,20 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
 
     The feature table (one row per player and season) feeds every fit, metric
     and the forecast, so it is materialized once (default: a reliable
-    checkpoint in the shared checkpoint folder, see ``session.materialize``).
+    checkpoint in the shared checkpoint folder, see ``session.materialize``);
+    so are the two holdout prediction tables, which feed two and four outputs.
     ``out_path`` writes the forecast as CSV with a header (parallel part files
     in prediction order).
     """
     features = materialize(features, materialization)
     _, clean = supervised_sets(features, feature_cols)
-    model, preds, vs = compare_ridge_to_naive(clean, feature_cols=list(feature_cols), target_col=TARGET,
-                                              train_end_season=train_end_season, alpha=alpha)
+    model, preds, _ = compare_ridge_to_naive(clean, feature_cols=list(feature_cols), target_col=TARGET,
+                                             train_end_season=train_end_season, alpha=alpha)
+    preds = materialize(preds, materialization)
+    vs = side_by_side_metrics(preds)
     pos_model, pos_preds = train_ridge_by_position(clean, feature_cols=list(feature_cols), target_col=TARGET,
                                                    train_end_season=train_end_season, alpha=alpha)
+    pos_preds = materialize(pos_preds, materialization)
     features_clean = drop_nulls(features, feature_cols)
     forecast = forecast_output(model, features_clean, forecast_season)
     if out_path:
