@@ -1,8 +1,10 @@
-"""Ranking operators: dense rank, top-N per group, exact average rank.
+"""Ranking operators: top-N per group and exact full ranks (average, min, dense).
 
 Top-N filters on a rank window let Spark insert ``WindowGroupLimit`` on both
 sides of the exchange: each map task keeps only its local top-N per group,
-so a group with a third of all rows never reaches one task whole.
+so a group with a third of all rows never reaches one task whole. Full ranks
+of every row use a plain window only when the measured largest group fits
+one task, else the bucketed ``rank_table`` (see ``choose_rank_strategy``).
 """
 
 from __future__ import annotations
