@@ -24,6 +24,7 @@ from seasonlab.operators.ranking import (
 from seasonlab.operators.ridge import (
     RidgeModel,
     compare_ridge_to_naive,
+    fit_overall_and_by_group,
     holdout_metrics,
     model_winner,
     predict_for_season,

@@ -17,11 +17,11 @@ from seasonlab.operators.metrics import metrics_with_overall
 from seasonlab.operators.ranking import PLAYER_POSITIONS, filter_positions, top_n_by_position
 from seasonlab.operators.ridge import (
     RidgeModel,
-    compare_ridge_to_naive,
+    fit_overall_and_by_group,
+    holdout_predictions,
     model_winner,
     predict_for_season,
     side_by_side_metrics,
-    train_ridge_by_position,
 )
 from seasonlab.operators.scoring import Scoring, add_weekly_points, scoring_from_mode
 from seasonlab.session import materialize
@@ -123,6 +123,7 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
     """L3: supervised set -> overall ridge vs naive -> per-position ridge ->
     slices and Spearman -> next-season forecast with the overall model.
 
+    Both models come from one aggregate pass (``fit_overall_and_by_group``).
     The feature table (one row per player and season) feeds every fit, metric
     and the forecast, so it is materialized once (default: a reliable
     checkpoint in the shared checkpoint folder, see ``session.materialize``);
@@ -132,13 +133,16 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
     """
     features = materialize(features, materialization)
     _, clean = supervised_sets(features, feature_cols)
-    model, preds, _ = compare_ridge_to_naive(clean, feature_cols=list(feature_cols), target_col=TARGET,
-                                             train_end_season=train_end_season, alpha=alpha)
-    preds = materialize(preds, materialization)
+    # both models from one Gram pass (overall row + one row per position)
+    model, pos_model = fit_overall_and_by_group(clean, feature_cols=list(feature_cols), target_col=TARGET,
+                                                train_end_season=train_end_season, alpha=alpha)
+    naive = F.coalesce(F.col("feat_points").cast("double"), F.lit(0.0))
+    preds = materialize(holdout_predictions(clean, model, target_col=TARGET, train_end_season=train_end_season,
+                                            out_col="y_pred_ridge", extra={"y_pred_naive": naive}), materialization)
     vs = side_by_side_metrics(preds)
-    pos_model, pos_preds = train_ridge_by_position(clean, feature_cols=list(feature_cols), target_col=TARGET,
-                                                   train_end_season=train_end_season, alpha=alpha)
-    pos_preds = materialize(pos_preds, materialization)
+    scoped = clean.where(F.col("position").isin(list(PLAYER_POSITIONS)))
+    pos_preds = materialize(holdout_predictions(scoped, pos_model, target_col=TARGET,
+                                                train_end_season=train_end_season), materialization)
     features_clean = drop_nulls(features, feature_cols)
     forecast = forecast_output(model, features_clean, forecast_season)
     if out_path:

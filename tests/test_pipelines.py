@@ -66,3 +66,20 @@ def test_feature_pipeline_reuses_player_partitioning_without_broadcasts(spark, s
     exchanges = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", plan)
     assert sorted(exchanges) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey", "player_id"]
     assert "BroadcastHashJoin" not in plan
+
+
+def test_forecast_run_equals_registered_queries(spark, sf_small):
+    """The one-pass pipeline gives the same tables as the oracle-checked queries."""
+    from seasonlab.plans.queries import QUERIES, round_doubles
+    feats = pl.feature_table(weekly_from_tables(spark, sf_small), roster_from_tables(spark, sf_small))
+    res = pl.run_forecast(feats, train_end_season=1998, forecast_season=2001)
+    pairs = {"ridge_vs_naive": res.ridge_vs_naive, "ridge_by_position_metrics": res.position_metrics,
+             "slice_top_n_per_position": res.slice_top_per_position, "slice_top_n_overall": res.slice_top_overall,
+             "spearman_by_position": res.spearman, "forecast_next_season": res.forecast,
+             "model_winner": res.winner}
+    for name, df in pairs.items():
+        want = QUERIES[name](spark, sf_small)
+        cols = sorted(want.columns)
+        got_rows = sorted(tuple(r[c] for c in cols) for r in round_doubles(df).collect())
+        want_rows = sorted(tuple(r[c] for c in cols) for r in want.collect())
+        assert got_rows == want_rows, name

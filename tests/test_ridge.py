@@ -150,3 +150,18 @@ def test_metrics_skip_undefined_pairs(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 5.0), (3.0, None), (3.0, 3.0)], "y_true double, y_pred double")
     n, mae, rmse, r2 = metrics_row(df)
     assert (n, mae) == (2, 0.5)
+
+
+def test_one_pass_fit_equals_separate_fits(spark):
+    from seasonlab.operators.ridge import fit_overall_and_by_group
+    df = frame(spark).union(spark.createDataFrame(  # a group outside the list: overall model only
+        [(2024, "x1", "LS", 1.0, 1.0, 2.0, 3.0), (2026, "x1", "LS", 1.0, 2.0, 2.0, 5.0)], frame(spark).schema))
+    overall, by_pos = fit_overall_and_by_group(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
+    single = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
+    grouped, _ = train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
+    assert overall.weights() == pytest.approx(single.weights(), rel=1e-12)
+    assert overall.intercept() == pytest.approx(single.intercept(), rel=1e-12)
+    assert overall.train_seasons == (2024, 2025) and set(by_pos.coefficients) == {"RB", "WR"}
+    for pos in ("RB", "WR"):
+        assert by_pos.weights(pos) == pytest.approx(grouped.weights(pos), rel=1e-12)
+        assert by_pos.intercept(pos) == pytest.approx(grouped.intercept(pos), rel=1e-12)
