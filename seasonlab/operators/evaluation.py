@@ -54,7 +54,8 @@ def top_n_overall_metrics(predictions: DataFrame, *, n: int = 100, actual_col: s
 
 
 def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "position", actual_col: str = "y_true",
-                              pred_col: str = "y_pred", buckets: int = 64, strategy: str = "auto") -> DataFrame:
+                              pred_col: str = "y_pred", buckets: int = 64, strategy: str = "auto",
+                              input_materialized: bool = False) -> DataFrame:
     """Spearman correlation per position: position, n, spearman.
 
     Average (mid) ranks of both columns within the position, then Pearson on
@@ -65,7 +66,7 @@ def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "po
     _validate(predictions, [position_col, actual_col, pred_col])
     base = _defined(predictions, actual_col, pred_col).select(
         F.col(position_col).alias("position"), F.col(actual_col).alias("_a"), F.col(pred_col).alias("_p"))
-    strategy, base = choose_rank_strategy(base, ["position"], strategy)
+    strategy, base = choose_rank_strategy(base, ["position"], strategy, input_materialized=input_materialized)
     if strategy == "window":
         ranked = base.withColumns({"_ra": window_rank("_a", ["position"]), "_rp": window_rank("_p", ["position"])})
         return (ranked.groupBy("position")

@@ -144,7 +144,8 @@ def largest_group_rows(df: DataFrame, group_cols: list[str] | tuple[str, ...] =
 
 
 def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
-                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS) -> tuple[str, DataFrame]:
+                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS,
+                         input_materialized: bool = False) -> tuple[str, DataFrame]:
     """(``window`` or ``buckets``, the input to rank).
 
     ``auto`` works like adaptive execution: the input is materialized once
@@ -153,12 +154,15 @@ def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
     plan runs once. ``window`` when the largest group fits one task
     comfortably, else the scalable ``buckets`` form, which reads its input
     twice (counts, then the join back) and so also gets a materialized input.
+    ``input_materialized`` says ``df`` already reads written data (it is not
+    written again).
     """
     if strategy not in RANK_STRATEGIES:
         raise ValueError(f"strategy must be one of {RANK_STRATEGIES}")
     if strategy == "window":
         return strategy, df
-    df = materialize(df)
+    if not input_materialized:
+        df = materialize(df)
     if strategy == "buckets":
         return strategy, df
     return ("window" if largest_group_rows(df, group_cols) <= window_max_rows else "buckets"), df

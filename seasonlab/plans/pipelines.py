@@ -157,6 +157,6 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
         position_metrics=metrics_with_overall(pos_preds),
         slice_top_per_position=top_n_per_position_metrics(pos_preds, n=top_n_position),
         slice_top_overall=top_n_overall_metrics(pos_preds, n=top_n_overall),
-        spearman=spearman_rank_by_position(pos_preds),
+        spearman=spearman_rank_by_position(pos_preds, input_materialized=materialization != "none"),
         forecast=forecast,
     )
