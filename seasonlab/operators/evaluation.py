@@ -66,7 +66,8 @@ def spearman_rank_by_position(predictions: DataFrame, *, position_col: str = "po
     _validate(predictions, [position_col, actual_col, pred_col])
     base = _defined(predictions, actual_col, pred_col).select(
         F.col(position_col).alias("position"), F.col(actual_col).alias("_a"), F.col(pred_col).alias("_p"))
-    strategy, base = choose_rank_strategy(base, ["position"], strategy, input_materialized=input_materialized)
+    strategy, base, buckets = choose_rank_strategy(base, ["position"], strategy, buckets=buckets,
+                                                   input_materialized=input_materialized)
     if strategy == "window":
         ranked = base.withColumns({"_ra": window_rank("_a", ["position"]), "_rp": window_rank("_p", ["position"])})
         return (ranked.groupBy("position")

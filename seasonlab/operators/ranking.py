@@ -9,6 +9,8 @@ one task, else the bucketed ``rank_table`` (see ``choose_rank_strategy``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +70,28 @@ def first_n_per_group(df: DataFrame, *, group_col: str, order_col: str, n: int,
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def bucket_index(cuts: Column, value: Column, n_cuts: int) -> Column:
+    """Number of cut points below ``value`` (cuts sorted ascending), exactly.
+
+    Two levels keep it at about 2 * sqrt(n) comparisons per row: count the
+    coarse cuts (every stride-th) below the value, then the cuts inside the
+    one block that can still hold smaller values.
+    """
+    if n_cuts <= 16:
+        return F.size(F.filter(cuts, lambda c: c < value))
+    stride = math.isqrt(n_cuts) + 1
+    coarse = F.filter(cuts, lambda c, i: (i + 1) % stride == 0)
+    above = F.size(F.filter(coarse, lambda c: c < value))
+    block = F.slice(cuts, above * stride + 1, stride - 1)
+    return above * stride + F.size(F.filter(block, lambda c: c < value))
+
+
+def scaled_buckets(largest_group_rows: int, minimum: int = 64, rows_per_bucket: int = 250_000,
+                   maximum: int = 4096) -> int:
+    """Bucket count for the bucketed ranks: about ``rows_per_bucket`` per window task."""
+    return max(minimum, min(maximum, -(-largest_group_rows // rows_per_bucket)))
+
+
 def _rank_key(value_col: str, descending: bool) -> Column:
     key = tie_key(value_col)
     return -key if descending else key
@@ -114,7 +138,7 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
     else:  # one group: its buckets - 1 cut points become a literal array (no join)
         cuts = counts.agg(cut_expr).first()["_cuts"] or []
         bucketed = counts.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"))
-    bucketed = bucketed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    bucketed = bucketed.withColumn("_b", bucket_index(F.col("_cuts"), F.col("_v"), len(fractions))).drop("_cuts")
     within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bucketed = bucketed.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})
     totals = bucketed.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
@@ -144,9 +168,9 @@ def largest_group_rows(df: DataFrame, group_cols: list[str] | tuple[str, ...] =
 
 
 def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
-                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS,
-                         input_materialized: bool = False) -> tuple[str, DataFrame]:
-    """(``window`` or ``buckets``, the input to rank).
+                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS, input_materialized: bool = False,
+                         buckets: int = 64) -> tuple[str, DataFrame, int]:
+    """(``window`` or ``buckets``, the input to rank, the bucket count).
 
     ``auto`` works like adaptive execution: the input is materialized once
     (checkpoint in the shared folder), its largest group is counted from the
@@ -155,17 +179,21 @@ def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
     comfortably, else the scalable ``buckets`` form, which reads its input
     twice (counts, then the join back) and so also gets a materialized input.
     ``input_materialized`` says ``df`` already reads written data (it is not
-    written again).
+    written again). Under ``auto`` the bucket count follows the measured
+    largest group (``scaled_buckets``), never below ``buckets``.
     """
     if strategy not in RANK_STRATEGIES:
         raise ValueError(f"strategy must be one of {RANK_STRATEGIES}")
     if strategy == "window":
-        return strategy, df
+        return strategy, df, buckets
     if not input_materialized:
         df = materialize(df)
     if strategy == "buckets":
-        return strategy, df
-    return ("window" if largest_group_rows(df, group_cols) <= window_max_rows else "buckets"), df
+        return strategy, df, buckets
+    largest = largest_group_rows(df, group_cols)
+    if largest <= window_max_rows:
+        return "window", df, buckets
+    return "buckets", df, scaled_buckets(largest, minimum=buckets)
 
 
 def window_rank(value_col: str, group_cols: list[str] | tuple[str, ...] = (), *, method: str = "average",
@@ -197,7 +225,7 @@ def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str,
     ``choose_rank_strategy``).
     """
     g = list(group_cols)
-    strategy, df = choose_rank_strategy(df, g, strategy, window_max_rows)
+    strategy, df, buckets = choose_rank_strategy(df, g, strategy, window_max_rows, buckets=buckets)
     if strategy == "window":
         out = df.withColumn(out_col, window_rank(value_col, g, method=method, descending=descending))
         return out.withColumn(out_col, F.col(out_col).cast("double")) if method == "average" else out

@@ -120,11 +120,32 @@ def test_auto_strategy_uses_measured_group_size(spark):
     df = spark.createDataFrame([("A", 1.0)] * 5 + [("B", 2.0)] * 2, "g string, v double")
     assert largest_group_rows(df, ["g"]) == 5
     assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=5)[0] == "window"
-    strategy, measured = choose_rank_strategy(df, ["g"], "auto", window_max_rows=4)
-    assert strategy == "buckets" and measured.count() == 7
+    strategy, measured, buckets = choose_rank_strategy(df, ["g"], "auto", window_max_rows=4)
+    assert strategy == "buckets" and measured.count() == 7 and buckets == 64
     assert choose_rank_strategy(df, ["g"], "window")[1] is df
 
 
+def test_bucket_count_follows_group_size():
+    from seasonlab.operators.ranking import scaled_buckets
+    assert scaled_buckets(2_000_000) == 64
+    assert scaled_buckets(100_000_000) == 400
+    assert scaled_buckets(10**12) == 4096
+
+
+@pytest.mark.parametrize("n_cuts", [0, 5, 16, 17, 63, 255, 1000])
+def test_bucket_index_is_exact(spark, n_cuts):
+    from pyspark.sql import functions as F
+
+    from seasonlab.operators.ranking import bucket_index
+    rnd = random.Random(n_cuts)
+    cuts = sorted(float(rnd.randint(0, 60)) for _ in range(n_cuts))  # with repeated cut values
+    values = [float(v) for v in range(-2, 64)] + [v + 0.5 for v in range(-2, 64)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    arr = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+    got = {r["v"]: r["b"] for r in df.select("v", bucket_index(arr, F.col("v"), n_cuts).alias("b")).collect()}
+    assert all(got[v] == sum(c < v for c in cuts) for v in values)
+
+
 def test_bucketed_and_window_ranks_agree_on_testbed(spark, sf_small):
     from seasonlab.operators.ranking import ranked
     from seasonlab.plans import queries as q
