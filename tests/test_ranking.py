@@ -165,3 +165,15 @@ def test_ungrouped_bucketed_rank_has_no_join_for_cuts(spark):
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert {r["_v"]: r["avg_rank"] for r in t.collect()} == {1.0: 1.0, 2.0: 2.5, 3.0: 4.0, 5.0: 5.0, 8.0: 7.0}
+
+
+def test_auto_switches_to_buckets_above_threshold(spark):
+    from seasonlab.operators.ranking import ranked
+    rnd = random.Random(21)
+    data = [(rnd.choice("AB"), float(rnd.randint(0, 40)), i) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, v double, id long")
+    auto = ranked(df, value_col="v", group_cols=["g"], out_col="r", strategy="auto", window_max_rows=10)
+    plan = auto._jdf.queryExecution().executedPlan().toString()
+    assert "_cuts" in plan  # the bucketed path (reading its written cut points) was chosen from the measured size
+    window = ranked(df, value_col="v", group_cols=["g"], out_col="r", strategy="window")
+    assert {r["id"]: r["r"] for r in auto.collect()} == {r["id"]: r["r"] for r in window.collect()}
