@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seasonlab.llm.common import read_table, scratch_table
-from seasonlab.llm.stages import language_stage, packing_stage
+from seasonlab.llm.stages import dedup_stage, language_stage, packing_stage, substring_stage
 
 STAGES = [
     ("language ID", language_stage),
+    ("MinHash near-dedup", dedup_stage),
+    ("substring dedup", substring_stage),
     ("packing", packing_stage),
 ]
 

@@ -23,9 +23,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 from seasonlab.llm.rank_queue import MergeTable, packed
 
 #: Pieces of text whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Characters of text that are encoded together.
-TOGETHER = 12_000_000
+TOGETHER = 4_000_000
 #: White space before which a single space is no start of a pre-token, and rarer white space.
 AFTER_SPACE = (" \t", " \n", " \v", " \f", " \r")
 RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
