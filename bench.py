@@ -41,10 +41,10 @@ def forecast_pipeline(spark, sf_dir):
     """The whole train / evaluate / forecast run: one materialized feature
     table feeds both fits, every metric table and the forecast."""
     from seasonlab.plans import pipelines as pl
-    from seasonlab.plans.queries import FORECAST_SEASON, SEASONS, TRAIN_END
+    from seasonlab.plans.queries import FORECAST_SEASON, TRAIN_END
     from seasonlab.sources.base import TestbedSource
 
-    feats = pl.load_and_build_features(TestbedSource(spark, sf_dir), seasons=SEASONS)
+    feats = pl.load_and_build_features(TestbedSource(spark, sf_dir), seasons=None)
     res = pl.run_forecast(feats, train_end_season=TRAIN_END, forecast_season=FORECAST_SEASON)
     return [res.ridge_vs_naive, res.winner, res.position_metrics, res.slice_top_per_position,
             res.slice_top_overall, res.spearman, res.forecast]
@@ -61,10 +61,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
     from seasonlab.plans.queries import QUERIES
-    from seasonlab.session import build_session
+    from seasonlab.session import build_session, use_local_scratch
 
     spark = build_session(f"local[{cpus}]", app_name="seasonlab-bench", shuffle_partitions=max(cpus, 1),
                           extra={"spark.driver.memory": "8g"})
+    use_local_scratch(spark)
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
     if warm_dir and os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         for name in HEADLINE:  # JVM / codegen warm-up on other, tiny tables (not timed)

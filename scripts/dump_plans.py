@@ -12,10 +12,10 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
-    "baseline_top_n": "scan pruning + date-range pushdown, lineitem partially aggregated before its only shuffle, "
-                      "AQE-measured broadcasts of the small sides, WindowGroupLimit on both sides of the window exchange.",
+    "baseline_top_n": "scan pruning + date-range pushdown, line items of other seasons dropped by a semi join before the aggregate, "
+                      "AQE-measured broadcasts of the small sides, N-th highest distinct value per position (row limit before its exchange), joined back as a threshold.",
     "season_totals": "season totals: partial aggregate (map-side) before the exchange on the four key columns.",
-    "next_season_dataset": "t -> t+1 pairs: one exchange on (player, position) and a RANGE 1 FOLLOWING window, no self join.",
+    "next_season_dataset": "t -> t+1 pairs: an equi join on (player, position, season); the right side carries keys and value only.",
     "ridge_gram_pass": "ridge (inside ridge_fit_6feat / forecast): the one aggregate of means and co-moments over the "
                        "checkpointed feature table; its single row is all the driver receives.",
     "slice_top_n_per_position": "exact top-24 per position: WindowGroupLimit (row_number) before the shuffle.",
@@ -44,9 +44,10 @@ def gram_pass(spark, sf_dir):
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from seasonlab.plans.queries import RAW_QUERIES
-    from seasonlab.session import build_session
+    from seasonlab.session import build_session, use_local_scratch
 
     spark = build_session("local[8]", shuffle_partitions=8)
+    use_local_scratch(spark)
     out = ["# Physical plans", "",
            f"Final adaptive plans (after execution) at `{os.path.basename(sf_dir)}`, `local[8]`, generated by "
            "`scripts/dump_plans.py`. Expression ids and file paths are stripped; long lines are cut.", ""]

@@ -14,9 +14,9 @@ from dataclasses import dataclass
 from seasonlab.operators.scoring import (
     DEFAULT_MODE,
     DEFAULT_PROVIDER,
-    MODES,
-    PROVIDERS,
     Scoring,
+    normalize_scoring_mode,
+    normalize_scoring_provider,
     scoring_from_mode,
 )
 
@@ -51,10 +51,5 @@ def load_config(*, dotenv_path: str | None = None, env: Mapping[str, str] | None
     only fills variables the environment does not set."""
     values = dict(read_env_file(dotenv_path)) if dotenv_path and os.path.exists(dotenv_path) else {}
     values.update(os.environ if env is None else env)
-    mode = values.get(MODE_VAR, DEFAULT_MODE).strip().upper()
-    if mode not in MODES:
-        raise ValueError(f"unknown {MODE_VAR} value {mode!r}; expected one of {', '.join(MODES)}")
-    provider = values.get(PROVIDER_VAR, DEFAULT_PROVIDER).strip().upper()
-    if provider not in PROVIDERS:
-        raise ValueError(f"unknown {PROVIDER_VAR} value {provider!r}; expected one of {', '.join(PROVIDERS)}")
-    return ScoringConfig(mode, provider)
+    return ScoringConfig(normalize_scoring_mode(values.get(MODE_VAR, DEFAULT_MODE)),
+                         normalize_scoring_provider(values.get(PROVIDER_VAR, DEFAULT_PROVIDER)))

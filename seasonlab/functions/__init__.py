@@ -1,12 +1,10 @@
 """Column-level building blocks (JVM-side expressions only, no UDFs)."""
 
 from seasonlab.functions.columns import (
-    TIE_DECIMALS,
     drop_nulls,
     num_or_null,
     num_or_zero,
     require_columns,
-    tie_key,
     with_zero_columns,
     zero_if_null,
 )
@@ -14,7 +12,6 @@ from seasonlab.functions.dates import age_on_reference_date, parse_date_lenient,
 from seasonlab.functions.rates import per_game, safe_divisor, square
 
 __all__ = [
-    "TIE_DECIMALS",
     "age_on_reference_date",
     "drop_nulls",
     "num_or_null",
@@ -25,7 +22,6 @@ __all__ = [
     "safe_divisor",
     "season_reference_date",
     "square",
-    "tie_key",
     "with_zero_columns",
     "zero_if_null",
 ]

@@ -17,12 +17,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Ties in ranks and sort keys are compared on values rounded to this many
-# decimals. Floating sums depend on the order rows arrive in, which differs
-# between runs on a cluster; without this a tie could split or merge from
-# one run to the next. Points carry at most a few decimals, so 9 is exact.
-TIE_DECIMALS = 9
-
 
 def require_columns(df: DataFrame, cols: Iterable[str], message: str = "Missing required columns") -> None:
     """Raise ``ValueError`` naming every column of ``cols`` absent from ``df``."""
@@ -68,9 +62,3 @@ def drop_nulls(df: DataFrame, subset: Iterable[str]) -> DataFrame:
         term = F.col(c).isNotNull()
         cond = term if cond is None else cond & term
     return df.where(cond)
-
-
-def tie_key(col: Column | str, decimals: int = TIE_DECIMALS) -> Column:
-    """Value used to compare ranks and sort keys (see ``TIE_DECIMALS``)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(c, decimals)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import require_columns
@@ -13,42 +13,18 @@ def build_next_season_dataset(features: DataFrame, *, season_col: str = "season"
                               out_target_col: str = "target_next_season_points") -> DataFrame:
     """Each season-t row with the same player's season t+1 value as the target.
 
-    Semantics of an inner equi join on (player, position, season + 1): a
-    player missing the next season, or changing position, has no row;
-    duplicate next-season rows fan out; null keys never match.
-
-    Plan: one shuffle instead of the self join's two. Rows are clustered by
-    (player, position) and a ``RANGE BETWEEN 1 FOLLOWING AND 1 FOLLOWING``
-    frame over the season collects the next season's targets, which are
-    exploded (fan-out kept, no match -> no row). A window group holds one
-    player's seasons, so its size is bounded by the number of seasons.
+    An equi join on (player, position, season): a player missing the next
+    season, or changing position, has no row; duplicate next-season rows fan
+    out; a next season without a value gives a null target; null keys never
+    match. Seasons may be text. The right side carries its keys and the value
+    only, and a skewed player's partitions are split by the join.
     """
-    require_columns(features, [season_col, player_id_col, position_col, target_col])
-    keyed = features.where(F.col(season_col).isNotNull() & F.col(player_id_col).isNotNull()
-                           & F.col(position_col).isNotNull())
-    nxt = Window.partitionBy(player_id_col, position_col).orderBy(F.col(season_col)).rangeBetween(1, 1)
-    return (keyed.withColumn("_next", F.collect_list(F.col(target_col)).over(nxt))
-            .select(*[F.col(c) for c in features.columns], F.explode("_next").alias(out_target_col)))
-
-
-def build_next_season_dataset_join(features: DataFrame, *, season_col: str = "season", player_id_col: str = "player_id",
-                                   position_col: str = "position", target_col: str = "feat_points",
-                                   out_target_col: str = "target_next_season_points") -> DataFrame:
-    """Same result as ``build_next_season_dataset`` written as the self join
-    on (player, position, season + 1) (two shuffles of ``features``)."""
-    require_columns(features, [season_col, player_id_col, position_col, target_col])
-    nxt = features.select(
-        F.col(season_col).alias("_season_next"),
-        F.col(player_id_col).alias("_player_id_next"),
-        F.col(position_col).alias("_position_next"),
-        F.col(target_col).alias(out_target_col),
-    )
-    cond = [
-        F.col(player_id_col) == F.col("_player_id_next"),
-        F.col(position_col) == F.col("_position_next"),
-        (F.col(season_col) + F.lit(1)) == F.col("_season_next"),
-    ]
-    return features.join(nxt, cond, "inner").drop("_season_next", "_player_id_next", "_position_next")
+    keys = [player_id_col, position_col]
+    require_columns(features, [season_col, *keys, target_col])
+    before = (F.col(season_col).cast("bigint") - 1).alias("_t")
+    values = features.select(*keys, before, F.col(target_col).alias(out_target_col))
+    pairs = features.withColumn("_t", F.col(season_col).cast("bigint")).join(values, [*keys, "_t"])
+    return pairs.select(*features.columns, out_target_col)
 
 
 def is_train(season_col: str, train_end_season: int) -> Column:

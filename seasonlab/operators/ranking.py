@@ -1,10 +1,11 @@
-"""Ranking operators: top-N per group and exact full ranks (average, min, dense).
+"""Ranking operators: top-N per position and exact full ranks (average, min, dense).
 
-Top-N filters on a rank window let Spark insert ``WindowGroupLimit`` on both
-sides of the exchange: each map task keeps only its local top-N per group,
-so a group with a third of all rows never reaches one task whole. Full ranks
-of every row use a plain window only when the measured largest group fits
-one task, else the bucketed ``rank_table`` (see ``choose_rank_strategy``).
+Values are compared as they are: no rounding, and NaN is the largest value (so
+it comes first when the highest rank first), as in Spark's own ordering.
+
+No operator sorts a whole group in one task. Top-N by dense rank looks up each
+position's N-th highest distinct value and filters by it; full ranks come from
+``rank_table``, whose running counts are cut into value ranges.
 """
 
 from __future__ import annotations
@@ -14,58 +15,69 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonlab.functions.columns import require_columns, tie_key
+from seasonlab.functions.columns import require_columns
 from seasonlab.session import materialize
 
 # Positions kept by the ranking, and by the weekly pipelines.
 RANKING_POSITIONS = ("QB", "RB", "WR", "TE", "K", "DST")
 PLAYER_POSITIONS = ("QB", "RB", "WR", "TE", "K")
 
+# Distinct (group, value) rows that one range of a rank table should hold.
+ROWS_PER_BUCKET = 100_000
+RANK_METHODS = ("average", "min", "dense")
+
 
 def filter_positions(df: DataFrame, positions=PLAYER_POSITIONS, *, position_col: str = "position") -> DataFrame:
     return df.where(F.col(position_col).isin(list(positions)))
 
 
-def dense_rank_desc(points_col: str, partition_cols: list[str] | tuple[str, ...]) -> Column:
-    w = Window.partitionBy(*partition_cols).orderBy(tie_key(points_col).desc())
-    return F.dense_rank().over(w)
-
-
 def with_dense_rank(df: DataFrame, *, position_col: str = "position", points_col: str = "fantasy_points",
-                    out_col: str = "rank", buckets: int = 64, strategy: str = "auto") -> DataFrame:
-    """Dense rank of points, highest first, within each position; rows with null points are dropped.
-
-    Every row is ranked (no top-N limit): positions too large for one task
-    use the bucketed ``rank_table`` instead of one window sort per position.
-    """
+                    out_col: str = "rank") -> DataFrame:
+    """Dense rank of points, highest first, within each position; rows with null points are dropped."""
     require_columns(df, [position_col, points_col])
     out = ranked(df.where(F.col(points_col).isNotNull()), value_col=points_col, group_cols=[position_col],
-                 out_col=out_col, method="dense", descending=True, buckets=buckets, strategy=strategy)
+                 out_col=out_col, method="dense", descending=True)
     return out.withColumn(out_col, F.col(out_col).cast("long"))
 
 
+def nth_highest_values(df: DataFrame, *, position_col: str, points_col: str, n: int) -> DataFrame:
+    """(position, ``_least``): each position's n-th highest distinct value (its lowest, if it has fewer).
+
+    Distinct values only: the row limit keeps at most n of them per task and
+    position before they meet, so ties cost nothing.
+    """
+    values = df.select(position_col, points_col).distinct()
+    best = Window.partitionBy(position_col).orderBy(F.col(points_col).desc())
+    top = values.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n)
+    return top.groupBy(position_col).agg(F.min(points_col).alias("_least"))
+
+
 def top_n_by_position(df: DataFrame, *, position_col: str = "position", points_col: str = "fantasy_points",
                       n: int = 24, positions=RANKING_POSITIONS) -> DataFrame:
     """Rows whose dense rank of points within their position is <= n.
 
     Ties share a rank, so a position can return more than n rows. Rows with
     null points are dropped; positions outside ``positions`` are dropped.
-    Output keeps the input columns, sorted by position asc, points desc.
+    Output keeps the input columns, sorted by position asc, points desc, then
+    by the other columns, so that equal points still spread over the sort's
+    range partitions.
     """
     require_columns(df, [position_col, points_col])
     if isinstance(n, bool) or not isinstance(n, int) or n <= 0:
         raise ValueError(f"n must be an integer >= 1 (got {n!r})")
-    ranked = (filter_positions(df, positions, position_col=position_col)
-              .where(F.col(points_col).isNotNull())
-              .withColumn("_rank", dense_rank_desc(points_col, [position_col])))
-    return (ranked.where(F.col("_rank") <= n).drop("_rank")
-            .orderBy(F.col(position_col).asc(), F.col(points_col).desc()))
+    scoped = filter_positions(df, positions, position_col=position_col).where(F.col(points_col).isNotNull())
+    least = nth_highest_values(scoped, position_col=position_col, points_col=points_col, n=n)
+    # one row per listed position, so broadcasting it is bounded by the caller's list
+    top = scoped.join(F.broadcast(least), [position_col]).where(F.col(points_col) >= F.col("_least"))
+    rest = [F.col(f.name).asc() for f in df.schema.fields
+            if f.name not in (position_col, points_col) and f.dataType.typeName() not in ("map", "variant")]
+    return top.select(*df.columns).orderBy(F.col(position_col).asc(), F.col(points_col).desc(), *rest)
 
 
 def first_n_per_group(df: DataFrame, *, group_col: str, order_col: str, n: int,
                       tiebreak: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Exactly the first n rows per group by ``order_col`` desc (then ``tiebreak``)."""
-    order = [tie_key(order_col).desc()] + [F.col(c).asc() for c in tiebreak]
+    order = [F.col(order_col).desc()] + [F.col(c).asc() for c in tiebreak]
     w = Window.partitionBy(group_col).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
@@ -77,72 +89,54 @@ def bucket_index(cuts: Column, value: Column, n_cuts: int) -> Column:
     coarse cuts (every stride-th) below the value, then the cuts inside the
     one block that can still hold smaller values.
     """
-    if n_cuts <= 16:
-        return F.size(F.filter(cuts, lambda c: c < value))
     stride = math.isqrt(n_cuts) + 1
     coarse = F.filter(cuts, lambda c, i: (i + 1) % stride == 0)
     above = F.size(F.filter(coarse, lambda c: c < value))
-    block = F.slice(cuts, above * stride + 1, stride - 1)
+    block = F.slice(cuts, above * stride + 1, stride - 1) if stride > 1 else F.slice(cuts, 1, n_cuts)
     return above * stride + F.size(F.filter(block, lambda c: c < value))
 
 
-def scaled_buckets(largest_group_rows: int, minimum: int = 64, rows_per_bucket: int = 250_000,
-                   maximum: int = 4096) -> int:
-    """Bucket count for the bucketed ranks: about ``rows_per_bucket`` per window task."""
-    return max(minimum, min(maximum, -(-largest_group_rows // rows_per_bucket)))
-
-
-def _rank_key(value_col: str, descending: bool) -> Column:
-    key = tie_key(value_col)
-    return -key if descending else key
-
-
-RANK_METHODS = ("average", "min", "dense")
-
-
 def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
                out_col: str = "avg_rank", method: str = "average", descending: bool = False,
-               buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """Distinct (group, value key) -> exact rank of that value within the group.
+               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Distinct (group, value) -> exact rank of that value within the group.
 
     ``method``: ``average`` (mid-rank of ties), ``min`` (SQL ``rank``) or
     ``dense`` (SQL ``dense_rank``); ``descending`` ranks the highest first.
 
     A plain rank window would sort every group inside one task. Instead:
 
-    1. count rows per distinct (group, value)            -- partial aggregate
-    2. cut each group's values into ``buckets`` ranges   -- percentile_approx
-    3. running counts inside (group, bucket)             -- window, many tasks
-    4. rows / values before each bucket (prefix over bucket totals,
-       groups x buckets rows)
+    1. count rows per distinct (group, value), written once  -- partial aggregate
+    2. cut each group's values into ranges                   -- percentile_approx
+    3. running counts inside (group, range)                  -- window, many tasks
+    4. rows / values before each range (prefix over range totals)
     5. rank from the counts before the value and its tie count
 
-    Approximate cut points only change how work is split; ranks stay exact.
-    A hot value is a single row after step 1. Small sides (cut points,
-    bucket offsets) become broadcasts only through AQE's runtime size check.
-    Output columns: group columns, ``_v`` (the value key), ``out_col``.
+    The number of ranges follows the number of distinct values, with no upper
+    limit. Approximate cut points only change how work is split; ranks stay
+    exact. A hot value is a single row after step 1.
+    Output columns: group columns, ``_v`` (the value), ``out_col``.
     """
     if method not in RANK_METHODS:
         raise ValueError(f"method must be one of {RANK_METHODS}")
-    g = list(group_cols)
-    counts = (df.select(*g, _rank_key(value_col, descending).alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    fractions = [i / buckets for i in range(1, max(buckets, 1))]
-    cut_expr = (F.percentile_approx("_v", fractions, accuracy) if fractions
-                else F.array().cast("array<double>")).alias("_cuts")
-    if g:
-        # percentile_approx depends on merge order, so cut points recomputed after
-        # a lost executor could differ from the first ones. They are written once
-        # (groups x buckets numbers) and every consumer reads the same values.
-        bucketed = counts.join(materialize(counts.groupBy(*g).agg(cut_expr)), g, "inner")
-    else:  # one group: its buckets - 1 cut points become a literal array (no join)
-        cuts = counts.agg(cut_expr).first()["_cuts"] or []
-        bucketed = counts.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"))
-    bucketed = bucketed.withColumn("_b", bucket_index(F.col("_cuts"), F.col("_v"), len(fractions))).drop("_cuts")
-    within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bucketed = bucketed.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})
-    totals = bucketed.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
-    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    g = list(group_cols) or ["_all"]
+    rows = df if group_cols else df.withColumn("_all", F.lit(0))
+    counts = materialize(rows.select(*g, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
+                         .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    n_cuts = max(1, -(-counts.count() // rows_per_bucket)) + 15
+    fractions = [i / (n_cuts + 1) for i in range(1, n_cuts + 1)]
+    real = F.when(~F.isnan(F.col("_v").cast("double")), F.col("_v"))
+    cuts = F.percentile_approx(real, fractions, max(10_000, 10 * n_cuts))
+    # percentile_approx depends on merge order, so cut points recomputed after
+    # a lost executor could differ from the first ones. They are written once
+    # (groups x ranges numbers) and every consumer reads the same values.
+    points = materialize(counts.groupBy(*g).agg(F.coalesce(cuts, F.slice(F.array(F.first("_v")), 1, 0)).alias("_cuts")))
+    ranged = counts.join(points, g, "inner").withColumn("_b", bucket_index(F.col("_cuts"), F.col("_v"), n_cuts)).drop("_cuts")
+    first = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    within = Window.partitionBy(*g, "_b").orderBy(first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = ranged.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})
+    totals = ranged.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
+    before = Window.partitionBy(*g).orderBy(first("_b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"),
                             F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_off_d"))
     rows_before = F.col("_off") + F.col("_cum") - F.col("_c")
@@ -151,92 +145,29 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
         "min": rows_before + 1,
         "dense": F.col("_off_d") + F.col("_cum_d"),
     }[method]
-    return bucketed.join(offsets, g + ["_b"], "inner").select(*g, "_v", rank.alias(out_col))
-
-
-# Groups up to this many rows are ranked with a plain window (one sort per
-# group inside one task); larger ones with the bucketed ``rank_table``.
-WINDOW_MAX_GROUP_ROWS = 1_000_000
-RANK_STRATEGIES = ("auto", "window", "buckets")
-
-
-def largest_group_rows(df: DataFrame, group_cols: list[str] | tuple[str, ...] = ()) -> int:
-    """Row count of the largest group (one aggregate job; returns one number)."""
-    g = list(group_cols)
-    counts = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")) if g else df.agg(F.count(F.lit(1)).alias("_n"))
-    return int(counts.agg(F.max("_n")).first()[0] or 0)
-
-
-def choose_rank_strategy(df: DataFrame, group_cols, strategy: str = "auto",
-                         window_max_rows: int = WINDOW_MAX_GROUP_ROWS, input_materialized: bool = False,
-                         buckets: int = 64) -> tuple[str, DataFrame, int]:
-    """(``window`` or ``buckets``, the input to rank, the bucket count).
-
-    ``auto`` works like adaptive execution: the input is materialized once
-    (checkpoint in the shared folder), its largest group is counted from the
-    written data, and the ranking then reads the same data, so the upstream
-    plan runs once. ``window`` when the largest group fits one task
-    comfortably, else the scalable ``buckets`` form, which reads its input
-    twice (counts, then the join back) and so also gets a materialized input.
-    ``input_materialized`` says ``df`` already reads written data (it is not
-    written again). Under ``auto`` the bucket count follows the measured
-    largest group (``scaled_buckets``), never below ``buckets``.
-    """
-    if strategy not in RANK_STRATEGIES:
-        raise ValueError(f"strategy must be one of {RANK_STRATEGIES}")
-    if strategy == "window":
-        return strategy, df, buckets
-    if not input_materialized:
-        df = materialize(df)
-    if strategy == "buckets":
-        return strategy, df, buckets
-    largest = largest_group_rows(df, group_cols)
-    if largest <= window_max_rows:
-        return "window", df, buckets
-    return "buckets", df, scaled_buckets(largest, minimum=buckets)
-
-
-def window_rank(value_col: str, group_cols: list[str] | tuple[str, ...] = (), *, method: str = "average",
-                descending: bool = False) -> Column:
-    """Rank column from one window per group (null values -> null rank)."""
-    if method not in RANK_METHODS:
-        raise ValueError(f"method must be one of {RANK_METHODS}")
-    key = _rank_key(value_col, descending)
-    w = Window.partitionBy(*group_cols).orderBy(key.asc_nulls_last())
-    if method == "dense":
-        r = F.dense_rank().over(w)
-    elif method == "min":
-        r = F.rank().over(w)
-    else:  # ties counted with a RANGE frame over the same ordering: no second exchange
-        ties = F.count(F.lit(1)).over(w.rangeBetween(0, 0))
-        r = F.rank().over(w) + (ties - 1) / 2.0
-    return F.when(key.isNotNull(), r)
+    return ranged.join(offsets, g + ["_b"], "inner").select(*group_cols, "_v", rank.alias(out_col))
 
 
 def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (), out_col: str = "rank",
-           method: str = "average", descending: bool = False, buckets: int = 64, accuracy: int = 10000,
-           strategy: str = "auto", window_max_rows: int = WINDOW_MAX_GROUP_ROWS) -> DataFrame:
+           method: str = "average", descending: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``df`` plus the exact rank of ``value_col`` within each group (null value -> null rank).
 
-    ``strategy``: ``window`` (plain window per group), ``buckets`` (ranks
-    from ``rank_table`` joined back on (group, value): the join streams the
-    row side, and AQE splits a skewed partition when one value holds many
-    rows), or ``auto`` (measure the largest group first, see
-    ``choose_rank_strategy``).
+    Ranks from ``rank_table`` are joined back on (group, value): the join
+    streams the row side, and a partition skewed by one value's many rows is
+    split. A null group is a group of its own.
     """
     g = list(group_cols)
-    strategy, df, buckets = choose_rank_strategy(df, g, strategy, window_max_rows, buckets=buckets)
-    if strategy == "window":
-        out = df.withColumn(out_col, window_rank(value_col, g, method=method, descending=descending))
-        return out.withColumn(out_col, F.col(out_col).cast("double")) if method == "average" else out
     ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, method=method, descending=descending,
-                       buckets=buckets, accuracy=accuracy)
-    return df.withColumn("_v", _rank_key(value_col, descending)).join(ranks, g + ["_v"], "left").drop("_v")
+                       rows_per_bucket=rows_per_bucket)
+    left, right = df.alias("_l"), ranks.alias("_r")
+    same = F.col(f"_l.{value_col}") == F.col("_r._v")
+    for c in g:
+        same = same & F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}"))
+    return left.join(right, same, "left").select("_l.*", F.col(f"_r.{out_col}").alias(out_col))
 
 
 def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
-                 out_col: str = "avg_rank", buckets: int = 64, accuracy: int = 10000,
-                 strategy: str = "auto") -> DataFrame:
+                 out_col: str = "avg_rank", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``df`` plus the mid-rank of ``value_col`` within each group (ties share the average)."""
     return ranked(df, value_col=value_col, group_cols=group_cols, out_col=out_col, method="average",
-                  buckets=buckets, accuracy=accuracy, strategy=strategy)
+                  rows_per_bucket=rows_per_bucket)

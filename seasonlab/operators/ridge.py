@@ -7,8 +7,8 @@ and the centred co-moments ``n * covar_pop(x_i, x_j)`` and
 groups x (p^2 + p) numbers and solves (C + alpha I) w = c, with the
 intercept unpenalized: b = mean(y) - mean(x) . w. This is the textbook
 closed form of ridge with an intercept (as in the normal-equation solver of
-Spark's own linear regression). Predictions go back as column expressions
-(literals for few groups, a coefficient table join otherwise).
+Spark's own linear regression). Predictions go back as a column expression
+(one model) or by a join with the coefficient table (one model a group).
 """
 
 from __future__ import annotations
@@ -26,11 +26,6 @@ from seasonlab.operators.dataset import is_train
 from seasonlab.operators.metrics import metric_columns
 from seasonlab.operators.ranking import PLAYER_POSITIONS
 
-# Up to this many models, predictions use a CASE over literal coefficients
-# (no join); above it, a join with the coefficient table.
-CASE_MAX_GROUPS = 64
-
-
 def _moment_name(i: int, j: int | str) -> str:
     return f"_s_{i}_{j}"
 
@@ -39,8 +34,8 @@ def gram_statistics(df: DataFrame, *, feature_cols: Sequence[str], target_col: s
                     train_end_season: int, group_cols: Sequence[str] = (), with_seasons: bool = True) -> DataFrame:
     """One row per model group with everything the fit needs (one pass).
 
-    Columns: group keys, n_train, n_test, n_null_train (train rows with a null
-    feature or target), _m_i (feature means), _m_y, _s_i_j (i <= j) and _s_i_y
+    Columns: group keys, n_train, n_test, n_null (rows of either side with a
+    null feature or target), _m_i (feature means), _m_y, _s_i_j (i <= j) and _s_i_y
     (centred co-moments), and with ``with_seasons`` train_seasons /
     test_seasons (sorted arrays, as long as the number of distinct seasons;
     they make the aggregate an object aggregate, so grouped fits skip them).
@@ -64,7 +59,7 @@ def _gram_aggs(feature_cols: Sequence[str], target_col: str, season_col: str, tr
         return F.when(tr, F.col(c).cast("double"))
 
     aggs = [n_train.alias("n_train"), F.count_if(te).alias("n_test"),
-            F.count_if(tr & any_null).alias("n_null_train")]
+            F.count_if(F.col(season_col).isNotNull() & any_null).alias("n_null")]
     aggs += [F.avg(on_train(c)).alias(f"_m_{i}") for i, c in enumerate(feats)]
     aggs.append(F.avg(on_train(target_col)).alias("_m_y"))
     for i, ci in enumerate(feats):
@@ -92,6 +87,27 @@ def solve_ridge(row: dict, p: int, alpha: float) -> tuple[list[float], float]:
     return [float(x) for x in w], b
 
 
+def merge_gram_rows(rows: list[dict], p: int) -> dict:
+    """The Gram row of all groups together: counts add, co-moments about the common mean."""
+    filled = [r for r in rows if r["n_train"]]
+    out = {k: sum(r[k] for r in rows) for k in ("n_train", "n_test", "n_null")}
+    out["train_seasons"] = {x for r in rows for x in r["train_seasons"]}
+    out["test_seasons"] = {x for r in rows for x in r["test_seasons"]}
+    n = np.array([r["n_train"] for r in filled], dtype=float)
+    names = [*range(p), "y"]
+    means = np.array([[r[f"_m_{i}"] or 0.0 for i in names] for r in filled]).reshape(len(filled), p + 1)
+    center = n @ means / n.sum() if len(filled) else np.zeros(p + 1)
+    for k, i in enumerate(names):
+        out[f"_m_{i}"] = float(center[k])
+        for h in range(k, p + 1):
+            j = names[h]
+            if i == "y":
+                continue
+            between = float(n @ ((means[:, k] - center[k]) * (means[:, h] - center[h])))
+            out[_moment_name(i, j)] = sum(r[_moment_name(i, j)] or 0.0 for r in filled) + between
+    return out
+
+
 @dataclass(frozen=True)
 class RidgeModel:
     """Fitted coefficients of one model, or one model per value of ``group_col``."""
@@ -116,16 +132,10 @@ class RidgeModel:
         return expr
 
     def prediction(self) -> Column:
-        """Prediction column. Grouped models: CASE over the group value."""
-        if self.group_col is None:
-            return self._linear(*self.coefficients[None])
-        if len(self.coefficients) > CASE_MAX_GROUPS:
-            raise ValueError("too many groups for a literal CASE; use predict()")
-        expr = None
-        for g, (w, b) in sorted(self.coefficients.items()):
-            cond = F.col(self.group_col) == F.lit(g)
-            expr = F.when(cond, self._linear(w, b)) if expr is None else expr.when(cond, self._linear(w, b))
-        return expr
+        """Prediction column of the one overall model."""
+        if self.group_col is not None:
+            raise ValueError("one model per group: use predict()")
+        return self._linear(*self.coefficients[None])
 
     def coefficient_table(self, spark: SparkSession) -> DataFrame:
         """group, feature, coefficient rows plus one '(intercept)' row per group."""
@@ -137,25 +147,22 @@ class RidgeModel:
                                T.StructField("coefficient", T.DoubleType())])
         return spark.createDataFrame([(None if g is None else str(g), f, x) for g, f, x in rows], schema)
 
-    def predict(self, df: DataFrame, out_col: str = "y_pred") -> DataFrame:
-        """Append the prediction; rows of a group without a model get no row."""
-        if self.group_col is None or len(self.coefficients) <= CASE_MAX_GROUPS:
-            out = df.withColumn(out_col, self.prediction())
-            if self.group_col is not None:
-                out = out.where(F.col(self.group_col).isin(list(self.coefficients)))
-            return out
-        wide = [(g, *w, b) for g, (w, b) in self.coefficients.items()]
-        names = [self.group_col] + [f"_w{i}" for i in range(len(self.feature_cols))] + ["_b"]
-        spark = df.sparkSession
-        coefs = spark.createDataFrame(wide, names)
+    def predict(self, df: DataFrame, out_col: str = "y_pred", *, keep_all: bool = False) -> DataFrame:
+        """Append the prediction; rows of a group without a model get no row (with ``keep_all`` a null prediction).
+
+        Grouped models join the coefficient table, which the driver holds (it
+        solved one row a group), so broadcasting it is bounded by that.
+        """
+        if self.group_col is None:
+            return df.withColumn(out_col, self.prediction())
+        names = [f"_w{i}" for i in range(len(self.feature_cols))] + ["_b"]
+        schema = T.StructType([df.schema[self.group_col]] + [T.StructField(n, T.DoubleType()) for n in names])
+        coefs = df.sparkSession.createDataFrame([(g, *w, b) for g, (w, b) in self.coefficients.items()], schema)
         pred = F.col("_b")
         for i, c in enumerate(self.feature_cols):
             pred = pred + F.col(f"_w{i}") * F.col(c).cast("double")
-        return df.join(coefs, [self.group_col], "inner").withColumn(out_col, pred).drop(*names[1:])
-
-
-def _check_columns(df: DataFrame, cols: Sequence[str]) -> None:
-    require_columns(df, cols)
+        joined = df.join(F.broadcast(coefs), [self.group_col], "left" if keep_all else "inner").withColumn(out_col, pred)
+        return joined.select(*df.columns, out_col)
 
 
 def _fit(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str, train_end_season: int,
@@ -174,8 +181,8 @@ def _models_from_rows(rows: list[dict], feature_cols: Sequence[str], alpha: floa
     p = len(feature_cols)
     coefs, train_s, test_s = {}, set(), set()
     for r in rows:
-        if r["n_null_train"]:
-            raise ValueError(f"{r['n_null_train']} train rows have a null feature or target; drop them first")
+        if r["n_null"]:
+            raise ValueError(f"{r['n_null']} rows have a null feature or target; drop them first")
         if r["n_train"] == 0 or r["n_test"] == 0:
             continue
         coefs[key_of(r) if key_of else None] = solve_ridge(r, p, alpha)
@@ -189,19 +196,18 @@ def fit_overall_and_by_group(df: DataFrame, *, feature_cols: Sequence[str], targ
                              groups: Sequence[str] = PLAYER_POSITIONS) -> tuple[RidgeModel, RidgeModel]:
     """The overall model and one model per listed group from ONE aggregate pass.
 
-    A ``rollup`` over a group key gives every group's Gram row plus the total
-    row. The key is null for groups outside ``groups``, so their rows count
-    for the overall model only. Same results as ``train_ridge`` plus
-    ``train_ridge_by_position`` (tested), with one scan instead of two.
+    Rows of groups outside ``groups`` share a null key, so the aggregate
+    returns one row for each listed group and one for the rest; the overall
+    model's statistics are these rows merged on the driver. Same results as
+    ``train_ridge`` plus ``train_ridge_by_position`` (tested).
     """
-    _check_columns(df, list(feature_cols) + [target_col, season_col, group_col])
+    require_columns(df, list(feature_cols) + [target_col, season_col, group_col])
     keyed = df.withColumn("_group_key", F.when(F.col(group_col).isin(list(groups)), F.col(group_col)))
     aggs = _gram_aggs(feature_cols, target_col, season_col, train_end_season, with_seasons=True)
-    rows = [r.asDict() for r in
-            keyed.rollup("_group_key").agg(*aggs, F.grouping("_group_key").alias("_gid")).collect()]
-    overall = _models_from_rows([r for r in rows if r["_gid"] == 1], feature_cols, alpha, None)
-    by_group = _models_from_rows([r for r in rows if r["_gid"] == 0 and r["_group_key"] is not None],
-                                 feature_cols, alpha, group_col, lambda r: r["_group_key"])
+    rows = [r.asDict() for r in keyed.groupBy("_group_key").agg(*aggs).collect()]
+    overall = _models_from_rows([merge_gram_rows(rows, len(feature_cols))] if rows else [], feature_cols, alpha, None)
+    by_group = _models_from_rows([r for r in rows if r["_group_key"] is not None], feature_cols, alpha, group_col,
+                                 lambda r: r["_group_key"])
     if not overall.coefficients:
         raise ValueError(f"the time split at season {train_end_season} leaves an empty train or test set")
     if not by_group.coefficients:
@@ -212,7 +218,7 @@ def fit_overall_and_by_group(df: DataFrame, *, feature_cols: Sequence[str], targ
 def train_ridge(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str = "season",
                 train_end_season: int, alpha: float = 1.0) -> RidgeModel:
     """One ridge model on season <= T; fails if either side of the split is empty."""
-    _check_columns(df, list(feature_cols) + [target_col, season_col])
+    require_columns(df, list(feature_cols) + [target_col, season_col])
     model, rows = _fit(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
                        train_end_season=train_end_season, alpha=alpha, group_col=None)
     if not model.coefficients:
@@ -227,14 +233,8 @@ def holdout_predictions(df: DataFrame, model: RidgeModel, *, target_col: str, se
     test = df.where(F.col(season_col) > F.lit(train_end_season))
     keep = [season_col, position_col] + (["player_id"] if "player_id" in df.columns else [])
     cols = [F.col(c) for c in keep] + [F.col(target_col).cast("double").alias("y_true")]
-    if model.group_col is None or len(model.coefficients) <= CASE_MAX_GROUPS:
-        if model.group_col is not None:
-            test = test.where(F.col(model.group_col).isin(list(model.coefficients)))
-        cols.append(model.prediction().alias(out_col))
-        cols += [v.alias(k) for k, v in (extra or {}).items()]
-        return test.select(*cols)
-    pred = model.predict(test, out_col)
-    return pred.select(*cols, F.col(out_col), *[v.alias(k) for k, v in (extra or {}).items()])
+    extras = [v.alias(k) for k, v in (extra or {}).items()]
+    return model.predict(test, out_col).select(*cols, out_col, *extras)
 
 
 def holdout_metrics(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str = "season",
@@ -256,7 +256,7 @@ def compare_ridge_to_naive(df: DataFrame, *, feature_cols: Sequence[str], target
     side, metrics with one row per model). The model is fit once and both
     metric sets come from a single aggregate.
     """
-    _check_columns(df, list(feature_cols) + [target_col, season_col, position_col, naive_source_col])
+    require_columns(df, list(feature_cols) + [target_col, season_col, position_col, naive_source_col])
     model = train_ridge(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
                         train_end_season=train_end_season, alpha=alpha)
     naive = F.coalesce(F.col(naive_source_col).cast("double"), F.lit(0.0))
@@ -299,7 +299,7 @@ def train_ridge_by_position(df: DataFrame, *, feature_cols: Sequence[str], targe
     Returns (models, stacked holdout predictions). Raises if no position
     qualifies.
     """
-    _check_columns(df, list(feature_cols) + [target_col, season_col, position_col])
+    require_columns(df, list(feature_cols) + [target_col, season_col, position_col])
     scoped = df.where(F.col(position_col).isin(list(positions)))
     model, _ = _fit(scoped, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
                     train_end_season=train_end_season, alpha=alpha, group_col=position_col)
@@ -313,7 +313,7 @@ def train_ridge_by_position(df: DataFrame, *, feature_cols: Sequence[str], targe
 def predict_for_season(model: RidgeModel, df: DataFrame, *, season: int, season_col: str = "season",
                        out_col: str = "predicted_next_season_points", check_empty: bool = True) -> DataFrame:
     """Rows of one season with the model's prediction appended; errors if none."""
-    _check_columns(df, list(model.feature_cols) + [season_col])
+    require_columns(df, list(model.feature_cols) + [season_col])
     subset = df.where(F.col(season_col) == F.lit(season))
     if check_empty and subset.isEmpty():
         raise ValueError(f"No rows found for season {season}")

@@ -1,15 +1,15 @@
 """Oracle SQL (DuckDB) for every registered query.
 
 The texts rebuild each result from the raw tables independently of the
-Spark code: the testbed derivation, scoring, totals, features, the
-supervised join and the metrics are plain SQL; ridge coefficients come from
+Spark code: the testbed derivation, scoring (with its own copy of the
+weights), totals, features, the supervised join and the metrics are plain
+SQL; ridge coefficients come from
 an elimination over the normal equations written as one CTE per step.
 Doubles are rounded to 4 decimals, as on the Spark side.
 """
 
 from __future__ import annotations
 
-from seasonlab.operators.scoring import MODES, PROVIDERS, RECEPTION_WEIGHT, get_scoring_rules
 from seasonlab.plans import queries as q
 from seasonlab.sources.testbed import ROSTER_SQL, weekly_sql
 
@@ -25,7 +25,8 @@ def num(col: str, present: bool = True) -> str:
 
 
 WEEKLY_PRESENT = {"passing_yards", "passing_tds", "passing_interceptions", "rushing_yards", "rushing_tds",
-                  "receptions", "receiving_yards", "receiving_tds", "rushing_fumbles_lost", "fg_made", "pat_made"}
+                  "receptions", "receiving_yards", "receiving_tds", "rushing_fumbles_lost", "receiving_fumbles_lost",
+                  "fg_made", "pat_made"}
 
 
 def weekly_points_sql(w: dict[str, float], present=WEEKLY_PRESENT) -> str:
@@ -41,7 +42,12 @@ def weekly_points_sql(w: dict[str, float], present=WEEKLY_PRESENT) -> str:
     return " + ".join(terms)
 
 
-PPR = {**get_scoring_rules("PPR"), "xpm": 1.0, "fgm": 3.0}
+# Fixed values, written here once more: a wrong weight in the library must not reach the oracle.
+PPR = {"pass_yd": 0.04, "pass_td": 4.0, "pass_int": -2.0, "rush_yd": 0.1, "rush_td": 6.0, "rec": 1.0, "rec_yd": 0.1,
+       "rec_td": 6.0, "fumble_lost": -2.0, "def_sack": 1.0, "def_int": 2.0, "def_fumble_recovery": 2.0, "def_td": 6.0,
+       "xpm": 1.0, "fgm": 3.0}
+RECEPTION = {"PPR": 1.0, "HALF_PPR": 0.5, "STANDARD": 0.0}
+PROVIDER_NAMES = ("ESPN", "YAHOO")
 PPR_NO_REC = {**PPR, "rec": 0.0}
 POS5 = "('QB', 'RB', 'WR', 'TE', 'K')"
 POS6 = "('QB', 'RB', 'WR', 'TE', 'K', 'DST')"
@@ -80,7 +86,7 @@ def not_null(cols) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in cols)
 
 
-BASE = f"""WITH weekly AS ({weekly_sql(q.SEASONS)}),
+BASE = f"""WITH weekly AS ({weekly_sql()}),
 weekly_rank AS ({weekly_sql([q.RANK_SEASON])}),
 roster AS ({ROSTER_SQL}),
 totals AS ({totals_sql('weekly')}),
@@ -219,8 +225,13 @@ def rollup_metrics_sql(src: str) -> str:
             f"FROM ({src}) GROUP BY ROLLUP (position)")
 
 
+def exact(col: str, decimals: int = 6) -> str:
+    """The same exact input that the query gives the operator (see ``queries.exact``)."""
+    return f"CAST(CAST({col} AS DECIMAL(28, {decimals})) AS DOUBLE)"
+
+
 def avg_rank_sql(v: str) -> str:
-    k = f"round({v}, 9)"
+    k = exact(v)
     return (f"(rank() OVER (PARTITION BY position ORDER BY {k}) + "
             f"(count(*) OVER (PARTITION BY position, {k}) - 1) / 2.0e0)")
 
@@ -233,20 +244,20 @@ def pearson_sql(a: str, b: str) -> str:
 
 def ranking_sql(src: str, points: str, n: int, positions: str = POS6) -> str:
     return (f"SELECT * EXCLUDE (_rank) FROM (SELECT *, dense_rank() OVER (PARTITION BY position ORDER BY "
-            f"round({points}, 9) DESC) AS _rank FROM {src} WHERE position IN {positions} AND {points} IS NOT NULL) "
+            f"{exact(points)} DESC) AS _rank FROM {src} WHERE position IN {positions} AND {points} IS NOT NULL) "
             f"WHERE _rank <= {n}")
 
 
 def modes_sql() -> str:
-    rows = " UNION ALL ".join(f"SELECT '{p}' AS provider, '{m}' AS mode, {lit(RECEPTION_WEIGHT[m])} AS _rec_w"
-                              for p in PROVIDERS for m in MODES)
+    rows = " UNION ALL ".join(f"SELECT '{p}' AS provider, '{m}' AS mode, {lit(w)} AS _rec_w"
+                              for p in PROVIDER_NAMES for m, w in RECEPTION.items())
     return rows
 
 
-MODE_CASE = " ".join(f"WHEN '{m}' THEN {lit(w)}" for m, w in RECEPTION_WEIGHT.items())
-PROVIDER_CASE = " ".join(f"WHEN '{p}' THEN {lit(0.0)}" for p in PROVIDERS)
+MODE_CASE = " ".join(f"WHEN '{m}' THEN {lit(w)}" for m, w in RECEPTION.items())
+PROVIDER_CASE = " ".join(f"WHEN '{p}' THEN {lit(0.0)}" for p in PROVIDER_NAMES)
 LEAGUE_SQL = ("SELECT *, ([' ppr', 'Half_PPR ', 'standard'])[CAST(player_id % 3 + 1 AS INTEGER)] AS league_mode, "
-              "([' espn', 'Yahoo '])[CAST(player_id % 2 + 1 AS INTEGER)] AS league_provider FROM weekly_rank")
+              "([' espn', 'Yahoo '])[CAST(player_id % 2 + 1 AS INTEGER)] AS league_provider FROM weekly")
 GENERIC_TERMS_SQL = [("passing_yards", "pass_yd"), ("passing_tds", "pass_td"), ("passing_interceptions", "pass_int"),
                      ("rushing_yards", "rush_yd"), ("rushing_tds", "rush_td"), ("receptions", "rec"),
                      ("receiving_yards", "rec_yd"), ("receiving_tds", "rec_td"), ("rushing_fumbles_lost", "fumble_lost"),
@@ -265,7 +276,7 @@ def build() -> dict[str, str]:
     o["scan_weekly_season"] = with_base("SELECT * FROM weekly_rank", wd)
     o["scan_weekly_seasons"] = with_base("SELECT * FROM weekly", wd)
     o["scan_roster"] = with_base("SELECT * FROM roster", [])
-    o["scan_csv_roundtrip"] = with_base("SELECT * FROM weekly_rank", wd)
+    o["scan_csv_roundtrip"] = with_base("SELECT * FROM weekly", wd)
     o["sink_csv_ranking"] = with_base(ranking_sql("totals_rank", "fantasy_points", q.TOP_N), ["fantasy_points"])
     o["filter_positions5"] = with_base(f"SELECT * FROM weekly WHERE position IN {POS5}", wd)
     o["filter_positions6"] = with_base(f"SELECT * FROM weekly WHERE position IN {POS6}", wd)
@@ -288,35 +299,35 @@ def build() -> dict[str, str]:
     o["time_split_train"] = with_base(f"SELECT * FROM clean WHERE season <= {TE}", sup_doubles)
     o["time_split_test"] = with_base(f"SELECT * FROM clean WHERE season > {TE}", sup_doubles)
     o["explore_top_receiving"] = with_base(
-        "SELECT player_display_name, position, season, week, receiving_yards, receiving_tds, rushing_tds, "
-        "rushing_fumbles_lost, fg_made, pat_made FROM weekly_rank WHERE position IN ('RB', 'WR') "
+        "SELECT player_display_name, position, week, receiving_yards, receiving_tds, rushing_tds, rushing_fumbles_lost, "
+        "receiving_fumbles_lost, CAST(NULL AS DOUBLE) AS sack_fumbles_lost, fg_made, pat_made FROM weekly_rank WHERE position IN ('RB', 'WR') "
         "ORDER BY receiving_yards DESC NULLS LAST, game_id ASC LIMIT 10", ["receiving_yards"])
     o["score_generic"] = with_base(
-        "SELECT *, " + GENERIC_POINTS + " AS fantasy_points FROM (SELECT *, CAST(0.0 AS DOUBLE) AS def_sacks, "
-        "CAST(0.0 AS DOUBLE) AS def_interceptions, CAST(0.0 AS DOUBLE) AS def_fumble_recoveries, "
-        "CAST(0.0 AS DOUBLE) AS def_tds FROM weekly_rank)",
-        wd + ["def_sacks", "def_interceptions", "def_fumble_recoveries", "def_tds", "fantasy_points"])
+        "SELECT *, " + GENERIC_POINTS + " AS fantasy_points FROM weekly", wd + ["fantasy_points"])
     o["score_weekly"] = with_base(f"SELECT *, {weekly_points_sql(PPR)} AS fantasy_points_calc FROM weekly",
                                   wd + ["fantasy_points_calc"])
     o["score_all_modes"] = with_base(
         f"SELECT * EXCLUDE (_b, _r, _rec_w), _b + _r * _rec_w AS fantasy_points_calc FROM "
-        f"(SELECT *, {weekly_points_sql(PPR_NO_REC)} AS _b, {num('receptions')} AS _r FROM weekly_rank) w "
+        f"(SELECT *, {weekly_points_sql(PPR_NO_REC)} AS _b, {num('receptions')} AS _r FROM weekly) w "
         f"CROSS JOIN ({modes_sql()}) m", wd + ["fantasy_points_calc"])
     o["score_by_mode_column"] = with_base(
         f"SELECT *, {weekly_points_sql(PPR_NO_REC)} + {num('receptions')} * "
         f"((CASE upper(trim(league_mode)) {MODE_CASE} END) + (CASE upper(trim(league_provider)) {PROVIDER_CASE} END)) "
         f"AS fantasy_points_calc FROM ({LEAGUE_SQL})", wd + ["fantasy_points_calc"])
     o["score_custom_weights"] = with_base(
-        f"SELECT *, {weekly_points_sql({**PPR, 'pass_td': 6.0})} AS fantasy_points_calc FROM weekly_rank",
+        f"SELECT *, {weekly_points_sql({**PPR, 'pass_td': 6.0})} AS fantasy_points_calc FROM weekly",
         wd + ["fantasy_points_calc"])
-    age_seasons = ", ".join(str(s) for s in q.AGE_SEASONS)
     season_age = (f"SELECT player_id, season, {age_sql('season', '_birth')} AS age FROM "
-                  f"(SELECT gsis_id AS player_id, birth_date AS _birth, CAST(unnest([{age_seasons}]) AS BIGINT) AS season "
+                  f"(SELECT gsis_id AS player_id, birth_date AS _birth, unnest(generate_series("
+                  f"(SELECT min(year(o_orderdate)) FROM orders) - 1, (SELECT max(year(o_orderdate)) FROM orders) + 1)) AS season "
                   f"FROM roster WHERE birth_date IS NOT NULL)")
     o["season_age"] = with_base(season_age, ["age"])
     o["join_age"] = with_base(f"SELECT t.*, a.age FROM totals t LEFT JOIN ({season_age}) a "
                               f"ON t.player_id = a.player_id AND t.season = a.season", TOTAL_DOUBLES + ["age"])
     o["next_season_dataset"] = with_base("SELECT * FROM supervised", sup_doubles)
+    o["next_season_nullable_target"] = with_base(
+        "SELECT f.season, f.player_id, f.position, f.feat_points, n.feat_age AS next_age FROM features f JOIN features n "
+        "ON f.player_id = n.player_id AND f.position = n.position AND f.season + 1 = n.season", ["feat_points", "next_age"])
     o["season_totals"] = with_base("SELECT * FROM totals", TOTAL_DOUBLES)
     o["sum_or_zero"] = with_base(
         f"SELECT season, player_id, sum({num('passing_yards')}) AS passing_yards_sum, "
@@ -335,6 +346,13 @@ def build() -> dict[str, str]:
         f"LEFT JOIN (SELECT gsis_id, birth_date FROM roster WHERE birth_date IS NOT NULL) r ON w.player_id = r.gsis_id "
         f"WHERE w.position IN {POS5}) GROUP BY season, player_id, player_display_name, position",
         TOTAL_DOUBLES + ["age"])
+    nullable = ("SELECT season, position, player_id, CASE WHEN player_id % 5 <> 0 THEN y_true END AS y_true, "
+                "CASE WHEN player_id % 7 <> 0 THEN y_pred END AS y_pred FROM naive_all")
+    o["metrics_with_nulls"] = with_base(
+        rollup_metrics_sql(f"SELECT * FROM ({nullable}) WHERE y_true IS NOT NULL AND y_pred IS NOT NULL"), METRIC_DOUBLES)
+    o["pearson_with_nulls"] = with_base(
+        f"SELECT position, count(*) AS n, {pearson_sql('y_true', 'y_pred')} AS pearson FROM ({nullable}) "
+        f"WHERE y_true IS NOT NULL AND y_pred IS NOT NULL GROUP BY position", ["pearson"])
     o["regression_metrics"] = with_base(f"SELECT {metrics_sql()} FROM naive_all", METRIC_DOUBLES)
     o["metrics_by_position"] = with_base(f"SELECT position, {metrics_sql()} FROM naive_all GROUP BY position",
                                          METRIC_DOUBLES)
@@ -346,15 +364,15 @@ def build() -> dict[str, str]:
         f"SELECT position, count(*) AS n, {pearson_sql('feat_ppg', T)} AS pearson FROM clean GROUP BY position",
         ["pearson"])
     o["dense_rank_by_position"] = with_base(
-        f"SELECT *, dense_rank() OVER (PARTITION BY position ORDER BY round(season_fantasy_points, 9) DESC) AS rank "
-        f"FROM ({totals_sql('weekly_rank')}) WHERE position IN {POS6} AND season_fantasy_points IS NOT NULL",
+        f"SELECT *, dense_rank() OVER (PARTITION BY position ORDER BY {exact('season_fantasy_points')} DESC) AS rank "
+        f"FROM totals WHERE position IN {POS6} AND season_fantasy_points IS NOT NULL",
         TOTAL_DOUBLES)
     o["top_n_by_position"] = with_base(ranking_sql("totals", "season_fantasy_points", 10), TOTAL_DOUBLES)
     o["average_rank"] = with_base(
         f"SELECT season, player_id, position, season_fantasy_points, {avg_rank_sql('season_fantasy_points')} AS avg_rank "
         f"FROM totals", TOTAL_DOUBLES + ["avg_rank"])
     o["top_n_overall_rows"] = with_base(
-        "SELECT * FROM totals ORDER BY round(season_fantasy_points, 9) DESC, player_id, season LIMIT 100", TOTAL_DOUBLES)
+        f"SELECT * FROM totals ORDER BY {exact('season_fantasy_points')} DESC, player_id, season LIMIT 100", TOTAL_DOUBLES)
     o["union_seasons_diagonal"] = with_base(
         "SELECT * EXCLUDE (pass_attempts_sum) FROM totals WHERE season <= 1997 UNION ALL BY NAME "
         "SELECT * FROM totals WHERE season >= 1998", TOTAL_DOUBLES)
@@ -397,10 +415,10 @@ def build() -> dict[str, str]:
     o["ridge_by_position_metrics"] = with_ridge(F6, "position", rollup_metrics_sql(POS_PRED), METRIC_DOUBLES)
     o["slice_top_n_per_position"] = with_ridge(
         F6, "position", f"SELECT position, {metrics_sql()} FROM (SELECT *, row_number() OVER (PARTITION BY position "
-        f"ORDER BY round(y_true, 9) DESC, player_id, season) AS _rn FROM ({POS_PRED})) WHERE _rn <= {q.TOP_N} "
+        f"ORDER BY {exact('y_true')} DESC, player_id, season) AS _rn FROM ({POS_PRED})) WHERE _rn <= {q.TOP_N} "
         f"GROUP BY position", METRIC_DOUBLES)
     o["slice_top_n_overall"] = with_ridge(
-        F6, "position", f"SELECT {metrics_sql()} FROM (SELECT * FROM ({POS_PRED}) ORDER BY round(y_true, 9) DESC, "
+        F6, "position", f"SELECT {metrics_sql()} FROM (SELECT * FROM ({POS_PRED}) ORDER BY {exact('y_true')} DESC, "
         f"player_id, season LIMIT 100) HAVING count(*) > 0", METRIC_DOUBLES)
     o["spearman_by_position"] = with_ridge(
         F6, "position", f"SELECT position, count(*) AS n, {pearson_sql('_ra', '_rp')} AS spearman FROM "
@@ -409,9 +427,35 @@ def build() -> dict[str, str]:
     o["baseline_top_n"] = with_base(ranking_sql("totals_rank", "fantasy_points", q.TOP_N), ["fantasy_points"])
     o["forecast_next_season"] = with_ridge(F6, None, FORECAST_BODY, ["feat_age", "feat_points", FORECAST_COL])
     o["forecast_top10"] = with_ridge(
-        F6, None, f"SELECT * FROM ({FORECAST_BODY}) ORDER BY round({FORECAST_COL}, 9) DESC, player_id LIMIT 10",
+        F6, None, f"SELECT * FROM ({FORECAST_BODY}) ORDER BY {exact(FORECAST_COL)} DESC, player_id LIMIT 10",
         ["feat_age", "feat_points", FORECAST_COL])
+    o["forecast_pipeline"] = pipeline_sql()
     return o
 
 
+def pipeline_sql() -> str:
+    """All metric tables of one run: the overall and the per-position models side by side."""
+    overall, coef = ridge_ctes("clean", F6, None, "r")
+    by_position, pos_coef = ridge_ctes("clean", F6, "position", "p")
+    test = OVERALL_TEST.replace("{coef}", coef)
+    preds = POS_PRED.replace("{coef}", pos_coef)
+    names = "n, mae, rmse, r2, CAST(NULL AS DOUBLE) AS spearman"
+    body = " UNION ALL ".join([
+        f"SELECT 'ridge_vs_naive' AS section, 'ridge' AS name, {names} FROM (SELECT {metrics_sql('y_true', 'y_pred_ridge')} FROM _test)",
+        f"SELECT 'ridge_vs_naive', 'naive', {names} FROM (SELECT {metrics_sql('y_true', 'y_pred_naive')} FROM _test)",
+        f"SELECT 'position', position, {names} FROM ({rollup_metrics_sql('SELECT * FROM _preds')})",
+        f"SELECT 'top_per_position', position, {names} FROM (SELECT position, {metrics_sql()} FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY position ORDER BY y_true DESC, player_id, season) AS _rn FROM _preds) WHERE _rn <= {q.TOP_N} GROUP BY position)",
+        f"SELECT 'top_overall', 'ALL', {names} FROM (SELECT {metrics_sql()} FROM (SELECT * FROM _preds ORDER BY y_true DESC, "
+        f"player_id, season LIMIT 100) HAVING count(*) > 0)",
+        f"SELECT 'spearman', position, n, NULL, NULL, NULL, spearman FROM (SELECT position, count(*) AS n, {pearson_sql('_ra', '_rp')} "
+        f"AS spearman FROM (SELECT position, {avg_rank_sql('y_true')} AS _ra, {avg_rank_sql('y_pred')} AS _rp FROM _preds) GROUP BY position)",
+        f"SELECT 'forecast', 'rows', count(*), NULL, NULL, NULL, NULL FROM ({FORECAST_BODY.replace('{coef}', coef)})",
+    ])
+    base = BASE.replace("features AS (SELECT *,", "features_raw AS (SELECT *,", 1).replace(
+        "supervised AS (", f"features AS (SELECT * EXCLUDE (feat_points), {exact('feat_points')} AS feat_points FROM features_raw),\nsupervised AS (", 1)
+    return (f"{base}{overall}{by_position}, _test AS MATERIALIZED ({test}), _preds AS MATERIALIZED ({preds})\n"
+            f"SELECT * FROM ({rounded(body, ['mae', 'rmse', 'r2', 'spearman'])}) _o")
+
+
 ORACLES: dict[str, str] = build()

@@ -18,7 +18,6 @@ from seasonlab.operators.ranking import PLAYER_POSITIONS, filter_positions, top_
 from seasonlab.operators.ridge import (
     RidgeModel,
     fit_overall_and_by_group,
-    holdout_predictions,
     model_winner,
     predict_for_season,
     side_by_side_metrics,
@@ -50,17 +49,17 @@ def build_baseline_top_n(source, *, season: int, top_n: int = 24, scoring: Scori
                          out_path: str | None = None) -> DataFrame:
     """L1 from a source object: one season of weekly rows -> top-N per position.
 
-    ``out_path`` also writes the ranking as one CSV file with a header (the
-    result is already reduced to positions x N rows).
+    ``out_path`` also writes the ranking as CSV part files with a header, in
+    ranking order (ties can make it longer than positions x N rows).
     """
     ranking = baseline_top_n(source.load_weekly_player_stats(season), top_n=top_n, scoring=scoring)
     if out_path:
-        write_csv(ranking, out_path, single_file=True)
+        write_csv(ranking, out_path)
     return ranking
 
 
 def load_and_build_features(source, *, seasons, scoring: Scoring | None = None) -> DataFrame:
-    """L2 from a source object: all seasons in one scan, roster age, features."""
+    """L2 from a source object: the seasons (None: all) in one scan, roster age, features."""
     from seasonlab.sources.base import load_seasons
 
     return feature_table(load_seasons(source, seasons), source.load_players(), scoring=scoring)
@@ -117,6 +116,15 @@ def forecast_output(model: RidgeModel, features_clean: DataFrame, season: int, *
             .orderBy(F.col(out_col).desc(), F.col("player_id").asc(), F.col("season").asc()))
 
 
+def holdout_table(clean: DataFrame, model: RidgeModel, pos_model: RidgeModel, *, train_end_season: int) -> DataFrame:
+    """Test rows with the overall model's, the naive and the position's own prediction (null without a model)."""
+    naive = F.coalesce(F.col("feat_points").cast("double"), F.lit(0.0))
+    test = clean.where(F.col("season") > F.lit(train_end_season))
+    wide = model.predict(test, "y_pred_ridge").withColumn("y_pred_naive", naive)
+    return pos_model.predict(wide, "y_pred", keep_all=True).select(
+        "season", "position", "player_id", F.col(TARGET).cast("double").alias("y_true"), "y_pred_ridge", "y_pred_naive", "y_pred")
+
+
 def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season: int, alpha: float = 1.0,
                  feature_cols: Sequence[str] = FEATURES_6, top_n_position: int = 24, top_n_overall: int = 100,
                  materialization: str = "checkpoint", out_path: str | None = None) -> ForecastResult:
@@ -124,32 +132,29 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
     slices and Spearman -> next-season forecast with the overall model.
 
     Both models come from one aggregate pass (``fit_overall_and_by_group``).
-    The feature table (one row per player and season) feeds every fit, metric
-    and the forecast, so it is materialized once (default: a reliable
-    checkpoint in the shared checkpoint folder, see ``session.materialize``);
-    so are the two holdout prediction tables, which feed two and four outputs.
-    ``out_path`` writes the forecast as CSV with a header (parallel part files
-    in prediction order).
+    The supervised set (one row per player and pair of seasons) and the one
+    table of holdout predictions (both models and the naive forecast) feed
+    every fit, metric and slice, so each is materialized once (default: a
+    reliable checkpoint in the shared checkpoint folder, see
+    ``session.materialize``); so is the feature table, of which the forecast
+    reads one season. ``out_path`` writes the forecast as CSV with a header
+    (parallel part files in prediction order).
     """
     features = materialize(features, materialization)
-    _, clean = supervised_sets(features, feature_cols)
-    # both models from one Gram pass (overall row + one row per position)
+    clean = materialize(supervised_sets(features, feature_cols)[1], materialization)
+    # both models from one Gram pass (one row per position and one for the rest)
     model, pos_model = fit_overall_and_by_group(clean, feature_cols=list(feature_cols), target_col=TARGET,
                                                 train_end_season=train_end_season, alpha=alpha)
-    naive = F.coalesce(F.col("feat_points").cast("double"), F.lit(0.0))
-    preds = materialize(holdout_predictions(clean, model, target_col=TARGET, train_end_season=train_end_season,
-                                            out_col="y_pred_ridge", extra={"y_pred_naive": naive}), materialization)
-    vs = side_by_side_metrics(preds)
-    scoped = clean.where(F.col("position").isin(list(PLAYER_POSITIONS)))
-    pos_preds = materialize(holdout_predictions(scoped, pos_model, target_col=TARGET,
-                                                train_end_season=train_end_season), materialization)
-    features_clean = drop_nulls(features, feature_cols)
-    forecast = forecast_output(model, features_clean, forecast_season)
+    preds = materialize(holdout_table(clean, model, pos_model, train_end_season=train_end_season), materialization)
+    both = preds.drop("y_pred")
+    pos_preds = preds.where(F.col("y_pred").isNotNull()).drop("y_pred_ridge", "y_pred_naive")
+    vs = side_by_side_metrics(both)
+    forecast = forecast_output(model, drop_nulls(features, feature_cols), forecast_season)
     if out_path:
         write_csv(forecast, out_path)
     return ForecastResult(
         overall_model=model,
-        ridge_vs_naive_predictions=preds,
+        ridge_vs_naive_predictions=both,
         ridge_vs_naive=vs,
         winner=model_winner(vs),
         position_model=pos_model,
@@ -157,6 +162,6 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
         position_metrics=metrics_with_overall(pos_preds),
         slice_top_per_position=top_n_per_position_metrics(pos_preds, n=top_n_position),
         slice_top_overall=top_n_overall_metrics(pos_preds, n=top_n_overall),
-        spearman=spearman_rank_by_position(pos_preds, input_materialized=materialization != "none"),
+        spearman=spearman_rank_by_position(pos_preds),
         forecast=forecast,
     )

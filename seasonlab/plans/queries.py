@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonlab.functions.columns import drop_nulls, num_or_null, num_or_zero, tie_key
+from seasonlab.functions.columns import drop_nulls, num_or_null, num_or_zero
 from seasonlab.functions.dates import age_on_reference_date, parse_date_lenient, season_reference_date
 from seasonlab.operators import aggregate as agg
 from seasonlab.operators import evaluation as ev
@@ -24,22 +24,21 @@ from seasonlab.operators import metrics as met
 from seasonlab.operators import ranking as rk
 from seasonlab.operators import ridge as rg
 from seasonlab.operators import scoring as sc
-from seasonlab.operators.dataset import split_seasons, time_split
+from seasonlab.operators.dataset import build_next_season_dataset, split_seasons, time_split
 from seasonlab.plans import pipelines as pl
 from seasonlab.session import materialize
 from seasonlab.sources.base import TestbedSource
 from seasonlab.sources.readers import csv_round_trip, union_by_name
-from seasonlab.sources.testbed import roster_from_tables, weekly_from_tables
+from seasonlab.sources.testbed import roster_from_tables, seasons_in_tables, weekly_from_tables
 
 # Fixed parameters of the registered queries (the testbed covers 1995-2001;
-# 2001 ends on August 1, so its pairs only serve as targets).
-SEASONS = tuple(range(1995, 2002))
+# 2001 ends on August 1, so its pairs only serve as targets). The seasons
+# themselves are those that the data has.
 RANK_SEASON = 2000
 TOP_N = 24
 TRAIN_END = 1998
 FORECAST_SEASON = 2001
 ALPHA = 1.0
-AGE_SEASONS = tuple(range(SEASONS[0] - 1, SEASONS[-1] + 2))
 FEATURES_2 = ("feat_ppg", "feat_carries_pg")
 FEATURES_6 = pl.FEATURES_6
 TARGET = pl.TARGET
@@ -54,9 +53,25 @@ def round_doubles(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     return df.withColumns(rounded) if rounded else df
 
 
+def exact(df: DataFrame, *cols: str, decimals: int = 6) -> DataFrame:
+    """Doubles as the nearest value of ``decimals`` decimal places.
+
+    The queries that rank or cut by a sum give the operators such input, as
+    the oracle does: the last bits of a sum depend on the order of adding, and
+    would make ties of one engine no ties of the other.
+    """
+    return df.withColumns({c: F.col(c).cast(f"decimal(28,{decimals})").cast("double") for c in cols})
+
+
+def age_seasons(spark, sf):
+    """The seasons of the data, with one before and one after."""
+    found = seasons_in_tables(spark, sf)
+    return range(found.start - 1, found.stop + 1) if found else found
+
+
 # -- shared building blocks -------------------------------------------------
 
-def weekly(spark, sf, seasons=SEASONS):
+def weekly(spark, sf, seasons=None):
     return weekly_from_tables(spark, sf, seasons)
 
 
@@ -64,7 +79,7 @@ def roster(spark, sf):
     return roster_from_tables(spark, sf)
 
 
-def totals(spark, sf, seasons=SEASONS):
+def totals(spark, sf, seasons=None):
     return pl.scored_season_totals(weekly(spark, sf, seasons))
 
 
@@ -118,7 +133,7 @@ def q_scan_weekly_season(spark, sf):
 
 
 def q_scan_weekly_seasons(spark, sf):
-    return weekly(spark, sf, SEASONS)
+    return weekly(spark, sf)
 
 
 def q_scan_roster(spark, sf):
@@ -126,12 +141,11 @@ def q_scan_roster(spark, sf):
 
 
 def q_scan_csv_roundtrip(spark, sf):
-    return csv_round_trip(weekly(spark, sf, [RANK_SEASON]), "weekly-csv")
+    return csv_round_trip(weekly(spark, sf), "weekly-csv")
 
 
 def q_sink_csv_ranking(spark, sf):
-    ranking = pl.baseline_top_n(weekly(spark, sf, [RANK_SEASON]), top_n=TOP_N)
-    return csv_round_trip(ranking, "ranking-csv", single_file=True)
+    return csv_round_trip(q_baseline_top_n(spark, sf), "ranking-csv")
 
 
 def q_filter_positions5(spark, sf):
@@ -182,16 +196,18 @@ def q_time_split_test(spark, sf):
 
 
 def q_explore_top_receiving(spark, sf):
+    """Ten rows of one season; rows without yards come last, ties by game."""
     w = weekly(spark, sf, [RANK_SEASON])
     return (rk.filter_positions(w, ("RB", "WR"))
             .orderBy(F.col("receiving_yards").desc_nulls_last(), F.col("game_id").asc())
             .limit(10)
-            .select("player_display_name", "position", "season", "week", "receiving_yards", "receiving_tds",
-                    "rushing_tds", "rushing_fumbles_lost", "fg_made", "pat_made"))
+            .select("player_display_name", "position", "week", "receiving_yards", "receiving_tds",
+                    "rushing_tds", "rushing_fumbles_lost", "receiving_fumbles_lost",
+                    num_or_null(w, "sack_fumbles_lost").alias("sack_fumbles_lost"), "fg_made", "pat_made"))
 
 
 def q_score_generic(spark, sf):
-    return sc.add_fantasy_points(weekly(spark, sf, [RANK_SEASON]), sc.scoring_from_mode("PPR"),
+    return sc.add_fantasy_points(weekly(spark, sf), sc.scoring_from_mode("PPR"),
                                  int_col="passing_interceptions", fumble_lost_col="rushing_fumbles_lost")
 
 
@@ -200,7 +216,7 @@ def q_score_weekly(spark, sf):
 
 
 def q_score_all_modes(spark, sf):
-    return sc.add_weekly_points_all_modes(weekly(spark, sf, [RANK_SEASON]))
+    return sc.add_weekly_points_all_modes(weekly(spark, sf))
 
 
 def league_columns(df: DataFrame) -> DataFrame:
@@ -214,20 +230,20 @@ def league_columns(df: DataFrame) -> DataFrame:
 
 
 def q_score_by_mode_column(spark, sf):
-    return sc.add_weekly_points_by_mode_column(league_columns(weekly(spark, sf, [RANK_SEASON])),
+    return sc.add_weekly_points_by_mode_column(league_columns(weekly(spark, sf)),
                                                mode_col="league_mode", provider_col="league_provider")
 
 
 def q_score_custom_weights(spark, sf):
-    return sc.add_weekly_points(weekly(spark, sf, [RANK_SEASON]), sc.scoring_from_mode("PPR").with_weights(pass_td=6.0))
+    return sc.add_weekly_points(weekly(spark, sf), sc.scoring_from_mode("PPR").with_weights(pass_td=6.0))
 
 
 def q_season_age(spark, sf):
-    return feat.derive_season_age(roster(spark, sf), seasons=AGE_SEASONS)
+    return feat.derive_season_age(roster(spark, sf), seasons=age_seasons(spark, sf))
 
 
 def q_join_age(spark, sf):
-    lookup = feat.derive_season_age(roster(spark, sf), seasons=AGE_SEASONS)
+    lookup = feat.derive_season_age(roster(spark, sf), seasons=age_seasons(spark, sf))
     return feat.join_age_to_features(totals(spark, sf), lookup)
 
 
@@ -235,6 +251,12 @@ def q_next_season_dataset(spark, sf):
     return supervised(spark, sf)[0]
 
 
+def q_next_season_nullable_target(spark, sf):
+    """Next season's age as the target: null where it isn't known, and such pairs stay."""
+    pairs = build_next_season_dataset(features(spark, sf), target_col="feat_age", out_target_col="next_age")
+    return pairs.select("season", "player_id", "position", "feat_points", "next_age")
+
+
 def q_season_totals(spark, sf):
     return totals(spark, sf)
 
@@ -257,6 +279,20 @@ def q_season_totals_with_age(spark, sf):
     return agg.season_totals(scored)
 
 
+def nullable_pairs(spark, sf):
+    """Actuals and predictions that are each null on some rows."""
+    return naive_all_pairs(spark, sf).withColumns({
+        "y_true": F.when(F.col("player_id") % 5 != 0, F.col("y_true")), "y_pred": F.when(F.col("player_id") % 7 != 0, F.col("y_pred"))})
+
+
+def q_metrics_with_nulls(spark, sf):
+    return met.metrics_with_overall(nullable_pairs(spark, sf))
+
+
+def q_pearson_with_nulls(spark, sf):
+    return met.pearson_by_group(nullable_pairs(spark, sf), "y_true", "y_pred", group_cols=["position"])
+
+
 def q_regression_metrics(spark, sf):
     return met.regression_metrics(naive_all_pairs(spark, sf))
 
@@ -278,22 +314,23 @@ def q_pearson_by_group(spark, sf):
 
 
 def q_dense_rank_by_position(spark, sf):
-    t = totals(spark, sf, [RANK_SEASON])
+    t = exact(totals(spark, sf), "season_fantasy_points")
     return rk.with_dense_rank(rk.filter_positions(t, rk.RANKING_POSITIONS), points_col="season_fantasy_points")
 
 
 def q_top_n_by_position(spark, sf):
-    return rk.top_n_by_position(totals(spark, sf), points_col="season_fantasy_points", n=10)
+    t = exact(totals(spark, sf), "season_fantasy_points")
+    return rk.top_n_by_position(t, points_col="season_fantasy_points", n=10)
 
 
 def q_average_rank(spark, sf):
-    t = totals(spark, sf).select("season", "player_id", "position", "season_fantasy_points")
+    t = exact(totals(spark, sf).select("season", "player_id", "position", "season_fantasy_points"), "season_fantasy_points")
     return rk.average_rank(t, value_col="season_fantasy_points", group_cols=["position"], out_col="avg_rank")
 
 
 def q_top_n_overall_rows(spark, sf):
-    t = totals(spark, sf)
-    return t.orderBy(tie_key("season_fantasy_points").desc(), "player_id", "season").limit(100)
+    t = exact(totals(spark, sf), "season_fantasy_points")
+    return t.orderBy(F.col("season_fantasy_points").desc(), "player_id", "season").limit(100)
 
 
 def q_union_seasons_diagonal(spark, sf):
@@ -305,8 +342,8 @@ def q_union_seasons_diagonal(spark, sf):
 
 def q_union_predictions(spark, sf):
     # one frame per position, as when each comes from its own source; they all
-    # read one checkpointed feature table instead of re-deriving it per frame
-    preds = naive_holdout(spark, sf, materialized=True)
+    # read one checkpointed predictions table
+    preds = materialize(naive_holdout(spark, sf))
     frames = []
     for pos in rk.PLAYER_POSITIONS:
         frame = preds.where(F.col("position") == pos)
@@ -340,7 +377,7 @@ def q_season_features(spark, sf):
 
 
 def q_feature_table(spark, sf):
-    return pl.load_and_build_features(TestbedSource(spark, sf), seasons=SEASONS)
+    return pl.load_and_build_features(TestbedSource(spark, sf), seasons=None)
 
 
 def q_ridge_fit_2feat(spark, sf):
@@ -397,19 +434,21 @@ def q_ridge_by_position_metrics(spark, sf):
 
 
 def q_slice_top_n_per_position(spark, sf):
-    return ev.top_n_per_position_metrics(position_predictions(spark, sf), n=TOP_N)
+    return ev.top_n_per_position_metrics(exact(position_predictions(spark, sf), "y_true", "y_pred"), n=TOP_N)
 
 
 def q_slice_top_n_overall(spark, sf):
-    return ev.top_n_overall_metrics(position_predictions(spark, sf), n=100)
+    return ev.top_n_overall_metrics(exact(position_predictions(spark, sf), "y_true", "y_pred"), n=100)
 
 
 def q_spearman_by_position(spark, sf):
-    return ev.spearman_rank_by_position(position_predictions(spark, sf))
+    return ev.spearman_rank_by_position(exact(position_predictions(spark, sf), "y_true", "y_pred"))
 
 
 def q_baseline_top_n(spark, sf):
-    return pl.build_baseline_top_n(TestbedSource(spark, sf), season=RANK_SEASON, top_n=TOP_N)
+    weekly_rows = TestbedSource(spark, sf).load_weekly_player_stats(RANK_SEASON)
+    t = exact(pl.scored_season_totals(weekly_rows, out_points_col="fantasy_points"), "fantasy_points")
+    return rk.top_n_by_position(t, n=TOP_N)
 
 
 def q_forecast_next_season(spark, sf):
@@ -420,9 +459,22 @@ def q_forecast_next_season(spark, sf):
 
 
 def q_forecast_top10(spark, sf):
-    out = q_forecast_next_season(spark, sf)
     col = f"predicted_{FORECAST_SEASON + 1}_points"
-    return out.orderBy(tie_key(col).desc(), "player_id").limit(10)
+    out = exact(q_forecast_next_season(spark, sf), col)
+    return out.orderBy(F.col(col).desc(), "player_id").limit(10)
+
+
+def q_forecast_pipeline(spark, sf):
+    """Every metric table of one run of the whole pipeline, stacked: section, name, n, mae, rmse, r2, spearman."""
+    r = pl.run_forecast(exact(features(spark, sf), "feat_points"), train_end_season=TRAIN_END, forecast_season=FORECAST_SEASON, alpha=ALPHA)
+    tables = (("ridge_vs_naive", r.ridge_vs_naive.withColumnRenamed("model", "name")),
+              ("position", r.position_metrics.withColumnRenamed("position", "name")),
+              ("top_per_position", r.slice_top_per_position.withColumnRenamed("position", "name")),
+              ("top_overall", r.slice_top_overall.withColumn("name", F.lit("ALL"))),
+              ("spearman", r.spearman.withColumnRenamed("position", "name")),
+              ("forecast", r.forecast.agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit("rows"))))
+    stacked = union_by_name(df.withColumn("section", F.lit(section)) for section, df in tables)
+    return stacked.select("section", "name", "n", "mae", "rmse", "r2", "spearman")
 
 
 RAW_QUERIES: dict[str, Query] = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -27,6 +27,9 @@ BASE_CONF = {
 }
 
 
+_SCRATCH: list[tempfile.TemporaryDirectory] = []
+
+
 def build_session(master: str | None = None, *, app_name: str = "seasonlab",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
@@ -49,12 +52,11 @@ def build_session(master: str | None = None, *, app_name: str = "seasonlab",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``; a missing setting is an error.
 
-    The cluster's setting always wins. Only a local-mode session (tests, a
-    laptop) without one gets a fresh scratch folder; on a cluster a missing
-    setting is an error, because a machine-local folder would not survive
-    the loss of the executor that wrote it.
+    A machine-local folder would not survive the loss of the executor that
+    wrote it, so the library never picks one. Sessions of one machine (tests,
+    a laptop) can take one from ``use_local_scratch``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,13 +64,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...)")
-        configured = tempfile.mkdtemp(prefix="seasonlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...)")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def use_local_scratch(spark: SparkSession) -> None:
+    """Give a one-machine session (``local`` or ``local[...]``) without ``spark.checkpoint.dir`` a scratch folder.
+
+    The folder is removed when the process ends. Any other master is left alone.
+    """
+    sc = spark.sparkContext
+    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured or not re.fullmatch(r"local(\[.*\])?", sc.master):
+        return
+    folder = tempfile.TemporaryDirectory(prefix="seasonlab-")
+    _SCRATCH.append(folder)  # removed with the interpreter
+    sc.setCheckpointDir(folder.name)
+
+
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Materialize a table that several later passes read.
 

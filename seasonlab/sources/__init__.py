@@ -1,7 +1,6 @@
 """Sources and sinks (file/table scans, CSV) and the testbed derivation."""
 
 from seasonlab.sources.base import DatasetSource, TestbedSource, WeeklySource, load_seasons
-
 from seasonlab.sources.readers import (
     csv_round_trip,
     load_players,
@@ -9,10 +8,11 @@ from seasonlab.sources.readers import (
     read_csv,
     read_dataset,
     scratch_path,
+    typed_weekly,
     union_by_name,
     write_csv,
 )
-from seasonlab.sources.testbed import ROSTER_SQL, roster_from_tables, table, weekly_from_tables, weekly_sql
+from seasonlab.sources.testbed import ROSTER_SQL, roster_from_tables, seasons_in_tables, table, weekly_from_tables, weekly_sql
 
 __all__ = [
     "DatasetSource",
@@ -27,7 +27,9 @@ __all__ = [
     "read_dataset",
     "roster_from_tables",
     "scratch_path",
+    "seasons_in_tables",
     "table",
+    "typed_weekly",
     "union_by_name",
     "weekly_from_tables",
     "weekly_sql",

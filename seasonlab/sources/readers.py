@@ -1,8 +1,8 @@
 """Readers and sinks: weekly stats, roster, CSV round trips.
 
 A "source" is any DataFrame with the weekly columns; these helpers cover the
-usual storage: a (season-partitioned) parquet/ORC/CSV dataset, a catalog
-table, or a JDBC table. Season selection is a predicate, so on a dataset
+usual storage: a (season-partitioned) parquet/ORC/CSV/JSON dataset or a catalog
+table. Season selection is a predicate, so on a dataset
 partitioned by ``season`` it becomes a partition filter and whole folders are
 skipped; on other layouts it is pushed to the file scan.
 """
@@ -37,6 +37,31 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", *, schema
     return reader.load(path) if fmt != "table" else spark.read.table(path)
 
 
+# Columns of weekly rows that name things; of the rest, text that bears one of
+# these words is a statistic.
+LABEL_COLUMNS = ("player_id", "player_display_name", "position", "season_type")
+WHOLE_COLUMNS = ("season", "week", "game_id")
+STATISTIC_WORDS = ("yards", "tds", "interceptions", "receptions", "fumble", "carries", "targets", "attempts",
+                   "made", "sacks", "age")
+
+
+def typed_weekly(df: DataFrame) -> DataFrame:
+    """Weekly rows whose text columns have their types: seasons, weeks and games bigint, statistics double.
+
+    Columns with a type keep it; ids and names stay text. Text that is no
+    number becomes null.
+    """
+    casts = {}
+    for f in df.schema.fields:
+        if f.dataType.typeName() != "string" or f.name in LABEL_COLUMNS:
+            continue
+        if f.name in WHOLE_COLUMNS:
+            casts[f.name] = F.expr(f"try_cast(`{f.name}` AS BIGINT)")
+        elif any(w in f.name for w in STATISTIC_WORDS):
+            casts[f.name] = F.expr(f"try_cast(`{f.name}` AS DOUBLE)")
+    return df.withColumns(casts) if casts else df
+
+
 def load_weekly_player_stats(spark: SparkSession, path: str, seasons: int | Iterable[int] | None = None, *,
                              fmt: str = "parquet", season_col: str = "season", season_type: str | None = None,
                              season_type_col: str = "season_type", **kw) -> DataFrame:
@@ -45,7 +70,7 @@ def load_weekly_player_stats(spark: SparkSession, path: str, seasons: int | Iter
     By default every game of the season is kept (regular season and
     playoffs alike); ``season_type`` (e.g. ``"REG"``) keeps one kind only.
     """
-    df = read_dataset(spark, path, fmt, **kw)
+    df = typed_weekly(read_dataset(spark, path, fmt, **kw))
     if seasons is not None:
         wanted = [int(seasons)] if isinstance(seasons, int) else [int(s) for s in seasons]
         df = df.where(F.col(season_col).isin(wanted))
@@ -69,10 +94,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/seasonlab-{name}-{uuid.uuid4().hex}"
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str = "overwrite") -> None:
-    """CSV with a header. ``single_file`` only for already-reduced outputs (rankings)."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", "true").csv(path)
+def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    """CSV part files with a header each, in the order of ``df``."""
+    df.write.mode(mode).option("header", "true").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -80,9 +104,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
-def csv_round_trip(df: DataFrame, name: str = "csv", *, single_file: bool = False) -> DataFrame:
+def csv_round_trip(df: DataFrame, name: str = "csv") -> DataFrame:
     """Write ``df`` as CSV to the shared scratch area and read it back with its schema."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    write_csv(df, path, single_file=single_file)
+    write_csv(df, path)
     return read_csv(spark, path, df.schema)

@@ -6,22 +6,27 @@ ordering customer (the player); line items are the plays.
 
   season / week        year / ISO week of o_orderdate
   player               customer: id c_custkey, name c_name
-  position             nation 24 -> LS (filtered out later); else by market
-                       segment: AUTOMOBILE QB, BUILDING RB, FURNITURE WR,
-                       HOUSEHOLD TE, other K
+  position             nation 24 -> LS (filtered out later), nation 23 -> DST;
+                       else by market segment: AUTOMOBILE QB, BUILDING RB,
+                       FURNITURE WR, HOUSEHOLD TE, other K
   passing_*            return flag A lines (yards = quantity, TD = discount >= 0.05)
   rushing_*            flag N lines;  receiving_* flag R lines
   passing_interceptions  lines with tax >= 0.07
   receptions           lines with status O
   rushing_fumbles_lost 1 when the order has a line number 7, else null
   fg_made / pat_made   lines numbered 1 / 2
+  receiving_fumbles_lost  lines numbered 6 with flag R (null if none)
   attempts / carries / targets   lines with flag A / N / R
+  def_sacks, def_interceptions, def_fumble_recoveries, def_tds
+                       DST rows only, else null: lines numbered 3, 4, 5 and
+                       lines with discount >= 0.09
 
 Spark plan: ``lineitem`` (the largest table) is aggregated per order first,
 so it is shuffled once as partial aggregates and arrives hash-partitioned on
 the order key, which the join with ``orders`` reuses; the customer join then
 moves one row per order. A season filter becomes a range predicate on
-``o_orderdate`` that reaches the parquet scan.
+``o_orderdate`` that reaches the parquet scan, and a semi join with the chosen
+orders' keys keeps the other seasons' line items out of the aggregate.
 """
 
 from __future__ import annotations
@@ -35,7 +40,9 @@ from pyspark.sql import functions as F
 POSITION_BY_SEGMENT = (("AUTOMOBILE", "QB"), ("BUILDING", "RB"), ("FURNITURE", "WR"), ("HOUSEHOLD", "TE"))
 OTHER_POSITION = "K"
 FILTERED_NATION, FILTERED_POSITION = 24, "LS"
+DEFENSE_NATION, DEFENSE_POSITION = 23, "DST"
 TD_DISCOUNT, INT_TAX, FUMBLE_LINE, FG_LINE, PAT_LINE = 0.05, 0.07, 7, 1, 2
+REC_FUMBLE_LINE, SACK_LINE, DEF_INT_LINE, RECOVERY_LINE, DEF_TD_DISCOUNT = 6, 3, 4, 5, 0.09
 
 
 # Physical layout of the tables the testbed reads. Passing it to the reader
@@ -83,6 +90,11 @@ def weekly_from_tables(spark: SparkSession, sf_dir: str, seasons: Iterable[int]
     li = table(spark, sf_dir, "lineitem")
     rf, qty, disc = F.col("l_returnflag"), F.col("l_quantity"), F.col("l_discount")
     ln = F.col("l_linenumber")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if seasons is not None:
+        dtype = orders.schema["o_orderdate"].dataType.simpleString()
+        orders = orders.where(season_predicate(F.col("o_orderdate"), seasons, dtype))
+        li = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     per_order = li.groupBy("l_orderkey").agg(
         F.sum(F.when(rf == "A", qty)).alias("passing_yards"),
         F.count_if((rf == "A") & (disc >= TD_DISCOUNT)).alias("passing_tds"),
@@ -93,22 +105,26 @@ def weekly_from_tables(spark: SparkSession, sf_dir: str, seasons: Iterable[int]
         F.count_if((rf == "R") & (disc >= TD_DISCOUNT)).alias("receiving_tds"),
         F.count_if(F.col("l_linestatus") == "O").alias("receptions"),
         (F.max(F.when(ln == FUMBLE_LINE, ln)) - F.lit(FUMBLE_LINE - 1)).cast("long").alias("rushing_fumbles_lost"),
+        F.max(F.when((ln == REC_FUMBLE_LINE) & (rf == "R"), F.lit(1))).cast("long").alias("receiving_fumbles_lost"),
         F.count_if(ln == FG_LINE).alias("fg_made"),
         F.count_if(ln == PAT_LINE).alias("pat_made"),
         F.count_if(rf == "A").alias("attempts"),
         F.count_if(rf == "N").alias("carries"),
         F.count_if(rf == "R").alias("targets"),
+        F.count_if(ln == SACK_LINE).alias("def_sacks"),
+        F.count_if(ln == DEF_INT_LINE).alias("def_interceptions"),
+        F.count_if(ln == RECOVERY_LINE).alias("def_fumble_recoveries"),
+        F.count_if(disc >= DEF_TD_DISCOUNT).alias("def_tds"),
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    if seasons is not None:
-        dtype = orders.schema["o_orderdate"].dataType.simpleString()
-        orders = orders.where(season_predicate(F.col("o_orderdate"), seasons, dtype))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    position = F.when(F.col("c_nationkey") == FILTERED_NATION, F.lit(FILTERED_POSITION))
+    nation = F.col("c_nationkey")
+    position = F.when(nation == FILTERED_NATION, F.lit(FILTERED_POSITION)).when(nation == DEFENSE_NATION, F.lit(DEFENSE_POSITION))
     for seg, pos in POSITION_BY_SEGMENT:
         position = position.when(F.col("c_mktsegment") == seg, F.lit(pos))
     position = position.otherwise(F.lit(OTHER_POSITION))
-    stats = [c for c in per_order.columns if c != "l_orderkey"]
+    defense = nation == DEFENSE_NATION
+    stats = [F.when(defense, F.col(c)).alias(c) if c.startswith("def_") else F.col(c)
+             for c in per_order.columns if c != "l_orderkey"]
     return (orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
             .join(customer, F.col("o_custkey") == F.col("c_custkey"), "inner")
             .select(F.col("o_orderkey").alias("game_id"),
@@ -120,6 +136,12 @@ def weekly_from_tables(spark: SparkSession, sf_dir: str, seasons: Iterable[int]
                     *stats))
 
 
+def seasons_in_tables(spark: SparkSession, sf_dir: str) -> range:
+    """All seasons from the first to the last order's year (one small aggregate; empty without orders)."""
+    years = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    return range(years["a"].year, years["b"].year + 1) if years["a"] else range(0)
+
+
 def roster_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gsis_id, display_name, birth_date (text; some null, some unparseable)."""
     c = table(spark, sf_dir, "customer")
@@ -145,7 +167,7 @@ def weekly_sql(seasons: Iterable[int] | None = None) -> str:
     return f"""
 SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS BIGINT) AS season,
   CAST(weekofyear(o_orderdate) AS BIGINT) AS week, o_custkey AS player_id, c_name AS player_display_name,
-  CASE WHEN c_nationkey = 24 THEN 'LS' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'QB'
+  CASE WHEN c_nationkey = 24 THEN 'LS' WHEN c_nationkey = 23 THEN 'DST' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'QB'
        WHEN c_mktsegment = 'BUILDING' THEN 'RB' WHEN c_mktsegment = 'FURNITURE' THEN 'WR'
        WHEN c_mktsegment = 'HOUSEHOLD' THEN 'TE' ELSE 'K' END AS position,
   sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS passing_yards,
@@ -157,11 +179,16 @@ SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS BIGINT) AS season,
   count(*) FILTER (WHERE l_returnflag = 'R' AND l_discount >= 0.05) AS receiving_tds,
   count(*) FILTER (WHERE l_linestatus = 'O') AS receptions,
   CAST(max(l_linenumber) FILTER (WHERE l_linenumber = 7) - 6 AS BIGINT) AS rushing_fumbles_lost,
+  CAST(max(CASE WHEN l_linenumber = 6 AND l_returnflag = 'R' THEN 1 END) AS BIGINT) AS receiving_fumbles_lost,
   count(*) FILTER (WHERE l_linenumber = 1) AS fg_made,
   count(*) FILTER (WHERE l_linenumber = 2) AS pat_made,
   count(*) FILTER (WHERE l_returnflag = 'A') AS attempts,
   count(*) FILTER (WHERE l_returnflag = 'N') AS carries,
-  count(*) FILTER (WHERE l_returnflag = 'R') AS targets
+  count(*) FILTER (WHERE l_returnflag = 'R') AS targets,
+  CASE WHEN c_nationkey = 23 THEN count(*) FILTER (WHERE l_linenumber = 3) END AS def_sacks,
+  CASE WHEN c_nationkey = 23 THEN count(*) FILTER (WHERE l_linenumber = 4) END AS def_interceptions,
+  CASE WHEN c_nationkey = 23 THEN count(*) FILTER (WHERE l_linenumber = 5) END AS def_fumble_recoveries,
+  CASE WHEN c_nationkey = 23 THEN count(*) FILTER (WHERE l_discount >= 0.09) END AS def_tds
 FROM (SELECT * FROM orders {_seasons_sql(seasons)}) o
 JOIN customer ON c_custkey = o_custkey
 JOIN lineitem ON l_orderkey = o_orderkey

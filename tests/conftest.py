@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from seasonlab.session import build_session  # noqa: E402
+from seasonlab.session import build_session, use_local_scratch  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -13,6 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", app_name="seasonlab-tests", shuffle_partitions=8)
+    use_local_scratch(s)
     yield s
     s.stop()
 

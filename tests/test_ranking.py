@@ -14,9 +14,9 @@ def players(spark, data):
 
 
 def test_top_n_filters_positions_and_ranks(spark):
-    df = players(spark, [("a", "QB", 10.0), ("b", "QB", 20.0), ("c", "RB", 5.0), ("d", "RB", 15.0), ("e", "LS", 999.0)])
+    df = players(spark, [("north", "TE", 3.5), ("south", "TE", 7.25), ("east", "DST", 1.0), ("west", "DST", -4.0), ("snapper", "LS", 80.0)])
     out = top_n_by_position(df, n=1)
-    assert {r["player"] for r in out.collect()} == {"b", "d"}
+    assert {r["player"] for r in out.collect()} == {"south", "east"}
     assert out.columns == df.columns
 
 
@@ -59,13 +59,13 @@ def test_first_n_exact_with_tiebreak(spark):
     assert rows(out, "player_id") == [("a",)]
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 64])
-def test_average_rank_matches_brute_force(spark, buckets):
+@pytest.mark.parametrize("rows_per_bucket", [1, 7, 100_000])
+def test_average_rank_matches_brute_force(spark, rows_per_bucket):
     rnd = random.Random(7)
     data = [(rnd.choice("ABC"), float(rnd.randint(0, 12)) if rnd.random() > 0.1 else None, i) for i in range(300)]
     df = spark.createDataFrame(data, "g string, v double, id long")
-    got = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r", buckets=buckets,
-                                                 strategy="buckets").collect()}
+    got = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r",
+                                                 rows_per_bucket=rows_per_bucket).collect()}
     pdf = pd.DataFrame(data, columns=["g", "v", "id"])
     pdf["r"] = pdf.groupby("g")["v"].rank(method="average")
     for _, row in pdf.iterrows():
@@ -73,19 +73,12 @@ def test_average_rank_matches_brute_force(spark, buckets):
             assert got[row["id"]] is None
         else:
             assert got[row["id"]] == pytest.approx(row["r"])
-    win = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r", strategy="window").collect()}
-    for key, value in got.items():
-        if value is None:
-            assert win[key] is None
-        else:
-            assert win[key] == pytest.approx(value)
 
 
 def test_average_rank_without_groups(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (3.0,), (2.0,)], "v double")
-    for strategy in ("window", "buckets"):
-        got = sorted(r["avg_rank"] for r in average_rank(df, value_col="v", buckets=2, strategy=strategy).collect())
-        assert got == [1.5, 1.5, 3.0, 4.0]
+    out = average_rank(df, value_col="v", rows_per_bucket=2)
+    assert sorted(r["avg_rank"] for r in out.collect()) == [1.5, 1.5, 3.0, 4.0] and out.columns == ["v", "avg_rank"]
 
 
 def test_spearman_matches_brute_force(spark):
@@ -93,45 +86,26 @@ def test_spearman_matches_brute_force(spark):
     data = [(rnd.choice(["RB", "WR"]), float(rnd.randint(0, 30)), float(rnd.randint(0, 30))) for _ in range(200)]
     df = spark.createDataFrame(data, "position string, y_true double, y_pred double")
     pdf = pd.DataFrame(data, columns=["position", "a", "b"])
-    for strategy in ("window", "buckets"):
-        got = {r["position"]: r["spearman"] for r in spearman_rank_by_position(df, buckets=4, strategy=strategy).collect()}
-        for pos, grp in pdf.groupby("position"):
-            assert got[pos] == pytest.approx(grp["a"].rank().corr(grp["b"].rank()), abs=1e-12)
+    got = {r["position"]: r["spearman"] for r in spearman_rank_by_position(df).collect()}
+    for pos, grp in pdf.groupby("position"):
+        assert got[pos] == pytest.approx(grp["a"].rank().corr(grp["b"].rank()), abs=1e-12)
 
 
 @pytest.mark.parametrize("method,pandas_method", [("average", "average"), ("min", "min"), ("dense", "dense")])
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("strategy", ["window", "buckets"])
-def test_rank_methods_match_brute_force(spark, method, pandas_method, descending, strategy):
+def test_rank_methods_match_brute_force(spark, method, pandas_method, descending):
     from seasonlab.operators.ranking import ranked
     rnd = random.Random(11)
     data = [(rnd.choice("AB"), float(rnd.randint(-5, 8)) if rnd.random() > 0.1 else None, i) for i in range(150)]
     df = spark.createDataFrame(data, "g string, v double, id long")
     got = {r["id"]: r["r"] for r in ranked(df, value_col="v", group_cols=["g"], out_col="r", method=method,
-                                            descending=descending, buckets=4, strategy=strategy).collect()}
+                                            descending=descending, rows_per_bucket=4).collect()}
     pdf = pd.DataFrame(data, columns=["g", "v", "id"])
     pdf["r"] = pdf.groupby("g")["v"].rank(method=pandas_method, ascending=not descending)
     for i, r in zip(pdf["id"], pdf["r"]):
         assert got[i] is None if pd.isna(r) else got[i] == pytest.approx(r)
 
 
-def test_auto_strategy_uses_measured_group_size(spark):
-    from seasonlab.operators.ranking import choose_rank_strategy, largest_group_rows
-    df = spark.createDataFrame([("A", 1.0)] * 5 + [("B", 2.0)] * 2, "g string, v double")
-    assert largest_group_rows(df, ["g"]) == 5
-    assert choose_rank_strategy(df, ["g"], "auto", window_max_rows=5)[0] == "window"
-    strategy, measured, buckets = choose_rank_strategy(df, ["g"], "auto", window_max_rows=4)
-    assert strategy == "buckets" and measured.count() == 7 and buckets == 64
-    assert choose_rank_strategy(df, ["g"], "window")[1] is df
-
-
-def test_bucket_count_follows_group_size():
-    from seasonlab.operators.ranking import scaled_buckets
-    assert scaled_buckets(2_000_000) == 64
-    assert scaled_buckets(100_000_000) == 400
-    assert scaled_buckets(10**12) == 4096
-
-
 @pytest.mark.parametrize("n_cuts", [0, 5, 16, 17, 63, 255, 1000])
 def test_bucket_index_is_exact(spark, n_cuts):
     from pyspark.sql import functions as F
@@ -146,34 +120,49 @@ def test_bucket_index_is_exact(spark, n_cuts):
     assert all(got[v] == sum(c < v for c in cuts) for v in values)
 
 
-def test_bucketed_and_window_ranks_agree_on_testbed(spark, sf_small):
+def test_ranks_agree_with_windows_on_testbed(spark, sf_small):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
     from seasonlab.operators.ranking import ranked
     from seasonlab.plans import queries as q
-    t = q.totals(spark, sf_small).select("season", "player_id", "position", "season_fantasy_points")
-    for method in ("average", "dense"):
-        got = [{(r["season"], r["player_id"]): r["r"] for r in
-                ranked(t, value_col="season_fantasy_points", group_cols=["position"], out_col="r", method=method,
-                       descending=method == "dense", strategy=strategy, buckets=8).collect()}
-               for strategy in ("buckets", "window")]
-        assert got[0] == got[1] and len(got[0]) > 100
+    t = q.exact(q.totals(spark, sf_small).select("season", "player_id", "position", "season_fantasy_points"), "season_fantasy_points")
+    got = ranked(t, value_col="season_fantasy_points", group_cols=["position"], out_col="r", method="dense", descending=True, rows_per_bucket=20)
+    w = Window.partitionBy("position").orderBy(F.col("season_fantasy_points").desc())
+    want = t.withColumn("r", F.dense_rank().over(w).cast("long"))
+    assert rows(got, "season", "player_id", "r") == rows(want, "season", "player_id", "r") and want.count() > 100
+
+
+def test_values_a_hair_apart_are_no_ties(spark):
+    df = spark.createDataFrame([("QB", 1e-10, -3e-10), ("QB", 2e-10, -1e-10), ("QB", 3e-10, -2e-10)], "position string, fantasy_points double, other double")
+    assert [r["r"] for r in average_rank(df, value_col="fantasy_points", group_cols=["position"], out_col="r").orderBy("fantasy_points").collect()] == [1.0, 2.0, 3.0]
+    assert top_n_by_position(df, n=1).count() == 1
+    sp = spearman_rank_by_position(df, actual_col="fantasy_points", pred_col="other").collect()[0]["spearman"]
+    assert sp == pytest.approx(0.5)
+
+
+def test_nan_is_the_largest_everywhere(spark):
+    df = players(spark, [("a", "QB", float("nan")), ("b", "QB", 2.0), ("c", "QB", 1.0)])
+    assert rows(with_dense_rank(df), "player", "rank") == [("a", 1), ("b", 2), ("c", 3)]
+    assert [r["player"] for r in top_n_by_position(df, n=1).collect()] == ["a"]
+    up = average_rank(df, value_col="fantasy_points", group_cols=["position"], out_col="r")
+    assert rows(up, "player", "r") == [("a", 3.0), ("b", 2.0), ("c", 1.0)]
+
+
+def test_a_position_of_ties_needs_no_row_window(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("player"), F.when(F.col("id") >= 0, "QB").alias("position"), (F.col("id") % 10).cast("double").alias("fantasy_points"))
+    out = top_n_by_position(df, n=24)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 20_000 and top_n_by_position(df, n=3).count() == 6_000
+    window = plan[plan.index("Window ["):]
+    assert "HashAggregate(keys=[position" in window  # the window ranks distinct values
 
 
 def test_ungrouped_bucketed_rank_has_no_join_for_cuts(spark):
     from seasonlab.operators.ranking import rank_table
     df = spark.createDataFrame([(float(v),) for v in (3, 1, 2, 2, 5, 8, 8, 8)], "v double")
-    t = rank_table(df, value_col="v", buckets=3)
+    t = rank_table(df, value_col="v", rows_per_bucket=3)
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert {r["_v"]: r["avg_rank"] for r in t.collect()} == {1.0: 1.0, 2.0: 2.5, 3.0: 4.0, 5.0: 5.0, 8.0: 7.0}
-
-
-def test_auto_switches_to_buckets_above_threshold(spark):
-    from seasonlab.operators.ranking import ranked
-    rnd = random.Random(21)
-    data = [(rnd.choice("AB"), float(rnd.randint(0, 40)), i) for i in range(400)]
-    df = spark.createDataFrame(data, "g string, v double, id long")
-    auto = ranked(df, value_col="v", group_cols=["g"], out_col="r", strategy="auto", window_max_rows=10)
-    plan = auto._jdf.queryExecution().executedPlan().toString()
-    assert "_cuts" in plan  # the bucketed path (reading its written cut points) was chosen from the measured size
-    window = ranked(df, value_col="v", group_cols=["g"], out_col="r", strategy="window")
-    assert {r["id"]: r["r"] for r in auto.collect()} == {r["id"]: r["r"] for r in window.collect()}

@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -6,6 +7,8 @@ import pytest
 from seasonlab.operators.metrics import metrics_with_overall, regression_metrics
 from seasonlab.operators.ridge import (
     compare_ridge_to_naive,
+    fit_overall_and_by_group,
+    holdout_metrics,
     model_winner,
     predict_for_season,
     train_ridge,
@@ -17,45 +20,54 @@ T = "target_next_season_points"
 
 
 def frame(spark):
-    data = list(zip(
-        [2024, 2024, 2025, 2025, 2026, 2026, 2024, 2025, 2026],
-        ["p1", "p2", "p1", "p2", "p1", "p2", "w1", "w1", "w1"],
-        ["RB", "RB", "RB", "RB", "RB", "RB", "WR", "WR", "WR"],
-        [100.0, 90.0, 110.0, 95.0, 120.0, 98.0, 80.0, 85.0, 88.0],
-        [10.0, 9.0, 11.0, 9.5, 12.0, 9.8, 8.0, 8.5, 8.8],
-        [18.0, 16.0, 19.0, 16.5, 20.0, 17.0, 1.0, 1.1, 1.2],
-        [110.0, 95.0, 120.0, 98.0, 130.0, 100.0, 85.0, 88.0, 90.0],
-    ))
+    rnd = random.Random(17)
+    data = []
+    for position, n in (("RB", 4), ("WR", 3)):
+        for k in range(n):
+            for season in (1996, 1997, 1998):
+                ppg, carries = rnd.uniform(2, 20), rnd.uniform(0, 15)
+                points = 16 * ppg
+                data.append((season, f"{position}-{k}", position, points, ppg, carries, 9 * ppg + 2 * carries + rnd.gauss(0, 4)))
     return spark.createDataFrame(data, f"season long, player_id string, position string, feat_points double, "
                                        f"feat_ppg double, feat_carries_pg double, {T} double")
 
 
+def closed_form(pdf, last, alpha=1.0):
+    """Textbook ridge with a centred, unpenalized intercept: weights and intercept."""
+    tr = pdf[pdf.season <= last]
+    x, y = tr[FEATS].to_numpy(), tr[T].to_numpy()
+    xc, yc = x - x.mean(0), y - y.mean()
+    w = np.linalg.solve(xc.T @ xc + alpha * np.eye(len(FEATS)), xc.T @ yc)
+    return w, y.mean() - x.mean(0) @ w
+
+
+def errors(y, p):
+    e = y - p
+    return np.abs(e).mean(), math.sqrt((e * e).mean()), 1 - (e * e).sum() / ((y - y.mean()) ** 2).sum()
+
+
 def metrics_row(df, pred="y_pred"):
     r = regression_metrics(df, pred_col=pred).collect()[0]
     return r["n"], r["mae"], r["rmse"], r["r2"]
 
 
 def test_overall_fit_matches_closed_form(spark):
-    m = train_ridge(frame(spark), feature_cols=FEATS, target_col=T, train_end_season=2025)
-    assert m.weights() == pytest.approx([7.98039757, 0.4326339], abs=1e-7)
-    assert m.intercept() == pytest.approx(19.68685809, abs=1e-7)
-    assert (m.train_seasons, m.test_seasons) == ((2024, 2025), (2026,))
-    # independent check: textbook ridge with a centred, unpenalized intercept
-    pdf = frame(spark).toPandas()
-    tr = pdf[pdf.season <= 2025]
-    x, y = tr[FEATS].to_numpy(), tr[T].to_numpy()
-    xc, yc = x - x.mean(0), y - y.mean()
-    w = np.linalg.solve(xc.T @ xc + np.eye(2), xc.T @ yc)
-    assert m.weights() == pytest.approx(list(w), rel=1e-10)
+    m = train_ridge(frame(spark), feature_cols=FEATS, target_col=T, train_end_season=1997)
+    w, b = closed_form(frame(spark).toPandas(), 1997)
+    assert m.weights() == pytest.approx(list(w), rel=1e-10) and m.intercept() == pytest.approx(b, rel=1e-9)
+    assert (m.train_seasons, m.test_seasons) == ((1996, 1997), (1998,))
 
 
 def test_overall_holdout_and_naive(spark):
-    model, preds, vs = compare_ridge_to_naive(frame(spark), feature_cols=FEATS, target_col=T, train_end_season=2025)
-    got = sorted(r["y_pred_ridge"] for r in preds.collect())
-    assert got == pytest.approx(sorted([124.10430701, 105.24953065, 90.43351739]), abs=1e-6)
+    model, preds, vs = compare_ridge_to_naive(frame(spark), feature_cols=FEATS, target_col=T, train_end_season=1997)
+    pdf = frame(spark).toPandas()
+    w, b = closed_form(pdf, 1997)
+    test = pdf[pdf.season == 1998]
+    p, y = test[FEATS].to_numpy() @ w + b, test[T].to_numpy()
+    assert sorted(r["y_pred_ridge"] for r in preds.collect()) == pytest.approx(sorted(p), rel=1e-9)
     by = {r["model"]: r for r in vs.collect()}
-    assert (by["ridge"]["mae"], by["ridge"]["rmse"], by["ridge"]["r2"]) == pytest.approx((3.85958034, 4.56452645, 0.92787919), abs=1e-7)
-    assert (by["naive"]["mae"], by["naive"]["rmse"], by["naive"]["r2"]) == pytest.approx((4.66666667, 6.0, 0.87538462), abs=1e-7)
+    for name, pred in (("ridge", p), ("naive", test["feat_points"].to_numpy())):
+        assert (by[name]["mae"], by[name]["rmse"], by[name]["r2"]) == pytest.approx(errors(y, pred), rel=1e-9)
     assert {"season", "position", "player_id", "y_true", "y_pred_ridge", "y_pred_naive"} == set(preds.columns)
     winners = {r["metric"]: r["winner"] for r in model_winner(vs).collect()}
     assert winners == {"mae": "ridge", "rmse": "ridge", "r2": "ridge"}
@@ -68,45 +80,60 @@ def test_winner_ties_go_to_naive(spark):
 
 
 def test_per_position(spark):
-    model, preds = train_ridge_by_position(frame(spark), feature_cols=FEATS, target_col=T, train_end_season=2025)
-    assert model.weights("RB") == pytest.approx([3.18421053, 5.44736842], abs=1e-7)
-    assert model.intercept("RB") == pytest.approx(-20.34210526, abs=1e-7)
-    assert model.weights("WR") == pytest.approx([0.66371681, 0.13274336], abs=1e-7)
-    assert model.intercept("WR") == pytest.approx(80.88495575, abs=1e-7)
+    df = frame(spark).where("NOT (position = 'WR' AND season = 1998 AND player_id <> 'WR-0')")
+    model, preds = train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=1997)
+    pdf = df.toPandas()
+    every = []
+    for position in ("RB", "WR"):
+        own = pdf[pdf.position == position]
+        w, b = closed_form(own, 1997)
+        assert model.weights(position) == pytest.approx(list(w), rel=1e-9)
+        assert model.intercept(position) == pytest.approx(b, rel=1e-9)
+        test = own[own.season == 1998]
+        every.append((test[T].to_numpy(), test[FEATS].to_numpy() @ w + b))
     got = {r["position"]: r for r in metrics_with_overall(preds).collect()}
-    assert (got["RB"]["mae"], got["RB"]["rmse"], got["RB"]["r2"]) == pytest.approx((3.32631579, 3.32934989, 0.95073524), abs=1e-7)
+    assert (got["RB"]["mae"], got["RB"]["rmse"], got["RB"]["r2"]) == pytest.approx(errors(*every[0]), rel=1e-8)
     assert got["WR"]["n"] == 1 and math.isnan(got["WR"]["r2"])
-    assert (got["ALL"]["mae"], got["ALL"]["rmse"], got["ALL"]["r2"]) == pytest.approx((3.25589194, 3.25948063, 0.96322387), abs=1e-7)
+    y, p = (np.concatenate(x) for x in zip(*every))
+    assert (got["ALL"]["mae"], got["ALL"]["rmse"], got["ALL"]["r2"]) == pytest.approx(errors(y, p), rel=1e-8)
 
 
 def test_positions_without_split_are_skipped_and_none_raises(spark):
     df = frame(spark)
-    model, _ = train_ridge_by_position(df.where("NOT (position = 'WR' AND season = 2026)"), feature_cols=FEATS,
-                                       target_col=T, train_end_season=2025)
+    model, _ = train_ridge_by_position(df.where("NOT (position = 'WR' AND season = 1998)"), feature_cols=FEATS,
+                                       target_col=T, train_end_season=1997)
     assert set(model.coefficients) == {"RB"}
     with pytest.raises(ValueError, match="No position"):
-        train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=2026)
+        train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=1998)
 
 
 def test_errors(spark):
     df = frame(spark)
     with pytest.raises(ValueError, match="empty"):
-        train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=2026)
+        train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=1998)
     with pytest.raises(ValueError, match="feat_x"):
-        train_ridge(df, feature_cols=["feat_x"], target_col=T, train_end_season=2025)
+        train_ridge(df, feature_cols=["feat_x"], target_col=T, train_end_season=1997)
     with pytest.raises(ValueError, match="null"):
-        train_ridge(df.withColumn("feat_ppg", df.feat_ppg * None), feature_cols=FEATS, target_col=T, train_end_season=2025)
-    model = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
+        train_ridge(df.withColumn("feat_ppg", df.feat_ppg * None), feature_cols=FEATS, target_col=T, train_end_season=1997)
+    from pyspark.sql import functions as F
+    for column in ("feat_ppg", T):  # a test row too
+        broken = df.withColumn(column, F.when(~((F.col("season") == 1998) & (F.col("player_id") == "RB-0")), F.col(column)))
+        for call in (train_ridge, train_ridge_by_position, compare_ridge_to_naive, holdout_metrics, fit_overall_and_by_group):
+            with pytest.raises(ValueError, match="null"):
+                call(broken, feature_cols=FEATS, target_col=T, train_end_season=1997)
+    model = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=1997)
     with pytest.raises(ValueError, match="No rows found"):
         predict_for_season(model, df, season=2030)
 
 
 def test_predict_for_season(spark):
     df = frame(spark)
-    model = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
-    out = predict_for_season(model, df, season=2026, out_col="p")
-    assert sorted(r["p"] for r in out.collect()) == pytest.approx(sorted([124.10430701, 105.24953065, 90.43351739]), abs=1e-6)
-    assert out.count() == 3 and "feat_points" in out.columns
+    model = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=1997)
+    out = predict_for_season(model, df, season=1998, out_col="p")
+    w, b = closed_form(df.toPandas(), 1997)
+    test = df.where("season = 1998").toPandas()
+    assert sorted(r["p"] for r in out.collect()) == pytest.approx(sorted(test[FEATS].to_numpy() @ w + b), rel=1e-9)
+    assert out.count() == 7 and "feat_points" in out.columns
 
 
 def test_metrics_edge_cases(spark):
@@ -120,11 +147,8 @@ def test_metrics_edge_cases(spark):
 
 
 def test_many_groups_use_coefficient_join(spark):
-    import random
-
-    from seasonlab.operators import ridge as rg
     rnd = random.Random(1)
-    groups = [f"g{i:02d}" for i in range(rg.CASE_MAX_GROUPS + 6)]
+    groups = [f"g{i:02d}" for i in range(70)]
     data = []
     for g in groups:
         for s in (2020, 2021, 2022):
@@ -153,15 +177,14 @@ def test_metrics_skip_undefined_pairs(spark):
 
 
 def test_one_pass_fit_equals_separate_fits(spark):
-    from seasonlab.operators.ridge import fit_overall_and_by_group
     df = frame(spark).union(spark.createDataFrame(  # a group outside the list: overall model only
-        [(2024, "x1", "LS", 1.0, 1.0, 2.0, 3.0), (2026, "x1", "LS", 1.0, 2.0, 2.0, 5.0)], frame(spark).schema))
-    overall, by_pos = fit_overall_and_by_group(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
-    single = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
-    grouped, _ = train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=2025)
+        [(1996, "x1", "LS", 1.0, 1.0, 2.0, 3.0), (1998, "x1", "LS", 1.0, 2.0, 2.0, 5.0)], frame(spark).schema))
+    overall, by_pos = fit_overall_and_by_group(df, feature_cols=FEATS, target_col=T, train_end_season=1997)
+    single = train_ridge(df, feature_cols=FEATS, target_col=T, train_end_season=1997)
+    grouped, _ = train_ridge_by_position(df, feature_cols=FEATS, target_col=T, train_end_season=1997)
     assert overall.weights() == pytest.approx(single.weights(), rel=1e-12)
     assert overall.intercept() == pytest.approx(single.intercept(), rel=1e-12)
-    assert overall.train_seasons == (2024, 2025) and set(by_pos.coefficients) == {"RB", "WR"}
+    assert overall.train_seasons == (1996, 1997) and set(by_pos.coefficients) == {"RB", "WR"}
     for pos in ("RB", "WR"):
         assert by_pos.weights(pos) == pytest.approx(grouped.weights(pos), rel=1e-12)
         assert by_pos.intercept(pos) == pytest.approx(grouped.intercept(pos), rel=1e-12)
