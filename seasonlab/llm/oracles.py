@@ -55,15 +55,72 @@ SELECT page_id, host, path, rule,
 FROM parts LEFT JOIN ranked ON ranked.row = parts.row AND n = 1
 """
 
+_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), sound AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1),
+counted AS (SELECT a AS r, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, component_id) AS component_id, vec_id = least(vec_id, component_id) AS kept
+FROM v LEFT JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
+_WORDS = r"""docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+)"""
+
+_SUBSTRINGS = f"""
+WITH {_WORDS}, windows AS (
+  SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM (SELECT r, words, unnest(generate_series(1, len(words) - 34)) AS i FROM docs)
+), repeated AS (
+  SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), spelled AS (
+  SELECT r, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM docs
+), marked AS (
+  SELECT s.r, s.word, s.i, max(w.i) OVER (PARTITION BY s.r ORDER BY s.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM spelled s LEFT JOIN repeated w ON w.r = s.r AND w.i = s.i
+), kept AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text FROM marked GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+_NEAR = f"""
+WITH RECURSIVE {_WORDS}, shingles AS (
+  SELECT DISTINCT r, md5(array_to_string(words[i:i + 4], ' ')) AS h
+  FROM (SELECT r, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.h = b.h AND a.r <> b.r GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE c >= 0.8 * (x.n + y.n - c)
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS r, min(docs.doc_id) AS class_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY 1)
+SELECT doc_id, least(doc_id, class_id) AS class_id, doc_id = least(doc_id, class_id) AS kept FROM docs LEFT JOIN least USING (r)
+"""
+
 _TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 5
 """
 
-ORACLES: dict[str, str] = {"op3_chat_format": _CHAT, "op10_url_filter": _URL}
+ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": _VECTORS,
+    "op3_chat_format": _CHAT,
+    "op6_substring_dedup": _SUBSTRINGS,
+    "op7_minhash_dedup": _NEAR,
+    "op8_exact_topk": _TOP_K,
+    "op10_url_filter": _URL,
+}
