@@ -7,7 +7,9 @@ its eight-word runs as its anchor, equal windows have equal anchors, and the
 windows of one anchor form a shard. Anchors that occur once are dropped. A shard's
 passages become one suffix automaton that counts occurrences; streaming a passage
 through it gives, at every word, the longest repeated match, and matches that
-reach the window's length mark the words that go.
+reach the window's length mark the words that go. A shard with many different
+passages is halved by how far into the window the anchor lies, again and again:
+the windows of a half share more words, which name the smaller shard.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -27,8 +30,10 @@ from seasonlab.llm.words import TOGETHER, runs_of, words_of
 
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 8
-#: Different passages of one anchor from which its windows become shards of their own.
+#: Different passages of a shard above which it is halved.
 HOT_PASSAGES = 256
+#: Hot shards' names that are broadcast, at most; more of them are joined by a shuffle.
+BROADCAST_SHARDS = 10_000
 
 
 class SuffixAutomaton:
@@ -109,8 +114,9 @@ class SuffixAutomaton:
 
 def repeated_windows(passages: list[tuple[list[bytes], int]], least: int) -> list[list[int]]:
     """For each passage and its number of occurrences: the starts of the windows that occur anywhere else too."""
-    if len(passages) == 1 and passages[0][1] > 1:
-        return [list(range(len(passages[0][0]) - least + 1))]
+    if len(passages) == 1:  # a passage never repeats a window of its own: the anchor lies elsewhere in each
+        words, times = passages[0]
+        return [list(range(len(words) - least + 1)) if times > 1 else []]
     automaton = SuffixAutomaton()
     for words, times in passages:
         automaton.add(words, times)
@@ -157,8 +163,11 @@ class _Anchors:
         first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (value[1:] != value[:-1])]) if len(row) else np.zeros(0, int)
         return row[first], value[first], np.diff(np.r_[first, len(row)])
 
-    def passages(self, window: int, wanted: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
-        """``(row, first window, anchor, words)`` of each run of windows with one of the wanted anchors."""
+    def passages(self, window: int, wanted: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
+        """``(row, first window, anchor, anchor's word, words)`` of each stretch of windows with one of the wanted anchors at one place.
+
+        A window that holds its anchor twice counts the first.
+        """
         if not len(self.least):
             return
         row = self.row[: len(self.least)]
@@ -169,8 +178,13 @@ class _Anchors:
         data = self.words.data.tobytes()
         first_word = np.r_[0, self.words.ends]
         for a, b in zip(start[ok].tolist(), stop[ok].tolist(), strict=True):
-            text = data[self.words.start[a] : self.words.stop[b + window - 2]]
-            yield int(row[a]), a - int(first_word[row[a]]), int(self.least[a].astype(np.int64)), b" ".join(text.split())
+            value = self.least[a]
+            for place in (np.flatnonzero(self.runs[a : b + self.wide - 1] == value) + a).tolist():
+                end = min(b, place + 1)
+                if end > a:
+                    text = data[self.words.start[a] : self.words.stop[end + window - 2]]
+                    yield int(row[a]), a - int(first_word[row[a]]), int(value.astype(np.int64)), place - a, b" ".join(text.split())
+                    a = end
 
 
 def repeated_spans(keyed: DataFrame, *, window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
@@ -200,47 +214,78 @@ def repeated_spans(keyed: DataFrame, *, window: int = WINDOW_WORDS, anchor: int
                 keys = part.column(0).to_pylist()
                 values = np.unique(part.column(2).flatten().to_numpy()).astype(np.uint64)
                 found = list(_Anchors(part.column(1), window, anchor).passages(window, values))
-                row, start, value, words = zip(*found, strict=True) if found else ([], [], [], [])
+                row, start, value, place, words = zip(*found, strict=True) if found else ([], [], [], [], [])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[r] for r in row], pa.string()), pa.array(start, pa.int32()), pa.array(value, pa.int64()), pa.array(words, pa.binary())],
-                    ["key", "start", "anchor", "words"],
+                    [
+                        pa.array([keys[r] for r in row], pa.string()), pa.array(start, pa.int32()), pa.array(value, pa.int64()),
+                        pa.array(place, pa.int32()), pa.array(words, pa.binary()),
+                    ],
+                    ["key", "start", "shard", "place", "words"],
                 )
 
     touched = keyed.select("key", "text", F.xxhash64("key").alias("k")).join(wanted, "k").select("key", "text", "anchors")
-    placed = touched.mapInArrow(passages, "key string, start int, anchor bigint, words binary")
-    placed = scratch_table(placed.withColumn("passage", F.xxhash64("words")), "passages")
+    placed = touched.mapInArrow(passages, "key string, start int, shard bigint, place int, words binary")
+    placed = scratch_table(placed.withColumn("passage", F.xxhash64("words", "place")), "passages")
+    found = _found(_different(placed.withColumn("times", F.lit(1))), window, window - anchor + 1)
+    spread = placed.select("key", "start", "shard", "passage").join(found, ["shard", "passage"])
+    return spread.groupBy("key").agg(F.flatten(F.collect_list(F.transform("found", lambda o: o + F.col("start")))).alias("starts"))
 
-    different = placed.groupBy("anchor", "passage", "words").agg(F.count("*").alias("times"))
-    different = cut(different)
-    sizes = different.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_PASSAGES).select("anchor")
-    cold = different.join(sizes, "anchor", "left_anti")
-    cold = cold.select("anchor", "passage", F.col("anchor").alias("shard"), F.lit(0).alias("offset"), F.col("passage").alias("piece"), "words", "times")
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                index, offsets, texts = [], [], []
-                for i, text in enumerate(part.column(2).to_pylist()):
-                    words = text.split(b" ")
-                    for o in range(len(words) - window + 1):
-                        index.append(i)
-                        offsets.append(o)
-                        texts.append(b" ".join(words[o : o + window]))
-                at = pa.array(index, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(at), part.column(1).take(at), pa.array(offsets, pa.int32()), pa.array(texts, pa.binary()), part.column(3).take(at)],
-                    ["anchor", "passage", "offset", "words", "times"],
-                )
+def _different(passages: DataFrame) -> DataFrame:
+    return scratch_table(passages.groupBy("shard", "passage", "place", "words").agg(F.sum("times").alias("times")), "different")
 
-    hot = different.join(sizes, "anchor", "left_semi").select("anchor", "passage", "words", "times")
-    hot = hot.mapInArrow(windows, "anchor bigint, passage bigint, offset int, words binary, times bigint")
-    piece = F.xxhash64("words")
-    hot = hot.select("anchor", "passage", F.xxhash64(F.lit(35), "words").alias("shard"), "offset", piece.alias("piece"), "words", "times")
-    pieces = scratch_table(cold.unionByName(hot), "pieces")
 
-    shards = pieces.groupBy("shard", "piece", "words").agg(F.sum("times").alias("times"))
-    shards = shards.repartition("shard").sortWithinPartitions("shard", "piece")
+def _found(different: DataFrame, window: int, width: int) -> DataFrame:
+    """``(shard, passage, found)``: the repeated windows of the different passages.
+
+    In a shard's windows the anchor's place differs by less than ``width``.
+    """
+    hot = different.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > HOT_PASSAGES).select("shard")
+    hot = cut(hot)
+    n_hot = hot.count()
+    if not n_hot or width == 1:  # one window a shard: its passages are one
+        return _match(different, window)
+    if n_hot <= BROADCAST_SHARDS:
+        hot = F.broadcast(hot)
+    half = -(-width // 2)
+    halves = different.join(hot, "shard", "left_semi").mapInArrow(
+        _halve(window, half), "up_shard bigint, up_passage bigint, offset int, shard bigint, place int, words binary, times bigint"
+    )
+    halves = scratch_table(halves.withColumn("passage", F.xxhash64("words", "place")), "halves")
+    below = _found(_different(halves), window, half)
+    raised = halves.select("up_shard", "up_passage", "offset", "shard", "passage").join(below, ["shard", "passage"])
+    raised = raised.groupBy(F.col("up_shard").alias("shard"), F.col("up_passage").alias("passage")).agg(
+        F.flatten(F.collect_list(F.transform("found", lambda o: o + F.col("offset")))).alias("found")
+    )
+    return _match(different.join(hot, "shard", "left_anti"), window).union(raised)
+
+
+def _halve(window: int, width: int):
+    """Passages cut into stretches of windows in which the anchor's place is in the same range of ``width``, named by the words that all windows of the range share."""
+
+    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for shard, passage, place, text, times in zip(*(batch.column(c).to_pylist() for c in ("shard", "passage", "place", "words", "times")), strict=True):
+                words = text.split(b" ")
+                last = len(words) - window
+                for part in range(max(0, place - last) // width, place // width + 1):
+                    low, high = part * width, part * width + width - 1
+                    a, b = max(0, place - high), min(last, place - low)
+                    shared = b" ".join(words[place - low : place - high + window])
+                    name = xxhash.xxh64_intdigest(b"%d %d %d " % (shard, width, part) + shared) - (1 << 63)
+                    out.append((shard, passage, a, name, place - a, b" ".join(words[a : b + window]), times))
+            columns = zip(*out, strict=True) if out else [[]] * 7
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
+            names = ["up_shard", "up_passage", "offset", "shard", "place", "words", "times"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    return halve
+
+
+def _match(different: DataFrame, window: int) -> DataFrame:
+    """Each shard's passages streamed through its automaton."""
+    shards = different.repartition("shard").sortWithinPartitions("shard", "passage")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -253,28 +298,26 @@ def repeated_spans(keyed: DataFrame, *, window: int = WINDOW_WORDS, anchor: int
 
         def packed() -> pa.RecordBatch:
             a, b, c = zip(*out, strict=True) if out else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(pa.int32()))], ["shard", "piece", "found"])
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(pa.int32()))], ["shard", "passage", "found"])
 
         for batch in batches:
-            for now, name, words, times in zip(*(batch.column(c).to_pylist() for c in ("shard", "piece", "words", "times")), strict=True):
-                if now != shard:
-                    if group:
-                        settle()
-                    shard, group, names = now, [], []
-                group.append((words.split(b" "), times))
-                names.append(name)
-            if len(out) > 5000:
-                yield packed()
-                out = []
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                for now, name, words, times in zip(*(part.column(c).to_pylist() for c in ("shard", "passage", "words", "times")), strict=True):
+                    if now != shard:
+                        if group:
+                            settle()
+                        shard, group, names = now, [], []
+                    group.append((words.split(b" "), times))
+                    names.append(name)
+                if len(out) > 1000:
+                    yield packed()
+                    out = []
         if group:
             settle()
         yield packed()
 
-    matched = shards.mapInArrow(match, "shard bigint, piece bigint, found array<int>")
-    found = pieces.select("anchor", "passage", "shard", "offset", "piece").join(matched, ["shard", "piece"])
-    found = found.groupBy("anchor", "passage").agg(F.flatten(F.collect_list(F.transform("found", lambda o: o + F.col("offset")))).alias("found"))
-    spread = placed.select("key", "start", "anchor", "passage").join(found, ["anchor", "passage"])
-    return spread.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list(F.transform("found", lambda o: o + F.col("start"))))).alias("starts"))
+    return shards.mapInArrow(match, "shard bigint, passage bigint, found array<int>")
 
 
 def remove_repeats(docs: DataFrame, *, keep: list[Column], window: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Bytes of text whose words are hashed together.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
