@@ -29,6 +29,8 @@ FAN_IN = 16
 LEAST_CUT = 8
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, open boolean, bin bigint"
 FLUSH_BYTES = 8 << 20
+#: Distinct words whose ids a Python worker remembers, in each of two generations.
+REMEMBERED_WORDS = 300_000
 
 
 class Tokenizer:
@@ -45,7 +47,7 @@ class Tokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer as Library
 
-        self.library, self.by_word, self.memory = Library.from_file(path), by_word, Memory()
+        self.library, self.by_word, self.memory = Library.from_file(path), by_word, Memory(REMEMBERED_WORDS)
 
     @classmethod
     @functools.lru_cache(maxsize=2)
