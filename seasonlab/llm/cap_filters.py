@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonlab.llm.common import cut, scratch_table
+from seasonlab.llm.common import cut, scratch_folder
 from seasonlab.llm.components import connected_components
 
 #: A vector looks into every filter whose score is within this of its best one's.
@@ -129,7 +129,8 @@ def near_duplicate_vectors(
         & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
         & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
     )
-    node = F.concat_ws("-", F.hex(F.xxhash64("label", "v")), F.hex(F.xxhash64(F.lit(1), "v", "label")))
+    halves = F.xxhash64("label", "v"), F.xxhash64(F.lit(1), "v", "label")
+    node = F.unhex(F.concat(*(F.lpad(F.hex(h), 16, "0") for h in halves)))
     rows = cut(rows.withColumn("node", F.when(sound, node)))
     nodes = cut(
         rows.where("node IS NOT NULL").groupBy("node").agg(
@@ -138,7 +139,8 @@ def near_duplicate_vectors(
     )
     n = nodes.count()
     codes = 1 << max(5, math.ceil(math.log2(max(n, 1)) / 2))
-    links = _links(nodes, codes, threshold)
+    with scratch_folder(vectors.sparkSession, "cap-filters") as table:
+        links = _links(nodes, table, codes, threshold)
     members = connected_components(links.where("node <> leader"), "node", "leader")
     named = nodes.select("node", "least").join(members, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -152,7 +154,7 @@ def near_duplicate_vectors(
     )
 
 
-def _links(nodes: DataFrame, codes: int, threshold: float) -> DataFrame:
+def _links(nodes: DataFrame, table, codes: int, threshold: float) -> DataFrame:
     """``(node, n, leader)``: links found in a block, as a number for the looking node, and a node that it is connected with."""
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +174,7 @@ def _links(nodes: DataFrame, codes: int, threshold: float) -> DataFrame:
                     })
 
     label = nodes.schema["label"].dataType.simpleString()
-    found = scratch_table(nodes.mapInArrow(filters, f"node string, label {label}, filter bigint, stored boolean"), "cap-filters")
+    found = table(nodes.mapInArrow(filters, f"node binary, label {label}, filter bigint, stored boolean"), "filters")
     stored = found.where("stored").select("label", "filter", "node")
     held = stored.groupBy("label", "filter").agg(F.count("*").alias("held")).withColumn("blocks", F.ceil(F.col("held") / BLOCK).cast("int"))
     at = ["label", "filter"]
@@ -183,19 +185,20 @@ def _links(nodes: DataFrame, codes: int, threshold: float) -> DataFrame:
     meeting = meeting.repartition(*keys).sortWithinPartitions(*keys, F.col("stored").desc())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: list[tuple[str, int, str]] = []
+        gathered: list[tuple[bytes, int, bytes]] = []
         for group in _grouped(batches, keys):
             group = group.combine_chunks()
             stored = group.column("stored").to_numpy()
             held = int(stored.sum())
             names = np.array(group.column("node").to_pylist(), object)
+            name = np.unique(names, return_inverse=True)[1]
             v = _matrix(group.column("v").chunk(0))
             copies = group.column("copies").to_numpy()[:held]
             length = np.linalg.norm(v, axis=1)
             for lo in range(held, len(names), 1024):
                 hi = min(len(names), lo + 1024)
                 cosine = (v[lo:hi] @ v[:held].T) / np.outer(length[lo:hi], length[:held])
-                same = names[lo:hi, None] == names[None, :held]
+                same = name[lo:hi, None] == name[None, :held]
                 linked = (cosine >= threshold) | same
                 number = linked @ copies - same.any(axis=1)
                 row, column = _spread(linked)
@@ -209,10 +212,10 @@ def _links(nodes: DataFrame, codes: int, threshold: float) -> DataFrame:
                 gathered = []
         yield _packed(gathered)
 
-    met = meeting.mapInArrow(verify, "node string, n bigint, leader string")
+    met = meeting.mapInArrow(verify, "node binary, n bigint, leader binary")
     return cut(met.where("n > 0 OR node <> leader"))
 
 
-def _packed(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
+def _packed(rows: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
     node, n, leader = zip(*rows, strict=True) if rows else ([], [], [])
-    return pa.RecordBatch.from_arrays([pa.array(node, pa.string()), pa.array(n, pa.int64()), pa.array(leader, pa.string())], ["node", "n", "leader"])
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(leader, pa.binary())], ["node", "n", "leader"])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,24 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables like scratch_table's for the steps of one operator, deleted when its result no longer reads them."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    counter = iter(range(1 << 30))
+
+    def table(df: DataFrame, part: str) -> DataFrame:
+        at = f"{path}/{next(counter)}-{part}"
+        df.write.option("compression", "zstd").parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
+    try:
+        yield table
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
