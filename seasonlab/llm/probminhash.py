@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from seasonlab.llm.bpe import slices
 from seasonlab.llm.cap_filters import _grouped
-from seasonlab.llm.common import cut, row_key, scratch_table
+from seasonlab.llm.common import cut, row_key, scratch_folder, scratch_table
 from seasonlab.llm.components import connected_components
 from seasonlab.llm.words import TOGETHER, mix, runs_of, words_of
 
@@ -32,9 +32,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Rounds in which members of a bucket are compared with one of them only.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 1
 #: Members of a bucket that are compared with each other in one block afterwards.
-BLOCK = 256
+BLOCK = 512
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -174,13 +174,25 @@ def near_duplicate_classes(docs: DataFrame, *, threshold: float = THRESHOLD, id_
     signed = scratch_table(keyed.mapInArrow(_sign, schema), "signatures")
     texts = signed.where("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("key").alias("key"))
 
+    with scratch_folder(docs.sparkSession, "near-texts") as table:
+        parts = _parts(keyed, texts, table, threshold)
+    known = signed.where("n > 0").select("fp", "doc_id", "key").join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp"))
+    first = known.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("first"))
+    classed = known.join(first, "part").select("doc_id", "key", F.col("first.doc_id").alias("class_id"), (F.col("key") == F.col("first.key")).alias("kept"))
+    return classed.union(signed.where("n = 0").select("doc_id", "key", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept")))
+
+
+def _parts(keyed: DataFrame, texts: DataFrame, table, threshold: float) -> DataFrame:
+    """``(fp, part)``: the class of every text that has a link, named by its smallest text."""
+    texts = table(texts, "texts")
     banded = texts.select("fp", "n", "key", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1").select("bucket")
-    members = scratch_table(banded.join(shared, "bucket"), "buckets")
+    members = table(banded.join(shared, "bucket"), "buckets")
 
     needed = members.select("key", "fp", "n").distinct()
     sets = keyed.select("key", "text").join(needed, "key").select("key", "fp", "n", "text")
-    sets = scratch_table(sets.mapInArrow(_sets, "key string, fp binary, n int, shingles binary"), "shingles").drop("key").dropDuplicates(["fp"])
+    sets = sets.mapInArrow(_sets, "key string, fp binary, n int, shingles binary").drop("key")
+    sets = table(sets.dropDuplicates(["fp"]), "shingles")  # rows that repeat id and text share a key
 
     edges, parts = None, None
     for turn in range(LEADER_ROUNDS):
@@ -192,17 +204,13 @@ def near_duplicate_classes(docs: DataFrame, *, threshold: float = THRESHOLD, id_
         found = cut(_linked(pairs, sets, threshold))
         if turn and found.isEmpty():
             break
-        edges = found if edges is None else edges.union(parts.select(F.col("fp").alias("a"), F.col("part").alias("b"))).union(found)
+        edges = found if edges is None else edges.union(found)
         parts = _components(edges)
         edges = cut(parts.select(F.col("fp").alias("a"), F.col("part").alias("b")))
     rest = cut(_compare_rest(members, parts, texts.select("fp", "bands"), sets, threshold))
     if not rest.isEmpty():
         parts = _components(edges.union(rest))
-
-    known = signed.where("n > 0").select("fp", "doc_id", "key").join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-    first = known.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("first"))
-    classed = known.join(first, "part").select("doc_id", "key", F.col("first.doc_id").alias("class_id"), (F.col("key") == F.col("first.key")).alias("kept"))
-    return classed.union(signed.where("n = 0").select("doc_id", "key", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept")))
+    return parts
 
 
 def _with_parts(members: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -236,25 +244,40 @@ def _compare_rest(members: DataFrame, parts: DataFrame, bands: DataFrame, sets:
 
 
 def _compare_block(group: pa.Table, threshold: float) -> list[tuple[bytes, bytes]]:
-    """Linked pairs of a block, of different classes and in the first band that they share."""
+    """Linked pairs of a block, of different classes and in the first band that they share.
+
+    A block that meets another compares across only; one that meets itself
+    leaves out the pairs within its largest class.
+    """
     group = group.combine_chunks()
     n = group.num_rows
-    fps = group.column("fp").to_pylist()
     part = np.unique(np.array([p.hex() for p in group.column("part").to_pylist()]), return_inverse=True)[1]
-    bands = group.column("bands").chunk(0).flatten().to_numpy().reshape(n, BANDS)
-    band = group.column("band")[0].as_py()
+    left = group.column("left").to_numpy(zero_copy_only=False)
+    if left.all():
+        rows, columns = np.flatnonzero(part != np.bincount(part).argmax()), np.arange(n)
+    else:
+        rows, columns = np.flatnonzero(left), np.flatnonzero(~left)
+    if not len(rows) or not len(columns):
+        return []
     sets = [np.frombuffer(s, "<u8") for s in group.column("shingles").to_pylist()]
     size = np.array([len(s) for s in sets])
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    _, value, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(n), size)
-    common = np.zeros((n, n), np.int32)
-    width = 8192
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    for lo in range(0, len(values), width):
-        a, b = np.searchsorted(column, [lo, lo + width])
-        some = np.zeros((n, width), np.float32)
-        some[owner[a:b], column[a:b] - lo] = 1
-        common += (some @ some.T).astype(np.int32)
-    near = np.triu((common >= threshold * (size[:, None] + size[None, :] - common)) & (part[:, None] != part[None, :]), 1)
-    return [(fps[x], fps[y]) for x, y in zip(*np.nonzero(near), strict=True) if int((bands[x] == bands[y]).argmax()) == band]
+    shared = holders > 1  # a shingle of one text is in no intersection
+    at = shared[value]
+    value, owner = (np.cumsum(shared) - 1)[value[at]], owner[at]
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    common = np.zeros((len(rows), len(columns)), np.float32)
+    for lo in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(value, [lo, lo + 4096])
+        some = np.zeros((n, min(4096, int(shared.sum()) - lo)), np.float32)
+        some[owner[a:b], value[a:b] - lo] = 1
+        common += some[rows] @ some[columns].T
+    total = size[rows, None] + size[None, columns]
+    near = (common >= threshold * (total - common)) & (part[rows, None] != part[None, columns])
+    fps = group.column("fp").to_pylist()
+    bands = group.column("bands").chunk(0).flatten().to_numpy().reshape(n, BANDS)
+    band = group.column("band")[0].as_py()
+    pairs = ((rows[x], columns[y]) for x, y in zip(*np.nonzero(near), strict=True))
+    return [(fps[x], fps[y]) for x, y in pairs if int((bands[x] == bands[y]).argmax()) == band]
