@@ -14,7 +14,7 @@ the windows of a half share more words, which name the smaller shard.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import compress
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from seasonlab.llm.bpe import slices
-from seasonlab.llm.common import cut, row_key, scratch_table
+from seasonlab.llm.common import cut, row_key, scratch_folder
 from seasonlab.llm.words import TOGETHER, runs_of, words_of
 
 WINDOW_WORDS = 35
@@ -187,11 +187,14 @@ class _Anchors:
                     a = end
 
 
-def repeated_spans(keyed: DataFrame, *, window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
+Table = Callable[[DataFrame, str], DataFrame]
+
+
+def repeated_spans(keyed: DataFrame, table: Table, *, window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
     """``(key, starts)``: the windows of each text that occur anywhere else, by their first words' numbers.
 
     ``keyed`` has key (string; rows that share it have the same text) and text (not
-    null). Windows are judged on the input; a window that occurs twice in one text
+    null). ``table`` writes a step's table, which the result reads. Windows are judged on the input; a window that occurs twice in one text
     counts, and so does one in a repeated row.
     """
     lean = keyed.select(F.xxhash64("key").alias("k"), "text")
@@ -225,17 +228,17 @@ def repeated_spans(keyed: DataFrame, *, window: int = WINDOW_WORDS, anchor: int
 
     touched = keyed.select("key", "text", F.xxhash64("key").alias("k")).join(wanted, "k").select("key", "text", "anchors")
     placed = touched.mapInArrow(passages, "key string, start int, shard bigint, place int, words binary")
-    placed = scratch_table(placed.withColumn("passage", F.xxhash64("words", "place")), "passages")
-    found = _found(_different(placed.withColumn("times", F.lit(1))), window, window - anchor + 1)
+    placed = table(placed.withColumn("passage", F.xxhash64("words", "place")), "passages")
+    found = _found(_different(placed.withColumn("times", F.lit(1)), table), table, window, window - anchor + 1)
     spread = placed.select("key", "start", "shard", "passage").join(found, ["shard", "passage"])
     return spread.groupBy("key").agg(F.flatten(F.collect_list(F.transform("found", lambda o: o + F.col("start")))).alias("starts"))
 
 
-def _different(passages: DataFrame) -> DataFrame:
-    return scratch_table(passages.groupBy("shard", "passage", "place", "words").agg(F.sum("times").alias("times")), "different")
+def _different(passages: DataFrame, table: Table) -> DataFrame:
+    return table(passages.groupBy("shard", "passage", "place", "words").agg(F.sum("times").alias("times")), "different")
 
 
-def _found(different: DataFrame, window: int, width: int) -> DataFrame:
+def _found(different: DataFrame, table: Table, window: int, width: int) -> DataFrame:
     """``(shard, passage, found)``: the repeated windows of the different passages.
 
     In a shard's windows the anchor's place differs by less than ``width``.
@@ -251,8 +254,8 @@ def _found(different: DataFrame, window: int, width: int) -> DataFrame:
     halves = different.join(hot, "shard", "left_semi").mapInArrow(
         _halve(window, half), "up_shard bigint, up_passage bigint, offset int, shard bigint, place int, words binary, times bigint"
     )
-    halves = scratch_table(halves.withColumn("passage", F.xxhash64("words", "place")), "halves")
-    below = _found(_different(halves), window, half)
+    halves = table(halves.withColumn("passage", F.xxhash64("words", "place")), "halves")
+    below = _found(_different(halves, table), table, window, half)
     raised = halves.select("up_shard", "up_passage", "offset", "shard", "passage").join(below, ["shard", "passage"])
     raised = raised.groupBy(F.col("up_shard").alias("shard"), F.col("up_passage").alias("passage")).agg(
         F.flatten(F.collect_list(F.transform("found", lambda o: o + F.col("offset")))).alias("found")
@@ -333,7 +336,8 @@ def remove_repeats(docs: DataFrame, *, keep: list[Column], window: int = WINDOW_
     """
     key = row_key(F.col(id_col), F.col(text_col))["b"]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    starts = cut(repeated_spans(docs.select(key.alias("key"), text.alias("text")), window=window))
+    with scratch_folder(docs.sparkSession, "repeats") as table:
+        starts = cut(repeated_spans(docs.select(key.alias("key"), text.alias("text")), table, window=window))
     rows = docs.select(*keep, key.alias("__key"), text.alias("__text"))
     names = rows.columns[:-2]
     rows = rows.join(starts.select(F.col("key").alias("__key"), F.col("starts").alias("__starts")), "__key", "left").select(*names, "__text", "__starts")
