@@ -66,14 +66,12 @@ def _ancestors(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         if 2 ** len(levels) > most:  # what is left answers itself in a circle
             break
         levels.append(at.where("up IS NOT NULL").select("conv_id", "node", "up"))
-        left, right = at.alias("l"), at.alias("r")
-        at = cut(
-            left.join(right, F.col("l.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("l.up") == F.col("r.node")), "left").select(
-                "l.conv_id", "l.node", F.col("r.up").alias("up"),
-                (F.col("l.total") + F.coalesce("r.total", F.lit(0.0))).alias("total"),
-                (F.col("l.depth") + F.coalesce("r.depth", F.lit(0))).alias("depth"),
-            )
+        # messages that have reached their root stay as they are
+        left, right = at.where("up IS NOT NULL").alias("l"), at.alias("r")
+        further = left.join(right, F.col("l.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("l.up") == F.col("r.node"))).select(
+            "l.conv_id", "l.node", F.col("r.up").alias("up"), (F.col("l.total") + F.col("r.total")).alias("total"), (F.col("l.depth") + F.col("r.depth")).alias("depth")
         )
+        at = cut(at.where("up IS NULL").union(further))
     return at.where("up IS NULL"), levels
 
 
