@@ -3,7 +3,8 @@
 Texts become normalised TF-IDF vectors of hashed byte pairs and triples; each
 language has a few centroids, found by spherical k-means on a bounded sample of
 labelled rows, and a text gets the language of the centroid with the largest
-cosine. A text too far from every centroid is rejected.
+cosine. A text is rejected if its cosine is far below what rows of that language
+and of about its length had to centroids that were fitted without them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,17 @@ DIM = 2 << BITS
 #: Labelled rows per language that a model is fitted on, at most.
 FIT_ROWS_PER_LANGUAGE = 400
 CENTROIDS_PER_LANGUAGE = 3
-#: A text is rejected below this share of the smallest cosine of the fitted rows.
-REJECT_SHARE = 0.5
+#: A text is rejected below this share of a low quantile of the cosines that learned rows of its language and about its length have.
+REJECT_SHARE = 0.7
+REJECT_QUANTILE = 0.01
+#: A class of length with fewer learned rows borrows the nearest lengths' rows.
+LENGTH_ROWS = 50
+#: Classes of length, a factor of two pairs and triples each; the last (256 bytes and more) is open, as cosines hardly grow from there on.
+LENGTHS = 10
+#: A centroid stands for this share of its language's rows at least, and rows so far out start none: mislabelled rows must not become one.
+LEAST_SHARE = 0.05
+#: Parts of a language's rows, each measured against centroids of the others.
+FOLDS = 5
 ROUNDS = 12
 
 
@@ -58,18 +68,54 @@ def _units(rows: np.ndarray) -> np.ndarray:
 
 
 def _centroids(rows: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means: start from the first row, then the row farthest from all chosen."""
-    chosen = [0]
-    near = rows @ rows[0]
+    """Spherical k-means: start from the row nearest to the mean, then the row farthest from all chosen but for LEAST_SHARE of the rows."""
+    chosen = [int(np.argmax(rows @ rows.mean(axis=0)))]
+    near = rows @ rows[chosen[0]]
     while len(chosen) < min(k, len(rows)):
-        chosen.append(int(np.argmin(near)))
+        chosen.append(int(np.argsort(near, kind="stable")[int(LEAST_SHARE * len(rows))]))
         near = np.maximum(near, rows @ rows[chosen[-1]])
     centers = rows[chosen]
     for _ in range(ROUNDS):
         own = np.argmax(rows @ centers.T, axis=1)
         after = np.stack([rows[own == c].mean(axis=0) if (own == c).any() else centers[c] for c in range(len(centers))])
         centers = _units(after)
-    return centers
+    held = np.bincount(np.argmax(rows @ centers.T, axis=1), minlength=len(centers))
+    return centers[held >= min(LEAST_SHARE * len(rows), held.max())]
+
+
+def _log_length(counts: np.ndarray) -> np.ndarray:
+    """Logarithm, base two, of the pairs and triples of each text."""
+    return np.log2(np.maximum(counts.sum(axis=1, dtype=np.float64), 1))
+
+
+def _unseen_cosines(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(place, cosine)`` of each row of a language to centroids fitted without it; none if there is but one row."""
+    fold = np.arange(len(rows)) % FOLDS
+    at, cosine = [np.zeros(0, int)], [np.zeros(0)]
+    for f in range(min(FOLDS, len(rows)) if len(rows) > 1 else 0):
+        own = np.flatnonzero(fold == f)
+        at.append(own)
+        cosine.append((rows[own] @ _centroids(rows[fold != f], CENTROIDS_PER_LANGUAGE).T).max(axis=1))
+    return np.concatenate(at), np.concatenate(cosine)
+
+
+def _cuts(length: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+    """The least cosine that each class of length accepts, from those of rows that the centroids had not seen.
+
+    A class with fewer than LENGTH_ROWS rows takes the nearest rows. Those longer
+    than the class count as if cut to its length: a text's cosine grows at
+    most with the root of its length. No class is cut above the longer ones.
+    Without rows nothing is rejected.
+    """
+    out = np.zeros(LENGTHS)
+    if not len(cosine):
+        return out
+    for c in reversed(range(LENGTHS)):
+        over = np.maximum(length - (c + 1), 0) if c < LENGTHS - 1 else np.zeros(len(length))
+        away = np.maximum(over, c - length)
+        near = away <= np.sort(away)[min(LENGTH_ROWS, len(away)) - 1]
+        out[c] = min([REJECT_SHARE * np.quantile(cosine[near] * 2.0 ** (-over[near] / 2), REJECT_QUANTILE), *out[c + 1 : c + 2]])
+    return out
 
 
 @dataclass
@@ -79,7 +125,7 @@ class LanguageModel:
     languages: list[str]  # of each centroid
     centers: np.ndarray
     idf: np.ndarray
-    reject_below: float
+    cuts: np.ndarray  # of each centroid's language: the least accepted cosine by class of length
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return _units(np.log1p(counts) * self.idf)
@@ -94,9 +140,10 @@ class LanguageModel:
             part = at[lo : lo + 64]
             counts = np.stack([ngram_counts(texts[i]) for i in part]).astype(np.float32)
             cosine = self.vectors(counts) @ self.centers.T
-            for i, best, row in zip(part, cosine.argmax(axis=1), cosine, strict=True):
+            sized = np.minimum(_log_length(counts).astype(int), LENGTHS - 1)
+            for i, best, row, size in zip(part, cosine.argmax(axis=1), cosine, sized, strict=True):
                 langs[i], scores[i] = self.languages[best], float(min(1.0, max(0.0, row[best])))
-                accepted[i] = bool(row[best] >= self.reject_below)
+                accepted[i] = bool(row[best] >= self.cuts[best, size])
         return langs, scores, accepted
 
 
@@ -126,22 +173,30 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key:
 
     got = sample.mapInArrow(vectors, "lang string, h bigint, at binary, n binary").collect()
     got = sorted(got, key=lambda r: (r["lang"], r["h"], bytes(r["at"]), bytes(r["n"])))
-    if not got:
-        return LanguageModel([], np.zeros((0, DIM), np.float32), np.ones(DIM, np.float32), 0.0)
     counts = np.zeros((len(got), DIM), np.float32)
     for row, r in zip(counts, got, strict=True):
         row[np.frombuffer(bytes(r["at"]), "<u2")] = np.frombuffer(bytes(r["n"]), "<u4")
-    idf = (np.log((1 + len(got)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    model = LanguageModel([], np.zeros((0, DIM), np.float32), idf, 0.0)
+    return learn(counts, np.array([r["lang"] for r in got]))
+
+
+def learn(counts: np.ndarray, named: np.ndarray) -> LanguageModel:
+    """A model of rows of counts and their languages."""
+    model = LanguageModel([], np.zeros((0, DIM), np.float32), np.ones(DIM, np.float32), np.zeros((0, LENGTHS)))
+    if not len(counts):
+        return model
+    model.idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     vecs = model.vectors(counts)
-    named = np.array([r["lang"] for r in got])
-    centers = []
+    length = _log_length(counts)
+    centers, cuts = [], []
     for lang in sorted(set(named)):
-        own = _centroids(vecs[named == lang], CENTROIDS_PER_LANGUAGE)
+        rows = vecs[named == lang]
+        own = _centroids(rows, CENTROIDS_PER_LANGUAGE)
+        at, cosine = _unseen_cosines(rows)
         centers.append(own)
+        cuts += [_cuts(length[named == lang][at], cosine)] * len(own)
         model.languages += [lang] * len(own)
     model.centers = np.concatenate(centers).astype(np.float32)
-    model.reject_below = REJECT_SHARE * float((vecs @ model.centers.T).max(axis=1).min())
+    model.cuts = np.stack(cuts)
     return model
 
 

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -19,6 +20,7 @@ import brute  # noqa: E402
 
 from seasonlab.llm import queries as q  # noqa: E402
 from seasonlab.llm.bpe import ByteBPE  # noqa: E402
+from seasonlab.llm.lang_id import held_out, identify  # noqa: E402
 from seasonlab.llm.oracles import ORACLES  # noqa: E402
 from seasonlab.llm.packing import pack_documents  # noqa: E402
 
@@ -103,6 +105,15 @@ def test_op9_is_right_on_held_out_rows(spark, sf_small):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_op9_rejects_a_language_left_out_of_the_fit(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
+    long = docs.where(held_out("doc_id") & (F.length("text") >= 200))
+    for out in ("de", "en", "es", "fr"):
+        rows = identify(long, q.fit_languages(docs.where(F.col("lang") != out)), keep=[F.col("lang")]).collect()
+        other, own = [r["accepted"] for r in rows if r["lang"] == out], [r["accepted"] for r in rows if r["lang"] != out]
+        assert other and sum(other) <= 0.05 * len(other) and sum(own) >= 0.98 * len(own)
+
+
 def test_pipeline_matches_brute_force(spark, sf_small, tmp_path):
     import corpus_pipeline
 
