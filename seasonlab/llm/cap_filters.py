@@ -27,6 +27,9 @@ from seasonlab.llm.components import connected_components
 DEPTH = 0.12
 #: Stored vectors of one filter that are compared in one block.
 BLOCK = 1024
+#: Looking vectors of one filter that meet a block in one group; they are read in slices of SLICE.
+LOOKING = 16_384
+SLICE = 1024
 SEED = 20_240_607
 
 
@@ -72,6 +75,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Keys and slices of batches whose rows have the same keys; a group may go on in the next slice."""
+    for batch in batches:
+        values = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        lo = 0
+        for i in range(1, len(values) + 1):
+            if i == len(values) or values[i] != values[lo]:
+                yield values[lo], batch.slice(lo, i - lo)
+                lo = i
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with the same keys, of batches sorted by them."""
     waiting: list[pa.RecordBatch] = []
@@ -116,8 +130,9 @@ def near_duplicate_vectors(
     nothing, nor does one without a label.
 
     Exact copies are one node that carries their number, so they add no pairs. A
-    filter with many stored vectors is split into blocks; a block returns one row a
-    vector: its number of links there and a spanning edge. Repeated ids: rows with
+    filter with many vectors is split into blocks of stored and of looking ones, and
+    a task holds one block of stored vectors and a slice of looking ones; a slice
+    returns one row a vector: its number of links there and a spanning edge. Repeated ids: rows with
     the same id are rows of their own, each with its own links; null ids are null
     component names only where a whole component has no id.
     """
@@ -175,45 +190,78 @@ def _links(nodes: DataFrame, table, codes: int, threshold: float) -> DataFrame:
 
     label = nodes.schema["label"].dataType.simpleString()
     found = table(nodes.mapInArrow(filters, f"node binary, label {label}, filter bigint, stored boolean"), "filters")
-    stored = found.where("stored").select("label", "filter", "node")
-    held = stored.groupBy("label", "filter").agg(F.count("*").alias("held")).withColumn("blocks", F.ceil(F.col("held") / BLOCK).cast("int"))
+    meeting = _meeting(found, nodes).repartition(*KEYS).sortWithinPartitions(*KEYS, F.col("stored").desc())
+    met = meeting.mapInArrow(_verify(threshold), "node binary, n bigint, leader binary")
+    return cut(met.where("n > 0 OR node <> leader"))
+
+
+KEYS = ["label", "filter", "block", "part"]
+
+
+def _meeting(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The vectors of each filter by KEYS: every block of stored ones with every part of the looking ones."""
     at = ["label", "filter"]
-    stored = stored.join(held, at).select(*at, F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "node", F.lit(True).alias("stored"))
-    looking = found.join(held, at).select(*at, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", F.lit(False).alias("stored"))
-    meeting = stored.union(looking).join(nodes.select("node", "v", "copies"), "node")
-    keys = [*at, "block"]
-    meeting = meeting.repartition(*keys).sortWithinPartitions(*keys, F.col("stored").desc())
+    held = found.groupBy(*at).agg(F.count_if("stored").alias("held"), F.count("*").alias("looking")).where("held > 0")
+    held = held.select(*at, F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("looking") / LOOKING).cast("int").alias("parts"))
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def one(n: str):
+        return F.pmod(F.xxhash64("node"), n).cast("int")
+
+    rows = found.join(held, at)
+    stored = rows.where("stored").select(*at, one("blocks").alias("block"), every("parts").alias("part"), "node", F.lit(True).alias("stored"))
+    looking = rows.select(*at, every("blocks").alias("block"), one("parts").alias("part"), "node", F.lit(False).alias("stored"))
+    return stored.union(looking).join(nodes.select("node", "v", "copies"), "node")
+
+
+def _verify(threshold: float):
+    """The links of sorted groups, of which only the stored vectors and a slice of the looking ones are held."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: list[tuple[bytes, int, bytes]] = []
-        for group in _grouped(batches, keys):
-            group = group.combine_chunks()
-            stored = group.column("stored").to_numpy()
-            held = int(stored.sum())
-            names = np.array(group.column("node").to_pylist(), object)
-            name = np.unique(names, return_inverse=True)[1]
-            v = _matrix(group.column("v").chunk(0))
-            copies = group.column("copies").to_numpy()[:held]
-            length = np.linalg.norm(v, axis=1)
-            for lo in range(held, len(names), 1024):
-                hi = min(len(names), lo + 1024)
-                cosine = (v[lo:hi] @ v[:held].T) / np.outer(length[lo:hi], length[:held])
-                same = name[lo:hi, None] == name[None, :held]
-                linked = (cosine >= threshold) | same
-                number = linked @ copies - same.any(axis=1)
-                row, column = _spread(linked)
-                first = names[lo:hi][row]
-                some = linked.any(axis=1)
-                gathered += zip(names[lo:hi][some].tolist(), number[some].tolist(), first[some].tolist(), strict=True)
-                has = np.flatnonzero(column >= 0)
-                gathered += zip(names[:held][has].tolist(), [0] * len(has), names[lo:hi][column[has]].tolist(), strict=True)
-            if len(gathered) > 20_000:
-                yield _packed(gathered)
-                gathered = []
+        now, stored, held = None, [], None
+        for key, rows in _runs(batches, KEYS):
+            if key != now:
+                now, stored, held = key, [], None
+            first_looking = int(np.count_nonzero(rows.column("stored").to_numpy(zero_copy_only=False)))
+            if first_looking:
+                stored.append(rows.slice(0, first_looking))
+            for lo in range(first_looking, rows.num_rows, SLICE):
+                if held is None:
+                    held = _held(stored)
+                    stored = []
+                gathered += _compare(held, rows.slice(lo, SLICE), threshold)
+                if len(gathered) > 20_000:
+                    yield _packed(gathered)
+                    gathered = []
         yield _packed(gathered)
 
-    met = meeting.mapInArrow(verify, "node binary, n bigint, leader binary")
-    return cut(met.where("n > 0 OR node <> leader"))
+    return verify
+
+
+def _held(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+    """Names, places, vectors, lengths and copies of a block of stored vectors."""
+    names = [x for part in parts for x in part.column("node").to_pylist()]
+    v = np.concatenate([_matrix(part.column("v")) for part in parts])
+    copies = np.concatenate([part.column("copies").to_numpy() for part in parts])
+    return np.array(names, object), {x: i for i, x in enumerate(names)}, v, np.linalg.norm(v, axis=1), copies
+
+
+def _compare(held, looking: pa.RecordBatch, threshold: float) -> list[tuple[bytes, int, bytes]]:
+    """Number of links of each looking vector, and spanning edges."""
+    stored_names, place, stored, stored_length, copies = held
+    names = np.array(looking.column("node").to_pylist(), object)
+    v = _matrix(looking.column("v"))
+    cosine = (v @ stored.T) / np.outer(np.linalg.norm(v, axis=1), stored_length)
+    same = np.array([place.get(x, -1) for x in names])[:, None] == np.arange(len(stored))
+    linked = (cosine >= threshold) | same
+    number = linked @ copies - same.any(axis=1)
+    row, column = _spread(linked)
+    some, has = linked.any(axis=1), np.flatnonzero(column >= 0)
+    found = list(zip(names[some].tolist(), number[some].tolist(), names[row][some].tolist(), strict=True))
+    return found + list(zip(stored_names[has].tolist(), [0] * len(has), names[column[has]].tolist(), strict=True))
 
 
 def _packed(rows: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:

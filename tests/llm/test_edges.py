@@ -89,6 +89,50 @@ def test_near_vectors_recall_and_hot_cluster(spark, monkeypatch):
     assert sum(r[1] for r in got) >= 0.9999 * sum(r[1] for r in want) and [r[2:] for r in got] == [r[2:] for r in want]
 
 
+def test_near_vectors_bound_both_sides_of_a_hot_filter(spark, monkeypatch):
+    from seasonlab.llm import cap_filters
+    rnd = np.random.default_rng(8)
+    center = rnd.normal(size=64)
+    rows = [(i, (center + 0.05 * rnd.normal(size=64)).tolist(), 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    monkeypatch.setattr(cap_filters, "BLOCK", 40)
+    monkeypatch.setattr(cap_filters, "LOOKING", 60)
+    groups, whole = [], cap_filters._meeting
+
+    def meeting(found, nodes):
+        met = whole(found, nodes)
+        groups.extend(r["count"] for r in met.groupBy(*cap_filters.KEYS).count().collect())
+        return met
+
+    monkeypatch.setattr(cap_filters, "_meeting", meeting)
+    got = sorted(tuple(r) for r in near_duplicate_vectors(df).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert got == brute.near_vectors(rows) and len(groups) > 100 and max(groups) < 200  # a filter's 600 vectors never meet in one group
+
+
+def test_near_vectors_hold_a_slice_of_the_looking_side():
+    import weakref
+
+    import pyarrow as pa
+
+    from seasonlab.llm.cap_filters import _verify
+    rnd = np.random.default_rng(9)
+    alive, most = [], []
+
+    def batches():
+        for b in range(40):
+            v = pa.array(rnd.normal(size=(50, 8)).tolist(), pa.list_(pa.float64()))
+            batch = pa.RecordBatch.from_pydict({
+                "label": [1] * 50, "filter": [1] * 50, "block": [0] * 50, "part": [0] * 50, "stored": [b == 0] * 50,
+                "node": [b"%d" % (50 * b + i) for i in range(50)], "v": v, "copies": [1] * 50,
+            })
+            alive.append(weakref.ref(batch))
+            yield batch
+            del batch, v
+            most.append(sum(r() is not None for r in alive))
+
+    assert sum(b.num_rows for b in _verify(0.9)(batches())) > 0 and max(most) <= 3
+
+
 # Chat
 
 
