@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from seasonlab.llm.common import cut, scratch_folder
 from seasonlab.llm.components import connected_components
 
-#: A vector looks into every filter whose score is within this of its best one's.
-#: For 64 dimensions and cosine 0.98 it misses under one link in 100,000 (tests measure recall).
-DEPTH = 0.12
+#: A vector looks into every filter whose score is within so many deviations of its best one's (tests measure recall).
+DEVIATIONS = 3.5
 #: Stored vectors of one filter that are compared in one block.
 BLOCK = 1024
 #: Looking vectors of one filter that meet a block in one group; they are read in slices of SLICE.
@@ -46,8 +45,18 @@ def filter_code(dim: int, codes: int) -> tuple[np.ndarray, list[np.ndarray]]:
     return rotation, parts
 
 
-def decode(vectors: np.ndarray, codes: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The best filter of each unit vector, and all filters within DEPTH of the best score."""
+def depth(threshold: float, dim: int) -> float:
+    """How far below its best filter's score a vector looks.
+
+    Vectors at the threshold differ by ``apart``, so the difference of their scores
+    in two filters deviates by about sqrt(2 / dim) of it, and is at most twice it.
+    """
+    apart = math.sqrt(max(2 - 2 * threshold, 0))
+    return max(min(DEVIATIONS * math.sqrt(2 / dim), 2) * apart, 1e-6)
+
+
+def decode(vectors: np.ndarray, codes: int, depth: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The best filter of each unit vector, and all filters within ``depth`` of the best score."""
     rotation, parts = filter_code(vectors.shape[1], codes)
     turned = vectors @ rotation
     short, at = [], 0
@@ -60,9 +69,9 @@ def decode(vectors: np.ndarray, codes: int) -> tuple[np.ndarray, list[np.ndarray
     for rows in zip(*short, strict=True):
         ids, left = np.zeros(1, np.int64), np.zeros(1)
         for i, row in enumerate(rows):
-            near = np.flatnonzero(row <= DEPTH)
+            near = np.flatnonzero(row <= depth)
             total = left[:, None] + row[near]
-            ok = total <= DEPTH
+            ok = total <= depth
             ids = (ids[:, None] + near * codes**i)[ok]
             left = total[ok]
         lists.append(ids)
@@ -179,7 +188,7 @@ def _links(nodes: DataFrame, table, codes: int, threshold: float) -> DataFrame:
                 for part in np.array_split(np.flatnonzero(sizes == size), -(-int((sizes == size).sum()) // 512)):
                     some = batch.take(pa.array(part))
                     v = _matrix(some.column("v"))
-                    best, lists = decode(v / np.linalg.norm(v, axis=1, keepdims=True), codes)
+                    best, lists = decode(v / np.linalg.norm(v, axis=1, keepdims=True), codes, depth(threshold, int(size)))
                     count = np.array([len(x) for x in lists])
                     flat = np.concatenate(lists)
                     yield pa.RecordBatch.from_pydict({

@@ -109,6 +109,18 @@ def test_near_vectors_bound_both_sides_of_a_hot_filter(spark, monkeypatch):
     assert got == brute.near_vectors(rows) and len(groups) > 100 and max(groups) < 200  # a filter's 600 vectors never meet in one group
 
 
+@pytest.mark.parametrize("dim, threshold, noise", [(16, 0.98, 0.14), (32, 0.9, 0.33)])
+def test_near_vectors_recall_follows_dimension_and_threshold(spark, dim, threshold, noise):
+    rnd = np.random.default_rng(dim)
+    base = rnd.normal(size=(300, dim))
+    v = np.concatenate([base, base + noise * rnd.normal(size=base.shape), base + noise * rnd.normal(size=base.shape)])
+    df = spark.createDataFrame([(i, x.tolist(), 7) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in near_duplicate_vectors(df, threshold=threshold).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = (unit @ unit.T >= threshold).sum(axis=1) - 1
+    assert want.sum() > 500 and sum(got.values()) >= 0.999 * want.sum() and all(got[i] <= n for i, n in enumerate(want))
+
+
 def test_near_vectors_hold_a_slice_of_the_looking_side():
     import weakref
 
