@@ -28,6 +28,8 @@ TOKEN = re.compile(
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Their content is not markup.
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas xmp noembed noframes".split())
+#: Of these, markup that is skipped as elements: they end with their parent if nothing closes them.
+SKIPPED = RAW - frozenset("script style textarea title xmp".split())
 #: What they hold is never main text.
 ASIDE_TAGS = frozenset("nav header footer aside form menu button select dialog fieldset label datalist option head address".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -38,77 +40,154 @@ ASIDE_WORDS = frozenset(
     "gdpr popup modal overlay share sharing social related recommended newsletter subscribe signup login search toolbar pagination pager copyright "
     "disclaimer legal hidden skip warning alert".split()
 )
+#: Of the words, those that also name a layout around the whole page ("no-sidebar", "with-nav").
+LAYOUT_WORDS = frozenset("banner nav navbar navigation menu header masthead footer foot sidebar side aside widget overlay search toolbar hidden".split())
 MAIN_TAGS = frozenset(("article", "main"))
 #: Inline elements do not end a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr nobr".split()
 )
+#: They end an element that is skipped and that nothing closes.
+BREAKS_OUT = frozenset("article main section div p h1 h2 h3 h4 h5 h6 ul ol table blockquote pre".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 SPLIT_WORDS = re.compile(r"[^a-z]+")
 
 
-def _is_aside(name: str, rest: str) -> bool:
-    """Whether an element holds something else than main text, by its name, role, class, id or being hidden."""
+def _aside(name: str, rest: str) -> str:
+    """Whether an element holds something else than main text, by its name, role, class, id or being hidden.
+
+    ``layout`` if it may as well be a wrapper of the page, ``words`` if class or id
+    say what it holds, ``always`` if it is never main text; empty if it isn't aside.
+    """
     if name in ASIDE_TAGS:
-        return True
+        return "layout" if name == "form" else "always"
     if not rest or name in ("html", "body") or name in MAIN_TAGS:
-        return False
+        return ""
+    found = ""
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            if not ASIDE_WORDS.isdisjoint(SPLIT_WORDS.split(value)):
-                return True
+            words = ASIDE_WORDS.intersection(SPLIT_WORDS.split(value))
+            if words:
+                found = "layout" if words <= LAYOUT_WORDS and found != "words" else "words"
         elif key == "role":
             if value in ASIDE_ROLES:
-                return True
+                return "always"
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-            return True
-    return False
+            return "always"
+    return found
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """``(kind, name, text)`` of a page in order: kind ``tag``, ``comment`` or the context of a text (aside, main, plain)."""
-    stack: list[tuple[str, str]] = []  # element and the context inside it
-    at, raw = 0, ""
+def _walk(page: str, wrappers: frozenset[int], sizes: list[tuple[int, str, int]]) -> Iterator[tuple[str, str, str]]:
+    """Tokens of a page, where elements that begin at ``wrappers`` aren't aside; ``sizes`` gets place, kind and words of the others that may be."""
+    stack: list[tuple[str, str, int, str, int]] = []  # element, the context inside it, its place, its kind of aside, words before it
+    at, words = 0, 0
     context = "plain"
+    closed_at: dict[str, int] = {}  # where a skipped element's name is closed next
+
+    def pop() -> str:
+        name, _, place, kind, before = stack.pop()
+        if kind in ("layout", "words"):
+            sizes.append((place, kind, words - before))
+        return name
+
     for m in TOKEN.finditer(page):
         if m.start() < at:  # inside a raw element
             continue
-        if m.start() > at:
-            yield context, "", page[at : m.start()]
+        if m.start() > at and context != "skipped":
+            text = page[at : m.start()]
+            words += len(text.split())
+            yield context, "", text
         at = m.end()
         name = m["name"] or m["name2"]
         if name is None:
-            if m["comment"] is not None:
+            if m["comment"] is not None and context != "skipped":
                 yield "comment", m["comment"], ""
             continue
         name = name.lower()
         if m["close"] or m["close2"]:
-            if any(open_name == name for open_name, _ in stack):
-                while stack.pop()[0] != name:
+            skipped = context == "skipped"
+            if any(entry[0] == name for entry in stack):
+                while pop() != name:
                     pass
                 context = stack[-1][1] if stack else "plain"
-            yield "tag", name, ""
+            if not skipped or context != "skipped":
+                yield "tag", name, ""
             continue
         rest = m["rest"] or m["rest2"] or ""
-        if name in RAW and not rest.endswith("/"):
+        if name in RAW and name not in SKIPPED and not rest.endswith("/"):
             ended = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(page, at)
             at = ended.end() if ended else len(page)
-            yield "tag", name, ""
+            if context != "skipped":
+                yield "tag", name, ""
             continue
+        if context == "skipped" and name in BREAKS_OUT:
+            outer = next(i for i, entry in enumerate(stack) if entry[1] == "skipped")
+            skipped = stack[outer][0]
+            if closed_at.get(skipped, -1) < at:
+                ended = re.compile(rf"</{skipped}\b", re.I).search(page, at)
+                closed_at[skipped] = ended.start() if ended else len(page)
+            if closed_at[skipped] == len(page):
+                while len(stack) > outer:
+                    pop()
+                context = stack[-1][1] if stack else "plain"
         if name not in VOID and not rest.endswith("/"):
-            if name not in INLINE and stack and stack[-1][0] in CLOSED_BY_BLOCK:
-                stack.pop()
+            if name not in INLINE and stack and stack[-1][0] in CLOSED_BY_BLOCK and context != "skipped":
+                pop()
                 context = stack[-1][1] if stack else "plain"
-            if context != "aside" and _is_aside(name, rest):
-                context = "aside"
-            elif name in MAIN_TAGS and context != "aside":
-                context = "main"
-            stack.append((name, context))
-        yield "tag", name, ""
-    if at < len(page):
+            inside, kind = context, ""
+            if context != "skipped":
+                kind = _aside(name, rest)
+                if name in SKIPPED:
+                    inside = "skipped"
+                elif context not in ("aside", "perhaps") and kind and m.start() not in wrappers:
+                    inside = "aside"
+                elif name in MAIN_TAGS and context == "aside" and not any(entry[0] in MAIN_TAGS for entry in stack):
+                    # a wrapper of the page around its article; an article among comments and the like is only perhaps the page's
+                    around = {entry[3] for entry in stack if entry[2] not in wrappers} - {""}
+                    inside = "main" if around == {"layout"} else "perhaps" if "always" not in around else "aside"
+                elif context == "perhaps" and kind:
+                    inside = "aside"
+                elif name in MAIN_TAGS and context != "aside" and context != "perhaps":
+                    inside = "main"
+            if context != "skipped" and inside == "skipped":
+                yield "tag", name, ""
+            stack.append((name, inside, m.start(), kind, words))
+            context = inside
+            if inside == "skipped":
+                continue
+        if context != "skipped":
+            yield "tag", name, ""
+    if at < len(page) and context != "skipped":
+        words += len(page[at:].split())
         yield context, "", page[at:]
+    while stack:
+        pop()
+    sizes.append((-1, "", words))
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """``(kind, name, text)`` of a page in order: kind ``tag``, ``comment`` or the context of a text (aside, main, plain).
+
+    An element that would be aside by a layout word, or as a form, is a wrapper if it
+    holds more than half of the page's words; by another word, if without it nothing is left.
+    """
+    sizes: list[tuple[int, str, int]] = []
+    found = list(_walk(page, frozenset(), sizes))
+    total = sizes[-1][2]
+
+    def said(kinds: tuple[str, ...]) -> bool:
+        return any(kind in kinds and text.strip() for kind, _, text in found)
+
+    for kinds in (("layout",), ("layout", "words")):
+        if said(("main", "perhaps")) or (len(kinds) == 2 and said(("plain",))):
+            break
+        wrappers = frozenset(place for place, kind, words in sizes if kind in kinds and 2 * words > total)
+        if wrappers:
+            found = list(_walk(page, wrappers, []))
+    perhaps = "aside" if said(("main",)) else "main"
+    return iter([(perhaps if kind == "perhaps" else kind, name, text) for kind, name, text in found])
 
 
 def _in_context(page: str) -> list[tuple[str, str, str]]:

@@ -51,6 +51,21 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+REAL = "<article><h1>Head</h1><p>The whole article of the page with its words</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form id='aspnetForm'>{REAL}</form></body>", f"<body><div class='no-sidebar'><nav>Home</nav>{REAL}</div><footer>end</footer></body>",
+    f"<div class='layout with-nav'>{REAL}</div>", f"<div id='page-header-fixed'><div class='ad'>buy</div>{REAL}</div>",
+    f"<body><div class='no-comments'>{REAL}</div></body>", f"{REAL}<div class='comments'><article>said this</article></div>",
+    f"<form>{REAL.replace('article>', 'div>')}<nav>Home</nav></form>", f"<div class='with-nav'>{REAL.replace('article>', 'div>')}</div>",
+    *(f"<body><div><{raw}><g>x</div>{REAL}</body>" for raw in ("svg", "math", "object", "noscript", "template", "iframe")),
+    f"<body><svg><path d='x'>{REAL}</body>", f"<body><div><svg></div>{REAL}<svg></svg></body>",
+])
+def test_main_text_keeps_a_wrapped_article(page):
+    assert main_text(page) == "Head The whole article of the page with its words"
+
+
 def test_main_text_is_linear_and_keeps_rows(spark):
     long = "<article>" + "<p>word " * 50_000 + "</article>"
     rows = [(1, "u", long, "t"), (1, "u", long, "t"), (None, None, None, "t")]
