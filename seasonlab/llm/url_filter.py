@@ -82,18 +82,20 @@ def _absolute(link: Column, url: Column) -> Column:
 
 
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst)`` urls: the canonical link and the meta refresh target that a page names."""
+    """``(src, dst)`` urls: all canonical links and meta refresh targets that a page names, outside comments and scripts."""
     attribute = r"""(?is)\s{0}\s*=\s*["']?\s*([^"'\s>]+)"""
-    canonical = F.regexp_extract(
-        F.regexp_extract("__html", r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0), attribute.format("href"), 1
-    )
-    refresh = F.regexp_extract(
-        F.regexp_extract("__html", r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0),
-        r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1,
-    )
+    rel = r"""(?is)[\s"']rel\s*=\s*(?:"(?:[^">]*\s)?canonical[\s"]|'(?:[^'>]*\s)?canonical[\s']|canonical[\s/>])"""
+
+    def named(tag: str, holds: str, target: str) -> Column:
+        found = F.regexp_extract_all("__html", F.lit(rf"(?is)<{tag}\b[^>]*>"), F.lit(0))
+        return F.transform(F.filter(found, lambda x: F.regexp_like(x, F.lit(holds))), lambda x: F.regexp_extract(x, target, 1))
+
+    canonical = named("link", rel, attribute.format("href"))
+    refresh = named("meta", r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>]+)""")
     rows = pages.select(F.col(url_col).alias("src"), F.col(html_col).alias("__html"))
     rows = rows.where(F.col("src").isNotNull() & F.col("__html").rlike(r"(?i)canonical|http-equiv"))
-    rows = rows.select("src", F.explode(F.array(canonical, refresh)).alias("__link")).where("__link <> ''")
+    rows = rows.withColumn("__html", F.regexp_replace("__html", r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\b|\z)", " "))
+    rows = rows.select("src", F.explode(F.concat(canonical, refresh)).alias("__link")).where("__link <> ''")
     return rows.select("src", _absolute(F.col("__link"), F.col("src")).alias("dst")).where("dst IS NOT NULL")
 
 

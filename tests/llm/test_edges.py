@@ -24,7 +24,7 @@ from seasonlab.llm.html_extract import extract_main_text, main_text  # noqa: E40
 from seasonlab.llm.lang_id import fit, identify  # noqa: E402
 from seasonlab.llm.norm_topk import top_k_products  # noqa: E402
 from seasonlab.llm.stages import dedup_stage, language_stage, substring_stage  # noqa: E402
-from seasonlab.llm.url_filter import Rule, judge_urls  # noqa: E402
+from seasonlab.llm.url_filter import Rule, judge_urls, page_edges  # noqa: E402
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, class_id string"
 
@@ -378,6 +378,14 @@ def test_url_components(spark):
     assert judge_urls(df.limit(0), rules).count() == 0 and judge_urls(df, [], html_col=None).where("verdict = 'allow'").count() == len(rows)
 
 
+def test_page_edges_takes_all_links(spark):
+    page = """<!-- <link rel="canonical" href="http://no.net/1"> --><script>'<meta http-equiv="refresh" content="0; url=http://no.net/2">'</script>
+        <link rel='alternate canonical' href='http://a.net/'><LINK href="http://b.net/" rel=canonical><link rel="canonicalized" href="http://no.net/3">
+        <link rel="stylesheet" href="/canonical"><meta http-equiv=refresh content="0; url=http://c.net/"><meta http-equiv="refresh" content="0;URL='http://d.net/'">"""
+    df = spark.createDataFrame([("http://s.org/", page), ("http://t.org/", '<link rel="canonical" href="/x"/>')], "url string, html string")
+    assert sorted(r["dst"] for r in page_edges(df).collect()) == ["http://a.net/", "http://b.net/", "http://c.net/", "http://d.net/", "http://t.org/x"]
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(10, 60)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     out = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
