@@ -148,18 +148,19 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key: Column, rows_per_language: int = FIT_ROWS_PER_LANGUAGE) -> LanguageModel:
-    """Fit on at most ``rows_per_language`` labelled rows of each language: those whose hashed ``key`` is smallest.
+    """Fit on at most ``rows_per_language`` labelled rows of each language: those whose hashed ``key`` is smallest, rows that repeat key and text once.
 
     Rows with a null or empty text or a null language aren't used. The sample's
-    keys are cut down in each task before they meet, its texts are read by a
-    second scan, and its vectors (a bounded number) are fitted on the driver.
+    keys become distinct and are cut down before its texts are read by a second
+    scan, and its vectors (a bounded number) are fitted on the driver.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(key).alias("h"))
     rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy("h")
-    taken = rows.select("lang", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language)
-    taken = taken.select("lang", "h").distinct()
-    sample = rows.join(F.broadcast(taken), ["lang", "h"], "left_semi")  # bounded by the parameter
+    rows = rows.withColumn("t", F.xxhash64("text"))
+    # a row for each key and text, or rows that repeat would bring more than the parameter
+    order = Window.partitionBy("lang").orderBy("h", "t")
+    taken = rows.select("lang", "h", "t").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).drop("n")
+    sample = rows.join(F.broadcast(taken), ["lang", "h", "t"], "left_semi").groupBy("lang", "h", "t").agg(F.min("text").alias("text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -359,6 +359,15 @@ def test_language_edges(spark):
     assert fit(empty, key=F.col("doc_id")).languages == [] and language_stage(spark, empty, "").count() == 0
 
 
+def test_language_sample_is_bounded_in_rows(spark, monkeypatch):
+    from seasonlab.llm import lang_id
+    rows = [(1, f"the ship and the harbour {i % 50} {'abcdefghij'[i % 10] * (1 + i % 7)}", "en") for i in range(500)] + [(1, "le navire", "fr")] * 300
+    seen, learn = [], lang_id.learn
+    monkeypatch.setattr(lang_id, "learn", lambda counts, named: seen.append(sorted(named)) or learn(counts, named))
+    fit(docs_of(spark, rows), key=F.col("doc_id"), rows_per_language=20)
+    assert seen == [["en"] * 20 + ["fr"]]
+
+
 # URLs
 
 
