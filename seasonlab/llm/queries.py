@@ -17,6 +17,7 @@ from seasonlab.llm.packing import pack_documents
 from seasonlab.llm.probminhash import near_duplicate_classes
 from seasonlab.llm.substring import remove_repeats
 from seasonlab.llm.url_filter import Rule, judge_urls
+from seasonlab.llm.weighted_sampling import fingerprint_documents
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
@@ -106,10 +107,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extract, op2_embedding_dedup, op3_chat_format, op4_byte_bpe, op5_packing, op6_substring_dedup, op7_minhash_dedup,
-        op8_exact_topk, op9_language_id, op10_url_filter,
+        op8_exact_topk, op9_language_id, op10_url_filter, op11_fingerprints,
     )
 }
