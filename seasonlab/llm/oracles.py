@@ -116,6 +116,57 @@ WITH v AS (
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 5
 """
 
+_LEXICAL = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS terms FROM documents
+), asked AS (
+  SELECT row_number() OVER () AS i, item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS terms FROM benchmark
+), totals AS (SELECT count(*) FILTER (len(terms) > 0) AS big_n, CAST(sum(len(terms)) AS BIGINT) AS big_l FROM split),
+tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM split) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, totals GROUP BY term, big_n),
+sizes AS (SELECT r, doc_id, 100 - 25 + ((25 * len(terms) * big_n) // big_l) AS m FROM split, totals WHERE len(terms) > 0),
+wanted AS (SELECT i, item_id, term, count(*) AS repeats FROM (SELECT i, item_id, unnest(terms) AS term FROM asked) GROUP BY i, item_id, term),
+scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM wanted JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (r) GROUP BY i, item_id, r, doc_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS n FROM scored WHERE score > 0)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM ranked WHERE n <= 20
+"""
+
+_SPELLING = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) x(i))
+), runs AS (
+  SELECT run, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS x FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+), hashed AS (
+  SELECT run, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, len(x), 2), lambda i: (strpos('0123456789ABCDEF', x[i]) - 1) * 16 + strpos('0123456789ABCDEF', x[i + 1]) - 1)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM runs, remainders
+), words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5
+), spots AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+gaps AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM spots),
+shorter AS (SELECT DISTINCT word, a || b AS other FROM gaps WHERE a || b IN (SELECT word FROM words)),
+near AS (
+  SELECT x.word, y.word AS other FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT word, other FROM shorter UNION SELECT other, word FROM shorter
+), best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS most FROM near JOIN words o ON o.word = near.other GROUP BY near.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN most END AS form_n,
+    (SELECT min(o.word) FROM near JOIN words o ON o.word = near.other WHERE near.word = w.word AND o.n = most AND most >= 5 * w.n) AS form
+  FROM words w LEFT JOIN best USING (word)
+), paths(word, place) AS (SELECT word, word FROM formed UNION SELECT paths.word, form FROM paths JOIN formed f ON f.word = paths.place WHERE form IS NOT NULL)
+SELECT f.word, f.form, paths.place AS root, CAST(f.n AS BIGINT) AS n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM formed f JOIN paths USING (word) JOIN formed last ON last.word = paths.place WHERE last.form IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": _VECTORS,
     "op3_chat_format": _CHAT,
@@ -123,4 +174,6 @@ ORACLES: dict[str, str] = {
     "op7_minhash_dedup": _NEAR,
     "op8_exact_topk": _TOP_K,
     "op10_url_filter": _URL,
+    "op12_lexical_search": _LEXICAL,
+    "op13_spelling_variants": _SPELLING,
 }

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from seasonlab.llm.bpe import decode_ids, encode_texts
 from seasonlab.llm.cap_filters import near_duplicate_vectors
 from seasonlab.llm.chat import chain, format_conversations, read_back, read_loss
-from seasonlab.llm.common import read_table
+from seasonlab.llm.common import read_table, scratch_table
+from seasonlab.llm.geometric_blocks import index_documents, search
 from seasonlab.llm.html_extract import extract_main_text
 from seasonlab.llm.lang_id import UNKNOWN, fit, held_out, identify
 from seasonlab.llm.norm_topk import top_k_products
 from seasonlab.llm.packing import pack_documents
 from seasonlab.llm.probminhash import near_duplicate_classes
 from seasonlab.llm.substring import remove_repeats
+from seasonlab.llm.trie_pairs import letter_runs, spelling_variants, without_code_point
 from seasonlab.llm.url_filter import Rule, judge_urls
 from seasonlab.llm.weighted_sampling import fingerprint_documents
 
@@ -32,6 +34,9 @@ URL_RULES = (
     Rule("block", "net", "/fr/"),
 )
 
+LEAST_LETTERS, LEAST_PLACES = 6, 5
+SLIP_EVERY = 199
+
 
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
@@ -111,10 +116,25 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = scratch_table(index_documents(read_table(spark, sf_dir, "documents")), "terms")
+    return search(index, read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # shorter runs can't become words: at most one code point is deleted
+    runs = letter_runs(read_table(spark, sf_dir, "documents"), keep=[F.col("doc_id")], least=LEAST_LETTERS)
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    slipped = F.when(h % SLIP_EVERY == 0, without_code_point(F.col("run"), (h % F.length("run")).cast("int"))).otherwise(F.col("run"))
+    words = runs.select(slipped.alias("word")).where(F.length("word") >= LEAST_LETTERS)
+    words = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PLACES)
+    return spelling_variants(words)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extract, op2_embedding_dedup, op3_chat_format, op4_byte_bpe, op5_packing, op6_substring_dedup, op7_minhash_dedup,
-        op8_exact_topk, op9_language_id, op10_url_filter, op11_fingerprints,
+        op8_exact_topk, op9_language_id, op10_url_filter, op11_fingerprints, op12_lexical_search, op13_spelling_variants,
     )
 }

@@ -53,8 +53,8 @@ class Words(NamedTuple):
         return mix((sums[self.stop] - sums[self.start]) * down[self.start])
 
 
-def words_of(column: pa.Array) -> Words:
-    """The words of a string column without nulls."""
+def words_of(column: pa.Array, apart: np.ndarray = SPACE, fold: np.ndarray | None = None) -> Words:
+    """The words of a string column without nulls: longest runs of bytes that aren't ``apart``, each byte replaced as ``fold`` has it."""
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column) or offsets[-1] == offsets[0]:
@@ -62,7 +62,7 @@ def words_of(column: pa.Array) -> Words:
         return Words(np.zeros(len(column), np.int64), nothing, nothing, np.zeros(0, np.uint8))
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     bounds = offsets - offsets[0]
-    solid = ~SPACE[data]
+    solid = ~apart[data]
     # a word starts after white space or at the start of a row, and stops likewise
     fresh = np.zeros(len(data) + 1, bool)
     fresh[bounds] = True
@@ -70,7 +70,7 @@ def words_of(column: pa.Array) -> Words:
     start = np.flatnonzero(solid & (~before | fresh[:-1]))
     after = np.r_[solid[1:], False]
     stop = np.flatnonzero(solid & (~after | fresh[1:])) + 1
-    return Words(np.searchsorted(start, bounds[1:]), start, stop, data)
+    return Words(np.searchsorted(start, bounds[1:]), start, stop, data if fold is None else fold[data])
 
 
 def runs_of(hashes: np.ndarray, length: int) -> np.ndarray:
