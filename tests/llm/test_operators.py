@@ -49,7 +49,7 @@ def test_op2_matches_brute_force(spark, sf_small):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf_small, name):
     con = duckdb.connect()
-    for t in ("conversations", "pages", "embeddings", "documents"):
+    for t in ("conversations", "pages", "embeddings", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_small}/{t}.parquet'")
     relation = con.sql(ORACLES[name])
     columns = sorted(relation.columns)
