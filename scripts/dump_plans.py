@@ -34,10 +34,10 @@ def clean(plan: str) -> str:
 
 
 def gram_pass(spark, sf_dir):
-    from seasonlab.operators.ridge import gram_statistics
+    from seasonlab.operators.tsqr import ridge_table
     from seasonlab.plans import queries as q
 
-    return gram_statistics(q.clean(spark, sf_dir, True), feature_cols=list(q.FEATURES_6), target_col=q.TARGET,
+    return ridge_table(q.clean(spark, sf_dir), feature_cols=list(q.FEATURES_6), target_col=q.TARGET,
                            season_col="season", train_end_season=q.TRAIN_END)
 
 

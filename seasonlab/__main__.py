@@ -57,14 +57,14 @@ def main(argv: list[str] | None = None) -> None:
     rank = sub.add_parser("ranking", parents=[common], help="top-N per position of one season")
     rank.add_argument("--season", type=int, required=True)
     rank.add_argument("--top-n", type=int, default=24)
-    rank.add_argument("--out", help="write the ranking as CSV (folder)")
+    rank.add_argument("--out", help="write the ranking as CSV (one file if it ends with .csv, else a folder)")
     fc = sub.add_parser("forecast", parents=[common], help="train, evaluate and forecast the next season")
     fc.add_argument("--start-season", type=int, required=True)
     fc.add_argument("--end-season", type=int, required=True)
     fc.add_argument("--train-end-season", type=int, required=True)
     fc.add_argument("--forecast-season", type=int, help="default: --end-season")
     fc.add_argument("--alpha", type=float, default=1.0)
-    fc.add_argument("--out-preds", help="write the forecast as CSV (folder)")
+    fc.add_argument("--out-preds", help="write the forecast as CSV (one file if it ends with .csv, else a folder)")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app_name=f"seasonlab-{args.command}")
@@ -84,6 +84,8 @@ def main(argv: list[str] | None = None) -> None:
                           out_path=args.out_preds)
     model = res.overall_model
     print(f"train seasons {list(model.train_seasons)}  test seasons {list(model.test_seasons)}")
+    print("age known for {with_age} of {total} feature rows, unknown for {null_age}".format(**res.age_coverage))
+    print("{dropped} of {total} pairs of seasons dropped for a null input".format(**res.dropped_rows))
     for title, df in (("ridge vs naive (holdout)", res.ridge_vs_naive), ("winner per metric", res.winner),
                       ("per-position ridge", res.position_metrics), ("top-N per position", res.slice_top_per_position),
                       ("top-N overall", res.slice_top_overall), ("Spearman by position", res.spearman)):

@@ -22,6 +22,7 @@ from seasonlab.operators.ranking import (
     with_dense_rank,
 )
 from seasonlab.operators.ridge import (
+    GroupedRidge,
     RidgeModel,
     compare_ridge_to_naive,
     fit_overall_and_by_group,
@@ -29,8 +30,10 @@ from seasonlab.operators.ridge import (
     model_winner,
     predict_for_season,
     train_ridge,
+    train_ridge_by_group,
     train_ridge_by_position,
 )
+from seasonlab.operators.rules import LeagueScores, rules_of, score_by_rules
 from seasonlab.operators.scoring import (
     Scoring,
     add_fantasy_points,

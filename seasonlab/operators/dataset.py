@@ -17,7 +17,8 @@ def build_next_season_dataset(features: DataFrame, *, season_col: str = "season"
     season, or changing position, has no row; duplicate next-season rows fan
     out; a next season without a value gives a null target; null keys never
     match. Seasons may be text. The right side carries its keys and the value
-    only, and a skewed player's partitions are split by the join.
+    only, and a skewed player's partitions are split by the join. Both sides read
+    ``features``: hand over a written table (``session.materialize``), or what led to it runs twice.
     """
     keys = [player_id_col, position_col]
     require_columns(features, [season_col, *keys, target_col])

@@ -5,14 +5,12 @@ it comes first when the highest rank first), as in Spark's own ordering.
 
 No operator sorts a whole group in one task. Top-N by dense rank looks up each
 position's N-th highest distinct value and filters by it; full ranks come from
-``rank_table``, whose running counts are cut into value ranges.
+``rank_table``: values sorted into range partitions, and prefix sums over these.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import require_columns
@@ -22,8 +20,6 @@ from seasonlab.session import materialize
 RANKING_POSITIONS = ("QB", "RB", "WR", "TE", "K", "DST")
 PLAYER_POSITIONS = ("QB", "RB", "WR", "TE", "K")
 
-# Distinct (group, value) rows that one range of a rank table should hold.
-ROWS_PER_BUCKET = 100_000
 RANK_METHODS = ("average", "min", "dense")
 
 
@@ -82,23 +78,9 @@ def first_n_per_group(df: DataFrame, *, group_col: str, order_col: str, n: int,
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def bucket_index(cuts: Column, value: Column, n_cuts: int) -> Column:
-    """Number of cut points below ``value`` (cuts sorted ascending), exactly.
-
-    Two levels keep it at about 2 * sqrt(n) comparisons per row: count the
-    coarse cuts (every stride-th) below the value, then the cuts inside the
-    one block that can still hold smaller values.
-    """
-    stride = math.isqrt(n_cuts) + 1
-    coarse = F.filter(cuts, lambda c, i: (i + 1) % stride == 0)
-    above = F.size(F.filter(coarse, lambda c: c < value))
-    block = F.slice(cuts, above * stride + 1, stride - 1) if stride > 1 else F.slice(cuts, 1, n_cuts)
-    return above * stride + F.size(F.filter(block, lambda c: c < value))
-
-
 def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
                out_col: str = "avg_rank", method: str = "average", descending: bool = False,
-               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Distinct (group, value) -> exact rank of that value within the group.
 
     ``method``: ``average`` (mid-rank of ties), ``min`` (SQL ``rank``) or
@@ -106,50 +88,49 @@ def rank_table(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[s
 
     A plain rank window would sort every group inside one task. Instead:
 
-    1. count rows per distinct (group, value), written once  -- partial aggregate
-    2. cut each group's values into ranges                   -- percentile_approx
-    3. running counts inside (group, range)                  -- window, many tasks
-    4. rows / values before each range (prefix over range totals)
+    1. count rows per distinct (group, value)                 -- partial aggregate
+    2. sort them by (group, value) into range partitions, written once
+    3. running counts inside each (group, partition)          -- window, many tasks
+    4. one total a (group, partition), and the running sum of those before it
     5. rank from the counts before the value and its tie count
 
-    The number of ranges follows the number of distinct values, with no upper
-    limit. Approximate cut points only change how work is split; ranks stay
-    exact. A hot value is a single row after step 1.
+    A group may lie in any number of partitions, and a row costs the same
+    however many there are. A hot value is a single row after step 1; a null
+    group is a group of its own. ``partitions`` sets how many ranges there are
+    (default: as the session shuffles; small ones are joined at run time).
     Output columns: group columns, ``_v`` (the value), ``out_col``.
     """
     if method not in RANK_METHODS:
         raise ValueError(f"method must be one of {RANK_METHODS}")
-    g = list(group_cols) or ["_all"]
-    rows = df if group_cols else df.withColumn("_all", F.lit(0))
-    counts = materialize(rows.select(*g, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-                         .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    n_cuts = max(1, -(-counts.count() // rows_per_bucket)) + 15
-    fractions = [i / (n_cuts + 1) for i in range(1, n_cuts + 1)]
-    real = F.when(~F.isnan(F.col("_v").cast("double")), F.col("_v"))
-    cuts = F.percentile_approx(real, fractions, max(10_000, 10 * n_cuts))
-    # percentile_approx depends on merge order, so cut points recomputed after
-    # a lost executor could differ from the first ones. They are written once
-    # (groups x ranges numbers) and every consumer reads the same values.
-    points = materialize(counts.groupBy(*g).agg(F.coalesce(cuts, F.slice(F.array(F.first("_v")), 1, 0)).alias("_cuts")))
-    ranged = counts.join(points, g, "inner").withColumn("_b", bucket_index(F.col("_cuts"), F.col("_v"), n_cuts)).drop("_cuts")
+    g = list(group_cols)
+    counts = (df.select(*g, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
     first = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    within = Window.partitionBy(*g, "_b").orderBy(first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = ranged.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})
-    totals = ranged.groupBy(*g, "_b").agg(F.sum("_c").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
-    before = Window.partitionBy(*g).orderBy(first("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"),
-                            F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_off_d"))
+    order = [*(F.col(c) for c in g), first("_v")]
+    placed = counts.repartitionByRange(*([partitions] if partitions else []), *order)
+    # written, as a value must keep its partition in both passes below and in a retry
+    placed = materialize(placed.withColumn("_p", F.spark_partition_id()))
+    within = Window.partitionBy(*g, "_p").orderBy(first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = placed.withColumns({"_cum": F.sum("_c").over(within), "_cum_d": F.count(F.lit(1)).over(within)})
+    totals = placed.groupBy(*g, "_p").agg(F.sum("_c").alias("_t"), F.count(F.lit(1)).alias("_d"))
+    before = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*(F.col(c).alias(f"_g_{c}") for c in g), F.col("_p").alias("_q"),
+                           F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
+                           F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_off_d"))
+    same = F.col("_p") == F.col("_q")
+    for c in g:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
     rows_before = F.col("_off") + F.col("_cum") - F.col("_c")
     rank = {
         "average": rows_before + (F.col("_c") + 1) / 2.0,
         "min": rows_before + 1,
         "dense": F.col("_off_d") + F.col("_cum_d"),
     }[method]
-    return ranged.join(offsets, g + ["_b"], "inner").select(*group_cols, "_v", rank.alias(out_col))
+    return running.join(totals, same).select(*g, "_v", rank.alias(out_col))
 
 
 def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (), out_col: str = "rank",
-           method: str = "average", descending: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+           method: str = "average", descending: bool = False, partitions: int | None = None) -> DataFrame:
     """``df`` plus the exact rank of ``value_col`` within each group (null value -> null rank).
 
     Ranks from ``rank_table`` are joined back on (group, value): the join
@@ -158,7 +139,7 @@ def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str,
     """
     g = list(group_cols)
     ranks = rank_table(df, value_col=value_col, group_cols=g, out_col=out_col, method=method, descending=descending,
-                       rows_per_bucket=rows_per_bucket)
+                       partitions=partitions)
     left, right = df.alias("_l"), ranks.alias("_r")
     same = F.col(f"_l.{value_col}") == F.col("_r._v")
     for c in g:
@@ -167,7 +148,7 @@ def ranked(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str,
 
 
 def average_rank(df: DataFrame, *, value_col: str, group_cols: list[str] | tuple[str, ...] = (),
-                 out_col: str = "avg_rank", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 out_col: str = "avg_rank", partitions: int | None = None) -> DataFrame:
     """``df`` plus the mid-rank of ``value_col`` within each group (ties share the average)."""
     return ranked(df, value_col=value_col, group_cols=group_cols, out_col=out_col, method="average",
-                  rows_per_bucket=rows_per_bucket)
+                  partitions=partitions)

@@ -1,20 +1,18 @@
-"""Ridge regression from distributed sufficient statistics.
-
-The fit needs only, per model group, the train count, feature/target means
-and the centred co-moments ``n * covar_pop(x_i, x_j)`` and
-``n * covar_pop(x_i, y)``. Spark computes them in one aggregate pass
-(map-side partial merge, numerically stable); the driver receives
-groups x (p^2 + p) numbers and solves (C + alpha I) w = c, with the
-intercept unpenalized: b = mean(y) - mean(x) . w. This is the textbook
-closed form of ridge with an intercept (as in the normal-equation solver of
-Spark's own linear regression). Predictions go back as a column expression
-(one model) or by a join with the coefficient table (one model a group).
+"""Ridge regression in the cluster (see ``tsqr``), one model or one per group.
+
+A fit reads its rows once. The overall model's triangle is one row; the listed
+positions' models are a row each, and reach the driver as weights. Models by a free
+column (player, name, ...) stay a table, which predictions join. The intercept
+isn't penalised: b = mean(y) - mean(x) . w. Predictions are column expressions.
+
+Rows of either side with a null, NaN or infinite feature or target are refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,90 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonlab.functions.columns import require_columns
-from seasonlab.operators.dataset import is_train
 from seasonlab.operators.metrics import metric_columns
 from seasonlab.operators.ranking import PLAYER_POSITIONS
-
-def _moment_name(i: int, j: int | str) -> str:
-    return f"_s_{i}_{j}"
-
-
-def gram_statistics(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str,
-                    train_end_season: int, group_cols: Sequence[str] = (), with_seasons: bool = True) -> DataFrame:
-    """One row per model group with everything the fit needs (one pass).
-
-    Columns: group keys, n_train, n_test, n_null (rows of either side with a
-    null feature or target), _m_i (feature means), _m_y, _s_i_j (i <= j) and _s_i_y
-    (centred co-moments), and with ``with_seasons`` train_seasons /
-    test_seasons (sorted arrays, as long as the number of distinct seasons;
-    they make the aggregate an object aggregate, so grouped fits skip them).
-    """
-    aggs = _gram_aggs(feature_cols, target_col, season_col, train_end_season, with_seasons)
-    return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-
-
-def _gram_aggs(feature_cols: Sequence[str], target_col: str, season_col: str, train_end_season: int,
-               with_seasons: bool) -> list[Column]:
-    tr = is_train(season_col, train_end_season)
-    te = F.col(season_col) > F.lit(train_end_season)
-    feats = list(feature_cols)
-    any_null = None
-    for c in feats + [target_col]:
-        t = F.col(c).isNull()
-        any_null = t if any_null is None else any_null | t
-    n_train = F.count_if(tr)
-
-    def on_train(c: str) -> Column:
-        return F.when(tr, F.col(c).cast("double"))
-
-    aggs = [n_train.alias("n_train"), F.count_if(te).alias("n_test"),
-            F.count_if(F.col(season_col).isNotNull() & any_null).alias("n_null")]
-    aggs += [F.avg(on_train(c)).alias(f"_m_{i}") for i, c in enumerate(feats)]
-    aggs.append(F.avg(on_train(target_col)).alias("_m_y"))
-    for i, ci in enumerate(feats):
-        for j in range(i, len(feats)):
-            aggs.append((F.covar_pop(on_train(ci), on_train(feats[j])) * n_train).alias(_moment_name(i, j)))
-        aggs.append((F.covar_pop(on_train(ci), on_train(target_col)) * n_train).alias(_moment_name(i, "y")))
-    if with_seasons:
-        aggs.append(F.sort_array(F.collect_set(F.when(tr, F.col(season_col)))).alias("train_seasons"))
-        aggs.append(F.sort_array(F.collect_set(F.when(te, F.col(season_col)))).alias("test_seasons"))
-    return aggs
-
-
-def solve_ridge(row: dict, p: int, alpha: float) -> tuple[list[float], float]:
-    """Coefficients and intercept from one Gram row (p x p solve)."""
-    a = np.zeros((p, p))
-    c = np.zeros(p)
-    for i in range(p):
-        for j in range(i, p):
-            a[i, j] = a[j, i] = row[_moment_name(i, j)] or 0.0
-        c[i] = row[_moment_name(i, "y")] or 0.0
-    a[np.diag_indices(p)] += alpha
-    w = np.linalg.solve(a, c)
-    means = np.array([row[f"_m_{i}"] for i in range(p)], dtype=float)
-    b = float(row["_m_y"] - means @ w)
-    return [float(x) for x in w], b
-
-
-def merge_gram_rows(rows: list[dict], p: int) -> dict:
-    """The Gram row of all groups together: counts add, co-moments about the common mean."""
-    filled = [r for r in rows if r["n_train"]]
-    out = {k: sum(r[k] for r in rows) for k in ("n_train", "n_test", "n_null")}
-    out["train_seasons"] = {x for r in rows for x in r["train_seasons"]}
-    out["test_seasons"] = {x for r in rows for x in r["test_seasons"]}
-    n = np.array([r["n_train"] for r in filled], dtype=float)
-    names = [*range(p), "y"]
-    means = np.array([[r[f"_m_{i}"] or 0.0 for i in names] for r in filled]).reshape(len(filled), p + 1)
-    center = n @ means / n.sum() if len(filled) else np.zeros(p + 1)
-    for k, i in enumerate(names):
-        out[f"_m_{i}"] = float(center[k])
-        for h in range(k, p + 1):
-            j = names[h]
-            if i == "y":
-                continue
-            between = float(n @ ((means[:, k] - center[k]) * (means[:, h] - center[h])))
-            out[_moment_name(i, j)] = sum(r[_moment_name(i, j)] or 0.0 for r in filled) + between
-    return out
+from seasonlab.operators.tsqr import ridge_table, solve_triangle
+from seasonlab.session import materialize
 
 
 @dataclass(frozen=True)
@@ -150,8 +68,8 @@ class RidgeModel:
     def predict(self, df: DataFrame, out_col: str = "y_pred", *, keep_all: bool = False) -> DataFrame:
         """Append the prediction; rows of a group without a model get no row (with ``keep_all`` a null prediction).
 
-        Grouped models join the coefficient table, which the driver holds (it
-        solved one row a group), so broadcasting it is bounded by that.
+        Grouped models join the coefficient table, a row for each listed group;
+        its measured size decides how.
         """
         if self.group_col is None:
             return df.withColumn(out_col, self.prediction())
@@ -161,69 +79,109 @@ class RidgeModel:
         pred = F.col("_b")
         for i, c in enumerate(self.feature_cols):
             pred = pred + F.col(f"_w{i}") * F.col(c).cast("double")
-        joined = df.join(F.broadcast(coefs), [self.group_col], "left" if keep_all else "inner").withColumn(out_col, pred)
+        joined = df.join(coefs, [self.group_col], "left" if keep_all else "inner").withColumn(out_col, pred)
         return joined.select(*df.columns, out_col)
 
 
-def _fit(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str, train_end_season: int,
-         alpha: float, group_col: str | None) -> tuple[RidgeModel, list[dict]]:
-    stats = gram_statistics(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
-                            train_end_season=train_end_season, group_cols=[group_col] if group_col else [],
-                            with_seasons=group_col is None)
-    rows = [r.asDict() for r in stats.collect()]  # one row per model group: groups x (p^2 + p) numbers
-    model = _models_from_rows(rows, feature_cols, alpha, group_col, (lambda r: r[group_col]) if group_col else None)
-    return model, rows
-
-
-def _models_from_rows(rows: list[dict], feature_cols: Sequence[str], alpha: float, group_col: str | None,
-                      key_of=None) -> RidgeModel:
-    """Solve every Gram row that has both train and test rows (p x p each, on the driver)."""
-    p = len(feature_cols)
-    coefs, train_s, test_s = {}, set(), set()
-    for r in rows:
-        if r["n_null"]:
-            raise ValueError(f"{r['n_null']} rows have a null feature or target; drop them first")
-        if r["n_train"] == 0 or r["n_test"] == 0:
-            continue
-        coefs[key_of(r) if key_of else None] = solve_ridge(r, p, alpha)
-        train_s.update(r.get("train_seasons") or [])
-        test_s.update(r.get("test_seasons") or [])
-    return RidgeModel(tuple(feature_cols), coefs, group_col, tuple(sorted(train_s)), tuple(sorted(test_s)), alpha)
+@dataclass(frozen=True)
+class GroupedRidge:
+    """One model for every value of ``group_col``, as a table: the group, n_train, n_test, weights (array) and intercept."""
+
+    feature_cols: tuple[str, ...]
+    group_col: str
+    table: DataFrame
+    alpha: float = 1.0
+
+    def coefficient_rows(self) -> DataFrame:
+        """(group column, feature, coefficient), with an '(intercept)' row a group."""
+        names = F.array(*[F.lit(f) for f in (*self.feature_cols, "(intercept)")])
+        pairs = F.arrays_zip(names.alias("feature"), F.concat("weights", F.array("intercept")).alias("coefficient"))
+        return self.table.select(self.group_col, F.inline(pairs)).toDF(self.group_col, "feature", "coefficient")
+
+    def predict(self, df: DataFrame, out_col: str = "y_pred") -> DataFrame:
+        """Append the prediction of the row's group; rows of a group without a model get no row."""
+        models = self.table.select(F.col(self.group_col).alias("_g"), "weights", "intercept")
+        terms = [F.col("weights")[i] * F.col(c).cast("double") for i, c in enumerate(self.feature_cols)]
+        pred = reduce(lambda a, b: a + b, terms, F.col("intercept"))
+        return df.join(models, F.col(self.group_col) == F.col("_g")).withColumn(out_col, pred).select(*df.columns, out_col)
+
+
+def _refuse_bad(n: int) -> None:
+    if n:
+        raise ValueError(f"{n} rows have a null, NaN or infinite feature or target; drop them first")
+
+
+def _models_from_rows(rows: list, feature_cols: Sequence[str], alpha: float, group_col: str | None, key_col: str | None = None) -> RidgeModel:
+    """A model of the rows of a ridge table that the driver holds: one, or one a listed group."""
+    _refuse_bad(sum(r["n_bad"] for r in rows))
+    solved = [r for r in rows if r["weights"] is not None]
+    coefs = {r[key_col] if key_col else None: (list(r["weights"]), float(r["intercept"])) for r in solved}
+    seasons = sorted({s for r in solved if "seasons" in r for s in r["seasons"]})
+    return RidgeModel(tuple(feature_cols), coefs, group_col, tuple(seasons), (), alpha)
+
+
+def _split_seasons(model: RidgeModel, train_end_season: int) -> RidgeModel:
+    """The model with its seasons told apart by the split."""
+    train, test = (tuple(s for s in model.train_seasons if (s <= train_end_season) == side) for side in (True, False))
+    return RidgeModel(model.feature_cols, model.coefficients, model.group_col, train, test, model.alpha)
 
 
 def fit_overall_and_by_group(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, train_end_season: int,
                              alpha: float = 1.0, season_col: str = "season", group_col: str = "position",
                              groups: Sequence[str] = PLAYER_POSITIONS) -> tuple[RidgeModel, RidgeModel]:
-    """The overall model and one model per listed group from ONE aggregate pass.
+    """The overall model and one model per listed group from ONE pass over the rows.
 
-    Rows of groups outside ``groups`` share a null key, so the aggregate
-    returns one row for each listed group and one for the rest; the overall
-    model's statistics are these rows merged on the driver. Same results as
-    ``train_ridge`` plus ``train_ridge_by_position`` (tested).
+    Rows of groups outside ``groups`` share a null key, so there is one triangle
+    for each listed group and one for the rest; the overall model's triangle is
+    these, stacked and reduced. Same results as ``train_ridge`` plus
+    ``train_ridge_by_position`` (tested).
     """
     require_columns(df, list(feature_cols) + [target_col, season_col, group_col])
     keyed = df.withColumn("_group_key", F.when(F.col(group_col).isin(list(groups)), F.col(group_col)))
-    aggs = _gram_aggs(feature_cols, target_col, season_col, train_end_season, with_seasons=True)
-    rows = [r.asDict() for r in keyed.groupBy("_group_key").agg(*aggs).collect()]
-    overall = _models_from_rows([merge_gram_rows(rows, len(feature_cols))] if rows else [], feature_cols, alpha, None)
-    by_group = _models_from_rows([r for r in rows if r["_group_key"] is not None], feature_cols, alpha, group_col,
-                                 lambda r: r["_group_key"])
-    if not overall.coefficients:
+    rows = ridge_table(keyed, feature_cols=feature_cols, target_col=target_col, season_col=season_col, train_end_season=train_end_season,
+                       alpha=alpha, group_cols=["_group_key"]).collect()  # at most a row a listed group and one more
+    by_group = _models_from_rows([r for r in rows if r["_group_key"] is not None], feature_cols, alpha, group_col, "_group_key")
+    _refuse_bad(sum(r["n_bad"] for r in rows))
+    width = len(feature_cols) + 2
+    whole = np.concatenate([np.zeros((0, width)), *(np.frombuffer(r["triangle"], "<f8").reshape(-1, width) for r in rows)])
+    if not len(whole) or not sum(r["n_test"] for r in rows):
         raise ValueError(f"the time split at season {train_end_season} leaves an empty train or test set")
+    w, b = solve_triangle(whole, alpha)
+    seasons = tuple(sorted({s for r in rows for s in r["seasons"]}))
+    overall = RidgeModel(tuple(feature_cols), {None: (w.tolist(), b)}, None, seasons, (), alpha)
     if not by_group.coefficients:
         raise ValueError("No position has rows on both sides of the time split")
-    return overall, by_group
+    return _split_seasons(overall, train_end_season), _split_seasons(by_group, train_end_season)
 
 
 def train_ridge(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, season_col: str = "season",
                 train_end_season: int, alpha: float = 1.0) -> RidgeModel:
     """One ridge model on season <= T; fails if either side of the split is empty."""
     require_columns(df, list(feature_cols) + [target_col, season_col])
-    model, rows = _fit(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
-                       train_end_season=train_end_season, alpha=alpha, group_col=None)
+    row = ridge_table(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col, train_end_season=train_end_season, alpha=alpha)
+    model = _models_from_rows(row.collect(), feature_cols, alpha, None)
     if not model.coefficients:
         raise ValueError(f"the time split at season {train_end_season} leaves an empty train or test set")
-    return model
+    return _split_seasons(model, train_end_season)
+
+
+def train_ridge_by_group(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, group_col: str, train_end_season: int,
+                         season_col: str = "season", alpha: float = 1.0) -> GroupedRidge:
+    """One model for every value of a column that may have any number of them.
+
+    All models are solved in the cluster and written once; the driver learns only
+    how many rows are unusable and whether there is a model. Groups with an empty
+    train or test side get no model; a null group is one of its own in the table,
+    and matches no row in ``predict``.
+    """
+    require_columns(df, list(feature_cols) + [target_col, season_col, group_col])
+    table = materialize(ridge_table(df, feature_cols=feature_cols, target_col=target_col, season_col=season_col, train_end_season=train_end_season,
+                                    alpha=alpha, group_cols=[group_col], with_seasons=False).drop("triangle"))
+    seen = table.agg(F.coalesce(F.sum("n_bad"), F.lit(0)).alias("bad"), F.count("weights").alias("models")).first()
+    _refuse_bad(seen["bad"])
+    if not seen["models"]:
+        raise ValueError(f"No value of {group_col} has rows on both sides of the time split")
+    return GroupedRidge(tuple(feature_cols), group_col, table.where(F.col("weights").isNotNull()).drop("n_bad"), alpha)
 
 
 def holdout_predictions(df: DataFrame, model: RidgeModel, *, target_col: str, season_col: str = "season",
@@ -267,13 +225,13 @@ def compare_ridge_to_naive(df: DataFrame, *, feature_cols: Sequence[str], target
 
 
 def side_by_side_metrics(preds: DataFrame, models: Sequence[str] = ("ridge", "naive")) -> DataFrame:
-    """(model, n, mae, rmse, r2) for each ``y_pred_<model>`` column, one aggregate pass."""
+    """(model, n, mae, rmse, r2) for each ``y_pred_<model>`` column, one aggregate pass; ``n`` counts the model's pairs without a null."""
     cols = []
     for m in models:
-        mae, rmse, r2 = metric_columns("y_true", f"y_pred_{m}", n_alias=None)
-        cols += [mae.alias(f"mae_{m}"), rmse.alias(f"rmse_{m}"), r2.alias(f"r2_{m}")]
-    wide = preds.agg(F.count(F.lit(1)).alias("n"), *cols)
-    parts = ", ".join(f"'{m}', n, mae_{m}, rmse_{m}, r2_{m}" for m in models)
+        n, mae, rmse, r2 = metric_columns("y_true", f"y_pred_{m}")
+        cols += [n.alias(f"n_{m}"), mae.alias(f"mae_{m}"), rmse.alias(f"rmse_{m}"), r2.alias(f"r2_{m}")]
+    wide = preds.agg(*cols)
+    parts = ", ".join(f"'{m}', n_{m}, mae_{m}, rmse_{m}, r2_{m}" for m in models)
     return wide.selectExpr(f"stack({len(models)}, {parts}) as (model, n, mae, rmse, r2)")
 
 
@@ -293,7 +251,7 @@ def model_winner(metrics: DataFrame, *, challenger: str = "ridge", baseline: str
 def train_ridge_by_position(df: DataFrame, *, feature_cols: Sequence[str], target_col: str, train_end_season: int,
                             season_col: str = "season", position_col: str = "position",
                             positions: Sequence[str] = PLAYER_POSITIONS, alpha: float = 1.0) -> tuple[RidgeModel, DataFrame]:
-    """One model per position from one grouped Gram aggregate.
+    """One model per listed position, all solved in the cluster.
 
     Positions with no rows, or an empty train or test side, get no model.
     Returns (models, stacked holdout predictions). Raises if no position
@@ -301,8 +259,9 @@ def train_ridge_by_position(df: DataFrame, *, feature_cols: Sequence[str], targe
     """
     require_columns(df, list(feature_cols) + [target_col, season_col, position_col])
     scoped = df.where(F.col(position_col).isin(list(positions)))
-    model, _ = _fit(scoped, feature_cols=feature_cols, target_col=target_col, season_col=season_col,
-                    train_end_season=train_end_season, alpha=alpha, group_col=position_col)
+    rows = ridge_table(scoped, feature_cols=feature_cols, target_col=target_col, season_col=season_col, train_end_season=train_end_season,
+                       alpha=alpha, group_cols=[position_col]).drop("triangle").collect()  # at most a row a listed position
+    model = _split_seasons(_models_from_rows(rows, feature_cols, alpha, position_col, position_col), train_end_season)
     if not model.coefficients:
         raise ValueError("No position has rows on both sides of the time split")
     preds = holdout_predictions(scoped, model, target_col=target_col, season_col=season_col,

@@ -317,6 +317,22 @@ def build() -> dict[str, str]:
     o["score_custom_weights"] = with_base(
         f"SELECT *, {weekly_points_sql({**PPR, 'pass_td': 6.0})} AS fantasy_points_calc FROM weekly",
         wd + ["fantasy_points_calc"])
+    leagues = "SELECT n_nationkey, 1 + n_nationkey / 10.0e0 AS factor FROM nation WHERE n_nationkey % 6 <> 5"
+    o["score_rules_table"] = with_base(
+        f"SELECT * EXCLUDE (n_nationkey, factor), ' league ' || (player_id % 25) AS league, factor * ({weekly_points_sql(PPR)}) AS fantasy_points_calc "
+        f"FROM weekly JOIN ({leagues}) ON player_id % 25 = n_nationkey", wd + ["fantasy_points_calc"])
+    o["score_unknown_leagues"] = with_base(
+        f"SELECT 'LEAGUE ' || (player_id % 25) AS league, count(*) AS n FROM weekly WHERE player_id % 25 NOT IN (SELECT n_nationkey FROM ({leagues})) "
+        "GROUP BY player_id % 25", [])
+    o["score_unknown_stats"] = with_base(f"SELECT 'LEAGUE ' || n_nationkey AS league, 'long_td' AS stat, CAST(1 AS BIGINT) AS n FROM ({leagues})", [])
+    o["store_season_totals"] = with_base("SELECT * FROM totals", TOTAL_DOUBLES)
+    plain = f"SELECT * FROM ({features_select('totals', None)})"
+    o["store_next_season"] = with_base(
+        f"SELECT f.*, n.feat_points AS {T} FROM ({plain}) f JOIN ({plain}) n ON f.player_id = n.player_id AND f.position = n.position "
+        "AND f.season + 1 = n.season", TOTAL_DOUBLES + FEATURE_DOUBLES + [T])
+    corrected = f"(SELECT * REPLACE (CASE WHEN season = {q.RANK_SEASON} THEN receptions + 1 ELSE receptions END AS receptions) FROM weekly)"
+    o["store_refresh_totals"] = with_base(totals_sql(corrected), TOTAL_DOUBLES)
+    o["feed_ranking"] = with_base(ranking_sql("totals_rank", "fantasy_points", q.TOP_N), ["fantasy_points"])
     season_age = (f"SELECT player_id, season, {age_sql('season', '_birth')} AS age FROM "
                   f"(SELECT gsis_id AS player_id, birth_date AS _birth, unnest(generate_series("
                   f"(SELECT min(year(o_orderdate)) FROM orders) - 1, (SELECT max(year(o_orderdate)) FROM orders) + 1)) AS season "
@@ -412,6 +428,14 @@ def build() -> dict[str, str]:
     o["ridge_by_position_coefs_2feat"] = with_ridge(
         F2, "position", coef_rows_sql(F2, "position").replace("FROM {coef}", f"FROM {{coef}} WHERE position IN {POS5}"),
         ["coefficient"])
+    o["ridge_by_player_coefs"] = with_ridge(F2, "player_id", coef_rows_sql(F2, "player_id"), ["coefficient"])
+    o["ridge_by_player_metrics"] = with_ridge(
+        F2, "player_id", f"SELECT position, {metrics_sql()} FROM (SELECT c.position, CAST(c.{T} AS DOUBLE) AS y_true, {prediction_sql(F2)} AS y_pred "
+        f"FROM clean c JOIN {{coef}} k ON c.player_id = k.player_id WHERE c.season > {TE}) GROUP BY position", METRIC_DOUBLES)
+    o["run_reports"] = with_base(
+        "SELECT 'null_age' AS report, count(*) AS total, count(*) FILTER (WHERE age IS NULL) AS n FROM features UNION ALL "
+        "SELECT 'with_age', count(*), count(*) FILTER (WHERE age IS NOT NULL) FROM features UNION ALL "
+        f"SELECT 'dropped', count(*), count(*) FILTER (WHERE {any_null}) FROM supervised", [])
     o["ridge_by_position_metrics"] = with_ridge(F6, "position", rollup_metrics_sql(POS_PRED), METRIC_DOUBLES)
     o["slice_top_n_per_position"] = with_ridge(
         F6, "position", f"SELECT position, {metrics_sql()} FROM (SELECT *, row_number() OVER (PARTITION BY position "

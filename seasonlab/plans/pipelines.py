@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from seasonlab.functions.columns import drop_nulls
@@ -49,8 +50,9 @@ def build_baseline_top_n(source, *, season: int, top_n: int = 24, scoring: Scori
                          out_path: str | None = None) -> DataFrame:
     """L1 from a source object: one season of weekly rows -> top-N per position.
 
-    ``out_path`` also writes the ranking as CSV part files with a header, in
-    ranking order (ties can make it longer than positions x N rows).
+    ``out_path`` also writes the ranking as CSV with a header, in ranking order
+    (ties can make it longer than positions x N rows): one file if it ends
+    with ``.csv``, else a folder of part files.
     """
     ranking = baseline_top_n(source.load_weekly_player_stats(season), top_n=top_n, scoring=scoring)
     if out_path:
@@ -71,11 +73,27 @@ def feature_table(weekly: DataFrame, players: DataFrame, *, scoring: Scoring | N
     return build_season_features(attach_roster_age(totals, players), points_col="season_fantasy_points")
 
 
+def age_coverage_columns() -> list[Column]:
+    no_age = F.col("age").isNull()
+    return [F.count(F.lit(1)).alias("total"), F.count_if(no_age).alias("null_age"), F.count_if(~no_age).alias("with_age")]
+
+
 def age_coverage(features: DataFrame) -> DataFrame:
     """Rows with and without an age (the runner's coverage line) in one aggregate."""
-    return features.agg(F.count(F.lit(1)).alias("total"),
-                        F.count_if(F.col("age").isNull()).alias("null_age"),
-                        F.count_if(F.col("age").isNotNull()).alias("with_age"))
+    return features.agg(*age_coverage_columns())
+
+
+def materialize_counted(df: DataFrame, counts: Sequence[Column], how: str, kept=lambda df: df) -> tuple[DataFrame, dict]:
+    """``kept(df)`` materialized, and counts over the rows of ``df``.
+
+    A checkpoint counts the rows as it writes them (observed metrics); the
+    other ways write nothing yet, so their counts are an aggregate of its own.
+    """
+    if how != "checkpoint":
+        return materialize(kept(df), how), df.agg(*counts).first().asDict()
+    seen = Observation()
+    out = materialize(kept(df.observe(seen, *counts)), how)
+    return out, seen.get
 
 
 def supervised_sets(features: DataFrame, feature_cols: Sequence[str] = FEATURES_6) -> tuple[DataFrame, DataFrame]:
@@ -84,12 +102,13 @@ def supervised_sets(features: DataFrame, feature_cols: Sequence[str] = FEATURES_
     return supervised, drop_nulls(supervised, feature_cols)
 
 
+def dropped_rows_columns(feature_cols: Sequence[str] = FEATURES_6) -> list[Column]:
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in feature_cols])
+    return [F.count(F.lit(1)).alias("total"), F.count_if(any_null).alias("dropped")]
+
+
 def dropped_rows_report(supervised: DataFrame, feature_cols: Sequence[str] = FEATURES_6) -> DataFrame:
-    any_null = None
-    for c in feature_cols:
-        t = F.col(c).isNull()
-        any_null = t if any_null is None else any_null | t
-    return supervised.agg(F.count(F.lit(1)).alias("total"), F.count_if(any_null).alias("dropped"))
+    return supervised.agg(*dropped_rows_columns(feature_cols))
 
 
 @dataclass
@@ -105,6 +124,8 @@ class ForecastResult:
     slice_top_overall: DataFrame
     spearman: DataFrame
     forecast: DataFrame
+    age_coverage: dict  # total, null_age, with_age of the feature rows
+    dropped_rows: dict  # total pairs of seasons, and those dropped for a null input
 
 
 def forecast_output(model: RidgeModel, features_clean: DataFrame, season: int, *, check_empty: bool = True) -> DataFrame:
@@ -131,18 +152,21 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
     """L3: supervised set -> overall ridge vs naive -> per-position ridge ->
     slices and Spearman -> next-season forecast with the overall model.
 
-    Both models come from one aggregate pass (``fit_overall_and_by_group``).
+    Both models come from one pass (``fit_overall_and_by_group``). The rows
+    without an age, and the pairs that a null input drops, are counted as the
+    tables are written.
     The supervised set (one row per player and pair of seasons) and the one
     table of holdout predictions (both models and the naive forecast) feed
     every fit, metric and slice, so each is materialized once (default: a
     reliable checkpoint in the shared checkpoint folder, see
     ``session.materialize``); so is the feature table, of which the forecast
-    reads one season. ``out_path`` writes the forecast as CSV with a header
-    (parallel part files in prediction order).
+    reads one season. ``out_path`` writes the forecast as CSV with a header,
+    in prediction order (one file if it ends with ``.csv``, else part files).
     """
-    features = materialize(features, materialization)
-    clean = materialize(supervised_sets(features, feature_cols)[1], materialization)
-    # both models from one Gram pass (one row per position and one for the rest)
+    features, coverage = materialize_counted(features, age_coverage_columns(), materialization)
+    supervised = build_next_season_dataset(features, target_col="feat_points", out_target_col=TARGET)
+    clean, dropped = materialize_counted(supervised, dropped_rows_columns(feature_cols), materialization, lambda df: drop_nulls(df, feature_cols))
+    # both models from one pass (one triangle per position and one for the rest)
     model, pos_model = fit_overall_and_by_group(clean, feature_cols=list(feature_cols), target_col=TARGET,
                                                 train_end_season=train_end_season, alpha=alpha)
     preds = materialize(holdout_table(clean, model, pos_model, train_end_season=train_end_season), materialization)
@@ -164,4 +188,6 @@ def run_forecast(features: DataFrame, *, train_end_season: int, forecast_season:
         slice_top_overall=top_n_overall_metrics(pos_preds, n=top_n_overall),
         spearman=spearman_rank_by_position(pos_preds),
         forecast=forecast,
+        age_coverage=coverage,
+        dropped_rows=dropped,
     )

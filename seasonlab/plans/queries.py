@@ -23,13 +23,16 @@ from seasonlab.operators import features as feat
 from seasonlab.operators import metrics as met
 from seasonlab.operators import ranking as rk
 from seasonlab.operators import ridge as rg
+from seasonlab.operators import rules as ru
 from seasonlab.operators import scoring as sc
 from seasonlab.operators.dataset import build_next_season_dataset, split_seasons, time_split
 from seasonlab.plans import pipelines as pl
 from seasonlab.session import materialize
 from seasonlab.sources.base import TestbedSource
-from seasonlab.sources.readers import csv_round_trip, union_by_name
-from seasonlab.sources.testbed import roster_from_tables, seasons_in_tables, weekly_from_tables
+from seasonlab.sources.feed import FeedSource, write_feed
+from seasonlab.sources.readers import csv_round_trip, scratch_path, union_by_name
+from seasonlab.sources.store import derived_refresh, scratch_store
+from seasonlab.sources.testbed import roster_from_tables, seasons_in_tables, table, weekly_from_tables
 
 # Fixed parameters of the registered queries (the testbed covers 1995-2001;
 # 2001 ends on August 1, so its pairs only serve as targets). The seasons
@@ -43,6 +46,7 @@ FEATURES_2 = ("feat_ppg", "feat_carries_pg")
 FEATURES_6 = pl.FEATURES_6
 TARGET = pl.TARGET
 DECIMALS = 4
+STORE_BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,16 +93,17 @@ def features(spark, sf, materialized=False):
     return materialize(f) if materialized else f
 
 
-def supervised(spark, sf, materialized=False):
-    return pl.supervised_sets(features(spark, sf, materialized), FEATURES_6)
+def supervised(spark, sf):
+    """Both sides of the pairing read one written feature table, so the raw tables are scanned once."""
+    return pl.supervised_sets(features(spark, sf, True), FEATURES_6)
 
 
-def clean(spark, sf, materialized=False):
-    return supervised(spark, sf, materialized)[1]
+def clean(spark, sf):
+    return supervised(spark, sf)[1]
 
 
-def naive_holdout(spark, sf, materialized=False):
-    test = clean(spark, sf, materialized).where(F.col("season") > TRAIN_END)
+def naive_holdout(spark, sf):
+    test = clean(spark, sf).where(F.col("season") > TRAIN_END)
     return test.select("season", "position", "player_id", F.col(TARGET).cast("double").alias("y_true"),
                        F.coalesce(F.col("feat_points").cast("double"), F.lit(0.0)).alias("y_pred"))
 
@@ -109,13 +114,13 @@ def naive_all_pairs(spark, sf):
 
 
 def position_predictions(spark, sf, feature_cols=FEATURES_6):
-    _, preds = rg.train_ridge_by_position(clean(spark, sf, True), feature_cols=list(feature_cols), target_col=TARGET,
+    _, preds = rg.train_ridge_by_position(clean(spark, sf), feature_cols=list(feature_cols), target_col=TARGET,
                                           train_end_season=TRAIN_END, alpha=ALPHA)
     return preds
 
 
 def overall_model(spark, sf, feature_cols=FEATURES_6):
-    return rg.train_ridge(clean(spark, sf, True), feature_cols=list(feature_cols), target_col=TARGET,
+    return rg.train_ridge(clean(spark, sf), feature_cols=list(feature_cols), target_col=TARGET,
                           train_end_season=TRAIN_END, alpha=ALPHA)
 
 
@@ -145,7 +150,7 @@ def q_scan_csv_roundtrip(spark, sf):
 
 
 def q_sink_csv_ranking(spark, sf):
-    return csv_round_trip(q_baseline_top_n(spark, sf), "ranking-csv")
+    return csv_round_trip(q_baseline_top_n(spark, sf), "ranking", one_file=True)
 
 
 def q_filter_positions5(spark, sf):
@@ -238,6 +243,72 @@ def q_score_custom_weights(spark, sf):
     return sc.add_weekly_points(weekly(spark, sf), sc.scoring_from_mode("PPR").with_weights(pass_td=6.0))
 
 
+def league_rules(spark, sf) -> DataFrame:
+    """Rules as data: a league for most nations, with weights of its own and one for a stat that no weekly row has."""
+    weights = {**{k: sc.Scoring().as_dict()[k] for k in ru.WEEKLY_STATS}, "long_td": 3.0}
+    stats = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair))
+    nations = table(spark, sf, "nation").where(F.col("n_nationkey") % 6 != 5)
+    rules = nations.select(F.concat(F.lit("League "), F.col("n_nationkey")).alias("league"), (1 + F.col("n_nationkey") / 10).alias("factor"),
+                           F.explode(stats).alias("stat", "weight"))
+    return rules.select("league", "stat", (F.col("weight") * F.col("factor")).alias("weight"))
+
+
+def league_scores(spark, sf) -> ru.LeagueScores:
+    rows = weekly(spark, sf).withColumn("league", F.concat(F.lit(" league "), F.col("player_id") % 25))
+    return ru.score_by_rules(rows, league_rules(spark, sf))
+
+
+def q_score_rules_table(spark, sf):
+    return league_scores(spark, sf).scored
+
+
+def q_score_unknown_leagues(spark, sf):
+    return league_scores(spark, sf).unknown_leagues
+
+
+def q_score_unknown_stats(spark, sf):
+    return league_scores(spark, sf).unknown_stats
+
+
+def stored_weekly(spark, sf):
+    store = scratch_store(spark, "weekly-store", buckets=STORE_BUCKETS)
+    store.create(weekly(spark, sf))
+    return store
+
+
+def q_store_season_totals(spark, sf):
+    """Season totals from the season-partitioned, player-bucketed store."""
+    return pl.scored_season_totals(stored_weekly(spark, sf).read())
+
+
+def q_store_next_season(spark, sf):
+    """Pairs of seasons from the store: both sides keep the buckets' partitioning."""
+    return build_next_season_dataset(feat.build_season_features(pl.scored_season_totals(stored_weekly(spark, sf).read())), out_target_col=TARGET)
+
+
+def corrected_delivery(spark, sf):
+    """Two seasons delivered once more: one as it was, the other with a reception more a game."""
+    w = weekly(spark, sf, [RANK_SEASON - 1, RANK_SEASON])
+    return w.withColumn("receptions", F.when(F.col("season") == RANK_SEASON, F.col("receptions") + 1).otherwise(F.col("receptions")))
+
+
+def q_store_refresh_totals(spark, sf):
+    """Load, replace the season of a delivery that changed, bring its totals up to date: as a full recompute has them."""
+    store, totals_store = stored_weekly(spark, sf), scratch_store(spark, "totals-store", buckets=STORE_BUCKETS)
+    derived_refresh(store, totals_store, pl.scored_season_totals, [])
+    changed = store.refresh(corrected_delivery(spark, sf))
+    derived_refresh(store, totals_store, pl.scored_season_totals, changed)
+    return totals_store.read()
+
+
+def q_feed_ranking(spark, sf):
+    """The ranking from record streams that a Python data source reads, of which only the season's are opened."""
+    rows, folder = weekly(spark, sf), scratch_path(spark, "feed")
+    write_feed(rows, folder)
+    season = FeedSource(spark, folder, rows.schema).load_weekly_player_stats(RANK_SEASON)
+    return rk.top_n_by_position(exact(pl.scored_season_totals(season, out_points_col="fantasy_points"), "fantasy_points"), n=TOP_N)
+
+
 def q_season_age(spark, sf):
     return feat.derive_season_age(roster(spark, sf), seasons=age_seasons(spark, sf))
 
@@ -253,7 +324,7 @@ def q_next_season_dataset(spark, sf):
 
 def q_next_season_nullable_target(spark, sf):
     """Next season's age as the target: null where it isn't known, and such pairs stay."""
-    pairs = build_next_season_dataset(features(spark, sf), target_col="feat_age", out_target_col="next_age")
+    pairs = build_next_season_dataset(features(spark, sf, True), target_col="feat_age", out_target_col="next_age")
     return pairs.select("season", "player_id", "position", "feat_points", "next_age")
 
 
@@ -389,7 +460,7 @@ def q_ridge_fit_6feat(spark, sf):
 
 
 def q_ridge_holdout_metrics(spark, sf):
-    _, m = rg.holdout_metrics(clean(spark, sf, True), feature_cols=list(FEATURES_6), target_col=TARGET,
+    _, m = rg.holdout_metrics(clean(spark, sf), feature_cols=list(FEATURES_6), target_col=TARGET,
                               train_end_season=TRAIN_END, alpha=ALPHA)
     return m
 
@@ -407,7 +478,7 @@ def q_naive_metrics(spark, sf):
 
 
 def _vs_naive(spark, sf):
-    return rg.compare_ridge_to_naive(clean(spark, sf, True), feature_cols=list(FEATURES_6), target_col=TARGET,
+    return rg.compare_ridge_to_naive(clean(spark, sf), feature_cols=list(FEATURES_6), target_col=TARGET,
                                      train_end_season=TRAIN_END, alpha=ALPHA)
 
 
@@ -424,11 +495,26 @@ def q_model_winner(spark, sf):
 
 
 def q_ridge_by_position_coefs_2feat(spark, sf):
-    model, _ = rg.train_ridge_by_position(clean(spark, sf, True), feature_cols=list(FEATURES_2), target_col=TARGET,
+    model, _ = rg.train_ridge_by_position(clean(spark, sf), feature_cols=list(FEATURES_2), target_col=TARGET,
                                           train_end_season=TRAIN_END, alpha=ALPHA)
     return coefficient_rows(model, spark, "position")
 
 
+def q_ridge_by_player_coefs(spark, sf):
+    """A model for every player with seasons on both sides of the split, solved in the cluster."""
+    models = rg.train_ridge_by_group(clean(spark, sf), feature_cols=list(FEATURES_2), target_col=TARGET, group_col="player_id",
+                                     train_end_season=TRAIN_END, alpha=ALPHA)
+    return models.coefficient_rows()
+
+
+def q_ridge_by_player_metrics(spark, sf):
+    pairs = clean(spark, sf)
+    models = rg.train_ridge_by_group(pairs, feature_cols=list(FEATURES_2), target_col=TARGET, group_col="player_id",
+                                     train_end_season=TRAIN_END, alpha=ALPHA)
+    test = models.predict(pairs.where(F.col("season") > TRAIN_END))
+    return met.regression_metrics(test, actual_col=TARGET, group_cols=["position"])
+
+
 def q_ridge_by_position_metrics(spark, sf):
     return met.metrics_with_overall(position_predictions(spark, sf))
 
@@ -477,6 +563,14 @@ def q_forecast_pipeline(spark, sf):
     return stacked.select("section", "name", "n", "mae", "rmse", "r2", "spearman")
 
 
+def q_run_reports(spark, sf):
+    """What one run of the whole pipeline counts as it writes its tables: report, total, n."""
+    r = pl.run_forecast(features(spark, sf), train_end_season=TRAIN_END, forecast_season=FORECAST_SEASON, alpha=ALPHA)
+    rows = [("null_age", r.age_coverage["total"], r.age_coverage["null_age"]), ("with_age", r.age_coverage["total"], r.age_coverage["with_age"]),
+            ("dropped", r.dropped_rows["total"], r.dropped_rows["dropped"])]
+    return spark.createDataFrame(rows, "report string, total bigint, n bigint")
+
+
 RAW_QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -37,12 +37,12 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", *, schema
     return reader.load(path) if fmt != "table" else spark.read.table(path)
 
 
-# Columns of weekly rows that name things; of the rest, text that bears one of
-# these words is a statistic.
+# Columns of weekly rows that name things; of the rest, text whose name has one
+# of these as a whole word (between underscores) is a statistic.
 LABEL_COLUMNS = ("player_id", "player_display_name", "position", "season_type")
 WHOLE_COLUMNS = ("season", "week", "game_id")
-STATISTIC_WORDS = ("yards", "tds", "interceptions", "receptions", "fumble", "carries", "targets", "attempts",
-                   "made", "sacks", "age")
+STATISTIC_WORDS = ("yards", "tds", "interceptions", "receptions", "fumble", "fumbles", "recoveries", "carries",
+                   "targets", "attempts", "made", "sacks", "age")
 
 
 def typed_weekly(df: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def typed_weekly(df: DataFrame) -> DataFrame:
             continue
         if f.name in WHOLE_COLUMNS:
             casts[f.name] = F.expr(f"try_cast(`{f.name}` AS BIGINT)")
-        elif any(w in f.name for w in STATISTIC_WORDS):
+        elif set(f.name.lower().split("_")) & set(STATISTIC_WORDS):
             casts[f.name] = F.expr(f"try_cast(`{f.name}` AS DOUBLE)")
     return df.withColumns(casts) if casts else df
 
@@ -95,8 +95,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """CSV part files with a header each, in the order of ``df``."""
-    df.write.mode(mode).option("header", "true").csv(path)
+    """CSV with a header, in the order of ``df``: one file if ``path`` ends with ``.csv``, else a folder of part files.
+
+    The one file is written by one task, which streams the partitions one after
+    the other: for tables bounded by a parameter, like a ranking. It is moved to its
+    place when it is complete; with ``mode="error"`` a file that is there already is kept and raises.
+    """
+    if not path.endswith(".csv"):
+        df.write.mode(mode).option("header", "true").csv(path)
+        return
+    if mode not in ("overwrite", "error", "errorifexists"):
+        raise ValueError(f"one CSV file can be overwritten or refused, not written with mode {mode!r}")
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    target, parts = place(path), place(f"{path}.{uuid.uuid4().hex}.parts")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode != "overwrite" and files.exists(target):
+        raise FileExistsError(path)
+    try:
+        df.coalesce(1).write.option("header", "true").csv(parts.toString())
+        written = [f.getPath() for f in files.listStatus(parts) if f.getPath().getName().endswith(".csv")]
+        if len(written) != 1:
+            raise RuntimeError(f"{len(written)} part files instead of one for {path}")
+        files.delete(target, True)
+        if not files.rename(written[0], target):
+            raise RuntimeError(f"the complete file could not be moved to {path}")
+    finally:
+        files.delete(parts, True)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -104,9 +129,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
-def csv_round_trip(df: DataFrame, name: str = "csv") -> DataFrame:
+def csv_round_trip(df: DataFrame, name: str = "csv", *, one_file: bool = False) -> DataFrame:
     """Write ``df`` as CSV to the shared scratch area and read it back with its schema."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) + (".csv" if one_file else "")
     write_csv(df, path)
     return read_csv(spark, path, df.schema)

@@ -59,13 +59,13 @@ def test_first_n_exact_with_tiebreak(spark):
     assert rows(out, "player_id") == [("a",)]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1, 7, 100_000])
-def test_average_rank_matches_brute_force(spark, rows_per_bucket):
+@pytest.mark.parametrize("partitions", [1, 7, 60, None])
+def test_average_rank_matches_brute_force(spark, partitions):
     rnd = random.Random(7)
     data = [(rnd.choice("ABC"), float(rnd.randint(0, 12)) if rnd.random() > 0.1 else None, i) for i in range(300)]
     df = spark.createDataFrame(data, "g string, v double, id long")
     got = {r["id"]: r["r"] for r in average_rank(df, value_col="v", group_cols=["g"], out_col="r",
-                                                 rows_per_bucket=rows_per_bucket).collect()}
+                                                 partitions=partitions).collect()}
     pdf = pd.DataFrame(data, columns=["g", "v", "id"])
     pdf["r"] = pdf.groupby("g")["v"].rank(method="average")
     for _, row in pdf.iterrows():
@@ -77,7 +77,7 @@ def test_average_rank_matches_brute_force(spark, rows_per_bucket):
 
 def test_average_rank_without_groups(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (3.0,), (2.0,)], "v double")
-    out = average_rank(df, value_col="v", rows_per_bucket=2)
+    out = average_rank(df, value_col="v", partitions=3)
     assert sorted(r["avg_rank"] for r in out.collect()) == [1.5, 1.5, 3.0, 4.0] and out.columns == ["v", "avg_rank"]
 
 
@@ -99,25 +99,41 @@ def test_rank_methods_match_brute_force(spark, method, pandas_method, descending
     data = [(rnd.choice("AB"), float(rnd.randint(-5, 8)) if rnd.random() > 0.1 else None, i) for i in range(150)]
     df = spark.createDataFrame(data, "g string, v double, id long")
     got = {r["id"]: r["r"] for r in ranked(df, value_col="v", group_cols=["g"], out_col="r", method=method,
-                                            descending=descending, rows_per_bucket=4).collect()}
+                                            descending=descending, partitions=5).collect()}
     pdf = pd.DataFrame(data, columns=["g", "v", "id"])
     pdf["r"] = pdf.groupby("g")["v"].rank(method=pandas_method, ascending=not descending)
     for i, r in zip(pdf["id"], pdf["r"]):
         assert got[i] is None if pd.isna(r) else got[i] == pytest.approx(r)
 
 
-@pytest.mark.parametrize("n_cuts", [0, 5, 16, 17, 63, 255, 1000])
-def test_bucket_index_is_exact(spark, n_cuts):
+def test_a_group_over_many_partitions(spark):
+    """One group's values lie in 40 ranges, the other's in one; the prefix sums join them up."""
     from pyspark.sql import functions as F
 
-    from seasonlab.operators.ranking import bucket_index
-    rnd = random.Random(n_cuts)
-    cuts = sorted(float(rnd.randint(0, 60)) for _ in range(n_cuts))  # with repeated cut values
-    values = [float(v) for v in range(-2, 64)] + [v + 0.5 for v in range(-2, 64)]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    arr = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
-    got = {r["v"]: r["b"] for r in df.select("v", bucket_index(arr, F.col("v"), n_cuts).alias("b")).collect()}
-    assert all(got[v] == sum(c < v for c in cuts) for v in values)
+    from seasonlab.operators.ranking import rank_table
+    df = spark.range(4000).select(F.when(F.col("id") < 3990, "big").alias("g"), ((F.col("id") * 7919) % 1000).cast("double").alias("v"))
+    for method, window in (("average", None), ("min", "rank"), ("dense", "dense_rank")):
+        got = {(r["g"], r["_v"]): r["avg_rank"] for r in rank_table(df, value_col="v", group_cols=["g"], method=method, partitions=40).collect()}
+        pdf = df.toPandas()
+        pdf["r"] = pdf.groupby("g", dropna=False)["v"].rank(method=method)
+        assert got == {(None if pd.isna(g) else g, v): r for g, v, r in zip(pdf["g"], pdf["v"], pdf["r"])}, window
+
+
+def test_rank_cost_is_flat_in_the_number_of_ranges(spark):
+    """Plans hold no per-range array: a row's expressions are the same for 10 and for 2,000 ranges."""
+    from seasonlab.operators.ranking import rank_table
+    df = spark.range(6000).selectExpr("cast(id % 3001 as double) AS v")
+    few, many = (rank_table(df, value_col="v", partitions=n) for n in (10, 2000))
+    steps = [t._jdf.queryExecution().sparkPlan().toString() for t in (few, many)]
+    assert all("percentile" not in p and "filter(" not in p for p in steps) and len(steps[0].splitlines()) == len(steps[1].splitlines())
+    assert rows(few, "_v", "avg_rank") == rows(many, "_v", "avg_rank") and few.count() == 3001
+
+
+def test_null_groups_rank_on_their_own(spark):
+    from seasonlab.operators.ranking import ranked
+    df = spark.createDataFrame([(None, 2.0), (None, 1.0), ("a", 5.0), ("a", None)], "g string, v double")
+    assert sorted(((r["g"] or "", r["v"] or 0.0, r["rank"]) for r in ranked(df, value_col="v", group_cols=["g"]).collect()), key=str) == [
+        ("", 1.0, 1.0), ("", 2.0, 2.0), ("a", 0.0, None), ("a", 5.0, 1.0)]
 
 
 def test_ranks_agree_with_windows_on_testbed(spark, sf_small):
@@ -127,7 +143,7 @@ def test_ranks_agree_with_windows_on_testbed(spark, sf_small):
     from seasonlab.operators.ranking import ranked
     from seasonlab.plans import queries as q
     t = q.exact(q.totals(spark, sf_small).select("season", "player_id", "position", "season_fantasy_points"), "season_fantasy_points")
-    got = ranked(t, value_col="season_fantasy_points", group_cols=["position"], out_col="r", method="dense", descending=True, rows_per_bucket=20)
+    got = ranked(t, value_col="season_fantasy_points", group_cols=["position"], out_col="r", method="dense", descending=True, partitions=13)
     w = Window.partitionBy("position").orderBy(F.col("season_fantasy_points").desc())
     want = t.withColumn("r", F.dense_rank().over(w).cast("long"))
     assert rows(got, "season", "player_id", "r") == rows(want, "season", "player_id", "r") and want.count() > 100
@@ -159,10 +175,10 @@ def test_a_position_of_ties_needs_no_row_window(spark):
     assert "HashAggregate(keys=[position" in window  # the window ranks distinct values
 
 
-def test_ungrouped_bucketed_rank_has_no_join_for_cuts(spark):
+def test_ungrouped_rank_has_no_cross_join(spark):
     from seasonlab.operators.ranking import rank_table
     df = spark.createDataFrame([(float(v),) for v in (3, 1, 2, 2, 5, 8, 8, 8)], "v double")
-    t = rank_table(df, value_col="v", rows_per_bucket=3)
+    t = rank_table(df, value_col="v", partitions=3)
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert {r["_v"]: r["avg_rank"] for r in t.collect()} == {1.0: 1.0, 2.0: 2.5, 3.0: 4.0, 5.0: 5.0, 8.0: 7.0}

@@ -49,7 +49,7 @@ def test_hot_value_rank_join_is_split_and_exact(spark):
                         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
                         "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        out = ranked(df, value_col="v", group_cols=["g"], out_col="r", method="average", rows_per_bucket=500)
+        out = ranked(df, value_col="v", group_cols=["g"], out_col="r", method="average", partitions=8)
         got = {r["id"]: r["r"] for r in out.collect()}
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
