@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from seasonlab.session import ensure_checkpoint_dir
 
 
+BATCH_BYTES, TEXT_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+DEFAULT_BATCH_BYTES = f"{64 << 20}b"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,6 +51,24 @@ def scratch_folder(spark: SparkSession, name: str) -> Iterator[Callable[[DataFra
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the record batches that hold whole texts in bytes, unless the session has a bound of its own.
+
+    The default bounds rows; ten thousand long texts are more than a Python worker should hold.
+    """
+    if spark.conf.get(BATCH_BYTES) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, TEXT_BATCH_BYTES)
+
+
+def own_names(df: DataFrame, keep: list[Column], results: list[str]) -> list[str]:
+    """The names of the ``keep`` columns; ValueError if one of them is a result's too."""
+    names = df.select(*keep).columns
+    clash = sorted({n.lower() for n in names} & {n.lower() for n in results})
+    if clash:
+        raise ValueError(f"keep columns bear the names of results: {clash}; rename them")
+    return names
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)

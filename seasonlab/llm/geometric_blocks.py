@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlab.llm.bpe import slices
-from seasonlab.llm.common import scratch_table
+from seasonlab.llm.common import bound_batches, scratch_table
 from seasonlab.llm.words import TOGETHER, words_of
 
 #: Items whose terms are searched in one pass over the index, and their distinct terms (an item with more is a pass of its own).
@@ -66,6 +66,7 @@ def index_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Terms are longest runs of ASCII letters and digits and of all characters above
     ASCII, A-Z in lower case. A null or empty text has none.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
