@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seasonlab.llm.common import bound_batches, own_names
 from seasonlab.llm.html_labels import LABELLED
 
 TOKEN = re.compile(
@@ -42,6 +43,17 @@ ASIDE_WORDS = frozenset(
 )
 #: Of the words, those that also name a layout around the whole page ("no-sidebar", "with-nav").
 LAYOUT_WORDS = frozenset("banner nav navbar navigation menu header masthead footer foot sidebar side aside widget overlay search toolbar hidden".split())
+#: Words that an article may use of its own parts ("legal-history", "warning"); around it they say that something is aside.
+PROSE_WORDS = frozenset("alert copyright disclaimer hidden legal login notice notices promotion search skip warning".split())
+#: Words that name a place, not a content: inside an article an aside word counts only if its class says nothing else.
+PLACE_WORDS = frozenset(
+    "area bar block bottom box card col column container content desktop inline inner item items left link links list main mobile module outer panel post "
+    "right row section slot text top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Fewer words than this without the end of a sentence are a label rather than prose.
+PROSE_BLOCK = 5
+SENTENCE_END = re.compile(r"[.!?\u2026:;,\"'\u201d\u00bb)\u3002\uff01\uff1f]\s*\Z")
 MAIN_TAGS = frozenset(("article", "main"))
 #: Inline elements do not end a block.
 INLINE = frozenset(
@@ -54,7 +66,19 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s
 SPLIT_WORDS = re.compile(r"[^a-z]+")
 
 
-def _aside(name: str, rest: str) -> str:
+def _aside_words(value: str, inside_main: bool) -> frozenset[str]:
+    """The words of a class or id that say aside. Inside an article only those of names that say nothing else, and none of its own parts'."""
+    if not inside_main:
+        return ASIDE_WORDS.intersection(SPLIT_WORDS.split(value))
+    found: set[str] = set()
+    for name in value.split():
+        words = set(SPLIT_WORDS.split(name)) - {""}
+        if words <= ASIDE_WORDS | PLACE_WORDS:
+            found |= words & ASIDE_WORDS - PROSE_WORDS
+    return frozenset(found)
+
+
+def _aside(name: str, rest: str, inside_main: bool = False) -> str:
     """Whether an element holds something else than main text, by its name, role, class, id or being hidden.
 
     ``layout`` if it may as well be a wrapper of the page, ``words`` if class or id
@@ -68,7 +92,7 @@ def _aside(name: str, rest: str) -> str:
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            words = ASIDE_WORDS.intersection(SPLIT_WORDS.split(value))
+            words = _aside_words(value, inside_main)
             if words:
                 found = "layout" if words <= LAYOUT_WORDS and found != "words" else "words"
         elif key == "role":
@@ -86,6 +110,11 @@ def _walk(page: str, wrappers: frozenset[int], sizes: list[tuple[int, str, int]]
     context = "plain"
     closed_at: dict[str, int] = {}  # where a skipped element's name is closed next
 
+    def part_of() -> str:
+        """Whether a text is part of a link (``a``) or of a heading (``h``)."""
+        names = [entry[0] for entry in stack]
+        return "a" if "a" in names else "h" if HEADINGS.intersection(names) else ""
+
     def pop() -> str:
         name, _, place, kind, before = stack.pop()
         if kind in ("layout", "words"):
@@ -98,7 +127,7 @@ def _walk(page: str, wrappers: frozenset[int], sizes: list[tuple[int, str, int]]
         if m.start() > at and context != "skipped":
             text = page[at : m.start()]
             words += len(text.split())
-            yield context, "", text
+            yield context, part_of(), text
         at = m.end()
         name = m["name"] or m["name2"]
         if name is None:
@@ -138,7 +167,7 @@ def _walk(page: str, wrappers: frozenset[int], sizes: list[tuple[int, str, int]]
                 context = stack[-1][1] if stack else "plain"
             inside, kind = context, ""
             if context != "skipped":
-                kind = _aside(name, rest)
+                kind = _aside(name, rest, context == "main")
                 if name in SKIPPED:
                     inside = "skipped"
                 elif context not in ("aside", "perhaps") and kind and m.start() not in wrappers:
@@ -161,14 +190,14 @@ def _walk(page: str, wrappers: frozenset[int], sizes: list[tuple[int, str, int]]
             yield "tag", name, ""
     if at < len(page) and context != "skipped":
         words += len(page[at:].split())
-        yield context, "", page[at:]
+        yield context, part_of(), page[at:]
     while stack:
         pop()
     sizes.append((-1, "", words))
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """``(kind, name, text)`` of a page in order: kind ``tag``, ``comment`` or the context of a text (aside, main, plain).
+    """``(kind, name, text)`` of a page in order: kind ``tag``, ``comment`` or the context of a text (aside, main, plain; name tells links and headings).
 
     An element that would be aside by a layout word, or as a form, is a wrapper if it
     holds more than half of the page's words; by another word, if without it nothing is left.
@@ -190,12 +219,49 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     return iter([(perhaps if kind == "perhaps" else kind, name, text) for kind, name, text in found])
 
 
+def _by_block(found: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    """Plain text told apart by its block: ``link`` if most of its words are links, ``heading``, ``label`` if it is short and no sentence, else ``plain``.
+
+    A page without prose has its labels as such, or else its links and headings.
+    """
+    out, block = list(found), []
+
+    def settle() -> None:
+        texts = [out[i] for i in block]
+        words = [len(text.split()) for _, _, text in texts]
+        linked = sum(n for n, (_, name, _) in zip(words, texts, strict=True) if name == "a")
+        whole = "".join(text for _, _, text in texts)
+        kind = "plain"
+        if 2 * linked > sum(words):
+            kind = "link"
+        elif any(name == "h" for _, name, text in texts if text.strip()):
+            kind = "heading"
+        elif sum(words) < PROSE_BLOCK and not SENTENCE_END.search(whole):
+            kind = "label"
+        for i in block:
+            if out[i][0] == "plain":
+                out[i] = (kind, *out[i][1:])
+        block.clear()
+
+    for i, (kind, name, _) in enumerate(found):
+        if kind == "tag" and name not in INLINE:
+            settle()
+        elif kind not in ("tag", "comment"):
+            block.append(i)
+    settle()
+    for kinds in (("label",), ("link", "heading")):
+        if any(kind == "plain" and text.strip() for kind, _, text in out):
+            break
+        out = [("plain" if kind in kinds else kind, name, text) for kind, name, text in out]
+    return out
+
+
 def _in_context(page: str) -> list[tuple[str, str, str]]:
-    """The tokens of a page; plain text of a page that has an article or main element is ``beyond`` it."""
+    """The tokens of a page; plain text of a page that has an article or main element is ``beyond`` it, that of others goes by its block."""
     found = list(tokens(page))
     if any(kind == "main" and text.strip() for kind, _, text in found):
-        found = [("beyond" if kind == "plain" else kind, name, text) for kind, name, text in found]
-    return found
+        return [("beyond" if kind == "plain" else kind, name, text) for kind, name, text in found]
+    return _by_block(found)
 
 
 def fit_weights(pages: tuple[str, ...] = LABELLED) -> dict[str, float]:
@@ -228,6 +294,24 @@ def fit_weights(pages: tuple[str, ...] = LABELLED) -> dict[str, float]:
 WEIGHTS = fit_weights()
 
 
+def scores(found: list[tuple[str, str, str]], weights: dict[str, float]) -> list[float]:
+    """What each token adds: a tag its weight, a text that of its context for each word."""
+    return [weights.get("tag:" + name, weights["tag"]) if kind == "tag" else weights.get("word:" + kind, 0.0) * len(text.split()) for kind, name, text in found]
+
+
+def best_stretch(score: list[float]) -> tuple[int, int]:
+    """Start and end of the stretch of largest sum by one scan, the first and shortest of equals; (0, 0) if none is above 0."""
+    best, best_from, best_to = 0.0, 0, 0
+    total, start = 0.0, 0
+    for i, s in enumerate(score):
+        total += s
+        if total <= 0:
+            total, start = 0.0, i + 1
+        elif total > best:
+            best, best_from, best_to = total, start, i + 1
+    return best_from, best_to
+
+
 def main_text(page: str | None, weights: dict[str, float] = WEIGHTS) -> str:
     """The text of the best-scoring stretch of a page; empty if the page is null or empty or no stretch scores above 0.
 
@@ -238,15 +322,7 @@ def main_text(page: str | None, weights: dict[str, float] = WEIGHTS) -> str:
     if not page:
         return ""
     found = [t for t in _in_context(page) if t[0] != "comment"]
-    best, best_from, best_to = 0.0, 0, 0
-    total, start = 0.0, 0
-    tag = weights["tag"]
-    for i, (kind, name, text) in enumerate(found):
-        total += weights.get("tag:" + name, tag) if kind == "tag" else weights.get("word:" + kind, 0.0) * len(text.split())
-        if total <= 0:
-            total, start = 0.0, i + 1
-        elif total > best:
-            best, best_from, best_to = total, start, i + 1
+    best_from, best_to = best_stretch(scores(found, weights))
     parts: list[str] = []
     for kind, name, text in found[best_from:best_to]:
         if kind == "tag":
@@ -258,7 +334,13 @@ def main_text(page: str | None, weights: dict[str, float] = WEIGHTS) -> str:
 
 
 def extract_main_text(pages: DataFrame, *, keep: list[Column], html_col: str = "html") -> DataFrame:
-    """The ``keep`` columns with ``text``, for every page and the whole of its html. Null html has an empty text."""
+    """The ``keep`` columns with ``text``, for every page and the whole of its html.
+
+    Null and empty html have an empty text; rows that repeat are extracted each; an empty table gives no
+    rows. A ``keep`` column that bears the name ``text`` raises ValueError.
+    """
+    own_names(pages, keep, ["text"])
+    bound_batches(pages.sparkSession)
     rows = pages.select(*keep, F.col(html_col).cast("string").alias("__html"))
     names = rows.columns[:-1]
     schema = rows.drop("__html").schema.add("text", "string")

@@ -20,4 +20,12 @@ LABELLED = (
     "<html><body><nav><a href='q'>News</a> <a href='r'>Sport</a> <a href='s'>Weather</a></nav><article><!--main--><h1>Bridge opens</h1><p>The new bridge"
     " opened on Monday after two years of work.<br>Traffic was light all morning.</p><p>The old one stays for walkers.</p><!--/main--></article>"
     "<p>Published by the harbour desk</p><div class='share'>Share this page with friends</div><div class='sidebar'><p>Subscribe to the weekly letter</p></div></body></html>",
+    "<html><body><div class='x1'><a href='1'>Startseite</a><a href='2'>Nachrichten</a><a href='3'>Wetter</a></div><div class='kopfzeile'>Hafenblatt am Morgen</div>"
+    "<div class='x2'><!--main--><h1>Neue Fähre</h1><p>Die neue Fähre fährt seit Montag viermal am Tag zur Insel.</p><p>Karten gibt es am Kai, und wer mag,"
+    " kauft sie <a href='k'>im Voraus</a>.</p><ul><li>Hin und zurück</li><li>Kinder frei</li></ul><p>Im Winter fährt sie seltener, sagt der Hafenmeister.</p><!--/main--></div>"
+    "<div class='x3'><a href='4'>Kontakt</a> <a href='5'>Impressum</a> <a href='6'>Datenschutz</a></div><div>Stand: Mai</div></body></html>",
+    "<html><body><table><tr><td><a href='a'>Home</a></td><td><a href='b'>News</a></td><td><a href='c'>Sport</a></td></tr></table><ul><li>Home</li><li>News</li><li>Sport</li></ul>"
+    "<div><!--main--><p>The committee met on Thursday and heard three reports about the canal.</p><h2>Costs</h2><p>The first report puts the costs far above the plan.</p>"
+    "<p>The members asked for another one before the summer, and went home early.</p><!--/main--></div><p>Next page</p><p>Top stories</p><p><a href='d'>A dog swam to the island</a></p>"
+    "<p><a href='e'>Council cuts the grass</a></p><div>Terms Privacy Imprint</div></body></html>",
 )
