@@ -24,20 +24,29 @@ WITH RECURSIVE rules(verdict, host, path) AS (
   VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
 ), rest AS (
   SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
-), parts AS (
+), raw_parts AS (
   SELECT page_id, html,
     translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path,
     regexp_extract(r, '^[^/?#]*([^#]*)', 1) AS tail, row_number() OVER () AS row
   FROM rest
+), parts AS (
+  SELECT *, host || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END AS node, CASE WHEN path = '' THEN '/' ELSE path END AS page FROM raw_parts
+), named AS (
+  SELECT host, path, node, page AS page_path, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '<link\b[^>]*>', 0, 'is'), lambda x: regexp_matches(x, '\brel\s*=\s*["'']?canonical\b', 'is')),
+      lambda x: regexp_extract(x, '\shref\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is')),
+    list_transform(list_filter(regexp_extract_all(html, '<meta\b[^>]*>', 0, 'is'), lambda x: regexp_matches(x, '\bhttp-equiv\s*=\s*["'']?refresh\b', 'is')),
+      lambda x: regexp_extract(x, '\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is')))) AS link
+  FROM parts WHERE host <> ''
 ), links AS (
-  SELECT host || tail AS src, regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://(.*)$', 1, 's') AS target FROM (
-    SELECT host, tail, regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is'), '\shref\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is') AS link FROM parts WHERE host <> ''
-    UNION ALL
-    SELECT host, tail, regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is') FROM parts WHERE host <> ''
-  ) WHERE link LIKE '%://%'
-), ends AS (
-  SELECT src, translate(regexp_extract(target, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(target, '^[^/?#]*([^#]*)', 1) AS dst FROM links
+  SELECT node AS src, CASE WHEN link LIKE '%://%' THEN regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://(.*)$', 1, 's') WHEN starts_with(link, '//') THEN substr(link, 3)
+    WHEN starts_with(link, '/') THEN host || link WHEN starts_with(link, '?') THEN host || page_path || link WHEN starts_with(link, '#') THEN ''
+    ELSE host || regexp_extract(page_path, '^(.*/)', 1, 's') || replace(link, '&amp;', '&') END AS target FROM named WHERE link <> ''
+), cut AS (
+  SELECT src, translate(regexp_extract(target, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h, regexp_extract(target, '^[^/?#]*([^#]*)', 1) AS t
+  FROM links WHERE target <> ''
+), ends AS (SELECT src, h || CASE WHEN starts_with(t, '/') THEN t ELSE '/' || t END AS dst FROM cut
 ), edges AS (SELECT src AS a, dst AS b FROM ends UNION SELECT dst, src FROM ends),
 reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
 node_rules AS (
@@ -51,7 +60,7 @@ ranked AS (
   FROM parts JOIN rules ON (parts.host = rules.host OR suffix(parts.host, '.' || rules.host)) AND starts_with(parts.path, rules.path)
 )
 SELECT page_id, host, path, rule,
-  coalesce(verdict, CASE WHEN EXISTS (SELECT 1 FROM blocked WHERE node = host || tail) THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(verdict, CASE WHEN EXISTS (SELECT 1 FROM blocked WHERE blocked.node = parts.node) THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN ranked ON ranked.row = parts.row AND n = 1
 """
 

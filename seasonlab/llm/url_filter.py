@@ -44,9 +44,21 @@ def path_of(url: Column) -> Column:
     return _part(url, "[^/?#]*([^?#]*)")
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments."""
+    steps = F.aggregate(
+        F.slice(F.split(path, "/"), F.lit(2), F.size(F.split(path, "/"))), F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(step == ".", done).otherwise(F.concat(done, F.array(step))),
+    )
+    whole = F.concat(F.lit("/"), F.array_join(steps, "/"), F.when(path.rlike(r"/\.\.?$") & (F.size(steps) > 0), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"^/(.*/)?\.\.?(/|$)"), whole).otherwise(path)
+
+
 def alias_of(url: Column) -> Column:
-    """The node of a url: host, path and query, without scheme and fragment; null if it has no host."""
-    return F.nullif(F.concat(host_of(url), _part(url, "[^/?#]+([^#]*)")), F.lit(""))
+    """The node of a url: host, path without dot segments (``/`` if empty) and query, without scheme and fragment; null if it has no host."""
+    path = path_of(url)
+    path = F.when(path == "", F.lit("/")).otherwise(_without_dots(path))
+    return F.when(host_of(url) != "", F.concat(host_of(url), path, _part(url, r"[^/?#]+[^?#]*(\?[^#]*)")))
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -66,23 +78,43 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.when(first.isNotNull(), F.struct(first["name"].alias("name"), first["verdict"].alias("verdict")))
 
 
-def _absolute(link: Column, url: Column) -> Column:
-    """A link of a page as an absolute url."""
-    link = F.trim(F.replace(link, F.lit("&amp;"), F.lit("&")))
-    host = F.concat(F.lit("http://"), host_of(url))
-    folder = F.regexp_extract(path_of(url), r"^(?s)(.*/)", 1)
+def _decoded(link: Column) -> Column:
+    """An attribute's value without character references: numbers of ASCII characters and the names of markup."""
+    numbers = F.array_distinct(F.regexp_extract_all(link, F.lit(r"(?i)&#(?:x0*[0-7]?[0-9a-f]|0*1?[0-9]?[0-9]);?"), F.lit(0)))
+
+    def code(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"(?i)&#x?([0-9a-f]+)", 1)
+        return F.when(F.lower(ref).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+
+    plain = F.aggregate(numbers, link, lambda done, ref: F.when(code(ref) < 128, F.replace(done, ref, F.char(code(ref)))).otherwise(done))
+    link = F.when(link.contains("&#"), plain).otherwise(link)
+    for name, character in (("quot", '"'), ("apos", "'"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        link = F.replace(link, F.lit(f"&{name};"), F.lit(character))
+    return F.trim(link)
+
+
+def _absolute(link: Column, base: Column) -> Column:
+    """A reference as an absolute url, seen from another one; null if it names that one itself or isn't a web address."""
+    host = F.concat(F.lit("http://"), host_of(base))
+    path = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
+    folder = F.regexp_extract(path, r"^(?s)(.*/)", 1)
     return (
         F.when((link == "") | link.startswith("#"), F.lit(None))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(F.lit("http:"), link))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(link.startswith("/"), F.concat(host, link))
-        .otherwise(F.concat(host, F.when(folder == "", F.lit("/")).otherwise(folder), link))
+        .when(link.startswith("?"), F.concat(host, path, link))
+        .otherwise(F.concat(host, folder, link))
     )
 
 
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst)`` urls: all canonical links and meta refresh targets that a page names, outside comments and scripts."""
+    """``(src, dst)`` urls: all canonical links and meta refresh targets that a page names, outside comments and scripts.
+
+    References are resolved as a browser does: from the page's first ``<base href>``, else from
+    its url, with character references decoded; dot segments go when a url becomes a node.
+    """
     attribute = r"""(?is)\s{0}\s*=\s*["']?\s*([^"'\s>]+)"""
     rel = r"""(?is)[\s"']rel\s*=\s*(?:"(?:[^">]*\s)?canonical[\s"]|'(?:[^'>]*\s)?canonical[\s']|canonical[\s/>])"""
 
@@ -95,8 +127,11 @@ def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     rows = pages.select(F.col(url_col).alias("src"), F.col(html_col).alias("__html"))
     rows = rows.where(F.col("src").isNotNull() & F.col("__html").rlike(r"(?i)canonical|http-equiv"))
     rows = rows.withColumn("__html", F.regexp_replace("__html", r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\b|\z)", " "))
-    rows = rows.select("src", F.explode(F.concat(canonical, refresh)).alias("__link")).where("__link <> ''")
-    return rows.select("src", _absolute(F.col("__link"), F.col("src")).alias("dst")).where("dst IS NOT NULL")
+    first_base = F.regexp_extract("__html", r"""(?is)<base\b[^>]*\shref\s*=\s*["']?\s*([^"'\s>]+)""", 1)
+    base = F.coalesce(_absolute(_decoded(first_base), F.col("src")), F.col("src"))
+    rows = rows.select("src", base.alias("__base"), F.explode(F.concat(canonical, refresh)).alias("__link"))
+    rows = rows.select("src", "__base", _decoded(F.col("__link")).alias("__link"))
+    return rows.select("src", _absolute(F.col("__link"), F.col("__base")).alias("dst")).where("dst IS NOT NULL")
 
 
 def judge_urls(
