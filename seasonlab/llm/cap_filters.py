@@ -80,7 +80,7 @@ def decode(vectors: np.ndarray, codes: int, depth: float) -> tuple[np.ndarray, l
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as rows, each scaled by a power of two to a largest component of 0.5 to 1 (cosines stay the same)."""
-    rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
     return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
 
 
@@ -145,9 +145,10 @@ def near_duplicate_vectors(
     the same id are rows of their own, each with its own links; null ids are null
     component names only where a whole component has no id.
     """
-    rows = vectors.select(
-        F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v")
-    )
+    # floats travel as floats and become doubles where they are multiplied
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    v = F.col(vector_col) if single else F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), v.alias("v"))
     sound = (
         F.col("label").isNotNull() & (F.coalesce(F.size("v"), F.lit(0)) > 0)
         & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
