@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seasonlab.llm.common import read_table, scratch_table
+from seasonlab.llm.common import delete_folder, read_table, scratch_place, scratch_table
 from seasonlab.llm.stages import dedup_stage, language_stage, packing_stage, substring_stage
 
 STAGES = [
@@ -19,8 +19,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's rows written to the shared folder and read by the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each one's rows written to the shared folder and read by the next, which then frees them."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = scratch_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        place = scratch_place(spark, name.replace(" ", "-"))
+        docs = scratch_table(stage(spark, docs, sf_dir), name, place)
+        if before:
+            delete_folder(spark, before)
+        before = place
     return docs

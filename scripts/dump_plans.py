@@ -15,11 +15,12 @@ NOTES = {
     "baseline_top_n": "scan pruning + date-range pushdown, line items of other seasons dropped by a semi join before the aggregate, "
                       "AQE-measured broadcasts of the small sides, N-th highest distinct value per position (row limit before its exchange), joined back as a threshold.",
     "season_totals": "season totals: partial aggregate (map-side) before the exchange on the four key columns.",
-    "next_season_dataset": "t -> t+1 pairs: an equi join on (player, position, season); the right side carries keys and value only.",
-    "ridge_gram_pass": "ridge (inside ridge_fit_6feat / forecast): the one aggregate of means and co-moments over the "
-                       "checkpointed feature table; its single row is all the driver receives.",
+    "next_season_dataset": "t -> t+1 pairs: an equi join on (player, position, season) of the written feature table; the right side carries keys and value only.",
+    "store_next_season": "the same pairs from the season store: a bucketed scan on either side.",
+    "ridge_triangles": "ridge (inside ridge_fit_6feat / forecast): rows of the checkpointed pairs reduced to QR triangles in each task, "
+                       "merged 128 tasks at a time and then once more, and solved there; its single row is all the driver receives.",
     "slice_top_n_per_position": "exact top-24 per position: WindowGroupLimit (row_number) before the shuffle.",
-    "spearman_by_position": "bucketed exact ranks: partial counts, percentile cut points, windows per (group, bucket).",
+    "spearman_by_position": "exact ranks: counted values in range partitions (written), running counts per (group, partition), prefix sums of the partitions' totals.",
     "forecast_next_season": "forecast: literal-coefficient projection over the checkpoint, range-partitioned sort.",
 }
 
@@ -33,7 +34,7 @@ def clean(plan: str) -> str:
     return "\n".join(lines)
 
 
-def gram_pass(spark, sf_dir):
+def triangles(spark, sf_dir):
     from seasonlab.operators.tsqr import ridge_table
     from seasonlab.plans import queries as q
 
@@ -52,7 +53,7 @@ def main() -> None:
            f"Final adaptive plans (after execution) at `{os.path.basename(sf_dir)}`, `local[8]`, generated by "
            "`scripts/dump_plans.py`. Expression ids and file paths are stripped; long lines are cut.", ""]
     for name, note in NOTES.items():
-        df = gram_pass(spark, sf_dir) if name == "ridge_gram_pass" else RAW_QUERIES[name](spark, sf_dir)
+        df = triangles(spark, sf_dir) if name == "ridge_triangles" else RAW_QUERIES[name](spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         out += [f"## {name}", "", note, "", "```", clean(plan), "```", ""]
@@ -63,9 +64,9 @@ def main() -> None:
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     out += ["## next_season_dataset without broadcasts (the plan shape at 100 TB)", "",
-            "Five exchanges: orders and the partially aggregated lineitem on the order key, the per-order rows "
-            "and customer on the customer key, the roster on the player id. The season aggregate, the roster "
-            "join and the t -> t+1 window all reuse the customer-key partitioning (no further shuffle).", "",
+            "Both sides read the written feature table through one exchange each; the features themselves take "
+            "orders and the partially aggregated lineitem on the order key, the per-order rows and customer on "
+            "the customer key, and the roster on the player id.", "",
             "```", clean(plan), "```", ""]
     spark.stop()
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
