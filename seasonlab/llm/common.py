@@ -21,22 +21,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back.
+def scratch_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder (or at ``path`` there) and read it back.
 
     Later passes, and retries after a lost executor, read the written files
     instead of recomputing what led to them.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = path or scratch_place(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_place(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables like scratch_table's for the steps of one operator, deleted when its result no longer reads them."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_place(spark, name)
     counter = iter(range(1 << 30))
 
     def table(df: DataFrame, part: str) -> DataFrame:
@@ -47,8 +52,13 @@ def scratch_folder(spark: SparkSession, name: str) -> Iterator[Callable[[DataFra
     try:
         yield table
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of scratch tables that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def bound_batches(spark: SparkSession) -> None:
