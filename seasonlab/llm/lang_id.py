@@ -16,8 +16,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from seasonlab.llm.common import bound_batches, own_names
 
 UNKNOWN = "und"
+JUDGED = StructType().add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+#: Texts that are judged together.
+TOGETHER = 64
 BITS = 12  # of a hashed pair or triple
 DIM = 2 << BITS
 #: Labelled rows per language that a model is fitted on, at most.
@@ -136,8 +142,8 @@ class LanguageModel:
         at = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         if not self.languages:
             return langs, scores, accepted
-        for lo in range(0, len(at), 64):
-            part = at[lo : lo + 64]
+        for lo in range(0, len(at), TOGETHER):
+            part = at[lo : lo + TOGETHER]
             counts = np.stack([ngram_counts(texts[i]) for i in part]).astype(np.float32)
             cosine = self.vectors(counts) @ self.centers.T
             sized = np.minimum(_log_length(counts).astype(int), LENGTHS - 1)
@@ -205,21 +211,23 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", k
     """The ``keep`` columns with lang_pred, score and accepted, for every row and the whole of each text.
 
     A null text, or one without a letter, is ``und`` with score 0 and not accepted;
-    so is every text if no language was learned.
+    so is every text if no language was learned. Rows that repeat are judged each, and
+    alike; an empty table gives no rows. A ``keep`` column that bears a result's name raises ValueError.
     """
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    names = rows.columns[:-1]
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores, accepted = model.predict(batch.column(len(names)).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(names))), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())],
-                [*names, "lang_pred", "score", "accepted"],
-            )
-
-    return rows.mapInArrow(label, schema)
+    names = own_names(docs, keep, JUDGED.names)
+    bound_batches(docs.sparkSession)
+
+    def label(texts: pa.Array) -> pa.Array:
+        langs, scores, accepted = [], [], []
+        for lo in range(0, len(texts), TOGETHER):
+            part = model.predict(texts.slice(lo, TOGETHER).to_pylist())
+            for out, found in zip((langs, scores, accepted), part, strict=True):
+                out += found
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())], JUDGED.names)
+
+    # the workers get the texts alone; the other columns stay in the JVM
+    judged = docs.select(*keep, F.arrow_udf(label, JUDGED)(F.col(text_col)).alias("__judged"))
+    return judged.select(*names, "__judged.*")
 
 
 def held_out(id_col: str) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from seasonlab.llm.bpe import slices
 from seasonlab.llm.cap_filters import _grouped
-from seasonlab.llm.common import cut, row_key, scratch_folder, scratch_table
+from seasonlab.llm.common import bound_batches, cut, row_key, scratch_folder, scratch_table
 from seasonlab.llm.components import connected_components
 from seasonlab.llm.words import TOGETHER, mix, runs_of, words_of
 
@@ -35,6 +35,10 @@ REGISTERS = BANDS * ROWS
 LEADER_ROUNDS = 1
 #: Members of a bucket that are compared with each other in one block afterwards.
 BLOCK = 512
+#: Bytes of shingles that a block holds on average (a text with more is a block of its own).
+BLOCK_BYTES = 4 << 20
+#: Arrivals that are drawn together.
+ARRIVALS = 1 << 18
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,7 +90,7 @@ def signatures(row: np.ndarray, value: np.ndarray, count: np.ndarray, n_rows: in
         alive = time <= latest[row[at]]
         at, time = at[alive], time[alive]
         turn += chunk
-        chunk = min(32, chunk * 2 if turn > 1 else 1)
+        chunk = max(1, min(32, chunk * 2 if turn > 1 else 1, ARRIVALS // max(1, len(at))))
     out = np.zeros(n_rows * REGISTERS, np.uint64)
     for slot, when, who in kept:
         first = when == arrival[slot]
@@ -168,6 +172,7 @@ def near_duplicate_classes(docs: DataFrame, *, threshold: float = THRESHOLD, id_
     are then compared with each other, in blocks, each pair in the first band that
     it shares. Nothing is left out for a bucket's size.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     keyed = rows.select("doc_id", row_key(F.col("doc_id"), F.col("text"))["b"].alias("key"), F.unhex(F.md5("text")).alias("fp"), F.coalesce("text", F.lit("")).alias("text"))
     schema = keyed.drop("text").schema.add("n", "integer").add("bands", ArrayType(LongType()))
@@ -223,8 +228,9 @@ def _with_parts(members: DataFrame, parts: DataFrame | None) -> DataFrame:
 def _compare_rest(members: DataFrame, parts: DataFrame, bands: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links between members of a bucket that are in different classes so far."""
     at = _with_parts(members, parts)
-    mixed = at.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("held")).where("lo <> hi")
-    mixed = mixed.select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
+    mixed = at.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("held"), F.sum("n").alias("size")).where("lo <> hi")
+    blocks = F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(8 * F.col("size") / BLOCK_BYTES))
+    mixed = mixed.select("bucket", blocks.cast("int").alias("blocks"))
     at = at.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
     # a block meets itself and every other block once
     at = at.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline: ``(spark, docs, sf_dir)`` to a DataFrame. All but packing return the columns of ``docs``.
 
-Columns that bear the name of an operator's result are kept as they are: a row
-travels as one struct.
+Columns that bear the name of an operator's result are kept as they are: a row is
+one struct, which stays in the JVM unless its text changes.
 """
 
 from __future__ import annotations
