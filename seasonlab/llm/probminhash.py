@@ -28,7 +28,8 @@ from seasonlab.llm.words import TOGETHER, mix, runs_of, words_of
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-#: At similarity 0.8 two texts share none of the bands with a probability of 5e-8.
+#: At similarity 0.8 two texts share none of the bands with a probability of 5e-8, where shingles weigh the same;
+#: with all that they don't share repeated a million times, with one of 2e-4.
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Rounds in which members of a bucket are compared with one of them only.
@@ -66,10 +67,10 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def signatures(row: np.ndarray, value: np.ndarray, count: np.ndarray, n_rows: int) -> np.ndarray:
     """ProbMinHash signatures, one row of REGISTERS shingles each; rows without shingles are all 0.
 
-    A shingle's weight is 1 + log10 of its count, so that repeated lines count
-    for more, but not for all.
+    A shingle's weight is 1 + log10(count) / 8, so that repeated lines count for
+    more, but never so much that texts of one class share no band.
     """
-    weight = 1 + np.log10(count)
+    weight = 1 + np.log10(count) / 8
     arrival = np.full((n_rows, REGISTERS), np.inf).ravel()
     latest = np.full(n_rows, np.inf)
     at, time, turn, chunk = np.arange(len(row)), np.zeros(len(row)), 0, 1
