@@ -28,6 +28,8 @@ BITS = 12  # of a hashed pair or triple
 DIM = 2 << BITS
 #: Labelled rows per language that a model is fitted on, at most.
 FIT_ROWS_PER_LANGUAGE = 400
+#: Parts of a language's rows that are cut down to as many each before they meet.
+SPREAD = 64
 CENTROIDS_PER_LANGUAGE = 3
 #: A text is rejected below this share of a low quantile of the cosines that learned rows of its language and about its length have.
 REJECT_SHARE = 0.7
@@ -164,8 +166,11 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key:
     rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
     rows = rows.withColumn("t", F.xxhash64("text"))
     # a row for each key and text, or rows that repeat would bring more than the parameter
-    order = Window.partitionBy("lang").orderBy("h", "t")
-    taken = rows.select("lang", "h", "t").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).drop("n")
+    taken = rows.select("lang", "h", "t").distinct().withColumn("s", F.pmod("t", F.lit(SPREAD)))
+    for keys in (["lang", "s"], ["lang"]):  # a language's rows are cut down in parts first
+        order = Window.partitionBy(*keys).orderBy("h", "t")
+        taken = taken.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language)
+    taken = taken.select("lang", "h", "t")
     sample = rows.join(F.broadcast(taken), ["lang", "h", "t"], "left_semi").groupBy("lang", "h", "t").agg(F.min("text").alias("text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
