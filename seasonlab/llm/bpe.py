@@ -10,7 +10,7 @@ import base64
 import functools
 import itertools
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from seasonlab.llm.common import bound_batches, own_names
 from seasonlab.llm.rank_queue import MergeTable, packed
 
-#: Pieces of text whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 120_000
+#: Pieces of text whose ids a Python worker remembers (and at least those of the texts that are encoded together).
+REMEMBERED = 240_000
 #: Characters of text that are encoded together.
 TOGETHER = 4_000_000
 #: White space before which a single space is no start of a pre-token, and rarer white space.
@@ -31,30 +32,20 @@ AFTER_SPACE = (" \t", " \n", " \v", " \f", " \r")
 RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-class Memory:
-    """Ids of pieces of text seen lately: a bounded cache of two generations."""
+class Memory(dict):
+    """Ids of pieces of text: a bounded cache that forgets all when it is full."""
 
     def __init__(self, most: int = REMEMBERED) -> None:
-        self.most, self.young, self.old = most, {}, {}
-
-    def look_up(self, pieces: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        """What is known of ``pieces``, and the unknown ones."""
-        known, unknown = {}, []
-        young, old = self.young, self.old
-        for piece in pieces:
-            ids = young.get(piece)
-            if ids is None:
-                ids = old.get(piece)
-                if ids is None:
-                    unknown.append(piece)
-                    continue
-            known[piece] = ids
-        return known, unknown
-
-    def keep(self, found: dict[str, bytes]) -> None:
-        if len(self.young) + len(found) > self.most:
-            self.old, self.young = self.young, {}
-        self.young.update(itertools.islice(found.items(), self.most))
+        super().__init__()
+        self.most = most
+
+    def unknown(self, rows: Iterable[Sequence]) -> list:
+        """The distinct pieces of the rows that must be encoded and added, so that the memory holds all of them."""
+        new = set(itertools.filterfalse(self.__contains__, itertools.chain.from_iterable(rows)))
+        if new and len(self) + len(new) > self.most:
+            self.clear()
+            new = set(itertools.chain.from_iterable(rows))
+        return list(new)
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = TOGETHER) -> Iterator[pa.RecordBatch]:
@@ -73,7 +64,8 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
-        self.tokens = {i: token for token, i in ranks.items()}
+        of_id = {i: token for token, i in ranks.items()}
+        self.token_bytes = pa.array([of_id.get(i) for i in range(max(of_id) + 1)], pa.large_binary())
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         # the rank of a pair is that of the token its bytes make
@@ -98,27 +90,23 @@ class ByteBPE:
         whole = np.frombuffer(b"".join(words), np.uint8)
         return packed(*self.table.merge(self.byte_ids[whole], np.array([len(w) for w in words], np.int64)))
 
-    def _ids_of_words(self, words: set[str]) -> dict[str, bytes]:
-        known, unknown = self.words.look_up(words)
-        found = dict(zip(unknown, self.merge_words([w.encode("utf-8", "replace") for w in unknown]), strict=True))
-        self.words.keep(found)
-        return known | found
+    def _remember_words(self, rows: Sequence[Sequence[str]]) -> None:
+        unknown = self.words.unknown(rows)
+        self.words.update(zip(unknown, self.merge_words([w.encode("utf-8", "replace") for w in unknown]), strict=True))
 
-    def _ids_of_pieces(self, pieces: set[str]) -> dict[str, bytes]:
+    def _remember_pieces(self, rows: Sequence[Sequence[str]]) -> None:
         """Ids of pieces, each of which stands after a single space."""
-        known, unknown = self.pieces.look_up(pieces)
-        # one text again: a word of it starts with a space just where a piece does
+        unknown = self.pieces.unknown(rows)
         if not unknown:
-            return known
+            return
+        # one text again: a word of it starts with a space just where a piece does
         words = self.pattern.findall(" " + " ".join(unknown))
-        ids = self._ids_of_words(set(words))
-        parts = list(map(ids.__getitem__, words))
+        self._remember_words([words])
+        parts = list(map(self.words.__getitem__, words))
         starts = [i for i, w in enumerate(words) if w[0] == " "]
-        found = {
-            p: parts[a] if b - a == 1 else b"".join(parts[a:b]) for p, a, b in zip(unknown, starts, [*starts[1:], len(words)], strict=True)
-        }
-        self.pieces.keep(found)
-        return known | found
+        self.pieces.update(
+            (p, parts[a] if b - a == 1 else b"".join(parts[a:b])) for p, a, b in zip(unknown, starts, [*starts[1:], len(words)], strict=True)
+        )
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of whole texts, each as little-endian 32-bit numbers.
@@ -134,16 +122,27 @@ class ByteBPE:
             even = "" not in row and not any(s in text for s in AFTER_SPACE) and RARE_SPACE.search(text) is None
             plain.append(even)
             rows.append(row if even else self.pattern.findall(text))
+        # a text's first piece, or all of it, by the pattern; its other pieces
         firsts = [self.pattern.findall(r[0]) if even else r for r, even in zip(rows, plain, strict=True)]
-        words = self._ids_of_words(set().union(*firsts))
-        pieces = self._ids_of_pieces(set().union(*(r[1:] for r, even in zip(rows, plain, strict=True) if even)))
-        return [
-            b"".join([*map(words.__getitem__, first), *(map(pieces.__getitem__, r[1:]) if even else ())])
-            for r, first, even in zip(rows, firsts, plain, strict=True)
-        ]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        rests = [r[1:] if even else () for r, even in zip(rows, plain, strict=True)]
+        self._remember_words(firsts)
+        heads = [b"".join(map(self.words.__getitem__, first)) for first in firsts]
+        self._remember_pieces(rests)
+        return [b"".join([head, *map(self.pieces.__getitem__, rest)]) for head, rest in zip(heads, rests, strict=True)]
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes that each list of ids stands for; a null list stands for none, an unknown id raises."""
+        offsets = ids.offsets.to_numpy()
+        flat = ids.values.slice(offsets[0], offsets[-1] - offsets[0])
+        if flat.null_count or (len(flat) and (pc.min(flat).as_py() < 0 or pc.max(flat).as_py() >= len(self.token_bytes))):
+            raise ValueError("an id is in no token of the vocabulary")
+        taken = self.token_bytes.take(flat)
+        if taken.null_count:
+            raise ValueError("an id is in no token of the vocabulary")
+        # the tokens' bytes lie one after the other: a text ends where its last token does
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+        bounds = ends[offsets - offsets[0]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(bounds.tobytes()), taken.buffers()[2]]).cast(pa.binary())
 
 
 def _lists(rows: list[bytes]) -> pa.Array:
@@ -153,7 +152,13 @@ def _lists(rows: list[bytes]) -> pa.Array:
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, *, keep: list[Column], text_col: str = "text") -> DataFrame:
-    """The ``keep`` columns with ``ids`` (array of int) of every whole text; null and empty texts have none."""
+    """The ``keep`` columns with ``ids`` (array of int) of every whole text; null and empty texts have none.
+
+    Rows that repeat are encoded each, and alike; very long texts whole; an empty table gives no
+    rows. A ``keep`` column that bears the name ``ids`` raises ValueError.
+    """
+    own_names(docs, keep, ["ids"])
+    bound_batches(docs.sparkSession)
     rows = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     names = rows.columns[:-1]
     schema = rows.drop("__text").schema.add("ids", ArrayType(IntegerType()))
@@ -178,7 +183,6 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str, *, ids_col: st
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                decoded = pa.array([bpe.decode(ids or []) for ids in part.column(at).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*part.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, bpe.decode(part.column(at))], [*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(decode, schema)
