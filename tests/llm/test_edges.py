@@ -66,6 +66,41 @@ def test_main_text_keeps_a_wrapped_article(page):
     assert main_text(page) == "Head The whole article of the page with its words"
 
 
+PROSE = "<p>The river rose over night and the road to the mill is closed until Friday.</p><p>Nobody was hurt, says the mayor.</p>"
+SAID = "The river rose over night and the road to the mill is closed until Friday. Nobody was hurt, says the mayor."
+
+
+@pytest.mark.parametrize("page", [
+    f"<div><a href=1>Home</a> <a href=2>News</a> <a href=3>Sport</a></div><div>{PROSE}</div><p><a href=4>Imprint</a></p>",  # no class names
+    f"<ul><li>Home<li>News<li>Sport</ul><div class=x1>{PROSE}</div><div>Next page</div>",  # opaque ones, and no links
+    f"<div class=kopfzeile>Mein Blog</div><table><tr><td><a href=1>Start</a><td><a href=2>Wetter</a></table>{PROSE}<div class=fuss>Kontakt</div>",  # German ones
+    f"<div class=a1><div class=b2><div><a href=x>Top</a></div><div class=c3>{PROSE}</div><div><a href=1>A dog swam</a> <a href=2>Grass is cut</a></div></div></div>",  # nested
+])
+def test_main_text_without_article_is_found_by_the_scan(page, monkeypatch):
+    assert main_text(page) == SAID
+    from seasonlab.llm import html_extract
+    monkeypatch.setattr(html_extract, "best_stretch", lambda score: (0, len(score)))
+    assert main_text(page) != SAID
+
+
+@pytest.mark.parametrize("part", ["<p class='warning'>{}</p>", "<div class='legal-history'><p>{}</p></div>", "<section class='search-results'>{}</section>", "<p id=copyright-law>{}</p>"])
+def test_class_words_take_nothing_from_an_article(part):
+    said = "Wires that hang down may carry a current."
+    assert main_text(f"<article>{PROSE}{part.format(said)}</article>") == f"{SAID} {said}"
+    assert main_text(f"<article>{PROSE}<div class='ad-box'>{said}</div><ul class='share-links'><li>{said}</ul><div class='comments'>{said}</div></article>") == SAID
+
+
+def test_best_stretch_is_the_quadratic_maximum():
+    from seasonlab.llm.html_extract import best_stretch
+    rnd = random.Random(12)
+    for _ in range(2000):
+        score = [rnd.choice([-3, -1, -0.5, 0, 0.5, 1, 2]) for _ in range(rnd.randint(0, 14))]
+        every = [(sum(score[a:b]), -a, -b) for a in range(len(score)) for b in range(a + 1, len(score) + 1)]
+        a, b = best_stretch(score)
+        assert (sum(score[a:b]) if b else 0) == max([0, *(t for t, _, _ in every)])
+        assert b == 0 or not any(t == sum(score[a:b]) and -x >= a and -y <= b and (-x, -y) != (a, b) for t, x, y in every if (-x, -y) != (a, b) and -x >= a and -y <= b)
+
+
 def test_main_text_is_linear_and_keeps_rows(spark):
     long = "<article>" + "<p>word " * 50_000 + "</article>"
     rows = [(1, "u", long, "t"), (1, "u", long, "t"), (None, None, None, "t")]
@@ -311,6 +346,22 @@ def test_near_texts_without_leader_rounds(spark, monkeypatch):
     assert sorted((r["doc_id"], r["class_id"], r["kept"]) for r in probminhash.near_duplicate_classes(df).collect()) == brute.near_texts(rows)
 
 
+def test_repeated_lines_lose_no_links():
+    """Texts of similarity 0.8 whose own shingles repeat up to a thousand times share a band."""
+    from seasonlab.llm.probminhash import band_hashes, signatures
+    rnd = np.random.default_rng(9)
+    for repeats in (1, 10, 100, 1000, 10**6):
+        lost = 0
+        for _ in range(300):
+            value = rnd.integers(1, 2**63, 100).astype(np.uint64)
+            texts = [np.sort(value[:90]), np.sort(np.r_[value[:80], value[90:]])]
+            row, both = np.repeat([0, 1], 90), np.concatenate(texts)
+            count = np.where(np.isin(both, value[:80]), 1, repeats)
+            a, b = band_hashes(signatures(row, both, count, 2))
+            lost += not (a == b).any()
+        assert lost == 0, repeats
+
+
 def test_probminhash_estimates_probability_jaccard():
     rnd = np.random.default_rng(1)
     shared, left, right = (rnd.integers(1, 1 << 62, n).astype(np.uint64) for n in (300, 60, 60))
@@ -340,6 +391,41 @@ def test_top_k_edges(spark):
     assert top_k_products(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_multiplies_large_components_exactly(spark):
+    schema = "vec_id bigint, embedding array<double>, label int"
+    rows = [(0, [1e6, 1.0], 0), (1, [1e6, 0.0], 0), (2, [1e6, 1.0], 0), (3, [-1e6, 5.0], 0), (4, [4e6, 1.0], 0)]
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in top_k_products(spark.createDataFrame(rows, schema), F.col("vec_id") % 50 == 0).collect())
+    big = 256 * 10**6
+    assert got == [(1, 4, 4 * big * big + 65536), (2, 2, big * big + 65536), (3, 1, big * big), (4, 3, -big * big + 256 * 1280)]
+    for huge in (3e7, 2.0**52, 1e300):
+        with pytest.raises(Exception, match="64 bits"):
+            top_k_products(spark.createDataFrame([(0, [huge, 1.0], 0), (1, [huge, 1.0], 0)], schema), F.col("vec_id") % 50 == 0).collect()
+
+
+def test_top_k_prunes_by_coordinates_and_lengths(spark, monkeypatch):
+    """Both prunings are reached, and change nothing."""
+    from seasonlab.llm import norm_topk
+    rnd = np.random.default_rng(4)
+    centers = rnd.normal(size=(12, 6))
+    rows = [(i, ((centers[i % 12] + rnd.normal(size=6) * 0.05) * 2.0 ** rnd.integers(-3, 4)).tolist(), 0) for i in range(600)]
+    seen = []
+    whole = norm_topk._agreeing
+    monkeypatch.setattr(norm_topk, "_agreeing", lambda q, c, v, n: seen.append((len(v), len(whole(q, c, v, n)))) or whole(q, c, v, n))
+    ids, v = np.arange(600), np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    order = np.argsort(-np.linalg.norm(v.astype(float), axis=1), kind="stable")
+    ids, v = ids[order], v[order]
+    q_ids = np.arange(0, 600, 50)
+    q = v[np.argsort(ids)][q_ids]
+    score = q @ v.T
+    score[ids[None, :] == q_ids[:, None]] = norm_topk.NO_SCORE
+    beat = np.sort(score, axis=1)[:, -5]
+    n, best, found = norm_topk._best(q, q_ids, beat, ids, v, np.linalg.norm(v.astype(float), axis=1), 5)
+    for i in range(len(q_ids)):
+        want = sorted((-int(s), int(d)) for s, d in zip(score[i], ids, strict=True))[:5]
+        assert [(-int(s), int(d)) for s, d in zip(best[n == i], found[n == i], strict=True)] == want
+    assert seen and sum(after for _, after in seen) < 0.7 * sum(before for before, _ in seen)
+
+
 # Language
 
 
@@ -359,6 +445,30 @@ def test_language_edges(spark):
     assert fit(empty, key=F.col("doc_id")).languages == [] and language_stage(spark, empty, "").count() == 0
 
 
+def test_language_matches_plain_nearest_centroid(spark, sf_small):
+    """Label and score against a plain version of the model's rule, text by text."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    model = q.fit_languages(docs)
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    for r in identify(docs, model, keep=[F.col("doc_id")]).collect():
+        text = texts[r["doc_id"]]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"], r["accepted"]) == ("und", 0.0, False)
+            continue
+        kept = "".join(c if c.isalpha() and c.isascii() or ord(c) >= 128 else " " for c in text.lower())
+        raw = " ".join(["", *kept.split(" "), ""]).encode("utf-8")
+        while b"  " in raw:
+            raw = raw.replace(b"  ", b" ")
+        v = np.zeros(2 << 12)
+        for i in range(len(raw) - 1):
+            v[((raw[i] << 8 | raw[i + 1]) * 2654435761 % 2**32) >> 20] += 1
+        for i in range(len(raw) - 2):
+            v[(1 << 12) + (((raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 2246822519 % 2**32) >> 20)] += 1
+        v = np.log1p(v) * model.idf
+        cosine = model.centers @ (v / np.linalg.norm(v))
+        assert r["lang_pred"] == model.languages[int(cosine.argmax())] and abs(r["score"] - cosine.max()) < 1e-4
+
+
 def test_language_sample_is_bounded_in_rows(spark, monkeypatch):
     from seasonlab.llm import lang_id
     rows = [(1, f"the ship and the harbour {i % 50} {'abcdefghij'[i % 10] * (1 + i % 7)}", "en") for i in range(500)] + [(1, "le navire", "fr")] * 300
@@ -387,6 +497,26 @@ def test_url_components(spark):
     assert judge_urls(df.limit(0), rules).count() == 0 and judge_urls(df, [], html_col=None).where("verdict = 'allow'").count() == len(rows)
 
 
+@pytest.mark.parametrize("url, html, dst", [
+    ("http://h.org/x/y/p", '<link rel=canonical href="../z">', "h.org/x/z"), ("http://h.org/x/p", '<link rel=canonical href="?q=1">', "h.org/x/p?q=1"),
+    ("http://h.org", '<link rel=canonical href="z">', "h.org/z"), ("http://h.org/x/p", '<base href="/b/c/"><link rel=canonical href="./z/">', "h.org/b/c/z/"),
+    ("http://h.org/x", '<base href="//o.net/d/"><link rel=canonical href="../../z?a=1&#38;b=2&amp;c">', "o.net/z?a=1&b=2&c"), ("http://h.org/x", '<link rel=canonical href="http&#58;&#x2F;/o.net">', "o.net/"),
+    ("http://h.org/a/b/c", '<link rel=canonical href="../..">', "h.org/"), ("http://h.org/a/", '<link rel=canonical href=".">', "h.org/a/"),
+])
+def test_links_are_resolved(spark, url, html, dst):
+    from seasonlab.llm.url_filter import alias_of
+    edges = page_edges(spark.createDataFrame([(url, html)], "url string, html string"))
+    assert [r[0] for r in edges.select(alias_of(F.col("dst"))).collect()] == [dst]
+    assert page_edges(spark.createDataFrame([(url, "<link rel=canonical href='#top'><link rel=canonical href='mailto:x'>")], "url string, html string")).count() == 0
+
+
+def test_a_url_without_a_path_is_its_root(spark):
+    rows = [(1, "http://c.org", '<link rel=canonical href="http://bad.net/x/">'), (2, "https://C.org/", None), (3, "http://c.org/a/../#f", None), (4, "http://c.org/a", None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: (r["path"], r["verdict"]) for r in judge_urls(df, [Rule("block", "net", "/x/")]).collect()}
+    assert got == {1: ("", "block"), 2: ("/", "block"), 3: ("/a/../", "block"), 4: ("/a", "allow")}
+
+
 def test_page_edges_takes_all_links(spark):
     page = """<!-- <link rel="canonical" href="http://no.net/1"> --><script>'<meta http-equiv="refresh" content="0; url=http://no.net/2">'</script>
         <link rel='alternate canonical' href='http://a.net/'><LINK href="http://b.net/" rel=canonical><link rel="canonicalized" href="http://no.net/3">
@@ -401,6 +531,17 @@ def test_components_of_chains_and_hubs(spark):
     assert out == {**{i: 100 for i in range(100, 161)}, **{i: 5 for i in [5, *range(10, 60)]}, 200: 200, 201: 200}
 
 
+def test_names_of_results_are_refused(spark):
+    df = docs_of(spark, [(1, "some words", "en")])
+    model = q.fit_languages(df.limit(0))
+    for call, name in (
+        (lambda c: extract_main_text(df, keep=c, html_col="text"), "text"), (lambda c: identify(df, model, keep=c), "Score"),
+        (lambda c: encode_texts(df, q.BPE_RANKS, q.BPE_PATTERN, keep=c), "ids"), (lambda c: substring.remove_repeats(df, keep=c), "n_words"),
+    ):
+        with pytest.raises(ValueError, match="names of results"):
+            call([F.col("kept").alias(name)])
+
+
 # Stages
 
 

@@ -81,7 +81,7 @@ def test_fingerprint_edges(spark):
     by = {r["doc_id"]: r for r in out if r["doc_id"] not in (7,)}
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert by[1]["fingerprint"] == by[2]["fingerprint"] == by[5]["fingerprint"] == "" and by[1]["near_next"] == 1.0 and by[1]["near_edited"] == 1.0
-    assert by[2]["near_next"] == 0.0 and by[3]["edited_sha256"] == sha("a b c d e f" + "  \n\t"[:3]) and by[10]["edited_sha256"] == sha("x")
+    assert by[2]["near_next"] == 0.0 and by[3]["edited_sha256"] == sha("a b c d e f " + "  \n") and by[10]["edited_sha256"] == sha("x")
     assert by[9]["n_chars"] == 60_000 and by[9]["edited_sha256"] == sha(("w " * 30_000)[:45_000] + "x")
     assert by[None]["edited_sha256"] == sha("nameless ")  # the first document is next to the last, and empty
     same = [r for r in out if r["doc_id"] == 7 and r["n_chars"] == 9]
@@ -169,7 +169,8 @@ def test_blocks_are_skipped_by_their_bounds():
         score = dense[:, terms] @ (weight[terms] * repeats)
         order = np.lexsort((np.arange(4000), -score))[:5]
         assert best.doc.tolist() == order.tolist() and best.score.tolist() == score[order].tolist()
-    assert own.blocks_scored < 0.6 * own.blocks
+    every = sum(-(-int((term == t).sum()) // 32) for terms in items.terms for t in terms)
+    assert own.blocks_scored < own.blocks and own.blocks_scored < 0.2 * every
 
 
 def test_term_counts_fold_ascii_only():
