@@ -12,7 +12,7 @@ from seasonlab.llm.chat import chain, format_conversations, read_back, read_loss
 from seasonlab.llm.common import read_table, scratch_table
 from seasonlab.llm.geometric_blocks import index_documents, search
 from seasonlab.llm.html_extract import extract_main_text
-from seasonlab.llm.lang_id import UNKNOWN, fit, held_out, identify
+from seasonlab.llm.lang_id import fit, held_out, identify
 from seasonlab.llm.norm_topk import top_k_products
 from seasonlab.llm.packing import pack_documents
 from seasonlab.llm.probminhash import near_duplicate_classes
