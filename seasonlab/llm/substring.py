@@ -22,18 +22,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from seasonlab.llm.bpe import slices
-from seasonlab.llm.common import cut, row_key, scratch_folder
+from seasonlab.llm.common import bound_batches, cut, own_names, row_key, scratch_folder
 from seasonlab.llm.words import TOGETHER, runs_of, words_of
 
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 8
 #: Different passages of a shard above which it is halved.
 HOT_PASSAGES = 256
-#: Hot shards' names that are broadcast, at most; more of them are joined by a shuffle.
-BROADCAST_SHARDS = 10_000
+STRIPPED = StructType().add("n_words", "long").add("n_removed", "long").add("removed", ArrayType(ArrayType(IntegerType()))).add("kept_text", "string")
 
 
 class SuffixAutomaton:
@@ -114,9 +113,6 @@ class SuffixAutomaton:
 
 def repeated_windows(passages: list[tuple[list[bytes], int]], least: int) -> list[list[int]]:
     """For each passage and its number of occurrences: the starts of the windows that occur anywhere else too."""
-    if len(passages) == 1:  # a passage never repeats a window of its own: the anchor lies elsewhere in each
-        words, times = passages[0]
-        return [list(range(len(words) - least + 1)) if times > 1 else []]
     automaton = SuffixAutomaton()
     for words, times in passages:
         automaton.add(words, times)
@@ -245,11 +241,8 @@ def _found(different: DataFrame, table: Table, window: int, width: int) -> DataF
     """
     hot = different.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > HOT_PASSAGES).select("shard")
     hot = cut(hot)
-    n_hot = hot.count()
-    if not n_hot or width == 1:  # one window a shard: its passages are one
+    if width == 1 or hot.isEmpty():  # one window a shard: its passages are one
         return _match(different, window)
-    if n_hot <= BROADCAST_SHARDS:
-        hot = F.broadcast(hot)
     half = -(-width // 2)
     halves = different.join(hot, "shard", "left_semi").mapInArrow(
         _halve(window, half), "up_shard bigint, up_passage bigint, offset int, shard bigint, place int, words binary, times bigint"
@@ -332,38 +325,36 @@ def remove_repeats(docs: DataFrame, *, keep: list[Column], window: int = WINDOW_
     maximal spans taken out as pairs of the first word's number and the number after the
     last; ``kept_text`` is the other words joined by one space. Null and empty
     texts, and texts of fewer words than a window, lose nothing; rows that repeat
-    a text lose every window of it.
+    a text lose every window of it. An empty table gives no rows. A ``keep`` column that
+    bears a result's name raises ValueError.
     """
+    names = own_names(docs, keep, STRIPPED.names)
+    bound_batches(docs.sparkSession)
     key = row_key(F.col(id_col), F.col(text_col))["b"]
     text = F.coalesce(F.col(text_col), F.lit(""))
     with scratch_folder(docs.sparkSession, "repeats") as table:
         starts = cut(repeated_spans(docs.select(key.alias("key"), text.alias("text")), table, window=window))
     rows = docs.select(*keep, key.alias("__key"), text.alias("__text"))
-    names = rows.columns[:-2]
-    rows = rows.join(starts.select(F.col("key").alias("__key"), F.col("starts").alias("__starts")), "__key", "left").select(*names, "__text", "__starts")
-    schema = rows.drop("__text", "__starts").schema.add("n_words", "long").add("n_removed", "long").add("removed", ArrayType(ArrayType(IntegerType()))).add("kept_text", "string")
-    spans_type = pa.list_(pa.list_(pa.int32()))
-
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, len(names), TOGETHER):
-                n_words, n_removed, removed, kept = [], [], [], []
-                for text, starts in zip(part.column(len(names)).to_pylist(), part.column(len(names) + 1).to_pylist(), strict=True):
-                    words = text.encode("utf-8").split()
-                    spans = _spans(starts or [], window)
-                    stays = np.ones(len(words), bool)
-                    for a, b in spans:
-                        stays[a:b] = False
-                    n_words.append(len(words))
-                    n_removed.append(len(words) - int(stays.sum()))
-                    removed.append(spans)
-                    kept.append(b" ".join(compress(words, stays.tolist()) if spans else words).decode("utf-8"))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(names)], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(removed, spans_type), pa.array(kept, pa.string())],
-                    [*names, "n_words", "n_removed", "removed", "kept_text"],
-                )
-
-    return rows.mapInArrow(strip, schema)
+    rows = rows.join(starts.select(F.col("key").alias("__key"), F.col("starts").alias("__starts")), "__key", "left")
+
+    def strip(texts: pa.Array, starts: pa.Array) -> pa.Array:
+        n_words, n_removed, removed, kept = [], [], [], []
+        for text, found in zip(texts, starts, strict=True):
+            words = text.as_py().encode("utf-8").split()
+            spans = _spans(found.as_py() or [], window)
+            stays = np.ones(len(words), bool)
+            for a, b in spans:
+                stays[a:b] = False
+            n_words.append(len(words))
+            n_removed.append(len(words) - int(stays.sum()))
+            removed.append(spans)
+            kept.append(b" ".join(compress(words, stays.tolist()) if spans else words).decode("utf-8"))
+        columns = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(removed, pa.list_(pa.list_(pa.int32()))), pa.array(kept, pa.string())]
+        return pa.StructArray.from_arrays(columns, STRIPPED.names)
+
+    # the workers get text and windows alone; the other columns stay in the JVM
+    stripped = rows.select(*names, F.arrow_udf(strip, STRIPPED)("__text", "__starts").alias("__stripped"))
+    return stripped.select(*names, "__stripped.*")
 
 
 def _spans(starts: list[int], window: int) -> list[list[int]]:
