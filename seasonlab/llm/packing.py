@@ -11,6 +11,8 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasonlab.llm.bpe import Memory, slices
-from seasonlab.llm.common import scratch_table
+from seasonlab.llm.common import bound_batches, scratch_table
 
 OPEN_WINDOWS = 64
 #: Tasks whose leftovers meet in one task of the next round.
@@ -29,16 +31,20 @@ FAN_IN = 16
 LEAST_CUT = 8
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, open boolean, bin bigint"
 FLUSH_BYTES = 8 << 20
-#: Distinct words whose ids a Python worker remembers, in each of two generations.
-REMEMBERED_WORDS = 300_000
+#: Stands between words that are encoded as one text; words that hold it are encoded one by one.
+MARK, MARKED_TOGETHER = "\x01", 4096
+BEHIND_A_LETTER = re.compile(rb"(?<=[a-z])(?=[.,;:!?])")
+#: Distinct words whose ids a Python worker remembers (and at least those of the texts that are encoded together).
+REMEMBERED_WORDS = 400_000
 
 
 class Tokenizer:
     """Ids of whole texts by a ``tokenizers`` file.
 
-    ``by_word``: the tokenizer drops white space and never looks across it, so each
-    distinct stretch between ASCII white space is encoded once and remembered in
-    a bounded cache. Otherwise whole texts are encoded.
+    ``by_word``: the tokenizer composes characters (NFC), lower-cases, drops white space
+    and never looks across it, nor from a letter to the punctuation behind it. Then each distinct
+    word is encoded once, without case and punctuation where these can't matter, and
+    remembered in a bounded cache. Otherwise whole texts are encoded.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
@@ -48,6 +54,8 @@ class Tokenizer:
         from tokenizers import Tokenizer as Library
 
         self.library, self.by_word, self.memory = Library.from_file(path), by_word, Memory(REMEMBERED_WORDS)
+        mark = self.library.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
 
     @classmethod
     @functools.lru_cache(maxsize=2)
@@ -58,16 +66,44 @@ class Tokenizer:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Many words in one text, with a mark between them whose id no word without it has."""
+        if self.mark is None or len(words) == 1 or any(MARK in w for w in words):
+            return self._encode(words)
+        ids = np.array(self._encode_text(f" {MARK} ".join(words)), "<u4")
+        ends = np.flatnonzero(ids == self.mark)
+        if len(ends) != len(words) - 1:
+            return self._encode(words)
+        whole, stops = ids.tobytes(), (4 * ends).tolist()
+        return [whole[a:b] for a, b in zip([0, *(s + 4 for s in stops)], [*stops, len(whole)], strict=True)]
+
+    def _encode_text(self, text: str) -> list[int]:
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian 32-bit ids of each text."""
         if not self.by_word:
             return self._encode(texts)
-        rows = [t.encode("utf-8", "replace").split() for t in texts]
-        known, unknown = self.memory.look_up(set().union(*rows))
-        found = dict(zip(unknown, self._encode([w.decode() for w in unknown]), strict=True))
-        self.memory.keep(found)
-        known |= found
-        return [b"".join(map(known.__getitem__, row)) for row in rows]
+        rows = [_words(t) for t in texts]
+        unknown = self.memory.unknown(rows)
+        for lo in range(0, len(unknown), MARKED_TOGETHER):
+            some = unknown[lo : lo + MARKED_TOGETHER]
+            self.memory.update(zip(some, self._encode_words([w.decode() for w in some]), strict=True))
+        return [b"".join(map(self.memory.__getitem__, row)) for row in rows]
+
+
+def _words(text: str) -> list[bytes]:
+    """Stretches between ASCII white space that a ``by_word`` tokenizer encodes like the text.
+
+    A-Z become lower case, and a mark of punctuation behind a letter starts a stretch of
+    its own, unless the text isn't composed (either way) or may hold a special token.
+    """
+    raw = text.encode("utf-8", "replace")
+    lower = raw.lower()  # A-Z only
+    plain = raw.isascii() or (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower.decode()))
+    if plain and b"<|" not in raw:
+        raw = BEHIND_A_LETTER.sub(b" ", lower)
+    return raw.split()
 
 
 class Packer:
@@ -172,6 +208,7 @@ def pack_documents(
     gets depends on the order of reading; at most OPEN_WINDOWS windows a task
     move on to the next round.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 
