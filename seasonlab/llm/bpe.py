@@ -26,7 +26,7 @@ from seasonlab.llm.rank_queue import MergeTable, packed
 #: Pieces of text whose ids a Python worker remembers (and at least those of the texts that are encoded together).
 REMEMBERED = 240_000
 #: Characters of text that are encoded together.
-TOGETHER = 4_000_000
+TOGETHER = 6_000_000
 #: White space before which a single space is no start of a pre-token, and rarer white space.
 AFTER_SPACE = (" \t", " \n", " \v", " \f", " \r")
 RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -59,6 +59,20 @@ def slices(batch: pa.RecordBatch, column: int, most: int = TOGETHER) -> Iterator
         lo = hi
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: int, most: int = TOGETHER) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about ``most`` bytes of the string column."""
+    waiting, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column, most):
+            waiting.append(part)
+            size += pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if size >= most:
+                yield waiting
+                waiting, size = [], 0
+    if waiting:
+        yield waiting
+
+
 class ByteBPE:
     """A byte-level vocabulary: token bytes and their ranks, which are also their ids."""
 
@@ -165,10 +179,12 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, *, keep: list[C
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBPE.load(ranks_path, pattern)
-        for batch in batches:
-            for part in slices(batch, len(names)):
-                ids = _lists(bpe.encode(part.column(len(names)).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(names))), ids], [*names, "ids"])
+        for parts in gathered(batches, len(names)):
+            ids, at = bpe.encode([text for part in parts for text in part.column(len(names)).to_pylist()]), 0
+            for part in parts:
+                own = _lists(ids[at : at + part.num_rows])
+                at += part.num_rows
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(names))), own], [*names, "ids"])
 
     return rows.mapInArrow(encode, schema)
 
