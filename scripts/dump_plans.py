@@ -39,7 +39,7 @@ def triangles(spark, sf_dir):
     from seasonlab.plans import queries as q
 
     return ridge_table(q.clean(spark, sf_dir), feature_cols=list(q.FEATURES_6), target_col=q.TARGET,
-                           season_col="season", train_end_season=q.TRAIN_END)
+                           season_col="season", train_end_season=q.TRAIN_END, alpha=q.ALPHA)
 
 
 def main() -> None:
