@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,10 @@ SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 FLUSH_BYTES = 8 << 20
 #: Stands between words that are encoded as one text; words that hold it are encoded one by one.
 MARK, MARKED_TOGETHER = "\x01", 4096
-BEHIND_A_LETTER = re.compile(rb"(?<=[a-z])(?=[.,;:!?])")
+#: Where a mark of ASCII punctuation (no apostrophe) follows a lower-case letter of Latin-1.
+BEHIND_A_LETTER = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x9f-\xb6\xb8-\xbf]))(?=[!-&(-/:-@\[-`{-~])")
+#: Capitals of Latin-1 outside ASCII, and what makes each lower case.
+CAPITAL, SMALL = re.compile(rb"\xc3[\x80-\x96\x98-\x9e]"), {bytes([0xC3, b]): bytes([0xC3, b + 32]) for b in range(0x80, 0x9F)}
 #: Distinct words whose ids a Python worker remembers (and at least those of the texts that are encoded together).
 REMEMBERED_WORDS = 400_000
 
@@ -84,26 +88,31 @@ class Tokenizer:
         """Packed little-endian 32-bit ids of each text."""
         if not self.by_word:
             return self._encode(texts)
-        rows = [_words(t) for t in texts]
-        unknown = self.memory.unknown(rows)
+        rows = pc.ascii_split_whitespace(pa.array([_spaced(t) for t in texts], pa.large_string()))
+        words = rows.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.large_binary()).to_pylist()
+        unknown = self.memory.unknown([distinct])
         for lo in range(0, len(unknown), MARKED_TOGETHER):
             some = unknown[lo : lo + MARKED_TOGETHER]
             self.memory.update(zip(some, self._encode_words([w.decode() for w in some]), strict=True))
-        return [b"".join(map(self.memory.__getitem__, row)) for row in rows]
+        ids = pa.array([self.memory[w] for w in distinct], pa.large_binary()).take(words.indices)
+        ends = np.r_[0, np.cumsum(pc.binary_length(ids).to_numpy())][rows.offsets.to_numpy()].tolist()
+        whole = ids.buffers()[2].to_pybytes()[: ends[-1]] if ends[-1] else b""
+        return [whole[a:b] for a, b in itertools.pairwise(ends)]
 
 
-def _words(text: str) -> list[bytes]:
-    """Stretches between ASCII white space that a ``by_word`` tokenizer encodes like the text.
+def _spaced(text: str) -> bytes:
+    """The text such that a ``by_word`` tokenizer encodes its stretches between ASCII white space like the text.
 
-    A-Z become lower case, and a mark of punctuation behind a letter starts a stretch of
+    Capitals of Latin-1 become lower case, and a mark of punctuation behind a letter starts a stretch of
     its own, unless the text isn't composed (either way) or may hold a special token.
     """
     raw = text.encode("utf-8", "replace")
     lower = raw.lower()  # A-Z only
+    if not raw.isascii():
+        lower = CAPITAL.sub(lambda m: SMALL[m[0]], lower)
     plain = raw.isascii() or (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower.decode()))
-    if plain and b"<|" not in raw:
-        raw = BEHIND_A_LETTER.sub(b" ", lower)
-    return raw.split()
+    return BEHIND_A_LETTER.sub(b" ", lower) if plain and b"<|" not in raw else raw
 
 
 class Packer:

@@ -273,6 +273,19 @@ def test_packing_edges(spark, monkeypatch):
     assert sum(r["length"] for r in again) == 2 * len(expected[202])
 
 
+def test_folded_words_share_ids_and_encode_like_whole_texts():
+    tokenizer = packing.Tokenizer(q.WORD_BPE, True)
+    odd = [
+        "", " ", "Été été$$$ ÉTÉ.", "a×. a÷. ß% ÿ# ŸY.", "it's 'SO' l'eau*** don't!", "x<|endoftext|>Y. <|", "\x01 a\x01.", "A\u0301. e\u0338 a<\u0338 =\u0338",
+        "STRASSE-İı Σας. 漢字. 1a.2É_3", "\x1cA.\x85B;\u2028c", "a\tB.\x0b\x0cC",
+    ]
+    assert tokenizer.encode(odd) == tokenizer._encode(odd)
+    assert tokenizer.encode([]) == []
+    fresh = packing.Tokenizer(q.WORD_BPE, True)
+    assert fresh.encode(["Été été$$$ ÉTÉ."]) == fresh._encode(["Été été$$$ ÉTÉ."])
+    assert set(fresh.memory) == {"été".encode(), b"$$$", b"."}
+
+
 # Substrings
 
 
